@@ -49,9 +49,10 @@ def dim_customer(demographics: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- location
-def clean_location(location: DataFrame) -> DataFrame:
+def clean_location(location: DataFrame, keep=()) -> DataFrame:
     """Row-level location cleanup (C9): title-case city, 5-char ZIP, 4-decimal coordinates."""
     return location.select(
+        *keep,
         std.title_case("city").alias("city"),
         std.zip5("zip_code").alias("zip_code"),
         std.round_coordinate("latitude").alias("latitude"),
@@ -70,15 +71,20 @@ def location_by_zip(location: DataFrame) -> DataFrame:
     return valid_coordinates(clean_location(one_per_zip))
 
 
-def clean_population(population: DataFrame) -> DataFrame:
-    """Population per ZIP (C10): dedup on the raw ZIP, pad it, parse the count."""
-    one_per_zip = dedup_by_key(population.select("zip_code", "population"), ["zip_code"])
-    return one_per_zip.select(
+def parse_population(population: DataFrame, keep=()) -> DataFrame:
+    """Row-level population cleanup (C10): pad the ZIP, parse the count."""
+    return population.select(
+        *keep,
         std.zip5("zip_code").alias("zip_code"),
         std.clean_count("population").alias("population"),
     )
 
 
+def clean_population(population: DataFrame) -> DataFrame:
+    """Population per ZIP: dedup on the raw ZIP (lowest row wins), then parse."""
+    return parse_population(dedup_by_key(population.select("zip_code", "population"), ["zip_code"]))
+
+
 def location_with_population(location: DataFrame, population: DataFrame) -> DataFrame:
     """Left join (J2): every valid location keeps its row; no match gives NULL population.
 
@@ -108,8 +114,9 @@ SERVICE_ATTRIBUTES = (
 )
 
 
-def standardize_services(services: DataFrame, prefer_internet_type: bool = False) -> DataFrame:
-    """The 13 package attributes of every services row."""
+def standardize_services(services: DataFrame, prefer_internet_type: bool = False, keep=()) -> DataFrame:
+    """The 13 package attributes of every services row (C1, C1a, C1b, C3, C3a, C3c);
+    ``keep`` carries source columns through (e.g. the natural key)."""
     cols = {
         "phone_service": std.PHONE_SERVICE.apply("phone_service"),
         "multiple_lines": std.MULTIPLE_LINES.apply("multiple_lines"),
@@ -118,7 +125,7 @@ def standardize_services(services: DataFrame, prefer_internet_type: bool = False
     cols.update({out: std.ADD_ON.apply(src) for out, src in std.ADD_ON_COLUMNS})
     cols["contract"] = std.CONTRACT.apply("contract")
     cols["payment_method"] = std.PAYMENT_METHOD.apply("payment_method")
-    return services.select(*[c.alias(n) for n, c in cols.items()])
+    return services.select(*keep, *[c.alias(n) for n, c in cols.items()])
 
 
 def derive_package(df: DataFrame) -> DataFrame:
@@ -163,8 +170,9 @@ def dim_churn_status(status: DataFrame) -> DataFrame:
 PROMOTION_ATTRIBUTES = ("offer", "referred_a_friend")
 
 
-def standardize_promotion(services: DataFrame) -> DataFrame:
+def standardize_promotion(services: DataFrame, keep=()) -> DataFrame:
     return services.select(
+        *keep,
         std.OFFER.apply("offer").alias("offer"),
         std.REFERRED_A_FRIEND.apply("referred_a_friend").alias("referred_a_friend"),
     )

@@ -183,6 +183,284 @@ FACTS_BASE = with_(raw("status", "services") + [FACTS_BASE_CTE], "SELECT * FROM
 FACTS_BASE_GRAIN_SAFE = with_(raw("status", "services") + [FACTS_SAFE_CTE], "SELECT * FROM facts")
 
 
+# ---------------------------------------------------------------- silver tables as CTEs
+DIM_CUSTOMER_BODY = """SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS BIGINT) AS customer_key,
+  customer_id, age, age_group, gender, marital_status, number_of_dependents, family_size
+FROM clean_demographics"""
+
+DIM_QUARTER_BODY = r"""SELECT CAST(2025 * 100 + q AS INTEGER) AS quarter_key, "quarter" || '-' || '2025' AS quarter_name,
+  CAST(2025 AS INTEGER) AS "year", q AS quarter_of_year, CASE WHEN q <= 2 THEN 'H1' ELSE 'H2' END AS half_of_year
+FROM (SELECT "quarter", TRY_CAST(regexp_extract("quarter", 'Q(\d)', 1) AS INTEGER) AS q
+      FROM (SELECT DISTINCT "quarter" FROM raw_status) d) t"""
+
+SILVER_BODIES = {
+    "dim_customer": DIM_CUSTOMER_BODY,
+    "dim_location": DIM_LOCATION_BODY,
+    "dim_service_package": DIM_SERVICE_PACKAGE_BODY,
+    "dim_churn_status": "SELECT DISTINCT customer_status, churn_category, churn_reason FROM std_status",
+    "dim_quarter": DIM_QUARTER_BODY,
+    "dim_promotion": "SELECT DISTINCT offer, referred_a_friend FROM std_promotion",
+    "facts_base": "SELECT * FROM facts",
+}
+
+ALL_CTES = (
+    raw("demographics", "location", "population", "status", "services")
+    + [CLEAN_DEMOGRAPHICS, LOCATION_BY_ZIP, CLEAN_POPULATION, LOCATION_JOINED, STD_SERVICES, STD_STATUS, STD_PROMOTION,
+       FACTS_BASE_CTE]
+    + [f"silver_{t} AS ({b})" for t, b in SILVER_BODIES.items()]
+)
+
+SUBJECTS = ("demographics", "location", "population", "status", "services")
+MIN_ROWS = {"demographics": 7000, "location": 7000, "population": 1600, "services": 7000, "status": 7000}
+
+
+def union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+def count_rows(name: str, source: str, extra: str = "") -> str:
+    return f"SELECT '{name}' AS table_name{extra}, CAST(count(*) AS BIGINT) AS row_count FROM {source}"
+
+
+# ---------------------------------------------------------------- rules
+SERVICE_FLAGS = (
+    [f"{flag('phone_service', 'n/a')} AS phone_service", f"{flag('multiple_lines', 'No phone service')} AS multiple_lines"]
+    + [f"{flag(src, 'Not applicable')} AS {out}" for out, src in ADD_ONS]
+    + [f"{flag('referred_a_friend', 'No')} AS referred_a_friend"]
+)
+STANDARDIZE_FLAGS = with_(raw("services"), 'SELECT customer_id, "quarter", ' + ", ".join(SERVICE_FLAGS) + " FROM raw_services")
+
+STANDARDIZE_MEMBERSHIP = with_(raw("demographics") + [CLEAN_DEMOGRAPHICS],
+                               "SELECT customer_id, gender, marital_status FROM clean_demographics")
+
+STANDARDIZE_SUBSTRING = with_(
+    raw("services"),
+    f'SELECT customer_id, "quarter", {CONTRACT} AS contract, {PAYMENT} AS payment_method, {OFFER} AS offer FROM raw_services',
+)
+
+INTERNET_BY_TYPE = f"""CASE WHEN {tu('internet_type')} = 'DSL' THEN 'DSL' WHEN {tu('internet_type')} LIKE '%FIBER%' THEN 'Fiber optic'
+      WHEN {tu('internet_service')} = 'YES' THEN 'Yes' WHEN {tu('internet_service')} = 'NO' THEN 'None' ELSE 'None' END"""
+STANDARDIZE_INTERNET = with_(
+    raw("services"),
+    f'SELECT customer_id, "quarter", {INTERNET} AS internet_service, {INTERNET_BY_TYPE} AS internet_service_by_type FROM raw_services',
+)
+
+BUCKET_AGE = with_(raw("demographics") + [CLEAN_DEMOGRAPHICS], "SELECT customer_id, age, age_group FROM clean_demographics")
+
+BUCKET_DENSITY = with_(
+    raw("population") + [CLEAN_POPULATION],
+    """SELECT zip_code, population,
+  CASE WHEN population >= 75000 THEN 'Urban' WHEN population >= 20000 THEN 'Suburban' ELSE 'Rural' END AS population_density
+FROM clean_population""",
+)
+
+PACKAGE_ROWS = f"package_rows AS (SELECT *, {DERIVED} FROM (SELECT *, {TOTAL_SERVICES} AS total_services FROM std_services) t)"
+_PKG = raw("services") + [STD_SERVICES, PACKAGE_ROWS]
+BUCKET_SERVICE_TIER = with_(_PKG, 'SELECT customer_id, "quarter", total_services, service_tier FROM package_rows')
+DERIVE_BUNDLE_TYPE = with_(_PKG, 'SELECT customer_id, "quarter", phone_service, internet_service, bundle_type FROM package_rows')
+DERIVE_TOTAL_SERVICES = with_(
+    _PKG, 'SELECT customer_id, "quarter", ' + ", ".join(o for o, _ in ADD_ONS) + ", total_services FROM package_rows"
+)
+DERIVE_FAMILY_SIZE = with_(raw("demographics") + [CLEAN_DEMOGRAPHICS],
+                           "SELECT customer_id, marital_status, number_of_dependents, family_size FROM clean_demographics")
+
+CLEAN_LOCATION_ROWS = f"""clean_location_rows AS (
+  SELECT customer_id, {initcap('trim(city)')} AS city, lpad(trim(CAST(zip_code AS VARCHAR)), 5, '0') AS zip_code,
+    round(latitude, 4) AS latitude, round(longitude, 4) AS longitude
+  FROM raw_location)"""
+CLEAN_LOCATION = with_(raw("location") + [CLEAN_LOCATION_ROWS], "SELECT * FROM clean_location_rows")
+
+CLEAN_POPULATION_ROWS = with_(
+    raw("population"),
+    """SELECT id, lpad(trim(CAST(zip_code AS VARCHAR)), 5, '0') AS zip_code,
+  CASE WHEN regexp_replace(population, '[^0-9.]', '', 'g') = '' THEN 0
+       ELSE TRY_CAST(trunc(TRY_CAST(regexp_replace(population, '[^0-9.]', '', 'g') AS DOUBLE)) AS INTEGER) END AS population
+FROM raw_population""",
+)
+
+# ---------------------------------------------------------------- relational
+PROJECT_RENAME = with_(
+    raw("services"),
+    'SELECT customer_id, "quarter", tenure_in_months AS tenure_months, monthly_charge AS monthly_charges FROM raw_services',
+)
+
+CAST_MEASURES = with_(
+    raw("services"),
+    """SELECT customer_id, "quarter", CAST(tenure_in_months AS INTEGER) AS tenure_months,
+  CAST(monthly_charge AS DECIMAL(10,2)) AS monthly_charges,
+  CAST(avg_monthly_long_distance_charges AS DECIMAL(10,2)) AS avg_monthly_long_distance_charges,
+  CAST(total_charges AS DECIMAL(10,2)) AS total_charges, CAST(total_revenue AS DECIMAL(10,2)) AS total_revenue,
+  CAST(total_refunds AS DECIMAL(10,2)) AS total_refunds, CAST(total_extra_data_charges AS DECIMAL(10,2)) AS total_extra_data_charges,
+  CAST(total_long_distance_charges AS DECIMAL(10,2)) AS total_long_distance_charges,
+  CAST(avg_monthly_gb_download AS INTEGER) AS avg_monthly_gb_download, CAST(number_of_referrals AS INTEGER) AS number_of_referrals
+FROM raw_services""",
+)
+
+FILTER_VALID_COORDINATES = with_(
+    raw("location") + [CLEAN_LOCATION_ROWS],
+    "SELECT * FROM clean_location_rows WHERE latitude >= -90 AND latitude <= 90 AND longitude >= -180 AND longitude <= 180",
+)
+
+LOCATION_POPULATION_JOIN = with_(
+    DIM_LOCATION_CTES, "SELECT zip_code, city, latitude, longitude, population FROM location_joined"
+)
+
+DEDUP_BY_KEY = with_(
+    raw("location"),
+    """SELECT customer_id, zip_code, city, latitude, longitude FROM (
+  SELECT *, row_number() OVER (PARTITION BY zip_code
+    ORDER BY customer_id NULLS FIRST, city NULLS FIRST, latitude NULLS FIRST, longitude NULLS FIRST) AS rn
+  FROM raw_location) r WHERE rn = 1""",
+)
+
+DEDUP_RATIO = with_(
+    raw("services") + [STD_SERVICES],
+    "SELECT CAST(sum(n) AS BIGINT) AS input_rows, CAST(count(*) AS BIGINT) AS distinct_rows,\n"
+    "  CASE WHEN count(*) > 0 THEN round(CAST(sum(n) AS DOUBLE) / count(*), 6) END AS dedup_ratio\n"
+    "FROM (SELECT " + ", ".join(PACKAGE_ATTRS) + ", count(*) AS n FROM std_services GROUP BY ALL) g",
+)
+
+# ---------------------------------------------------------------- keys
+SEQ_KEY_CUSTOMER = with_(
+    raw("demographics") + [CLEAN_DEMOGRAPHICS],
+    "SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS BIGINT) AS customer_key, customer_id FROM clean_demographics",
+)
+SEQ_KEY_LOCATION = with_(
+    DIM_LOCATION_CTES,
+    "SELECT CAST(row_number() OVER (ORDER BY zip_code NULLS FIRST) AS BIGINT) AS location_key, zip_code FROM location_joined",
+)
+
+# ---------------------------------------------------------------- quality
+DQ_MIN_ROWS = with_(
+    raw(*SUBJECTS),
+    union([f"SELECT '{t}' AS table_name, CAST({m} AS BIGINT) AS min_rows, CAST(count(*) AS BIGINT) AS actual_rows, "
+           f"count(*) >= {m} AS passed FROM raw_{t}" for t, m in MIN_ROWS.items()]),
+)
+
+DQ_NON_EMPTY = with_(
+    ALL_CTES,
+    union([f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, count(*) > 0 AS passed FROM silver_{t}"
+           for t in SILVER_BODIES]),
+)
+
+_FACTS = raw("status", "services") + [FACTS_BASE_CTE]
+DQ_GRAIN_DUPLICATES = with_(
+    _FACTS,
+    'SELECT CAST(count(*) AS BIGINT) AS duplicate_groups FROM (SELECT customer_id, "quarter" FROM facts '
+    'GROUP BY customer_id, "quarter" HAVING count(*) > 1) g',
+)
+DQ_NULL_COUNTS = with_(
+    _FACTS,
+    'SELECT CAST(sum(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS customer_id, '
+    'CAST(sum(CASE WHEN "quarter" IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS "quarter" FROM facts',
+)
+DQ_LOCATION_NULL_KEYS = with_(
+    DIM_LOCATION_CTES + [f"silver_dim_location AS ({DIM_LOCATION_BODY})"],
+    ", ".join(
+        f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {n}"
+        for c, n in [("location_key", "null_keys"), ("city", "null_cities"), ("zip_code", "null_zips"),
+                     ("latitude", "null_lat"), ("longitude", "null_long")]
+    ).join(["SELECT ", " FROM silver_dim_location"]),
+)
+DQ_KEY_UNIQUE = with_(
+    ALL_CTES,
+    union([f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS \"rows\", CAST(count(*) AS BIGINT) AS distinct_keys "
+           f"FROM silver_{t}" for t in ("dim_service_package", "dim_churn_status", "dim_promotion")]),
+)
+
+PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
+PROFILE_MEASURES = with_(
+    _FACTS,
+    union([f"""SELECT '{c}' AS measure, CAST(count({c}) AS BIGINT) AS "count", round(CAST(avg({c}) AS DOUBLE), 6) AS mean,
+  round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max"
+FROM facts""" for c in PROFILED]),
+)
+
+LAYER_ROW_COUNTS = with_(
+    ALL_CTES,
+    union([f"SELECT 'bronze' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM raw_{t}" for t in SUBJECTS]
+          + [f"SELECT 'silver' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count FROM silver_{t}"
+             for t in SILVER_BODIES]),
+)
+
+# ---------------------------------------------------------------- bronze, catalog, flows
+BRONZE_LINEAGE_COLUMNS = with_(raw("population"),
+                               "SELECT *, 'Telco_customer_churn_population.csv' AS source_file FROM raw_population")
+# A delimited file has no way to tell an empty text from a missing one: with the
+# reader's defaults an empty field (quoted or not) loads as NULL.
+BRONZE_INGEST_POPULATION = with_(
+    raw("population"),
+    "SELECT id, zip_code, NULLIF(population, '') AS population, 'Telco_customer_churn_population.csv' AS source_file "
+    "FROM raw_population",
+)
+BRONZE_ROUNDTRIP = with_(raw("services"), "SELECT *, 'Telco_customer_churn_services.csv' AS source_file FROM raw_services")
+
+CATALOG_TABLES = with_(
+    raw(*SUBJECTS),
+    union([f"SELECT '{t}' AS table_name, 'EXTERNAL' AS table_type, CAST(count(*) AS BIGINT) AS row_count FROM raw_{t}"
+           for t in SUBJECTS]),
+)
+
+SILVER_BUILD_ALL = with_(
+    ALL_CTES,
+    union([f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status FROM silver_{t}"
+           for t in SILVER_BODIES]),
+)
+
+# Text columns of each raw subject: after a round trip through a delimited file
+# an empty text loads as NULL (reader defaults), so the flow oracle applies
+# NULLIF(col, '') to exactly these.
+TEXT_COLUMNS = {
+    "demographics": ["customer_id", "gender", "married"],
+    "location": ["customer_id", "city"],
+    "population": ["population"],
+    "status": ["customer_id", "quarter", "customer_status", "churn_category", "churn_reason"],
+    "services": ["customer_id", "quarter", "phone_service", "multiple_lines", "online_security", "online_backup",
+                 "device_protection_plan", "premium_tech_support", "streaming_tv", "streaming_movies",
+                 "streaming_music", "unlimited_data", "referred_a_friend", "internet_service", "internet_type",
+                 "offer", "contract", "payment_method"],
+}
+
+
+def loaded(*subjects: str) -> list[str]:
+    out = []
+    for s in subjects:
+        repl = ", ".join(f'NULLIF("{c}", \'\') AS "{c}"' for c in TEXT_COLUMNS[s])
+        out.append(f"raw_{s} AS (SELECT * REPLACE ({repl}) FROM ({duckdb_view_sql(s)}) v)")
+    return out
+
+
+ALL_CTES_LOADED = loaded(*SUBJECTS) + ALL_CTES[len(SUBJECTS):]
+
+_BRONZE_OK = " AND ".join(f"(SELECT count(*) FROM raw_{t}) >= {m}" for t, m in MIN_ROWS.items())
+LOAD_AUDIT = with_(
+    ALL_CTES_LOADED,
+    union([f"SELECT 'bronze' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
+           f"CASE WHEN {_BRONZE_OK} THEN 'success' ELSE 'failed' END AS status FROM raw_{t}" for t in SUBJECTS]
+          + [f"SELECT 'silver' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status "
+             f"FROM silver_{t}" for t in SILVER_BODIES]),
+)
+
+
+def _data_dictionary() -> str:
+    from .schemas import SILVER
+
+    hash_keys = {"service_package_key", "churn_status_key", "promotion_key"}
+    parts = []
+    for t, schema in SILVER.items():
+        for f in schema.fields:
+            comment = f.metadata.get("comment", "").replace("'", "''")
+            counted = "*" if f.name in hash_keys else f'"{f.name}"'
+            parts.append(
+                f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
+                f"'{comment}' AS comment, CAST(count({counted}) AS BIGINT) AS non_null_count FROM silver_{t}"
+            )
+    return with_(ALL_CTES, union(parts))
+
+
+CATALOG_DATA_DICTIONARY = _data_dictionary()
+
+
 ORACLES: dict[str, str] = {
     "dim_customer": DIM_CUSTOMER,
     "dim_location": DIM_LOCATION,
@@ -192,4 +470,42 @@ ORACLES: dict[str, str] = {
     "dim_quarter": DIM_QUARTER,
     "facts_base": FACTS_BASE,
     "facts_base_grain_safe": FACTS_BASE_GRAIN_SAFE,
+    "standardize_flags": STANDARDIZE_FLAGS,
+    "standardize_membership": STANDARDIZE_MEMBERSHIP,
+    "standardize_substring": STANDARDIZE_SUBSTRING,
+    "standardize_internet": STANDARDIZE_INTERNET,
+    "bucket_age": BUCKET_AGE,
+    "bucket_density": BUCKET_DENSITY,
+    "bucket_service_tier": BUCKET_SERVICE_TIER,
+    "derive_bundle_type": DERIVE_BUNDLE_TYPE,
+    "derive_family_size": DERIVE_FAMILY_SIZE,
+    "derive_total_services": DERIVE_TOTAL_SERVICES,
+    "clean_location": CLEAN_LOCATION,
+    "clean_population": CLEAN_POPULATION_ROWS,
+    "project_rename": PROJECT_RENAME,
+    "cast_measures": CAST_MEASURES,
+    "filter_valid_coordinates": FILTER_VALID_COORDINATES,
+    "location_population_join": LOCATION_POPULATION_JOIN,
+    "dedup_by_key": DEDUP_BY_KEY,
+    "dedup_ratio": DEDUP_RATIO,
+    "seq_key_customer": SEQ_KEY_CUSTOMER,
+    "seq_key_location": SEQ_KEY_LOCATION,
+    # hash_key_* : no xxhash64 in DuckDB -> rows-only; uniqueness in dq_key_unique
+    "dq_min_rows": DQ_MIN_ROWS,
+    "dq_non_empty": DQ_NON_EMPTY,
+    "dq_grain_duplicates": DQ_GRAIN_DUPLICATES,
+    "dq_null_counts": DQ_NULL_COUNTS,
+    "dq_location_null_keys": DQ_LOCATION_NULL_KEYS,
+    "dq_key_unique": DQ_KEY_UNIQUE,
+    "profile_measures": PROFILE_MEASURES,
+    "layer_row_counts": LAYER_ROW_COUNTS,
+    "bronze_lineage_columns": BRONZE_LINEAGE_COLUMNS,
+    "bronze_roundtrip": BRONZE_ROUNDTRIP,
+    "bronze_ingest_population": BRONZE_INGEST_POPULATION,
+    "bronze_ingest_all": DQ_MIN_ROWS,
+    "catalog_tables": CATALOG_TABLES,
+    "catalog_data_dictionary": CATALOG_DATA_DICTIONARY,
+    "silver_write_keeps_schema": DIM_CUSTOMER,
+    "silver_build_all": SILVER_BUILD_ALL,
+    "load_audit": LOAD_AUDIT,
 }

@@ -1,7 +1,9 @@
 """The registered queries: ``name -> (spark, sf_dir) -> DataFrame``.
 
 Every query reads the driver tables through the raw views (so its work grows
-with the scale factor) and runs library operators over whole tables.
+with the scale factor) and runs library operators over whole tables.  Queries
+that exercise writes (ingest, catalog, sinks, flows) write under a fresh
+folder inside the session's checkpoint folder on every call.
 """
 
 from __future__ import annotations
@@ -9,19 +11,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.raw_views import raw_view
+from ..functions import standard as std
+from ..operators import quality
+from ..operators.keys import sequential_key
+from ..operators.relational import dedup_by_key, distinct_with_ratio, rename_columns, typed_measures
+from ..session import scratch_path
+from ..sources import catalog, ingest, sinks
+from ..sources.raw_views import SUBJECTS, raw_view
 from . import dimensions as dims
-from . import facts
+from . import facts, flows
+from .schemas import SILVER, bronze_file_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+POPULATION_FILE = "Telco_customer_churn_population.csv"
+
 
 def _raw(spark: SparkSession, sf: str, *subjects: str) -> list[DataFrame]:
     return [raw_view(spark, sf, s) for s in subjects]
 
 
-# ---------------------------------------------------------------- tables
+def _silver_frames(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    raw = {s: raw_view(spark, sf, s) for s in SUBJECTS}
+    return {t: build(raw) for t, build in flows.silver_builders(flows.WarehouseConfig("", "", "")).items()}
+
+
+# ================================================================ tables
 def q_dim_customer(spark, sf):
     (d,) = _raw(spark, sf, "demographics")
     return dims.dim_customer(d)
@@ -62,7 +79,320 @@ def q_facts_base_grain_safe(spark, sf):
     return facts.facts_base_grain_safe(st, sv)
 
 
+# ================================================================ rules
+def q_standardize_flags(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    cols = {
+        "phone_service": std.PHONE_SERVICE.apply("phone_service"),
+        "multiple_lines": std.MULTIPLE_LINES.apply("multiple_lines"),
+        **{out: std.ADD_ON.apply(src) for out, src in std.ADD_ON_COLUMNS},
+        "referred_a_friend": std.REFERRED_A_FRIEND.apply("referred_a_friend"),
+    }
+    return s.select("customer_id", "quarter", *[c.alias(n) for n, c in cols.items()])
+
+
+def q_standardize_membership(spark, sf):
+    (d,) = _raw(spark, sf, "demographics")
+    return dims.clean_demographics(d).select("customer_id", "gender", "marital_status")
+
+
+def q_standardize_substring(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return s.select(
+        "customer_id",
+        "quarter",
+        std.CONTRACT.apply("contract").alias("contract"),
+        std.PAYMENT_METHOD.apply("payment_method").alias("payment_method"),
+        std.OFFER.apply("offer").alias("offer"),
+    )
+
+
+def q_standardize_internet(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return s.select(
+        "customer_id",
+        "quarter",
+        std.internet_service("internet_service", "internet_type").alias("internet_service"),
+        std.internet_service("internet_service", "internet_type", prefer_type=True).alias("internet_service_by_type"),
+    )
+
+
+def q_bucket_age(spark, sf):
+    (d,) = _raw(spark, sf, "demographics")
+    return dims.clean_demographics(d).select("customer_id", "age", "age_group")
+
+
+def q_bucket_density(spark, sf):
+    (p,) = _raw(spark, sf, "population")
+    return dims.clean_population(p).withColumn("population_density", std.population_density("population"))
+
+
+def _package_rows(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return dims.derive_package(dims.standardize_services(s, keep=("customer_id", "quarter")))
+
+
+def q_bucket_service_tier(spark, sf):
+    return _package_rows(spark, sf).select("customer_id", "quarter", "total_services", "service_tier")
+
+
+def q_derive_bundle_type(spark, sf):
+    return _package_rows(spark, sf).select("customer_id", "quarter", "phone_service", "internet_service", "bundle_type")
+
+
+def q_derive_total_services(spark, sf):
+    return _package_rows(spark, sf).select("customer_id", "quarter", *std.ADD_ONS, "total_services")
+
+
+def q_derive_family_size(spark, sf):
+    (d,) = _raw(spark, sf, "demographics")
+    return dims.clean_demographics(d).select("customer_id", "marital_status", "number_of_dependents", "family_size")
+
+
+def q_clean_location(spark, sf):
+    (loc,) = _raw(spark, sf, "location")
+    return dims.clean_location(loc, keep=("customer_id",))
+
+
+def q_clean_population(spark, sf):
+    (p,) = _raw(spark, sf, "population")
+    return dims.parse_population(p, keep=("id",))
+
+
+# ================================================================ relational
+def q_project_rename(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return rename_columns(s, {"tenure_in_months": "tenure_months", "monthly_charge": "monthly_charges"},
+                          keep=("customer_id", "quarter"))
+
+
+def q_cast_measures(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    service_measures = [m for m in facts.MEASURES if m.name not in facts.STATUS_MEASURES]
+    return s.select("customer_id", "quarter", *typed_measures(service_measures))
+
+
+def q_filter_valid_coordinates(spark, sf):
+    (loc,) = _raw(spark, sf, "location")
+    return dims.valid_coordinates(dims.clean_location(loc, keep=("customer_id",)))
+
+
+def q_location_population_join(spark, sf):
+    loc, pop = _raw(spark, sf, "location", "population")
+    return dims.location_with_population(loc, pop)
+
+
+def q_dedup_by_key(spark, sf):
+    (loc,) = _raw(spark, sf, "location")
+    return dedup_by_key(loc, ["zip_code"])
+
+
+def q_dedup_ratio(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return distinct_with_ratio(dims.standardize_services(s))
+
+
+# ================================================================ keys
+def q_seq_key_customer(spark, sf):
+    (d,) = _raw(spark, sf, "demographics")
+    return sequential_key(dims.clean_demographics(d), ["customer_id"], "customer_key").select(
+        "customer_key", "customer_id"
+    )
+
+
+def q_seq_key_location(spark, sf):
+    loc, pop = _raw(spark, sf, "location", "population")
+    return sequential_key(dims.location_with_population(loc, pop), ["zip_code"], "location_key").select(
+        "location_key", "zip_code"
+    )
+
+
+def q_hash_key_service_package(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return dims.dim_service_package(s)
+
+
+def q_hash_key_churn_status(spark, sf):
+    (s,) = _raw(spark, sf, "status")
+    return dims.dim_churn_status(s)
+
+
+def q_hash_key_promotion(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    return dims.dim_promotion(s)
+
+
+# ================================================================ quality
+def q_dq_min_rows(spark, sf):
+    raw = {s: raw_view(spark, sf, s) for s in SUBJECTS}
+    return quality.min_rows(raw, flows.MIN_ROWS)
+
+
+def q_dq_non_empty(spark, sf):
+    return quality.non_empty(_silver_frames(spark, sf))
+
+
+def _facts(spark, sf):
+    st, sv = _raw(spark, sf, "status", "services")
+    return facts.facts_base(st, sv)
+
+
+def q_dq_grain_duplicates(spark, sf):
+    return quality.grain_duplicates(_facts(spark, sf), facts.GRAIN)
+
+
+def q_dq_null_counts(spark, sf):
+    return quality.null_counts(_facts(spark, sf), list(facts.GRAIN))
+
+
+def q_dq_location_null_keys(spark, sf):
+    loc, pop = _raw(spark, sf, "location", "population")
+    return quality.null_counts(
+        dims.dim_location(loc, pop),
+        ["location_key", "city", "zip_code", "latitude", "longitude"],
+        ["null_keys", "null_cities", "null_zips", "null_lat", "null_long"],
+    )
+
+
+def q_dq_key_unique(spark, sf):
+    st, sv = _raw(spark, sf, "status", "services")
+    return quality.key_uniqueness(
+        {
+            "dim_service_package": (dims.dim_service_package(sv), "service_package_key"),
+            "dim_churn_status": (dims.dim_churn_status(st), "churn_status_key"),
+            "dim_promotion": (dims.dim_promotion(sv), "promotion_key"),
+        }
+    )
+
+
+PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
+
+
+def q_profile_measures(spark, sf):
+    return quality.profile(_facts(spark, sf), PROFILED)
+
+
+def q_layer_row_counts(spark, sf):
+    raw = {s: raw_view(spark, sf, s) for s in SUBJECTS}
+    bronze = quality.row_counts(raw).withColumn("layer", F.lit("bronze"))
+    silver = quality.row_counts(_silver_frames(spark, sf)).withColumn("layer", F.lit("silver"))
+    return bronze.unionByName(silver).select("layer", "table_name", "row_count")
+
+
+# ================================================================ bronze, catalog, flows
+def _stage_sources(spark, sf) -> str:
+    """Write each raw subject as its delimited source file into a fresh folder."""
+    folder = scratch_path(spark, "sources")
+    for s in ingest.DEFAULT_SOURCES:
+        ingest.stage_delimited(raw_view(spark, sf, s.table), f"{folder}/{s.file}")
+    return folder
+
+
+def _config(spark, sf, stage: bool = True) -> flows.WarehouseConfig:
+    root = scratch_path(spark, "warehouse")
+    tag = root.rsplit("-", 1)[-1]
+    return flows.WarehouseConfig(
+        source_dir=_stage_sources(spark, sf) if stage else "",
+        bronze_base=f"{root}/bronze",
+        silver_base=f"{root}/silver",
+        bronze_db=f"bronze_{tag}",
+        silver_db=f"silver_{tag}",
+        audit_table=f"silver_{tag}.load_audit",
+    )
+
+
+def q_bronze_lineage_columns(spark, sf):
+    (p,) = _raw(spark, sf, "population")
+    return ingest.with_lineage(p, POPULATION_FILE).drop("ingestion_timestamp")
+
+
+def q_bronze_roundtrip(spark, sf):
+    (s,) = _raw(spark, sf, "services")
+    path = scratch_path(spark, "bronze-services")
+    ingest.write_parquet(ingest.with_lineage(s, "Telco_customer_churn_services.csv"), path)
+    return spark.read.parquet(path).drop("ingestion_timestamp")
+
+
+def q_bronze_ingest_population(spark, sf):
+    (p,) = _raw(spark, sf, "population")
+    src = scratch_path(spark, "sources")
+    ingest.stage_delimited(p, f"{src}/{POPULATION_FILE}")
+    target = scratch_path(spark, "bronze")
+    res = ingest.ingest_file(
+        spark, src, ingest.SourceFile(POPULATION_FILE, "population"), target, bronze_file_schema("population")
+    )
+    return spark.read.parquet(res.path).drop("ingestion_timestamp")
+
+
+def q_bronze_ingest_all(spark, sf):
+    cfg = _config(spark, sf)
+    flows.run_bronze(spark, cfg, enforce=False)
+    return quality.min_rows(flows.bronze_tables(spark, cfg), cfg.min_rows)
+
+
+def q_catalog_tables(spark, sf):
+    cfg = _config(spark, sf)
+    flows.run_bronze(spark, cfg, enforce=False)
+    info = catalog.table_info(spark, cfg.bronze_db)
+    counts = quality.row_counts({name: spark.table(f"{cfg.bronze_db}.{name}") for name, _, _ in info})
+    kinds = spark.createDataFrame([(n, k) for n, k, _ in info], "table_name string, table_type string")
+    return counts.join(F.broadcast(kinds), "table_name").select("table_name", "table_type", "row_count")
+
+
+def q_catalog_data_dictionary(spark, sf):
+    cfg = _config(spark, sf, stage=False)
+    flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=False)
+    dictionary = catalog.data_dictionary(spark, cfg.silver_db, list(SILVER))
+    filled = []
+    for t, schema in SILVER.items():
+        df = spark.table(f"{cfg.silver_db}.{t}")
+        wide = df.agg(*[F.count(F.col(f.name)).cast("long").alias(f.name) for f in schema.fields])
+        filled.append(
+            wide.select(
+                F.explode(
+                    F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("non_null_count"))
+                              for f in schema.fields])
+                ).alias("c")
+            ).select(F.lit(t).alias("table_name"), "c.*")
+        )
+    counts = filled[0]
+    for f_ in filled[1:]:
+        counts = counts.unionByName(f_)
+    return dictionary.join(counts, ["table_name", "column_name"]).select(
+        "table_name", "column_name", "data_type", "comment", "non_null_count"
+    )
+
+
+def q_silver_write_keeps_schema(spark, sf):
+    cfg = _config(spark, sf, stage=False)
+    catalog.create_database(spark, cfg.silver_db)
+    name = f"{cfg.silver_db}.dim_customer"
+    catalog.create_table(spark, name, SILVER["dim_customer"], f"{cfg.silver_base}/dim_customer")
+    (d,) = _raw(spark, sf, "demographics")
+    sinks.overwrite_table(dims.dim_customer(d), name)
+    written = spark.table(name)
+    declared = [(f.name, f.dataType, f.metadata.get("comment")) for f in SILVER["dim_customer"].fields]
+    got = [(f.name, f.dataType, f.metadata.get("comment")) for f in written.schema.fields]
+    if got != declared:
+        raise AssertionError(f"declared schema not kept: {got}")
+    return written
+
+
+def q_silver_build_all(spark, sf):
+    cfg = _config(spark, sf, stage=False)
+    audit = flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=True)
+    return audit.select("table_name", "row_count", "status")
+
+
+def q_load_audit(spark, sf):
+    cfg = _config(spark, sf)
+    flows.run_bronze(spark, cfg, enforce=False)
+    flows.run_silver(spark, cfg, enforce=False)
+    return flows.audit_view(spark.table(cfg.audit_table))
+
+
 QUERIES: dict[str, Query] = {
+    # tables
     "dim_customer": q_dim_customer,
     "dim_location": q_dim_location,
     "dim_service_package": q_dim_service_package,
@@ -71,4 +401,49 @@ QUERIES: dict[str, Query] = {
     "dim_quarter": q_dim_quarter,
     "facts_base": q_facts_base,
     "facts_base_grain_safe": q_facts_base_grain_safe,
+    # rules
+    "standardize_flags": q_standardize_flags,
+    "standardize_membership": q_standardize_membership,
+    "standardize_substring": q_standardize_substring,
+    "standardize_internet": q_standardize_internet,
+    "bucket_age": q_bucket_age,
+    "bucket_density": q_bucket_density,
+    "bucket_service_tier": q_bucket_service_tier,
+    "derive_bundle_type": q_derive_bundle_type,
+    "derive_family_size": q_derive_family_size,
+    "derive_total_services": q_derive_total_services,
+    "clean_location": q_clean_location,
+    "clean_population": q_clean_population,
+    # relational
+    "project_rename": q_project_rename,
+    "cast_measures": q_cast_measures,
+    "filter_valid_coordinates": q_filter_valid_coordinates,
+    "location_population_join": q_location_population_join,
+    "dedup_by_key": q_dedup_by_key,
+    "dedup_ratio": q_dedup_ratio,
+    # keys
+    "seq_key_customer": q_seq_key_customer,
+    "seq_key_location": q_seq_key_location,
+    "hash_key_service_package": q_hash_key_service_package,
+    "hash_key_churn_status": q_hash_key_churn_status,
+    "hash_key_promotion": q_hash_key_promotion,
+    # quality
+    "dq_min_rows": q_dq_min_rows,
+    "dq_non_empty": q_dq_non_empty,
+    "dq_grain_duplicates": q_dq_grain_duplicates,
+    "dq_null_counts": q_dq_null_counts,
+    "dq_location_null_keys": q_dq_location_null_keys,
+    "dq_key_unique": q_dq_key_unique,
+    "profile_measures": q_profile_measures,
+    "layer_row_counts": q_layer_row_counts,
+    # bronze, catalog, flows
+    "bronze_lineage_columns": q_bronze_lineage_columns,
+    "bronze_roundtrip": q_bronze_roundtrip,
+    "bronze_ingest_population": q_bronze_ingest_population,
+    "bronze_ingest_all": q_bronze_ingest_all,
+    "catalog_tables": q_catalog_tables,
+    "catalog_data_dictionary": q_catalog_data_dictionary,
+    "silver_write_keeps_schema": q_silver_write_keeps_schema,
+    "silver_build_all": q_silver_build_all,
+    "load_audit": q_load_audit,
 }
