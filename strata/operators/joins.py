@@ -43,12 +43,19 @@ def equi_join(
     how: str = "inner",
     hot_key_fraction: float | None = None,
     rows_per_task: int = 1_000_000,
+    strategy: str | None = None,
 ) -> DataFrame:
     """Join ``left`` and ``right`` on ``left[lk] == right[rk]`` for each pair.
 
     Both sides must have disjoint column names (rename first).  ``how`` is
     ``inner`` or ``left`` when ``hot_key_fraction`` is given.
+
+    ``strategy="merge"`` pins a sort-merge join: for two sides that both grow
+    with the data neither may be broadcast on a planner *estimate*, and
+    sort-merge spills instead of holding a partition's hash table in memory.
     """
+    if strategy:
+        right = right.hint(strategy)
     if not hot_key_fraction:
         return left.join(right, _condition(left, right, pairs), how)
     if how not in ("inner", "left"):

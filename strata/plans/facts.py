@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import equi_join
 from ..operators.relational import Measure, typed_measures
-from .dimensions import conform
+from .schemas import SILVER
 
 # Measure name, source column, declared type.
 MEASURES = (
@@ -46,28 +46,32 @@ def facts_base(
     claimed (customer, quarter) grain does not hold (``dq_grain_duplicates``
     reports it).  ``join_on=("customer_id", "quarter")`` is the grain-safe form
     (NULL quarters do not match).  Keys are joined untrimmed and trimmed after.
+
+    The join multiplies rows, so every per-row expression (trim, typed casts)
+    is evaluated on its input side *before* the join and the join only copies
+    values: Catalyst prunes columns below a join but does not move computed
+    expressions there.
     """
     join_on = list(join_on)
-    status_cols = [*GRAIN, *STATUS_MEASURES]
-    service_cols = list(dict.fromkeys([*join_on, *(m.source for m in MEASURES if m.source not in STATUS_MEASURES)]))
-    left = status.select(*status_cols)
-    right = services.select(*service_cols)
-    # measures coming from the services side keep their names; the join keys of
-    # the services side are dropped (status keys win)
-    right = right.select(*[F.col(c).alias(f"_r_{c}") if c in join_on else F.col(c) for c in right.columns])
+    by_name = {m.name: m for m in MEASURES}
+    status_typed = typed_measures([by_name[n] for n in STATUS_MEASURES])
+    service_typed = typed_measures([m for m in MEASURES if m.name not in STATUS_MEASURES])
+    left = status.select(
+        *[F.col(k).alias(f"_l_{k}") for k in join_on],
+        F.trim("customer_id").alias("customer_id"),
+        F.trim("quarter").alias("quarter"),
+        *status_typed,
+    )
+    right = services.select(*[F.col(k).alias(f"_r_{k}") for k in join_on], *service_typed)
     joined = equi_join(
         left,
         right,
-        [(k, f"_r_{k}") for k in join_on],
+        [(f"_l_{k}", f"_r_{k}") for k in join_on],
         how="inner",
         hot_key_fraction=hot_key_fraction,
+        strategy="merge",  # both sides are fact-sized: no broadcast on an estimate
     )
-    out = joined.select(
-        F.trim("customer_id").alias("customer_id"),
-        F.trim("quarter").alias("quarter"),
-        *typed_measures(MEASURES),
-    )
-    return conform(out, "facts_base")
+    return joined.select(*[f.name for f in SILVER["facts_base"].fields])
 
 
 def facts_base_grain_safe(status: DataFrame, services: DataFrame, hot_key_fraction: float | None = None) -> DataFrame:
