@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The warehouse this library rebuilds is a daily *full* load: every bronze file
+is re-read and every silver table rebuilt on each run.  It has no streams,
+watermarks, event-time windows or incremental state, so there is no streaming
+operator to provide; the batch flows in ``strata.plans.flows`` cover it.
+"""
