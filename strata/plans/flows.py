@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -48,6 +49,18 @@ class WarehouseConfig:
     business_year: int = dims.BUSINESS_YEAR
     facts_join_on: tuple = ("customer_id",)
     audit_table: str | None = None  # e.g. "silver_telco.load_audit"
+    # independent tables/files are submitted from this many driver threads, so
+    # small jobs fill the slots big ones leave idle (the scheduler interleaves them)
+    parallel_jobs: int = 4
+
+
+def _run_all(tasks: Mapping[str, Callable[[], object]], parallel: int) -> dict[str, object]:
+    """Run independent Spark jobs, ``parallel`` at a time; results by name, in order."""
+    if parallel <= 1 or len(tasks) <= 1:
+        return {k: fn() for k, fn in tasks.items()}
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        futures = {k: pool.submit(fn) for k, fn in tasks.items()}
+        return {k: f.result() for k, f in futures.items()}
 
 
 AUDIT_SCHEMA = "run_id string, layer string, table_name string, row_count bigint, status string, loaded_at timestamp"
@@ -88,11 +101,14 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
     """
     run_id = run_id or uuid.uuid4().hex
     create_bronze_tables(spark, cfg)
-    schemas = {s.table: bronze_file_schema(s.table) for s in cfg.sources}
-    results = ingest.ingest_all(spark, cfg.source_dir, cfg.bronze_base, cfg.sources, schemas)
+    tasks = {
+        s.table: (lambda s=s: ingest.ingest_file(spark, cfg.source_dir, s, cfg.bronze_base, bronze_file_schema(s.table)))
+        for s in cfg.sources
+    }
+    results = _run_all(tasks, cfg.parallel_jobs)
     for s in cfg.sources:
         catalog.refresh(spark, f"{cfg.bronze_db}.{s.table}")
-    counts = {r.table: r.rows for r in results}
+    counts = {t: r.rows for t, r in results.items()}
     failed = {t for t, n in counts.items() if n < cfg.min_rows.get(t, 0)}
     audit = _audit_rows(spark, run_id, "bronze", counts, "failed" if failed else "success")
     record_audit(spark, audit, cfg.audit_table)
@@ -134,9 +150,11 @@ def run_silver(
     run_id = run_id or uuid.uuid4().hex
     create_silver_tables(spark, cfg)
     bronze = bronze or bronze_tables(spark, cfg)
-    counts = {}
-    for t, build in silver_builders(cfg).items():
-        counts[t] = sinks.overwrite_table(build(bronze), f"{cfg.silver_db}.{t}")
+    tasks = {
+        t: (lambda t=t, build=build: sinks.overwrite_table(build(bronze), f"{cfg.silver_db}.{t}"))
+        for t, build in silver_builders(cfg).items()
+    }
+    counts = _run_all(tasks, cfg.parallel_jobs)
     empty = [t for t, n in counts.items() if n == 0]
     audit = _audit_rows(spark, run_id, "silver", counts, "failed" if empty else "success")
     record_audit(spark, audit, cfg.audit_table)

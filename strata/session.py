@@ -47,7 +47,8 @@ def local_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -61,7 +62,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # e.g. a remote (Connect) session has no SparkContext
+        current = None
     if current:
         # setCheckpointDir appends a per-application UUID folder; use its parent
         return current.rstrip("/").rsplit("/", 1)[0]
@@ -71,7 +75,10 @@ def checkpoint_root(spark: SparkSession) -> str:
             "frozen intermediate tables"
         )
     root = tempfile.mkdtemp(prefix="strata-ckpt-")
-    spark.sparkContext.setCheckpointDir(root)
+    try:
+        spark.sparkContext.setCheckpointDir(root)
+    except Exception:
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
