@@ -1,9 +1,13 @@
-"""Declarative standardization rules, each compiled to a single Column.
+"""Declarative standardization rules, each compiled to a single expression.
 
-A rule is data (an ordered list of cases); compiling it yields one
-``CASE WHEN`` expression, so every standardizer stays a JVM-side expression
-inside whole-stage codegen.  First matching case wins; a NULL condition never
-matches; an absent default yields NULL.
+A rule is data (an ordered list of cases).  Compiling it yields one SQL
+``CASE WHEN`` text, turned into a Column with a single ``F.expr`` call: the
+whole rule crosses from Python to the JVM once (instead of one call per
+``when``/``lit``/function node), and the result is an ordinary Catalyst
+expression that stays inside whole-stage codegen.
+
+Semantics: first matching case wins; a NULL condition never matches; an
+absent default yields NULL.  Rule inputs are column names.
 """
 
 from __future__ import annotations
@@ -16,34 +20,62 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def as_col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# ---------------------------------------------------------------- SQL text helpers
+def ident(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_lit(v: Any) -> str:
+    """A Python value as a SQL literal."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, (int, float)):
+        return repr(v)
+    s = str(v).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{s}'"
+
+
+def case_sql(cases: Iterable[tuple[str, Any]], default: Any = None) -> str:
+    """``CASE WHEN c1 THEN v1 ... [ELSE default] END`` from (condition SQL, value) pairs."""
+    parts = [f"WHEN {cond} THEN {sql_lit(value)}" for cond, value in cases]
+    if not parts:
+        return sql_lit(default)
+    tail = f" ELSE {sql_lit(default)}" if default is not None else ""
+    return "CASE " + " ".join(parts) + tail + " END"
+
+
+def upper_sql(x: str) -> str:
+    return f"trim(upper({x}))"
+
 
+def title_sql(x: str) -> str:
+    return f"trim(initcap({x}))"
 
-def _lit(v: Any) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)
+
+# ---------------------------------------------------------------- Column helpers
+def as_col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
 
 
-def norm_upper(c: str | Column) -> Column:
+def norm_upper(c: str) -> Column:
     """``trim(upper(c))``: the key form most rules compare against."""
-    return F.trim(F.upper(as_col(c)))
+    return F.expr(upper_sql(ident(c)))
 
 
-def norm_title(c: str | Column) -> Column:
+def norm_title(c: str) -> Column:
     """``trim(initcap(c))``: words split on spaces only."""
-    return F.trim(F.initcap(as_col(c)))
+    return F.expr(title_sql(ident(c)))
 
 
-def first_match(cases: Iterable[tuple[Column, Any]], default: Any = None) -> Column:
-    """``CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... [ELSE default] END``."""
-    expr: Column | None = None
-    for cond, value in cases:
-        expr = F.when(cond, _lit(value)) if expr is None else expr.when(cond, _lit(value))
-    if expr is None:
-        return _lit(default)
-    return expr if default is None else expr.otherwise(_lit(default))
+def first_match(cases: Iterable[tuple[str, Any]], default: Any = None) -> Column:
+    """One Column for ``CASE WHEN`` over (condition SQL, value) pairs."""
+    return F.expr(case_sql(cases, default))
 
 
+# ---------------------------------------------------------------- rule kinds
 @dataclass(frozen=True)
 class Membership:
     """label <- key in {values}; compared after ``normalize``."""
@@ -52,16 +84,17 @@ class Membership:
     default: Any = None
     normalize: str = "upper"  # "upper" | "title" | "none"
 
-    def key(self, c: str | Column) -> Column:
-        if self.normalize == "upper":
-            return norm_upper(c)
-        if self.normalize == "title":
-            return norm_title(c)
-        return as_col(c)
+    def key_sql(self, x: str) -> str:
+        return {"upper": upper_sql, "title": title_sql}.get(self.normalize, lambda v: v)(x)
 
-    def apply(self, c: str | Column) -> Column:
-        k = self.key(c)
-        return first_match(((k.isin(list(vals)), label) for label, vals in self.groups), self.default)
+    def sql(self, x: str) -> str:
+        k = self.key_sql(x)
+        return case_sql(
+            ((f"{k} IN ({', '.join(sql_lit(v) for v in vals)})", label) for label, vals in self.groups), self.default
+        )
+
+    def apply(self, c: str) -> Column:
+        return F.expr(self.sql(ident(c)))
 
 
 @dataclass(frozen=True)
@@ -71,9 +104,12 @@ class Substring:
     needles: Sequence[tuple[str, str]]
     default: Any = None
 
-    def apply(self, c: str | Column) -> Column:
-        k = norm_upper(c)
-        return first_match(((k.contains(n), label) for n, label in self.needles), self.default)
+    def sql(self, x: str) -> str:
+        k = upper_sql(x)
+        return case_sql(((f"contains({k}, {sql_lit(n)})", label) for n, label in self.needles), self.default)
+
+    def apply(self, c: str) -> Column:
+        return F.expr(self.sql(ident(c)))
 
 
 @dataclass(frozen=True)
@@ -84,8 +120,11 @@ class Flag:
     yes: str = "Yes"
     no: str = "No"
 
-    def apply(self, c: str | Column) -> Column:
-        return Membership(((self.yes, ("YES",)), (self.no, ("NO",))), self.default).apply(c)
+    def sql(self, x: str) -> str:
+        return Membership(((self.yes, ("YES",)), (self.no, ("NO",))), self.default).sql(x)
+
+    def apply(self, c: str) -> Column:
+        return F.expr(self.sql(ident(c)))
 
 
 @dataclass(frozen=True)
@@ -97,39 +136,41 @@ class Ranges:
     cases: Sequence[tuple[float | None, float | None, str]]
     default: Any = None
 
-    def apply(self, c: str | Column) -> Column:
-        x = as_col(c)
+    def sql(self, x: str) -> str:
         compiled = []
         for low, high, label in self.cases:
-            cond = None
-            if low is not None:
-                cond = x >= low
-            if high is not None:
-                cond = (x < high) if cond is None else cond & (x < high)
-            if cond is None:
-                cond = x.isNotNull()
-            compiled.append((cond, label))
-        return first_match(compiled, self.default)
+            terms = ([f"{x} >= {sql_lit(low)}"] if low is not None else []) + (
+                [f"{x} < {sql_lit(high)}"] if high is not None else []
+            )
+            compiled.append((" AND ".join(terms) or f"{x} IS NOT NULL", label))
+        return case_sql(compiled, self.default)
+
+    def apply(self, c: str) -> Column:
+        return F.expr(self.sql(ident(c)))
 
 
 @dataclass(frozen=True)
 class Rule:
-    """An arbitrary ordered case list over several columns (cross-column rules)."""
+    """An arbitrary ordered case list (condition SQL, value) over several columns."""
 
-    cases: Sequence[tuple[Column, Any]] = field(default_factory=tuple)
+    cases: Sequence[tuple[str, Any]] = field(default_factory=tuple)
     default: Any = None
 
+    def sql(self) -> str:
+        return case_sql(self.cases, self.default)
+
     def apply(self) -> Column:
-        return first_match(self.cases, self.default)
+        return F.expr(self.sql())
+
+
+def indicator_sum_sql(cols: Iterable[str], value: str = "Yes") -> str:
+    terms = [f"CASE WHEN {ident(c)} = {sql_lit(value)} THEN 1 ELSE 0 END" for c in cols]
+    return f"CAST({' + '.join(terms) or '0'} AS INT)"
 
 
-def indicator_sum(cols: Iterable[str | Column], value: str = "Yes") -> Column:
+def indicator_sum(cols: Iterable[str], value: str = "Yes") -> Column:
     """Number of columns equal to ``value`` (NULL counts as not equal), as INT."""
-    total = None
-    for c in cols:
-        term = F.when(as_col(c) == value, F.lit(1)).otherwise(F.lit(0))
-        total = term if total is None else total + term
-    return (total if total is not None else F.lit(0)).cast("int")
+    return F.expr(indicator_sum_sql(cols, value))
 
 
 def apply_rules(rules: Mapping[str, tuple[str, Any]]) -> dict[str, Column]:

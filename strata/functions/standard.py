@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import Flag, Membership, Ranges, Rule, Substring, as_col, indicator_sum, norm_upper
+from .rules import Flag, Membership, Ranges, Rule, Substring, ident, indicator_sum, sql_lit, upper_sql
 
 # ---------------------------------------------------------------------------
 # Labels and matching rules of the conformed dimensions.
@@ -106,37 +106,38 @@ SERVICE_TIER_STANDARD = (1, 2)
 INTERNET_TYPES = ("DSL", "Fiber optic")
 
 # ---------------------------------------------------------------------------
-# Column builders
+# Column builders (column names in, one Column out)
 # ---------------------------------------------------------------------------
 
 
-def gender(c: str | Column = "gender") -> Column:
+def gender(c: str = "gender") -> Column:
     return GENDER.apply(c)
 
 
-def marital_status(c: str | Column = "married") -> Column:
+def marital_status(c: str = "married") -> Column:
     return MARITAL_STATUS.apply(c)
 
 
-def customer_status(c: str | Column = "customer_status") -> Column:
+def customer_status(c: str = "customer_status") -> Column:
     return CUSTOMER_STATUS.apply(c)
 
 
-def age_group(c: str | Column = "age") -> Column:
+def age_group(c: str = "age") -> Column:
     return AGE_GROUP.apply(c)
 
 
-def population_density(c: str | Column = "population") -> Column:
+def population_density(c: str = "population") -> Column:
     return POPULATION_DENSITY.apply(c)
 
 
-def service_tier(total: str | Column = "total_services") -> Column:
-    t = as_col(total)
+def service_tier(total: str = "total_services") -> Column:
+    t = ident(total)
     low, high = SERVICE_TIER_STANDARD
-    return Rule(((t == SERVICE_TIER_BASIC, "Basic"), (t.between(low, high), "Standard")), "Premium").apply()
+    return Rule(((f"{t} = {SERVICE_TIER_BASIC}", "Basic"), (f"{t} BETWEEN {low} AND {high}", "Standard")),
+                "Premium").apply()
 
 
-def internet_service(service: str | Column = "internet_service", kind: str | Column = "internet_type",
+def internet_service(service: str = "internet_service", kind: str = "internet_type",
                      prefer_type: bool = False) -> Column:
     """Internet service label from the service flag and the connection type.
 
@@ -144,68 +145,67 @@ def internet_service(service: str | Column = "internet_service", kind: str | Col
     (``prefer_type=False``).  ``prefer_type=True`` gives the documented intent:
     a recognised type wins, then YES/NO.
     """
-    s, k = norm_upper(service), norm_upper(kind)
-    by_type = [(k == "DSL", "DSL"), (k.contains("FIBER"), "Fiber optic")]
-    by_flag = [(s == "YES", "Yes"), (s == "NO", "None")]
+    s, k = upper_sql(ident(service)), upper_sql(ident(kind))
+    by_type = [(f"{k} = 'DSL'", "DSL"), (f"contains({k}, 'FIBER')", "Fiber optic")]
+    by_flag = [(f"{s} = 'YES'", "Yes"), (f"{s} = 'NO'", "None")]
     cases = by_type + by_flag if prefer_type else by_flag + by_type
     return Rule(tuple(cases), "None").apply()
 
 
-def bundle_type(phone: str | Column = "phone_service", internet: str | Column = "internet_service") -> Column:
-    p, i = as_col(phone), as_col(internet)
-    has_net = i.isin(*INTERNET_TYPES)
+def bundle_type(phone: str = "phone_service", internet: str = "internet_service") -> Column:
+    p, i = ident(phone), ident(internet)
+    has_net = f"{i} IN ({', '.join(sql_lit(t) for t in INTERNET_TYPES)})"
     return Rule(
         (
-            ((p == "Yes") & has_net, "Double play"),
-            ((p == "Yes") & (i == "None"), "Single service"),
-            ((p == "No") & has_net, "Single service"),
+            (f"{p} = 'Yes' AND {has_net}", "Double play"),
+            (f"{p} = 'Yes' AND {i} = 'None'", "Single service"),
+            (f"{p} = 'No' AND {has_net}", "Single service"),
         ),
         "No service",
     ).apply()
 
 
-def family_size(marital: str | Column = "marital_status", dependents: str | Column = "number_of_dependents") -> Column:
-    d = as_col(dependents)
-    return F.when(as_col(marital) == "Married", d + 2).otherwise(d + 1)
+def family_size(marital: str = "marital_status", dependents: str = "number_of_dependents") -> Column:
+    d = ident(dependents)
+    return F.expr(f"CASE WHEN {ident(marital)} = 'Married' THEN {d} + 2 ELSE {d} + 1 END")
 
 
 def total_services(cols=ADD_ONS) -> Column:
     return indicator_sum(cols, "Yes")
 
 
-def churn_detail(status: str | Column, detail: Column) -> Column:
+def churn_detail(status: str, detail: str) -> Column:
     """Detail kept only for churned customers (NULL -> n/a); n/a otherwise; '' survives."""
-    return F.when(as_col(status) == "Churned", F.coalesce(detail, F.lit(NOT_AVAILABLE))).otherwise(
-        F.lit(NOT_AVAILABLE)
-    )
+    na = sql_lit(NOT_AVAILABLE)
+    return F.expr(f"CASE WHEN {ident(status)} = 'Churned' THEN coalesce({ident(detail)}, {na}) ELSE {na} END")
 
 
-def title_case(c: str | Column) -> Column:
-    return F.initcap(F.trim(as_col(c)))
+def title_case(c: str) -> Column:
+    return F.expr(f"initcap(trim({ident(c)}))")
 
 
-def zip5(c: str | Column) -> Column:
+def zip5(c: str) -> Column:
     """ZIP as 5 characters: left-padded with zeros; longer input is cut to 5."""
-    return F.lpad(F.trim(as_col(c).cast("string")), 5, "0")
+    return F.expr(f"lpad(trim(CAST({ident(c)} AS STRING)), 5, '0')")
 
 
-def round_coordinate(c: str | Column, digits: int = 4) -> Column:
-    return F.round(as_col(c).try_cast("double"), digits)
+def round_coordinate(c: str, digits: int = 4) -> Column:
+    return F.expr(f"round(try_cast({ident(c)} AS DOUBLE), {int(digits)})")
 
 
-def clean_count(c: str | Column) -> Column:
+def clean_count(c: str) -> Column:
     """Numeric text to INT: strip all but digits and dots; '' -> 0; unparsable or NULL -> NULL.
 
     Parsing goes through DOUBLE (so ``'20000.0'`` is 20000) and truncates; every
     cast is a ``try_cast`` so bad text gives NULL under ANSI mode too.
     """
-    digits = F.regexp_replace(as_col(c), r"[^0-9.]", "")
-    return F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("double").try_cast("int"))
+    digits = f"regexp_replace({ident(c)}, '[^0-9.]', '')"
+    return F.expr(f"CASE WHEN {digits} = '' THEN 0 ELSE try_cast(try_cast({digits} AS DOUBLE) AS INT) END")
 
 
-def quarter_of_year(c: str | Column = "quarter") -> Column:
-    return F.regexp_extract(as_col(c), r"Q(\d)", 1).try_cast("int")
+def quarter_of_year(c: str = "quarter") -> Column:
+    return F.expr(f"try_cast(regexp_extract({ident(c)}, 'Q(\\\\d)', 1) AS INT)")
 
 
-def half_of_year(q: str | Column = "quarter_of_year") -> Column:
-    return F.when(as_col(q) <= 2, "H1").otherwise("H2")
+def half_of_year(q: str = "quarter_of_year") -> Column:
+    return F.expr(f"CASE WHEN {ident(q)} <= 2 THEN 'H1' ELSE 'H2' END")

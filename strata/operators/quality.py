@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rules import ident, sql_lit
+
 
 class DataQualityError(RuntimeError):
     pass
@@ -82,21 +84,22 @@ def profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
     mean and stddev are rounded to ``digits``.
     """
     aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
+    for i, c in enumerate(columns):
+        x, d = ident(c), int(digits)
         aggs += [
-            F.count(c).cast("long").alias(f"{c}__count"),
-            F.round(F.avg(F.col(c)).cast("double"), digits).alias(f"{c}__mean"),
-            F.round(F.stddev_samp(x), digits).alias(f"{c}__stddev"),
-            F.min(x).alias(f"{c}__min"),
-            F.max(x).alias(f"{c}__max"),
+            f"CAST(count({x}) AS BIGINT) AS c{i}_count",
+            f"round(CAST(avg({x}) AS DOUBLE), {d}) AS c{i}_mean",
+            f"round(stddev_samp(CAST({x} AS DOUBLE)), {d}) AS c{i}_stddev",
+            f"CAST(min({x}) AS DOUBLE) AS c{i}_min",
+            f"CAST(max({x}) AS DOUBLE) AS c{i}_max",
         ]
-    wide = df.agg(*aggs)
+    wide = df.agg(*[F.expr(a) for a in aggs])
     stats = ("count", "mean", "stddev", "min", "max")
-    rows = [
-        F.struct(F.lit(c).alias("measure"), *[F.col(f"{c}__{s}").alias(s) for s in stats]) for c in columns
-    ]
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    rows = ", ".join(
+        f"named_struct('measure', {sql_lit(c)}, " + ", ".join(f"'{s}', c{i}_{s}" for s in stats) + ")"
+        for i, c in enumerate(columns)
+    )
+    return wide.selectExpr(f"inline(array({rows}))")
 
 
 def enforce(report: DataFrame, what: str = "data quality") -> None:

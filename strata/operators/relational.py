@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rules import as_col
+from ..functions.rules import ident
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
@@ -47,7 +47,7 @@ class Measure:
 def typed_measures(measures: Sequence[Measure]) -> list[Column]:
     """Columns that cast each source to its declared type; bad or overflowing
     input becomes NULL whether or not ANSI mode is on."""
-    return [F.col(m.source).try_cast(m.sql_type).alias(m.name) for m in measures]
+    return [F.expr(f"try_cast({ident(m.source)} AS {m.sql_type}) AS {ident(m.name)}") for m in measures]
 
 
 def distinct_with_ratio(df: DataFrame) -> DataFrame:

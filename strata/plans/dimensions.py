@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import standard as std
-from ..functions.rules import norm_title
+from ..functions.rules import ident, norm_title
 from ..operators.keys import hash_key_columns, hash_key_joined, period_key, sequential_key
 from ..operators.relational import dedup_by_key
 from .schemas import SILVER
@@ -21,7 +21,9 @@ BUSINESS_YEAR = 2025  # fixed value: year assigned to every source quarter
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the declared columns in declared order, cast to declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SILVER[table].fields])
+    return df.selectExpr(
+        *[f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}" for f in SILVER[table].fields]
+    )
 
 
 # ---------------------------------------------------------------- customer
@@ -152,8 +154,8 @@ def standardize_status(status: DataFrame) -> DataFrame:
     )
     return st.select(
         "customer_status",
-        std.churn_detail("customer_status", F.col("_category")).alias("churn_category"),
-        std.churn_detail("customer_status", F.col("_reason")).alias("churn_reason"),
+        std.churn_detail("customer_status", "_category").alias("churn_category"),
+        std.churn_detail("customer_status", "_reason").alias("churn_reason"),
     )
 
 

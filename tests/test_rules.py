@@ -11,7 +11,7 @@ def one_col(spark, values, typ="string"):
 
 def mapped(spark, values, fn, typ="string"):
     df = one_col(spark, values, typ)
-    return {r[0]: r[1] for r in df.select("x", fn(F.col("x")).alias("y")).collect()}
+    return {r[0]: r[1] for r in df.select("x", fn("x").alias("y")).collect()}
 
 
 def test_gender(spark):
