@@ -44,6 +44,33 @@ _OFFSET = "_sk_offset"
 _ROW_BITS = 33
 
 
+def range_tagged(
+    df: DataFrame,
+    order_by: Sequence[str],
+    *,
+    tiebreak: Sequence[str] | None = None,
+    num_ranges: int | None = None,
+) -> DataFrame:
+    """Steps 1-2 of ``sequential_key``: rows range-partitioned and sorted on the
+    key, tagged with their range id and ``monotonically_increasing_id`` (range
+    id in the high bits, index inside the range in the low bits)."""
+    order_by = list(order_by)
+    if tiebreak is None:
+        tiebreak = [c for c in df.columns if c not in order_by]
+    tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
+    sort_cols = [F.col(c).asc_nulls_first() for c in [*order_by, *tiebreak, _TIE]]
+    if num_ranges:
+        ranged = tagged.repartitionByRange(num_ranges, *sort_cols)
+    else:
+        ranged = tagged.repartitionByRange(*sort_cols)
+    return (
+        ranged.sortWithinPartitions(*sort_cols)
+        .withColumn(_BUCKET, F.spark_partition_id())
+        .withColumn(_POS, F.monotonically_increasing_id())
+        .drop(_TIE)
+    )
+
+
 def sequential_key(
     df: DataFrame,
     order_by: Sequence[str],
@@ -70,21 +97,7 @@ def sequential_key(
     4. key = offset of the range + index inside the range + 1.
     """
     spark = df.sparkSession
-    order_by = list(order_by)
-    if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in order_by]
-    tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
-    sort_cols = [F.col(c).asc_nulls_first() for c in [*order_by, *tiebreak, _TIE]]
-    if num_ranges:
-        ranged = tagged.repartitionByRange(num_ranges, *sort_cols)
-    else:
-        ranged = tagged.repartitionByRange(*sort_cols)
-    ranged = (
-        ranged.sortWithinPartitions(*sort_cols)
-        .withColumn(_BUCKET, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .drop(_TIE)
-    )
+    ranged = range_tagged(df, order_by, tiebreak=tiebreak, num_ranges=num_ranges)
     path = scratch_path(spark, "seqkey")
     ranged.write.mode("overwrite").parquet(path)
     frozen = spark.read.parquet(path)
