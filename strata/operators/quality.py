@@ -111,3 +111,53 @@ def enforce(report: DataFrame, what: str = "data quality") -> None:
     if failed:
         details = "; ".join(", ".join(f"{k}={v}" for k, v in r.asDict().items()) for r in failed)
         raise DataQualityError(f"{what} failed: {details}")
+
+
+def referential_integrity(
+    checks: Mapping[str, tuple[DataFrame, str, DataFrame, str]],
+) -> DataFrame:
+    """Orphan report: ``(check_name, checked_rows, orphan_rows, passed)``.
+
+    Each check is ``(child, child_key, parent, parent_key)``; a child row with a
+    non-NULL key that matches no parent key is an orphan (NULL keys are not
+    checked).  Child keys are counted per key first (partial aggregation: a hot
+    key is one row per task before it moves), parent keys are distinct, and the
+    left join that marks orphans runs on key counts, not rows.
+    """
+    parts = []
+    for name, (child, ckey, parent, pkey) in checks.items():
+        per_key = child.filter(F.col(ckey).isNotNull()).groupBy(F.col(ckey).alias("_k")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        parents = parent.select(F.col(pkey).alias("_k")).distinct().withColumn("_p", F.lit(True))
+        report = per_key.join(parents, "_k", "left").agg(
+            F.sum("_n").alias("_c"), F.sum(F.when(F.col("_p").isNull(), F.col("_n")).otherwise(0)).alias("_o")
+        )
+        parts.append(
+            report.select(
+                F.lit(name).alias("check_name"),
+                F.coalesce(F.col("_c"), F.lit(0)).cast("long").alias("checked_rows"),
+                F.coalesce(F.col("_o"), F.lit(0)).cast("long").alias("orphan_rows"),
+            )
+        )
+    return _union_all(parts).withColumn("passed", F.col("orphan_rows") == 0)
+
+
+def type_consistency(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
+    """``(column_name, expected_type, non_null_values, unparsable_values)`` for text
+    columns checked against the type they are expected to hold: a value is
+    unparsable when it is not NULL but ``try_cast`` to the type gives NULL.
+    One aggregate pass over all columns."""
+    aggs = []
+    for i, (c, t) in enumerate(expected.items()):
+        x = ident(c)
+        aggs += [
+            f"CAST(count({x}) AS BIGINT) AS n{i}",
+            f"CAST(count_if({x} IS NOT NULL AND try_cast({x} AS {t}) IS NULL) AS BIGINT) AS u{i}",
+        ]
+    wide = df.agg(*[F.expr(a) for a in aggs])
+    rows = ", ".join(
+        f"named_struct('column_name', {sql_lit(c)}, 'expected_type', {sql_lit(t)}, "
+        f"'non_null_values', n{i}, 'unparsable_values', u{i})"
+        for i, (c, t) in enumerate(expected.items())
+    )
+    return wide.selectExpr(f"inline(array({rows}))")

@@ -368,6 +368,42 @@ DQ_KEY_UNIQUE = with_(
            f"FROM silver_{t}" for t in ("dim_service_package", "dim_churn_status", "dim_promotion")]),
 )
 
+def _orphans(name: str, child: str, parent: str) -> str:
+    return (
+        f"SELECT '{name}' AS check_name, CAST(count(*) AS BIGINT) AS checked_rows, "
+        f"CAST(count(*) FILTER (WHERE p.k IS NULL) AS BIGINT) AS orphan_rows, count(*) FILTER (WHERE p.k IS NULL) = 0 AS passed "
+        f"FROM (SELECT k FROM ({child}) c0 WHERE k IS NOT NULL) c LEFT JOIN (SELECT DISTINCT k FROM ({parent}) p0) p ON c.k = p.k"
+    )
+
+
+DQ_REFERENTIAL_INTEGRITY = with_(
+    raw("demographics", "status", "services") + [CLEAN_DEMOGRAPHICS] + raw("location") + [CLEAN_LOCATION_ROWS]
+    + raw("population"),
+    union([
+        _orphans("status_customer", "SELECT trim(customer_id) AS k FROM raw_status", "SELECT customer_id AS k FROM clean_demographics"),
+        _orphans("services_customer", "SELECT trim(customer_id) AS k FROM raw_services", "SELECT customer_id AS k FROM clean_demographics"),
+        _orphans("location_zip", "SELECT zip_code AS k FROM clean_location_rows",
+                 "SELECT lpad(trim(CAST(zip_code AS VARCHAR)), 5, '0') AS k FROM raw_population"),
+    ]),
+)
+
+
+def _unparsable_int(x: str) -> str:
+    # try_cast(text AS INT): optional sign and digits only (after trimming), within INT range
+    return (f"count(*) FILTER (WHERE {x} IS NOT NULL AND NOT coalesce(regexp_full_match(trim({x}), '[+-]?[0-9]+') "
+            f"AND TRY_CAST(trim({x}) AS INTEGER) IS NOT NULL, false))")
+
+
+DQ_TYPE_CONSISTENCY = with_(
+    raw("population"),
+    union([
+        f"SELECT '{c}' AS column_name, 'int' AS expected_type, CAST(count(v) AS BIGINT) AS non_null_values, "
+        f"CAST({_unparsable_int('v')} AS BIGINT) AS unparsable_values "
+        f"FROM (SELECT NULLIF(CAST({c} AS VARCHAR), '') AS v FROM raw_population) t"
+        for c in ("id", "zip_code", "population")
+    ]),
+)
+
 PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
 PROFILE_MEASURES = with_(
     _FACTS,
@@ -497,6 +533,8 @@ ORACLES: dict[str, str] = {
     "dq_null_counts": DQ_NULL_COUNTS,
     "dq_location_null_keys": DQ_LOCATION_NULL_KEYS,
     "dq_key_unique": DQ_KEY_UNIQUE,
+    "dq_referential_integrity": DQ_REFERENTIAL_INTEGRITY,
+    "dq_type_consistency": DQ_TYPE_CONSISTENCY,
     "profile_measures": PROFILE_MEASURES,
     "layer_row_counts": LAYER_ROW_COUNTS,
     "bronze_lineage_columns": BRONZE_LINEAGE_COLUMNS,

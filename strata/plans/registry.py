@@ -265,6 +265,26 @@ def q_dq_key_unique(spark, sf):
     )
 
 
+def q_dq_referential_integrity(spark, sf):
+    d, st, sv, loc, pop = _raw(spark, sf, "demographics", "status", "services", "location", "population")
+    customers = d.select(F.trim("customer_id").alias("customer_id"))
+    return quality.referential_integrity(
+        {
+            "status_customer": (st.select(F.trim("customer_id").alias("k")), "k", customers, "customer_id"),
+            "services_customer": (sv.select(F.trim("customer_id").alias("k")), "k", customers, "customer_id"),
+            "location_zip": (dims.clean_location(loc), "zip_code", dims.parse_population(pop), "zip_code"),
+        }
+    )
+
+
+def q_dq_type_consistency(spark, sf):
+    (p,) = _raw(spark, sf, "population")
+    src = scratch_path(spark, "sources")
+    ingest.stage_delimited(p, f"{src}/{POPULATION_FILE}")
+    text = ingest.read_delimited(spark, f"{src}/{POPULATION_FILE}")  # every column as text
+    return quality.type_consistency(text, {"id": "int", "zip_code": "int", "population": "int"})
+
+
 PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
 
 
@@ -434,6 +454,8 @@ QUERIES: dict[str, Query] = {
     "dq_null_counts": q_dq_null_counts,
     "dq_location_null_keys": q_dq_location_null_keys,
     "dq_key_unique": q_dq_key_unique,
+    "dq_referential_integrity": q_dq_referential_integrity,
+    "dq_type_consistency": q_dq_type_consistency,
     "profile_measures": q_profile_measures,
     "layer_row_counts": q_layer_row_counts,
     # bronze, catalog, flows

@@ -96,3 +96,20 @@ def test_facts_hot_customer_split_equals_plain(spark):
     assert split.count() == plain.count() == 300 * 200 + sum(
         1 for i in range(900) for j in range(600) if i % 3 and j % 3 and i % 97 == j % 97)
     assert rows(split) == rows(plain)
+
+
+def test_referential_integrity_counts_orphans_not_null_keys(spark):
+    parent = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
+    # a hot orphan key ('z') holds a third of the child rows
+    child = spark.createDataFrame([("a",), ("z",), (None,), ("b",), ("z",), ("z",)] * 2, "c string")
+    r = quality.referential_integrity({"c_to_k": (child, "c", parent, "k")}).first()
+    assert (r.check_name, r.checked_rows, r.orphan_rows, r.passed) == ("c_to_k", 10, 6, False)
+    ok = quality.referential_integrity({"ok": (parent, "k", parent, "k")}).first()
+    assert (ok.checked_rows, ok.orphan_rows, ok.passed) == (3, 0, True)
+
+
+def test_type_consistency(spark):
+    df = spark.createDataFrame([("1", "2.5"), (" 7 ", "x"), (None, "20000.0"), ("9999999999", None)], "a string, b string")
+    got = {r.column_name: (r.non_null_values, r.unparsable_values)
+           for r in quality.type_consistency(df, {"a": "int", "b": "double"}).collect()}
+    assert got == {"a": (3, 1), "b": (3, 1)}
