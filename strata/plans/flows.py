@@ -44,10 +44,18 @@ class WarehouseConfig:
     silver_base: str  # silver table root: {silver_base}/{table}
     bronze_db: str = "bronze_telco"
     silver_db: str = "silver_telco"
+    # database folders (managed tables such as the audit table live there);
+    # None = the session's warehouse folder
+    bronze_db_location: str | None = None
+    silver_db_location: str | None = None
     sources: tuple = ingest.DEFAULT_SOURCES
     min_rows: Mapping[str, int] = field(default_factory=lambda: dict(MIN_ROWS))
     business_year: int = dims.BUSINESS_YEAR
     facts_join_on: tuple = ("customer_id",)
+    # explicit hot-customer split for the fact join (None: adaptive skew join only)
+    facts_hot_key_fraction: float | None = None
+    # rebalance unsplittable source files before writing them (see ingest.ingest_file)
+    rebalance_sources: bool = False
     audit_table: str | None = None  # e.g. "silver_telco.load_audit"
     # independent tables/files are submitted from this many driver threads, so
     # small jobs fill the slots big ones leave idle (the scheduler interleaves them)
@@ -72,18 +80,18 @@ def _audit_rows(spark: SparkSession, run_id: str, layer: str, counts: Mapping[st
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
-def record_audit(spark: SparkSession, audit: DataFrame, table: str | None) -> None:
+def record_audit(spark: SparkSession, audit: DataFrame, table: str | None, db_location: str | None = None) -> None:
     """O3: append the run's rows to the audit table (created on first use)."""
     if table:
         if "." in table:
-            catalog.create_database(spark, table.rsplit(".", 1)[0])
+            catalog.create_database(spark, table.rsplit(".", 1)[0], db_location)
         audit.write.mode("append").format("parquet").saveAsTable(table)
 
 
 # ---------------------------------------------------------------- bronze
 def create_bronze_tables(spark: SparkSession, cfg: WarehouseConfig) -> None:
     """Database plus one declared external table per source file."""
-    catalog.create_database(spark, cfg.bronze_db)
+    catalog.create_database(spark, cfg.bronze_db, cfg.bronze_db_location)
     for s in cfg.sources:
         name = f"{cfg.bronze_db}.{s.table}"
         catalog.create_table(spark, name, BRONZE[s.table], ingest.bronze_path(cfg.bronze_base, s.table))
@@ -102,7 +110,8 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
     run_id = run_id or uuid.uuid4().hex
     create_bronze_tables(spark, cfg)
     tasks = {
-        s.table: (lambda s=s: ingest.ingest_file(spark, cfg.source_dir, s, cfg.bronze_base, bronze_file_schema(s.table)))
+        s.table: (lambda s=s: ingest.ingest_file(spark, cfg.source_dir, s, cfg.bronze_base, bronze_file_schema(s.table),
+                                                 rebalance=cfg.rebalance_sources))
         for s in cfg.sources
     }
     results = _run_all(tasks, cfg.parallel_jobs)
@@ -111,7 +120,7 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
     counts = {t: r.rows for t, r in results.items()}
     failed = {t for t, n in counts.items() if n < cfg.min_rows.get(t, 0)}
     audit = _audit_rows(spark, run_id, "bronze", counts, "failed" if failed else "success")
-    record_audit(spark, audit, cfg.audit_table)
+    record_audit(spark, audit, cfg.audit_table, cfg.silver_db_location)
     if enforce:
         quality.enforce(quality.min_rows(bronze_tables(spark, cfg), cfg.min_rows), "bronze minimum rows")
     return audit
@@ -127,13 +136,14 @@ def silver_builders(cfg: WarehouseConfig) -> dict[str, Callable[[Mapping[str, Da
         "dim_churn_status": lambda b: dims.dim_churn_status(b["status"]),
         "dim_quarter": lambda b: dims.dim_quarter(b["status"], cfg.business_year),
         "dim_promotion": lambda b: dims.dim_promotion(b["services"]),
-        "facts_base": lambda b: facts.facts_base(b["status"], b["services"], cfg.facts_join_on),
+        "facts_base": lambda b: facts.facts_base(b["status"], b["services"], cfg.facts_join_on,
+                                                 cfg.facts_hot_key_fraction),
     }
 
 
 def create_silver_tables(spark: SparkSession, cfg: WarehouseConfig) -> None:
     """Database plus the seven declared tables with their comments."""
-    catalog.create_database(spark, cfg.silver_db)
+    catalog.create_database(spark, cfg.silver_db, cfg.silver_db_location)
     for t, schema in SILVER.items():
         catalog.create_table(spark, f"{cfg.silver_db}.{t}", schema, f"{cfg.silver_base.rstrip('/')}/{t}", SILVER_COMMENTS[t])
 
@@ -157,7 +167,7 @@ def run_silver(
     counts = _run_all(tasks, cfg.parallel_jobs)
     empty = [t for t, n in counts.items() if n == 0]
     audit = _audit_rows(spark, run_id, "silver", counts, "failed" if empty else "success")
-    record_audit(spark, audit, cfg.audit_table)
+    record_audit(spark, audit, cfg.audit_table, cfg.silver_db_location)
     if enforce:
         written = {t: spark.table(f"{cfg.silver_db}.{t}") for t in SILVER}
         quality.enforce(quality.non_empty(written), "silver non-empty")

@@ -317,6 +317,8 @@ def _config(spark, sf, stage: bool = True) -> flows.WarehouseConfig:
         silver_base=f"{root}/silver",
         bronze_db=f"bronze_{tag}",
         silver_db=f"silver_{tag}",
+        bronze_db_location=f"{root}/bronze_db",
+        silver_db_location=f"{root}/silver_db",
         audit_table=f"silver_{tag}.load_audit",
     )
 
@@ -354,7 +356,9 @@ def q_catalog_tables(spark, sf):
     cfg = _config(spark, sf)
     flows.run_bronze(spark, cfg, enforce=False)
     info = catalog.table_info(spark, cfg.bronze_db)
-    counts = quality.row_counts({name: spark.table(f"{cfg.bronze_db}.{name}") for name, _, _ in info})
+    with catalog.current_database(spark, cfg.bronze_db):  # unqualified names resolve in the bronze database
+        tables = {name: spark.table(name) for name, _, _ in info}
+    counts = quality.row_counts(tables)
     kinds = spark.createDataFrame([(n, k) for n, k, _ in info], "table_name string, table_type string")
     return counts.join(F.broadcast(kinds), "table_name").select("table_name", "table_type", "row_count")
 
@@ -385,7 +389,7 @@ def q_catalog_data_dictionary(spark, sf):
 
 def q_silver_write_keeps_schema(spark, sf):
     cfg = _config(spark, sf, stage=False)
-    catalog.create_database(spark, cfg.silver_db)
+    catalog.create_database(spark, cfg.silver_db, cfg.silver_db_location)
     name = f"{cfg.silver_db}.dim_customer"
     catalog.create_table(spark, name, SILVER["dim_customer"], f"{cfg.silver_base}/dim_customer")
     (d,) = _raw(spark, sf, "demographics")

@@ -25,7 +25,8 @@ def local_session(
     driver_memory: str = "8g",
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A local session tuned like the cluster one: AQE on, UI off, UTC."""
+    """A local session tuned like the cluster one: AQE on, UI off, UTC.  Its
+    warehouse folder is a fresh temporary folder, not the working directory."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -38,6 +39,7 @@ def local_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="strata-warehouse-"))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)

@@ -6,6 +6,8 @@ idempotent: creating what exists is a no-op, like ``IF NOT EXISTS``.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -19,10 +21,21 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
 
 
 def use_database(spark: SparkSession, name: str) -> None:
-    """S11."""
+    """Unqualified table names resolve in ``name`` from now on."""
     spark.catalog.setCurrentDatabase(name)
 
 
+@contextmanager
+def current_database(spark: SparkSession, name: str):
+    """S11 for a block: switch, then restore the caller's current database."""
+    previous = spark.catalog.currentDatabase()
+    use_database(spark, name)
+    try:
+        yield
+    finally:
+        use_database(spark, previous)
+
+
 def create_table(
     spark: SparkSession,
     name: str,

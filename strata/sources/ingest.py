@@ -101,9 +101,18 @@ def ingest_file(
     target_base: str,
     schema: T.StructType | None = None,
     infer_schema: bool = False,
+    rebalance: bool = False,
 ) -> IngestResult:
-    """S1+S2+S3 for one file: read, add lineage, write Parquet, count in the same job."""
+    """S1+S2+S3 for one file: read, add lineage, write Parquet, count in the same job.
+
+    ``rebalance=True`` adds a rebalancing shuffle before the write (adaptive
+    execution splits oversized partitions and merges tiny ones): for sources
+    that cannot be split on read (e.g. one large gzip file) so that encoding and
+    writing do not run in a single task.  Splittable sources need no shuffle.
+    """
     df = read_delimited(spark, f"{source_dir.rstrip('/')}/{source.file}", schema, infer_schema=infer_schema)
+    if rebalance:
+        df = df.hint("rebalance")
     target = bronze_path(target_base, source.table)
     rows = write_counted(with_lineage(df, source.file), target, source.table)
     return IngestResult(source.table, source.file, target, rows)

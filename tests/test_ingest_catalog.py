@@ -108,3 +108,21 @@ def test_ansi_mode_does_not_change_results(spark, ansi):
         assert got == [None, 0, None, 125]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_ingest_rebalance_keeps_rows(spark):
+    src = scratch_path(spark, "src")
+    write_text(f"{src}/Telco_customer_churn_population.csv/part-0.csv",
+               "id,zip_code,population\n" + "".join(f"{i},{i},{i}\n" for i in range(500)))
+    target = scratch_path(spark, "bronze")
+    res = ingest.ingest_file(spark, src, ingest.SourceFile("Telco_customer_churn_population.csv", "population"),
+                             target, bronze_file_schema("population"), rebalance=True)
+    assert res.rows == 500 and spark.read.parquet(res.path).count() == 500
+
+
+def test_current_database_is_restored(spark):
+    before = spark.catalog.currentDatabase()
+    catalog.create_database(spark, "t_switch_db")
+    with catalog.current_database(spark, "t_switch_db"):
+        assert spark.catalog.currentDatabase() == "t_switch_db"
+    assert spark.catalog.currentDatabase() == before
