@@ -78,6 +78,7 @@ def sequential_key(
     *,
     tiebreak: Sequence[str] | None = None,
     num_ranges: int | None = None,
+    freeze_input: bool = False,
 ) -> DataFrame:
     """Append ``key_name`` BIGINT = position of the row in ``order_by`` order (ASC,
     NULLS FIRST), numbered ``1..n`` with no gaps.
@@ -95,8 +96,18 @@ def sequential_key(
        starting offsets with a running sum - a table whose size is bounded by the
        number of ranges, hence safe to broadcast;
     4. key = offset of the range + index inside the range + 1.
+
+    Rows that are identical in every column are ordered by scan position, which
+    is reproducible when ``df`` is read from files.  If ``df`` comes out of a
+    shuffle and may hold many fully identical rows, ``freeze_input=True`` writes
+    it to the checkpoint folder first, so a recomputed task after an executor
+    loss cannot move one of them across a range boundary.
     """
     spark = df.sparkSession
+    if freeze_input:
+        source = scratch_path(spark, "seqkey-input")
+        df.write.mode("overwrite").parquet(source)
+        df = spark.read.parquet(source)
     ranged = range_tagged(df, order_by, tiebreak=tiebreak, num_ranges=num_ranges)
     path = scratch_path(spark, "seqkey")
     ranged.write.mode("overwrite").parquet(path)

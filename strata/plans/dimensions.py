@@ -145,14 +145,16 @@ def dim_service_package(services: DataFrame, prefer_internet_type: bool = False)
 
 
 # ---------------------------------------------------------------- churn status
-def standardize_status(status: DataFrame) -> DataFrame:
-    """Status attributes per row."""
+def standardize_status(status: DataFrame, keep=()) -> DataFrame:
+    """Status attributes per row (C2b, C7); ``keep`` carries source columns through."""
     st = status.select(
+        *keep,
         std.customer_status("customer_status").alias("customer_status"),
         norm_title("churn_category").alias("_category"),
         F.trim("churn_reason").alias("_reason"),
     )
     return st.select(
+        *keep,
         "customer_status",
         std.churn_detail("customer_status", "_category").alias("churn_category"),
         std.churn_detail("customer_status", "_reason").alias("churn_reason"),

@@ -7,8 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import standard as std
 from ..operators.joins import equi_join
+from ..operators.keys import hash_key_columns, hash_key_joined, period_key
 from ..operators.relational import Measure, typed_measures
+from . import dimensions as dims
+from .dimensions import BUSINESS_YEAR
 from .schemas import SILVER
 
 # Measure name, source column, declared type.
@@ -76,3 +80,51 @@ def facts_base(
 
 def facts_base_grain_safe(status: DataFrame, services: DataFrame, hot_key_fraction: float | None = None) -> DataFrame:
     return facts_base(status, services, ("customer_id", "quarter"), hot_key_fraction)
+
+
+KEYS = ("customer_key", "quarter_key", "service_package_key", "promotion_key", "churn_status_key")
+
+
+def facts_keyed(
+    status: DataFrame,
+    services: DataFrame,
+    dim_customer: DataFrame,
+    join_on: Sequence[str] = ("customer_id", "quarter"),
+    business_year: int = BUSINESS_YEAR,
+) -> DataFrame:
+    """Base facts with the star-schema keys of their dimensions attached.
+
+    The hash keys (package, promotion, churn status) and the period key are
+    pure functions of a row's standardized attributes, so they are recomputed
+    on each input side before the fact join - no lookup join at all.  Only the
+    sequential customer key is looked up: a left join on the trimmed customer
+    id (NULL when the customer has no dimension row); its strategy is left to
+    the planner's size checks (broadcast only when the dimension measures small).
+    """
+    join_on = list(join_on)
+    by_name = {m.name: m for m in MEASURES}
+    status_std = dims.standardize_status(status, keep=("customer_id", "quarter", *STATUS_MEASURES))
+    left = status_std.select(
+        *[F.col(k).alias(f"_l_{k}") for k in join_on],
+        F.trim("customer_id").alias("customer_id"),
+        F.trim("quarter").alias("quarter"),
+        *typed_measures([by_name[n] for n in STATUS_MEASURES]),
+        period_key(F.lit(business_year), std.quarter_of_year("quarter")).alias("quarter_key"),
+        hash_key_columns(dims.CHURN_ATTRIBUTES).alias("churn_status_key"),
+    )
+    service_measures = [m for m in MEASURES if m.name not in STATUS_MEASURES]
+    packages = dims.standardize_services(services, keep=(*join_on, *(m.source for m in service_measures),
+                                                          "offer", "referred_a_friend"))
+    promos = packages.withColumns(
+        {"_offer": std.OFFER.apply("offer"), "_referred": std.REFERRED_A_FRIEND.apply("referred_a_friend")}
+    )
+    right = promos.select(
+        *[F.col(k).alias(f"_r_{k}") for k in join_on],
+        *typed_measures(service_measures),
+        hash_key_joined(dims.SERVICE_ATTRIBUTES).alias("service_package_key"),
+        hash_key_joined(["_offer", "_referred"]).alias("promotion_key"),
+    )
+    joined = equi_join(left, right, [(f"_l_{k}", f"_r_{k}") for k in join_on], how="inner", strategy="merge")
+    customers = dim_customer.select(F.col("customer_id").alias("_c_customer_id"), "customer_key")
+    keyed = joined.join(customers, joined["customer_id"] == customers["_c_customer_id"], "left")
+    return keyed.select(*KEYS, *[f.name for f in SILVER["facts_base"].fields])

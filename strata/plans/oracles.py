@@ -497,6 +497,71 @@ def _data_dictionary() -> str:
 CATALOG_DATA_DICTIONARY = _data_dictionary()
 
 
+# ---------------------------------------------------------------- keyed facts
+QUARTER_KEY = "CAST(2025 * 100 + TRY_CAST(regexp_extract(s.\"quarter\", 'Q(\\d)', 1) AS INTEGER) AS INTEGER)"
+
+FACTS_KEYED_CTE = (
+    f"facts_k AS (SELECT {FACT_SELECT}, {QUARTER_KEY} AS quarter_key\n  FROM raw_status s JOIN raw_services v "
+    "ON s.customer_id = v.customer_id AND s.quarter = v.quarter)"
+)
+FACTS_KEYED = with_(
+    raw("status", "services", "demographics") + [CLEAN_DEMOGRAPHICS, FACTS_KEYED_CTE,
+                                                 f"silver_dim_customer AS ({DIM_CUSTOMER_BODY})"],
+    "SELECT c.customer_key, f.* FROM facts_k f LEFT JOIN silver_dim_customer c ON f.customer_id = c.customer_id",
+)
+
+# every services / status row with its standardized attributes (prefixed), so a
+# fact row can be matched to its dimension row on attributes
+_PKG_FULL = ", ".join(
+    [f"{flag('phone_service', 'n/a')} AS pk_phone_service", f"{flag('multiple_lines', 'No phone service')} AS pk_multiple_lines",
+     f"{INTERNET} AS pk_internet_service"]
+    + [f"{flag(src, 'Not applicable')} AS pk_{out}" for out, src in ADD_ONS]
+    + [f"{CONTRACT} AS pk_contract", f"{PAYMENT} AS pk_payment_method",
+       f"{OFFER} AS pr_offer", f"{flag('referred_a_friend', 'No')} AS pr_referred_a_friend"]
+)
+SERVICES_FULL = f"services_full AS (SELECT *, {_PKG_FULL} FROM raw_services)"
+STATUS_FULL = f"""status_full AS (
+  SELECT *, CASE WHEN st_customer_status = 'Churned' THEN coalesce(cat, 'n/a') ELSE 'n/a' END AS st_churn_category,
+    CASE WHEN st_customer_status = 'Churned' THEN coalesce(reason, 'n/a') ELSE 'n/a' END AS st_churn_reason
+  FROM (SELECT *,
+      CASE WHEN trim({initcap('customer_status')}) IN ('Churned', 'Churn') THEN 'Churned'
+           WHEN trim({initcap('customer_status')}) IN ('Stayed', 'Stay', 'Active', 'Retained') THEN 'Active'
+           WHEN trim({initcap('customer_status')}) IN ('Joined', 'New') THEN 'New' ELSE 'n/a' END AS st_customer_status,
+      trim({initcap('churn_category')}) AS cat, trim(churn_reason) AS reason
+    FROM raw_status) x)"""
+FK_ROWS = (
+    f"fk AS (SELECT trim(s.customer_id) AS customer_id, {QUARTER_KEY} AS quarter_key, s.st_customer_status, "
+    "s.st_churn_category, s.st_churn_reason, " + ", ".join(f"v.pk_{a}" for a in PACKAGE_ATTRS)
+    + ", v.pr_offer, v.pr_referred_a_friend FROM status_full s JOIN services_full v "
+    "ON s.customer_id = v.customer_id AND s.quarter = v.quarter)"
+)
+
+
+def _fk_check(name: str, join: str, present: str, key_not_null: str = "TRUE") -> str:
+    return (
+        f"SELECT '{name}' AS check_name, CAST(count(*) AS BIGINT) AS checked_rows, "
+        f"CAST(count(*) FILTER (WHERE {present} IS NULL) AS BIGINT) AS orphan_rows, "
+        f"count(*) FILTER (WHERE {present} IS NULL) = 0 AS passed FROM (SELECT * FROM fk WHERE {key_not_null}) f {join}"
+    )
+
+
+DQ_FACT_DIMENSION_KEYS = with_(
+    ALL_CTES + [SERVICES_FULL, STATUS_FULL, FK_ROWS],
+    union([
+        # the customer key comes from the dimension itself: only rows that found one carry a key
+        _fk_check("customer_key", "JOIN silver_dim_customer d ON f.customer_id = d.customer_id", "d.customer_key"),
+        _fk_check("quarter_key", "LEFT JOIN silver_dim_quarter d ON f.quarter_key = d.quarter_key", "d.quarter_key",
+                  "quarter_key IS NOT NULL"),
+        _fk_check("service_package_key", "LEFT JOIN silver_dim_service_package d ON "
+                  + " AND ".join(f"f.pk_{a} = d.{a}" for a in PACKAGE_ATTRS), "d.phone_service"),
+        _fk_check("promotion_key", "LEFT JOIN silver_dim_promotion d ON f.pr_offer = d.offer "
+                  "AND f.pr_referred_a_friend = d.referred_a_friend", "d.offer"),
+        _fk_check("churn_status_key", "LEFT JOIN silver_dim_churn_status d ON f.st_customer_status = d.customer_status "
+                  "AND f.st_churn_category = d.churn_category AND f.st_churn_reason = d.churn_reason", "d.customer_status"),
+    ]),
+)
+
+
 ORACLES: dict[str, str] = {
     "dim_customer": DIM_CUSTOMER,
     "dim_location": DIM_LOCATION,
@@ -506,6 +571,7 @@ ORACLES: dict[str, str] = {
     "dim_quarter": DIM_QUARTER,
     "facts_base": FACTS_BASE,
     "facts_base_grain_safe": FACTS_BASE_GRAIN_SAFE,
+    "facts_keyed": FACTS_KEYED,
     "standardize_flags": STANDARDIZE_FLAGS,
     "standardize_membership": STANDARDIZE_MEMBERSHIP,
     "standardize_substring": STANDARDIZE_SUBSTRING,
@@ -535,6 +601,7 @@ ORACLES: dict[str, str] = {
     "dq_key_unique": DQ_KEY_UNIQUE,
     "dq_referential_integrity": DQ_REFERENTIAL_INTEGRITY,
     "dq_type_consistency": DQ_TYPE_CONSISTENCY,
+    "dq_fact_dimension_keys": DQ_FACT_DIMENSION_KEYS,
     "profile_measures": PROFILE_MEASURES,
     "layer_row_counts": LAYER_ROW_COUNTS,
     "bronze_lineage_columns": BRONZE_LINEAGE_COLUMNS,

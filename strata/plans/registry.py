@@ -79,6 +79,31 @@ def q_facts_base_grain_safe(spark, sf):
     return facts.facts_base_grain_safe(st, sv)
 
 
+def _facts_keyed(spark, sf):
+    d, st, sv = _raw(spark, sf, "demographics", "status", "services")
+    return facts.facts_keyed(st, sv, dims.dim_customer(d))
+
+
+def q_facts_keyed(spark, sf):
+    # hash keys have no DuckDB twin: compared via dq_fact_dimension_keys instead
+    return _facts_keyed(spark, sf).drop("service_package_key", "promotion_key", "churn_status_key")
+
+
+def q_dq_fact_dimension_keys(spark, sf):
+    path = scratch_path(spark, "facts-keyed")
+    ingest.write_parquet(_facts_keyed(spark, sf), path)  # the fact table is written, then checked
+    fk = spark.read.parquet(path)
+    d, st, sv = _raw(spark, sf, "demographics", "status", "services")
+    dimensions = {
+        "customer_key": dims.dim_customer(d),
+        "quarter_key": dims.dim_quarter(st),
+        "service_package_key": dims.dim_service_package(sv),
+        "promotion_key": dims.dim_promotion(sv),
+        "churn_status_key": dims.dim_churn_status(st),
+    }
+    return quality.referential_integrity({k: (fk, k, dim, k) for k, dim in dimensions.items()})
+
+
 # ================================================================ rules
 def q_standardize_flags(spark, sf):
     (s,) = _raw(spark, sf, "services")
@@ -425,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "dim_quarter": q_dim_quarter,
     "facts_base": q_facts_base,
     "facts_base_grain_safe": q_facts_base_grain_safe,
+    "facts_keyed": q_facts_keyed,
     # rules
     "standardize_flags": q_standardize_flags,
     "standardize_membership": q_standardize_membership,
@@ -460,6 +486,7 @@ QUERIES: dict[str, Query] = {
     "dq_key_unique": q_dq_key_unique,
     "dq_referential_integrity": q_dq_referential_integrity,
     "dq_type_consistency": q_dq_type_consistency,
+    "dq_fact_dimension_keys": q_dq_fact_dimension_keys,
     "profile_measures": q_profile_measures,
     "layer_row_counts": q_layer_row_counts,
     # bronze, catalog, flows

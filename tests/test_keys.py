@@ -79,3 +79,10 @@ def test_hash_key_stable_across_partitioning(spark):
 def test_period_key(spark):
     df = spark.createDataFrame([(2025, 3), (2025, None)], "y int, q int")
     assert [r[0] for r in df.select(period_key("y", "q")).collect()] == [202503, None]
+
+
+def test_sequential_key_with_identical_rows_and_frozen_input(spark):
+    df = spark.range(0, 4000).selectExpr("CASE WHEN id % 2 = 0 THEN 'same' ELSE CAST(id AS STRING) END AS k")
+    out = sequential_key(df.repartition(5), ["k"], "sk", num_ranges=6, freeze_input=True)
+    assert sorted(r[0] for r in out.select("sk").collect()) == list(range(1, 4001))
+    assert out.filter("k = 'same'").agg({"sk": "max"}).first()[0] == 4000  # 'same' sorts after the digits
