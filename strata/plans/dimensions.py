@@ -14,6 +14,7 @@ from ..functions import standard as std
 from ..functions.rules import ident, norm_title
 from ..operators.keys import hash_key_columns, hash_key_joined, period_key, sequential_key
 from ..operators.relational import dedup_by_key
+from ..operators.scd import scd1_upsert
 from .schemas import SILVER
 
 BUSINESS_YEAR = 2025  # fixed value: year assigned to every source quarter
@@ -105,6 +106,16 @@ def dim_location(location: DataFrame, population: DataFrame) -> DataFrame:
     return conform(keyed, "dim_location")
 
 
+def dim_location_scd1(current: DataFrame, location: DataFrame, population: DataFrame) -> DataFrame:
+    """The location dimension maintained as SCD type 1: today's build updates
+    the attributes of known ZIPs in place (their keys stay), new ZIPs get new keys."""
+    incoming = location_with_population(location, population).withColumn(
+        "population_density", std.population_density("population")
+    )
+    merged = scd1_upsert(current, incoming, ["zip_code"], "location_key")
+    return conform(merged, "dim_location")
+
+
 # ---------------------------------------------------------------- service package
 SERVICE_ATTRIBUTES = (
     "phone_service",

@@ -565,6 +565,7 @@ DQ_FACT_DIMENSION_KEYS = with_(
 ORACLES: dict[str, str] = {
     "dim_customer": DIM_CUSTOMER,
     "dim_location": DIM_LOCATION,
+    "dim_location_scd1": DIM_LOCATION,
     "dim_service_package": DIM_SERVICE_PACKAGE,
     "dim_churn_status": DIM_CHURN_STATUS,
     "dim_promotion": DIM_PROMOTION,

@@ -49,6 +49,16 @@ def q_dim_location(spark, sf):
     return dims.dim_location(loc, pop)
 
 
+def q_dim_location_scd1(spark, sf):
+    """Yesterday's dimension has every population unknown; today's build fills
+    them in place: same keys, updated attributes."""
+    loc, pop = _raw(spark, sf, "location", "population")
+    stale = dims.dim_location(loc, pop).withColumns(
+        {"population": F.lit(None).cast("int"), "population_density": F.lit("Rural")}
+    )
+    return dims.dim_location_scd1(stale, loc, pop)
+
+
 def q_dim_service_package(spark, sf):
     (s,) = _raw(spark, sf, "services")
     return dims.dim_service_package(s).drop("service_package_key")
@@ -444,6 +454,7 @@ QUERIES: dict[str, Query] = {
     # tables
     "dim_customer": q_dim_customer,
     "dim_location": q_dim_location,
+    "dim_location_scd1": q_dim_location_scd1,
     "dim_service_package": q_dim_service_package,
     "dim_churn_status": q_dim_churn_status,
     "dim_promotion": q_dim_promotion,

@@ -113,3 +113,15 @@ def test_type_consistency(spark):
     got = {r.column_name: (r.non_null_values, r.unparsable_values)
            for r in quality.type_consistency(df, {"a": "int", "b": "double"}).collect()}
     assert got == {"a": (3, 1), "b": (3, 1)}
+
+
+def test_scd1_upsert_updates_in_place_and_appends(spark):
+    from strata.operators.scd import scd1_upsert
+
+    current = spark.createDataFrame(
+        [(1, "a", "old"), (2, "b", "old"), (3, None, "old-null"), (4, "d", "gone?")], "sk long, k string, v string")
+    incoming = spark.createDataFrame([("b", "new"), (None, "new-null"), ("c", "new"), ("aa", "new")],
+                                     "k string, v string")
+    got = rows(scd1_upsert(current, incoming, ["k"], "sk"))
+    assert got == [(1, "a", "old"), (2, "b", "new"), (3, None, "new-null"), (4, "d", "gone?"),
+                   (5, "aa", "new"), (6, "c", "new")]
