@@ -12,7 +12,7 @@ absent default yields NULL.  Rule inputs are column names.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -60,21 +60,11 @@ def as_col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def norm_upper(c: str) -> Column:
-    """``trim(upper(c))``: the key form most rules compare against."""
-    return F.expr(upper_sql(ident(c)))
-
-
 def norm_title(c: str) -> Column:
     """``trim(initcap(c))``: words split on spaces only."""
     return F.expr(title_sql(ident(c)))
 
 
-def first_match(cases: Iterable[tuple[str, Any]], default: Any = None) -> Column:
-    """One Column for ``CASE WHEN`` over (condition SQL, value) pairs."""
-    return F.expr(case_sql(cases, default))
-
-
 # ---------------------------------------------------------------- rule kinds
 @dataclass(frozen=True)
 class Membership:
@@ -171,8 +161,3 @@ def indicator_sum_sql(cols: Iterable[str], value: str = "Yes") -> str:
 def indicator_sum(cols: Iterable[str], value: str = "Yes") -> Column:
     """Number of columns equal to ``value`` (NULL counts as not equal), as INT."""
     return F.expr(indicator_sum_sql(cols, value))
-
-
-def apply_rules(rules: Mapping[str, tuple[str, Any]]) -> dict[str, Column]:
-    """``{output: (input column, rule)} -> {output: Column}`` for ``select``/``withColumns``."""
-    return {out: rule.apply(src) for out, (src, rule) in rules.items()}

@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..sources import catalog, ingest, sinks
@@ -174,10 +173,6 @@ def run_silver(
     return audit
 
 
-def silver_frames(spark: SparkSession, cfg: WarehouseConfig) -> dict[str, DataFrame]:
-    return {t: spark.table(f"{cfg.silver_db}.{t}") for t in SILVER}
-
-
 def audit_view(audit: DataFrame) -> DataFrame:
     """Audit rows without the run-specific columns (for comparisons)."""
     return audit.select("layer", "table_name", "row_count", "status")

@@ -204,6 +204,3 @@ SILVER: dict[str, T.StructType] = {
         ]
     ),
 }
-
-SILVER_TABLES = tuple(SILVER)
-DIMENSIONS = tuple(t for t in SILVER_TABLES if t.startswith("dim_"))

@@ -11,7 +11,6 @@ local (tests, bench) do we pick a temporary folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -89,12 +88,3 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     root = checkpoint_root(spark)
     return f"{root}/strata/{label}-{uuid.uuid4().hex[:12]}"
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_dir(path: str) -> None:
-    """Create a local folder; remote file systems create folders on write."""
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1) if path.startswith("file:") else path, exist_ok=True)

@@ -34,8 +34,6 @@ DEFAULT_SOURCES = (
     SourceFile("Telco_customer_churn_status.csv", "status"),
 )
 
-LINEAGE_COLUMNS = ("ingestion_timestamp", "source_file")
-
 
 def read_delimited(
     spark: SparkSession,

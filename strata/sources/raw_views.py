@@ -116,9 +116,3 @@ def duckdb_view_sql(subject: str) -> str:
     """The same view text with table placeholders bound to DuckDB view names."""
     text, table = RAW_VIEWS[subject]
     return text.format(**{table: table}).strip()
-
-
-def duckdb_with(*subjects: str) -> str:
-    """``WITH raw_x AS (...), ...`` prefix for an oracle query."""
-    parts = [f"raw_{s} AS ({duckdb_view_sql(s)})" for s in subjects]
-    return "WITH " + ",\n".join(parts)
