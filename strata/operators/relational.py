@@ -29,7 +29,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | N
         return df.select(*keys).distinct()
     best = F.min(F.struct(*[F.col(c).alias(c) for c in carry])).alias("_best")
     out = df.groupBy(*keys).agg(best)
-    return out.select(*keys, *[F.col(f"_best.{c}").alias(c) for c in carry]).select(*df.columns)
+    return out.select(*keys, *[F.col("_best").getField(c).alias(c) for c in carry]).select(*df.columns)
 
 
 def rename_columns(df: DataFrame, mapping: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
