@@ -97,9 +97,10 @@ def facts_keyed(
     The hash keys (package, promotion, churn status) and the period key are
     pure functions of a row's standardized attributes, so they are recomputed
     on each input side before the fact join - no lookup join at all.  Only the
-    sequential customer key is looked up: a left join on the trimmed customer
-    id (NULL when the customer has no dimension row); its strategy is left to
-    the planner's size checks (broadcast only when the dimension measures small).
+    sequential customer key is looked up: a left join of the status rows (before
+    the fan-out of the fact join, so the larger fact output is never shuffled
+    again) on the trimmed customer id, NULL when the customer has no dimension
+    row; its strategy is left to the planner's size checks.
     """
     join_on = list(join_on)
     by_name = {m.name: m for m in MEASURES}
@@ -112,6 +113,9 @@ def facts_keyed(
         period_key(F.lit(business_year), std.quarter_of_year("quarter")).alias("quarter_key"),
         hash_key_columns(dims.CHURN_ATTRIBUTES).alias("churn_status_key"),
     )
+    # customer key looked up on the status rows, below the fan-out of the fact join
+    customers = dim_customer.select(F.col("customer_id").alias("_c_customer_id"), "customer_key")
+    left = left.join(customers, left["customer_id"] == customers["_c_customer_id"], "left").drop("_c_customer_id")
     service_measures = [m for m in MEASURES if m.name not in STATUS_MEASURES]
     packages = dims.standardize_services(services, keep=(*join_on, *(m.source for m in service_measures),
                                                           "offer", "referred_a_friend"))
@@ -124,7 +128,5 @@ def facts_keyed(
         hash_key_joined(dims.SERVICE_ATTRIBUTES).alias("service_package_key"),
         hash_key_joined(["_offer", "_referred"]).alias("promotion_key"),
     )
-    joined = equi_join(left, right, [(f"_l_{k}", f"_r_{k}") for k in join_on], how="inner", strategy="merge")
-    customers = dim_customer.select(F.col("customer_id").alias("_c_customer_id"), "customer_key")
-    keyed = joined.join(customers, joined["customer_id"] == customers["_c_customer_id"], "left")
+    keyed = equi_join(left, right, [(f"_l_{k}", f"_r_{k}") for k in join_on], how="inner", strategy="merge")
     return keyed.select(*KEYS, *[f.name for f in SILVER["facts_base"].fields])
