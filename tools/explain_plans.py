@@ -40,6 +40,9 @@ NOTES = {
     "facts_base": "Sort-merge join pinned by hint (neither side is broadcast on an estimate). Trim and the typed "
     "casts sit below each side's exchange, so the fan-out only copies values.",
     "facts_base_grain_safe": "Same shape, joined on (customer_id, quarter).",
+    "facts_keyed": "Star-schema keys: the hash and period keys are computed in the per-side projections below the "
+    "exchanges; the customer key is a left join of the *status* rows with the customer dimension, below the fact "
+    "join, so the fan-out output is never shuffled again.",
     "profile_measures": "One aggregate computes every statistic of the four measures (partial aggregation per task), "
     "then `inline` unpivots it; Catalyst prunes the fact projection to the four measures.",
     "dq_grain_duplicates": "Two aggregates with partial steps: count per (customer, quarter), then count of groups > 1.",
