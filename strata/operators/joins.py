@@ -54,10 +54,11 @@ def equi_join(
     with the data neither may be broadcast on a planner *estimate*, and
     sort-merge spills instead of holding a partition's hash table in memory.
     """
-    if strategy:
-        right = right.hint(strategy)
+    def hinted(df: DataFrame) -> DataFrame:
+        return df.hint(strategy) if strategy else df
+
     if not hot_key_fraction:
-        return left.join(right, _condition(left, right, pairs), how)
+        return left.join(hinted(right), _condition(left, right, pairs), how)
     if how not in ("inner", "left"):
         raise ValueError("hot-key splitting supports inner and left joins")
     lkeys = [lk for lk, _ in pairs]
@@ -77,9 +78,10 @@ def equi_join(
 
     left_cold = left.join(hot_b, lkeys, "left_anti")
     right_cold = right.join(hot_r, rkeys, "left_anti")
-    cold = left_cold.join(right_cold, _condition(left_cold, right_cold, pairs), how)
+    cold = left_cold.join(hinted(right_cold), _condition(left_cold, right_cold, pairs), how)
 
-    # salt from the row content: deterministic, so a recomputed task salts the same way
+    # NULL keys never match, so they stay on the cold side even when frequent.
+    # Salt from the row content: deterministic, so a recomputed task salts the same way.
     left_hot = left.join(hot_b, lkeys, "inner").withColumn(
         _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col(_NSALT)).cast("int")
     )
@@ -88,5 +90,5 @@ def equi_join(
     )
     right_hot = right_hot.withColumnRenamed(_NSALT, "_jk_nsalt_r").withColumnRenamed(_SALT, "_jk_salt_r")
     cond = _condition(left_hot, right_hot, pairs) & (left_hot[_SALT] == right_hot["_jk_salt_r"])
-    hot_out = left_hot.join(right_hot, cond, how).drop(_SALT, _NSALT, "_jk_salt_r", "_jk_nsalt_r")
+    hot_out = left_hot.join(hinted(right_hot), cond, how).drop(_SALT, _NSALT, "_jk_salt_r", "_jk_nsalt_r")
     return cold.unionByName(hot_out)

@@ -125,3 +125,12 @@ def test_scd1_upsert_updates_in_place_and_appends(spark):
     got = rows(scd1_upsert(current, incoming, ["k"], "sk"))
     assert got == [(1, "a", "old"), (2, "b", "new"), (3, None, "new-null"), (4, "d", "gone?"),
                    (5, "aa", "new"), (6, "c", "new")]
+
+
+def test_hot_key_split_keeps_the_join_strategy(spark):
+    left = spark.range(0, 3000).select((F.col("id") % 3 == 0).cast("int").alias("lk"), F.col("id").alias("lid"))
+    right = spark.range(0, 300).select((F.col("id") % 2).cast("int").alias("rk"), F.col("id").alias("rid"))
+    out = equi_join(left, right, [("lk", "rk")], "inner", hot_key_fraction=0.2, strategy="merge")
+    p = out._jdf.queryExecution().executedPlan().toString()
+    assert p.count("SortMergeJoin") == 2  # the cold and the salted hot join
+    assert out.count() == left.join(right, left.lk == right.rk).count()
