@@ -133,3 +133,16 @@ def test_rules_idempotent(spark):
     r = df.select(std.gender("g"), std.marital_status("m"), std.customer_status("s"),
                   std.CONTRACT.apply("c"), std.OFFER.apply("o")).first()
     assert tuple(r) == ("Male", "Married", "Churned", "One year", "Offer B")
+
+
+def test_coordinate_range_boundaries(spark):
+    from strata.plans.dimensions import clean_location, valid_coordinates
+
+    df = spark.createDataFrame(
+        [("a", 1, -90.0, 0.0), ("b", 2, 90.0, 180.0), ("c", 3, 90.0001, 0.0), ("d", 4, None, 0.0),
+         ("e", 5, 0.0, -180.00004), ("f", 6, 0.0, -180.00005)],
+        "city string, zip_code int, latitude double, longitude double",
+    )
+    kept = sorted(r.city for r in valid_coordinates(clean_location(df)).collect())
+    # rounding to 4 decimals happens first: -180.00004 -> -180.0 (kept), -180.00005 -> -180.0001 (dropped)
+    assert kept == ["A", "B", "E"]
