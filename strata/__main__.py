@@ -2,6 +2,8 @@
 
     spark-submit --py-files strata.zip -m strata bronze --source-dir DIR --bronze-base DIR
     python -m strata silver --bronze-base DIR --silver-base DIR [--only dim_customer ...]
+    python -m strata ddl --bronze-base DIR --silver-base DIR      # declare databases and tables only
+    python -m strata validate --bronze-base DIR                    # minimum-row gate on loaded bronze tables
 
 Uses the session that ``spark-submit`` (or the environment) configures; set
 ``spark.checkpoint.dir`` to a shared folder on a cluster.
@@ -14,13 +16,14 @@ import sys
 
 from pyspark.sql import SparkSession
 
+from .operators import quality
 from .plans import flows
 from .plans.schemas import SILVER
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="strata")
-    ap.add_argument("layer", choices=["bronze", "silver", "all"])
+    ap.add_argument("layer", choices=["bronze", "silver", "all", "ddl", "validate"])
     ap.add_argument("--source-dir", default="", help="folder with the delimited source files")
     ap.add_argument("--bronze-base", required=True, help="bronze Parquet root ({base}/{table}/parquet)")
     ap.add_argument("--silver-base", default="", help="silver table root ({base}/{table})")
@@ -45,6 +48,17 @@ def main(argv=None) -> int:
         facts_join_on=("customer_id", "quarter") if args.grain_safe_facts else ("customer_id",),
     )
     enforce = not args.no_enforce
+    if args.layer == "ddl":
+        flows.create_bronze_tables(spark, cfg)
+        if args.silver_base:
+            flows.create_silver_tables(spark, cfg)
+        return 0
+    if args.layer == "validate":
+        report = quality.min_rows(flows.bronze_tables(spark, cfg), cfg.min_rows)
+        report.show(truncate=False)
+        if enforce:
+            quality.enforce(report, "bronze minimum rows")
+        return 0
     if args.layer in ("bronze", "all"):
         flows.run_bronze(spark, cfg, enforce=enforce).show(truncate=False)
     if args.layer in ("silver", "all"):

@@ -138,7 +138,9 @@ def test_command_line_runs_both_layers(spark, sf_smoke):
     tag = root.rsplit("-", 1)[-1]
     args = ["--source-dir", src, "--bronze-base", f"{root}/bronze", "--silver-base", f"{root}/silver",
             "--bronze-db", f"cli_b_{tag}", "--silver-db", f"cli_s_{tag}", "--no-enforce"]
+    assert main(["ddl", *args]) == 0
     assert main(["bronze", *args]) == 0
+    assert main(["validate", *args]) == 0  # --no-enforce: reports, does not raise
     assert main(["silver", *args, "--only", "dim_quarter", "dim_promotion"]) == 0
     assert spark.table(f"cli_s_{tag}.dim_quarter").count() == 6
     assert spark.table(f"cli_s_{tag}.dim_customer").count() == 0  # declared, not rebuilt
