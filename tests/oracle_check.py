@@ -112,12 +112,19 @@ def compare(spark, name: str, sf_dir: str, query, sql: str | None, con=None) ->
 def main(argv=None):
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--plain", action="store_true", help="a default session, as the driver may use")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args(argv)
     import __spark_entry__ as entry
     from strata.session import local_session
 
-    spark = local_session(8)
+    if args.plain:
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        spark = local_session(8)
     qs, oracles = entry.queries(), entry.oracle_sql()
     names = args.names or list(qs)
     con = duck(args.sf)
