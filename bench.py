@@ -44,7 +44,8 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     memory = os.environ.get("BENCH_DRIVER_MEMORY", "4g")  # fits the 4-core / 7 GB bench machine
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app_name="strata-bench", driver_memory=memory)
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * cpus))))
+    spark = local_session(cpus, shuffle_partitions=partitions, app_name="strata-bench", driver_memory=memory)
     # warm-up: JVM, parquet readers, codegen caches (not timed)
     run(spark, "dim_quarter", sf_dir)
     times = {}
