@@ -86,3 +86,12 @@ def test_sequential_key_with_identical_rows_and_frozen_input(spark):
     out = sequential_key(df.repartition(5), ["k"], "sk", num_ranges=6, freeze_input=True)
     assert sorted(r[0] for r in out.select("sk").collect()) == list(range(1, 4001))
     assert out.filter("k = 'same'").agg({"sk": "max"}).first()[0] == 4000  # 'same' sorts after the digits
+
+
+def test_hot_key_value_spreads_over_several_ranges(spark):
+    from strata.operators.keys import range_tagged
+
+    data = [("hot" if i % 3 == 0 else f"c{i:05d}", i) for i in range(9000)]
+    tagged = range_tagged(spark.createDataFrame(data, "k string, payload int"), ["k"], num_ranges=8)
+    ranges_of_hot = tagged.filter("k = 'hot'").select("_sk_bucket").distinct().count()
+    assert ranges_of_hot >= 2  # a third of the rows is not pinned to one task
