@@ -154,15 +154,6 @@ DIM_CHURN_STATUS = with_(raw("status") + [STD_STATUS], "SELECT DISTINCT customer
 STD_PROMOTION = f"std_promotion AS (SELECT {OFFER} AS offer, {flag('referred_a_friend', 'No')} AS referred_a_friend FROM raw_services)"
 DIM_PROMOTION = with_(raw("services") + [STD_PROMOTION], "SELECT DISTINCT offer, referred_a_friend FROM std_promotion")
 
-# ---------------------------------------------------------------- quarter
-DIM_QUARTER = with_(
-    raw("status"),
-    """SELECT CAST(2025 * 100 + q AS INTEGER) AS quarter_key, quarter || '-' || '2025' AS quarter_name,
-  CAST(2025 AS INTEGER) AS "year", q AS quarter_of_year, CASE WHEN q <= 2 THEN 'H1' ELSE 'H2' END AS half_of_year
-FROM (SELECT quarter, TRY_CAST(regexp_extract(quarter, 'Q(\\d)', 1) AS INTEGER) AS q
-      FROM (SELECT DISTINCT quarter FROM raw_status) d) t""",
-)
-
 # ---------------------------------------------------------------- facts
 FACT_SELECT = """trim(s.customer_id) AS customer_id, trim(s.quarter) AS "quarter",
   CAST(v.tenure_in_months AS INTEGER) AS tenure_months, CAST(s.satisfaction_score AS INTEGER) AS satisfaction_score,
@@ -193,6 +184,8 @@ DIM_QUARTER_BODY = r"""SELECT CAST(2025 * 100 + q AS INTEGER) AS quarter_key, "q
 FROM (SELECT "quarter", TRY_CAST(regexp_extract("quarter", 'Q(\d)', 1) AS INTEGER) AS q
       FROM (SELECT DISTINCT "quarter" FROM raw_status) d) t"""
 
+DIM_QUARTER = with_(raw("status"), DIM_QUARTER_BODY)
+
 SILVER_BODIES = {
     "dim_customer": DIM_CUSTOMER_BODY,
     "dim_location": DIM_LOCATION_BODY,
