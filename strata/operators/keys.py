@@ -97,6 +97,14 @@ def sequential_key(
        number of ranges, hence safe to broadcast;
     4. key = offset of the range + index inside the range + 1.
 
+    The range id is ``spark_partition_id()`` read in the same task that assigns
+    the positions, and both are frozen together; counts come from the frozen
+    table.  So there is no second pass that could see partitions regrouped by
+    adaptive execution (the usual objection to numbering by partition id).
+    Ranges: ``num_ranges`` or ``spark.sql.shuffle.partitions`` (adaptive
+    execution merges small neighbours, never splits); split points come from
+    Spark's bounded per-partition sample.
+
     Rows that are identical in every column are ordered by scan position, which
     is reproducible when ``df`` is read from files.  If ``df`` comes out of a
     shuffle and may hold many fully identical rows, ``freeze_input=True`` writes
