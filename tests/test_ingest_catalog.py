@@ -144,3 +144,18 @@ def test_command_line_runs_both_layers(spark, sf_smoke):
     assert main(["silver", *args, "--only", "dim_quarter", "dim_promotion"]) == 0
     assert spark.table(f"cli_s_{tag}.dim_quarter").count() == 6
     assert spark.table(f"cli_s_{tag}.dim_customer").count() == 0  # declared, not rebuilt
+
+
+def test_bronze_gate_raises_once_naming_every_short_table(spark, sf_smoke):
+    from strata.operators.quality import DataQualityError
+    from strata.plans import flows
+    from strata.plans.registry import _config
+
+    cfg = _config(spark, sf_smoke)  # sf0.001: every table is below its minimum
+    with pytest.raises(DataQualityError) as err:
+        flows.run_bronze(spark, cfg, enforce=True)
+    for t in ("demographics", "location", "population", "services", "status"):
+        assert t in str(err.value)
+    # the silver gate passes: every table has rows
+    audit = flows.run_silver(spark, cfg, enforce=True)
+    assert {r.table_name for r in audit.collect()} == set(flows.SILVER_COMMENTS)
