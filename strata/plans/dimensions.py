@@ -68,9 +68,18 @@ def valid_coordinates(df: DataFrame) -> DataFrame:
     return df.filter(F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180))
 
 
+LOCATION_COLUMNS = ("customer_id", "zip_code", "city", "latitude", "longitude")
+
+
 def location_by_zip(location: DataFrame) -> DataFrame:
-    """Dedup on the raw ZIP (lowest row wins), then clean and range-check."""
-    one_per_zip = dedup_by_key(location, ["zip_code"])
+    """Dedup on the raw ZIP, then clean and range-check.
+
+    The surviving row is the lowest by (customer_id, city, latitude, longitude).
+    Only those columns enter the dedup aggregate, so the scan is pruned and the
+    shuffle does not carry columns the dimension never uses.
+    """
+    cols = [c for c in LOCATION_COLUMNS if c in location.columns]
+    one_per_zip = dedup_by_key(location.select(*cols), ["zip_code"])
     return valid_coordinates(clean_location(one_per_zip))
 
 
