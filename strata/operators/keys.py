@@ -134,7 +134,7 @@ def sequential_key(
 
 
 def sequential_key_single_task(df: DataFrame, order_by: Sequence[str], key_name: str) -> DataFrame:
-    """The textbook form (one global window).  Kept only as the reference result
+    """The textbook form (one global window).  Kept only as the expected result
     for tests; it moves every row through one task."""
     w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
     return df.withColumn(key_name, F.row_number().over(w).cast("long"))

@@ -41,6 +41,7 @@ class WarehouseConfig:
     source_dir: str  # folder holding the delimited source files
     bronze_base: str  # bronze Parquet root: {bronze_base}/{table}/parquet
     silver_base: str  # silver table root: {silver_base}/{table}
+    # fixed values: the layer databases' default names
     bronze_db: str = "bronze_telco"
     silver_db: str = "silver_telco"
     # database folders (managed tables such as the audit table live there);

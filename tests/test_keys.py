@@ -1,4 +1,4 @@
-"""Surrogate keys: sequential (distributed) vs single-task reference, hash vectors."""
+"""Surrogate keys: sequential (distributed) vs the single-task window, hash vectors."""
 
 import random
 
