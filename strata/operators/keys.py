@@ -56,7 +56,9 @@ def range_tagged(
     id in the high bits, index inside the range in the low bits)."""
     order_by = list(order_by)
     if tiebreak is None:
-        tiebreak = [c for c in df.columns if c not in order_by]
+        # every other column that Spark can order (maps cannot be sorted)
+        tiebreak = [f.name for f in df.schema.fields
+                    if f.name not in order_by and "map<" not in f.dataType.simpleString()]
     tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
     sort_cols = [F.col(c).asc_nulls_first() for c in [*order_by, *tiebreak, _TIE]]
     if num_ranges:

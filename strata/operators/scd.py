@@ -38,7 +38,12 @@ def scd1_upsert(
     is a single scalar.
     """
     natural_key = list(natural_key)
-    attrs = [c for c in incoming.columns if c not in natural_key and c != surrogate_key]
+    # the stored dimension defines the attributes; incoming must provide them all
+    attrs = [c for c in current.columns if c not in natural_key and c != surrogate_key]
+    missing = [c for c in [*natural_key, *attrs] if c not in incoming.columns]
+    if missing:
+        raise ValueError(f"incoming rows lack dimension columns: {missing}")
+    incoming = incoming.select(*natural_key, *attrs)
     cur_keys = current.select(*[F.col(k).alias(f"_cur_{k}") for k in natural_key], F.col(surrogate_key).alias("_cur_sk"))
     matched_or_new = incoming.join(cur_keys, _same_key(incoming, cur_keys, natural_key), "left")
 

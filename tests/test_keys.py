@@ -95,3 +95,9 @@ def test_hot_key_value_spreads_over_several_ranges(spark):
     tagged = range_tagged(spark.createDataFrame(data, "k string, payload int"), ["k"], num_ranges=8)
     ranges_of_hot = tagged.filter("k = 'hot'").select("_sk_bucket").distinct().count()
     assert ranges_of_hot >= 2  # a third of the rows is not pinned to one task
+
+
+def test_sequential_key_skips_unorderable_tiebreak_columns(spark):
+    df = spark.createDataFrame([("b", {"x": 1}), ("a", {"y": 2})], "k string, m map<string,int>")
+    out = sequential_key(df, ["k"], "sk")
+    assert rows(out, "k", "sk") == [("a", 1), ("b", 2)]

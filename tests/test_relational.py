@@ -134,3 +134,13 @@ def test_hot_key_split_keeps_the_join_strategy(spark):
     p = out._jdf.queryExecution().executedPlan().toString()
     assert p.count("SortMergeJoin") == 2  # the cold and the salted hot join
     assert out.count() == left.join(right, left.lk == right.rk).count()
+
+
+def test_scd1_requires_every_dimension_column(spark):
+    from strata.operators.scd import scd1_upsert
+
+    current = spark.createDataFrame([(1, "a", "x", "y")], "sk long, k string, v string, w string")
+    with pytest.raises(ValueError, match="w"):
+        scd1_upsert(current, spark.createDataFrame([("a", "x2")], "k string, v string"), ["k"], "sk")
+    extra = spark.createDataFrame([("a", "x2", "y2", "ignored")], "k string, v string, w string, z string")
+    assert rows(scd1_upsert(current, extra, ["k"], "sk")) == [(1, "a", "x2", "y2")]
