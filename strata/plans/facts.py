@@ -113,8 +113,11 @@ def facts_keyed(
         period_key(F.lit(business_year), std.quarter_of_year("quarter")).alias("quarter_key"),
         hash_key_columns(dims.CHURN_ATTRIBUTES).alias("churn_status_key"),
     )
-    # customer key looked up on the status rows, below the fan-out of the fact join
-    customers = dim_customer.select(F.col("customer_id").alias("_c_customer_id"), "customer_key")
+    # customer key looked up on the status rows, below the fan-out of the fact join;
+    # one key per customer (the lowest), so a customer repeated in the dimension's
+    # source cannot multiply fact rows (pre-aggregated per task, so skew-safe)
+    customers = dim_customer.groupBy(F.col("customer_id").alias("_c_customer_id")).agg(
+        F.min("customer_key").alias("customer_key"))
     left = left.join(customers, left["customer_id"] == customers["_c_customer_id"], "left").drop("_c_customer_id")
     service_measures = [m for m in MEASURES if m.name not in STATUS_MEASURES]
     packages = dims.standardize_services(services, keep=(*join_on, *(m.source for m in service_measures),

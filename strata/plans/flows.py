@@ -80,11 +80,15 @@ def _audit_rows(spark: SparkSession, run_id: str, layer: str, counts: Mapping[st
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
 
 
-def record_audit(spark: SparkSession, audit: DataFrame, table: str | None, db_location: str | None = None) -> None:
-    """O3: append the run's rows to the audit table (created on first use)."""
+def record_audit(spark: SparkSession, audit: DataFrame, cfg: WarehouseConfig) -> None:
+    """O3: append the run's rows to the audit table (created on first use, in
+    the folder configured for its database)."""
+    table = cfg.audit_table
     if table:
         if "." in table:
-            catalog.create_database(spark, table.rsplit(".", 1)[0], db_location)
+            db = table.rsplit(".", 1)[0]
+            locations = {cfg.bronze_db: cfg.bronze_db_location, cfg.silver_db: cfg.silver_db_location}
+            catalog.create_database(spark, db, locations.get(db))
         audit.write.mode("append").format("parquet").saveAsTable(table)
 
 
@@ -120,7 +124,7 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
     counts = {t: r.rows for t, r in results.items()}
     failed = {t for t, n in counts.items() if n < cfg.min_rows.get(t, 0)}
     audit = _audit_rows(spark, run_id, "bronze", counts, "failed" if failed else "success")
-    record_audit(spark, audit, cfg.audit_table, cfg.silver_db_location)
+    record_audit(spark, audit, cfg)
     if enforce and failed:  # counts were measured in the write jobs: no re-count
         details = "; ".join(f"{t}: {counts[t]} < {cfg.min_rows[t]}" for t in sorted(failed))
         raise quality.DataQualityError(f"bronze minimum rows failed: {details}")
@@ -171,7 +175,7 @@ def run_silver(
     counts = _run_all(tasks, cfg.parallel_jobs)
     empty = [t for t, n in counts.items() if n == 0]
     audit = _audit_rows(spark, run_id, "silver", counts, "failed" if empty else "success")
-    record_audit(spark, audit, cfg.audit_table, cfg.silver_db_location)
+    record_audit(spark, audit, cfg)
     if enforce and empty:  # counts were measured in the write jobs: no re-count
         raise quality.DataQualityError(f"silver non-empty failed: {', '.join(sorted(empty))} empty")
     return audit

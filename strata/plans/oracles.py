@@ -500,7 +500,8 @@ FACTS_KEYED_CTE = (
 FACTS_KEYED = with_(
     raw("status", "services", "demographics") + [CLEAN_DEMOGRAPHICS, FACTS_KEYED_CTE,
                                                  f"silver_dim_customer AS ({DIM_CUSTOMER_BODY})"],
-    "SELECT c.customer_key, f.* FROM facts_k f LEFT JOIN silver_dim_customer c ON f.customer_id = c.customer_id",
+    "SELECT c.customer_key, f.* FROM facts_k f LEFT JOIN (SELECT customer_id, min(customer_key) AS customer_key "
+    "FROM silver_dim_customer GROUP BY customer_id) c ON f.customer_id = c.customer_id",
 )
 
 # every services / status row with its standardized attributes (prefixed), so a

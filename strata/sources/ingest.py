@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .sinks import align_to
+
 
 @dataclass(frozen=True)
 class SourceFile:
@@ -53,14 +55,7 @@ def read_delimited(
     reader = spark.read.option("header", str(header).lower()).option("sep", sep).option("mode", "PERMISSIVE")
     if schema is None:
         return reader.option("inferSchema", str(infer_schema).lower()).csv(path)
-    text = reader.option("inferSchema", "false").csv(path)
-    by_lower = {c.lower(): c for c in text.columns}
-    cols = []
-    for f in schema.fields:
-        src = by_lower.get(f.name.lower())
-        value = F.col(f"`{src}`").try_cast(f.dataType) if src is not None else F.lit(None).cast(f.dataType)
-        cols.append(value.alias(f.name, metadata=f.metadata))
-    return text.select(*cols)
+    return align_to(reader.option("inferSchema", "false").csv(path), schema)
 
 
 def with_lineage(df: DataFrame, source_file: str) -> DataFrame:

@@ -14,13 +14,15 @@ from pyspark.sql import functions as F
 
 
 def align_to(df: DataFrame, schema) -> DataFrame:
-    """Project ``df`` onto ``schema``: declared order, declared types, by name."""
+    """Project ``df`` onto ``schema``: declared order, declared types (``try_cast``),
+    matched by name case-insensitively; a declared column ``df`` lacks is a typed
+    NULL; field metadata (comments) is kept."""
     have = {c.lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
         src = have.get(f.name.lower())
-        col = F.col(f"`{src}`").try_cast(f.dataType) if src else F.lit(None).cast(f.dataType)
-        cols.append(col.alias(f.name))
+        col = F.col(f"`{src}`").try_cast(f.dataType) if src is not None else F.lit(None).cast(f.dataType)
+        cols.append(col.alias(f.name, metadata=f.metadata))
     return df.select(*cols)
 
 

@@ -144,3 +144,22 @@ def test_scd1_requires_every_dimension_column(spark):
         scd1_upsert(current, spark.createDataFrame([("a", "x2")], "k string, v string"), ["k"], "sk")
     extra = spark.createDataFrame([("a", "x2", "y2", "ignored")], "k string, v string, w string, z string")
     assert rows(scd1_upsert(current, extra, ["k"], "sk")) == [(1, "a", "x2", "y2")]
+
+
+def test_keyed_facts_do_not_multiply_on_a_repeated_customer(spark):
+    from strata.plans import facts
+
+    status = spark.createDataFrame(
+        [("c1", "Q1", 1, 0, 10, 100, "Stayed", None, None)],
+        "customer_id string, quarter string, satisfaction_score int, churn_value int, churn_score int, cltv int, "
+        "customer_status string, churn_category string, churn_reason string")
+    service_cols = [m.source for m in facts.MEASURES if m.name not in facts.STATUS_MEASURES]
+    services = spark.createDataFrame([("c1", "Q1")], "customer_id string, quarter string").selectExpr(
+        "*", *[f"CAST(1 AS DOUBLE) AS {c}" for c in service_cols],
+        *[f"'Yes' AS {c}" for c in ["phone_service", "multiple_lines", "internet_service", "internet_type",
+                                     "online_security", "online_backup", "device_protection_plan",
+                                     "premium_tech_support", "streaming_tv", "streaming_movies", "streaming_music",
+                                     "unlimited_data", "contract", "payment_method", "offer", "referred_a_friend"]])
+    dim_customer = spark.createDataFrame([(1, "c1"), (2, "c1")], "customer_key long, customer_id string")
+    out = facts.facts_keyed(status, services, dim_customer).collect()
+    assert len(out) == 1 and out[0].customer_key == 1
