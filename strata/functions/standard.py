@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .rules import Flag, Membership, Ranges, Rule, Substring, ident, indicator_sum, sql_lit, upper_sql
+from .rules import Flag, Membership, Ranges, Rule, Substring, ident, indicator_sum, norm_title, sql_lit, upper_sql
 
 # ---------------------------------------------------------------------------
 # Labels and matching rules of the conformed dimensions.
@@ -181,7 +181,9 @@ def churn_detail(status: str, detail: str) -> Column:
 
 
 def title_case(c: str) -> Column:
-    return F.expr(f"initcap(trim({ident(c)}))")
+    """Title case without outer spaces (``initcap`` splits words on spaces only,
+    so trimming before or after it gives the same text)."""
+    return norm_title(c)
 
 
 def zip5(c: str) -> Column:

@@ -267,17 +267,12 @@ def q_dq_non_empty(spark, sf):
     return quality.non_empty(_silver_frames(spark, sf))
 
 
-def _facts(spark, sf):
-    st, sv = _raw(spark, sf, "status", "services")
-    return facts.facts_base(st, sv)
-
-
 def q_dq_grain_duplicates(spark, sf):
-    return quality.grain_duplicates(_facts(spark, sf), facts.GRAIN)
+    return quality.grain_duplicates(q_facts_base(spark, sf), facts.GRAIN)
 
 
 def q_dq_null_counts(spark, sf):
-    return quality.null_counts(_facts(spark, sf), list(facts.GRAIN))
+    return quality.null_counts(q_facts_base(spark, sf), list(facts.GRAIN))
 
 
 def q_dq_location_null_keys(spark, sf):
@@ -324,7 +319,7 @@ PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
 
 
 def q_profile_measures(spark, sf):
-    return quality.profile(_facts(spark, sf), PROFILED)
+    return quality.profile(q_facts_base(spark, sf), PROFILED)
 
 
 def q_layer_row_counts(spark, sf):
