@@ -33,6 +33,8 @@ def main(argv=None) -> int:
     ap.add_argument("--only", nargs="*", choices=list(SILVER), help="silver tables to rebuild (default: all)")
     ap.add_argument("--business-year", type=int, default=flows.dims.BUSINESS_YEAR)
     ap.add_argument("--grain-safe-facts", action="store_true", help="join facts on customer and quarter")
+    ap.add_argument("--prefer-internet-type", action="store_true",
+                    help="internet service from the connection type first (documented intent)")
     ap.add_argument("--no-enforce", action="store_true", help="report check failures without failing the run")
     args = ap.parse_args(argv)
 
@@ -46,6 +48,7 @@ def main(argv=None) -> int:
         audit_table=args.audit_table,
         business_year=args.business_year,
         facts_join_on=("customer_id", "quarter") if args.grain_safe_facts else ("customer_id",),
+        prefer_internet_type=args.prefer_internet_type,
     )
     enforce = not args.no_enforce
     if args.layer == "ddl":

@@ -51,6 +51,8 @@ class WarehouseConfig:
     sources: tuple = ingest.DEFAULT_SOURCES
     min_rows: Mapping[str, int] = field(default_factory=lambda: dict(MIN_ROWS))
     business_year: int = dims.BUSINESS_YEAR
+    # T4: False = as coded (a YES flag wins); True = a recognised connection type wins
+    prefer_internet_type: bool = False
     facts_join_on: tuple = ("customer_id",)
     # explicit hot-customer split for the fact join (None: adaptive skew join only)
     facts_hot_key_fraction: float | None = None
@@ -137,7 +139,7 @@ def silver_builders(cfg: WarehouseConfig) -> dict[str, Callable[[Mapping[str, Da
     return {
         "dim_customer": lambda b: dims.dim_customer(b["demographics"]),
         "dim_location": lambda b: dims.dim_location(b["location"], b["population"]),
-        "dim_service_package": lambda b: dims.dim_service_package(b["services"]),
+        "dim_service_package": lambda b: dims.dim_service_package(b["services"], cfg.prefer_internet_type),
         "dim_churn_status": lambda b: dims.dim_churn_status(b["status"]),
         "dim_quarter": lambda b: dims.dim_quarter(b["status"], cfg.business_year),
         "dim_promotion": lambda b: dims.dim_promotion(b["services"]),
