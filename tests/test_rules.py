@@ -146,3 +146,14 @@ def test_coordinate_range_boundaries(spark):
     kept = sorted(r.city for r in valid_coordinates(clean_location(df)).collect())
     # rounding to 4 decimals happens first: -180.00004 -> -180.0 (kept), -180.00005 -> -180.0001 (dropped)
     assert kept == ["A", "B", "E"]
+
+
+def test_internet_type_preference_makes_double_play_reachable(spark, sf_smoke):
+    from strata.plans import dimensions as dims
+    from strata.sources.raw_views import raw_view
+
+    services = raw_view(spark, sf_smoke, "services")
+    as_coded = {r[0] for r in dims.dim_service_package(services).select("bundle_type").distinct().collect()}
+    by_type = {r[0] for r in dims.dim_service_package(services, True).select("bundle_type").distinct().collect()}
+    assert "Double play" not in as_coded  # a YES flag wins before the type (T4)
+    assert "Double play" in by_type
