@@ -149,11 +149,18 @@ def test_coordinate_range_boundaries(spark):
 
 
 def test_internet_type_preference_makes_double_play_reachable(spark, sf_smoke):
+    """T4: as coded, a customer whose internet flag is YES gets internet 'Yes',
+    so never 'Double play'; preferring the connection type makes it reachable."""
+    from pyspark.sql import functions as F
+
     from strata.plans import dimensions as dims
     from strata.sources.raw_views import raw_view
 
-    services = raw_view(spark, sf_smoke, "services")
-    as_coded = {r[0] for r in dims.dim_service_package(services).select("bundle_type").distinct().collect()}
-    by_type = {r[0] for r in dims.dim_service_package(services, True).select("bundle_type").distinct().collect()}
-    assert "Double play" not in as_coded  # a YES flag wins before the type (T4)
-    assert "Double play" in by_type
+    yes_flag = raw_view(spark, sf_smoke, "services").filter(F.trim(F.upper("internet_service")) == "YES")
+
+    def bundles(prefer):
+        pkg = dims.derive_package(dims.standardize_services(yes_flag, prefer))
+        return {r[0] for r in pkg.select("bundle_type").distinct().collect()}
+
+    assert "Double play" not in bundles(False)
+    assert "Double play" in bundles(True)
