@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..sources import catalog, ingest, sinks
@@ -59,6 +60,8 @@ class WarehouseConfig:
     # rebalance unsplittable source files before writing them (see ingest.ingest_file)
     rebalance_sources: bool = False
     audit_table: str | None = None  # e.g. "silver_telco.load_audit"
+    # long-form quality report of each silver run (V3-V6), appended when set
+    report_table: str | None = None  # e.g. "silver_telco.quality_report"
     # independent tables/files are submitted from this many driver threads, so
     # small jobs fill the slots big ones leave idle (the scheduler interleaves them)
     parallel_jobs: int = 4
@@ -178,11 +181,53 @@ def run_silver(
     empty = [t for t, n in counts.items() if n == 0]
     audit = _audit_rows(spark, run_id, "silver", counts, "failed" if empty else "success")
     record_audit(spark, audit, cfg)
+    if cfg.report_table and {"facts_base", "dim_location"} <= set(builders):
+        written = {t: spark.table(f"{cfg.silver_db}.{t}") for t in ("facts_base", "dim_location")}
+        report = quality_report(written).select(F.lit(run_id).alias("run_id"), "*")
+        report.write.mode("append").format("parquet").saveAsTable(cfg.report_table)
     if enforce and empty:  # counts were measured in the write jobs: no re-count
         raise quality.DataQualityError(f"silver non-empty failed: {', '.join(sorted(empty))} empty")
     return audit
 
 
+# The measures profiled after each fact build, and the location
+# columns whose NULLs are counted.
+PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
+LOCATION_KEY_COLUMNS = ("location_key", "city", "zip_code", "latitude", "longitude")
+
+
+def _long(df: DataFrame, check: str, table: str, columns) -> DataFrame:
+    """One-row wide report -> rows (check_name, table_name, column_name, value DOUBLE)."""
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    return wide.unpivot([], list(columns), "column_name", "value").select(
+        F.lit(check).alias("check_name"), F.lit(table).alias("table_name"), "column_name", "value"
+    )
+
+
+def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """V3-V6 over the silver tables in long form: grain duplicates and NULLs in
+    the grain of the facts, NULLs in the location dimension's key columns, and
+    the measure profile (``profile_<stat>`` per measure).  Every part is one
+    aggregate pass with partial aggregation; the report has a fixed 28 rows."""
+    f, loc = tables["facts_base"], tables["dim_location"]
+    dup = quality.grain_duplicates(f, facts.GRAIN).select(
+        F.lit("grain_duplicates").alias("check_name"), F.lit("facts_base").alias("table_name"),
+        F.lit(",".join(facts.GRAIN)).alias("column_name"), F.col("duplicate_groups").cast("double").alias("value"))
+    parts = [
+        dup,
+        _long(quality.null_counts(f, list(facts.GRAIN)), "null_count", "facts_base", facts.GRAIN),
+        _long(quality.null_counts(loc, list(LOCATION_KEY_COLUMNS)), "null_count", "dim_location", LOCATION_KEY_COLUMNS),
+    ]
+    prof = quality.profile(f, PROFILED)
+    for stat in ("count", "mean", "stddev", "min", "max"):
+        parts.append(prof.select(F.lit(f"profile_{stat}").alias("check_name"), F.lit("facts_base").alias("table_name"),
+                                 F.col("measure").alias("column_name"), F.col(stat).cast("double").alias("value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def audit_view(audit: DataFrame) -> DataFrame:
     """Audit rows without the run-specific columns (for comparisons)."""
     return audit.select("layer", "table_name", "row_count", "status")

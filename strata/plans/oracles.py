@@ -556,6 +556,34 @@ DQ_FACT_DIMENSION_KEYS = with_(
 )
 
 
+def _silver_report() -> str:
+    def f(x):
+        return f"CAST({x} AS DOUBLE)"
+
+    parts = [
+        "SELECT 'grain_duplicates' AS check_name, 'facts_base' AS table_name, 'customer_id,quarter' AS column_name, "
+        f"{f('count(*)')} AS value FROM (SELECT customer_id, \"quarter\" FROM silver_facts_base "
+        "GROUP BY customer_id, \"quarter\" HAVING count(*) > 1) g"
+    ]
+    for t, cols in (("facts_base", ("customer_id", "quarter")),
+                    ("dim_location", ("location_key", "city", "zip_code", "latitude", "longitude"))):
+        parts += [f"SELECT 'null_count', '{t}', '{c}', {f(f'sum(CASE WHEN \"{c}\" IS NULL THEN 1 ELSE 0 END)')} "
+                  f"FROM silver_{t}" for c in cols]
+    for c in PROFILED:
+        x = f'"{c}"'
+        parts += [
+            f"SELECT 'profile_count', 'facts_base', '{c}', {f(f'count({x})')} FROM silver_facts_base",
+            f"SELECT 'profile_mean', 'facts_base', '{c}', round(CAST(avg({x}) AS DOUBLE), 6) FROM silver_facts_base",
+            f"SELECT 'profile_stddev', 'facts_base', '{c}', round(stddev_samp(CAST({x} AS DOUBLE)), 6) FROM silver_facts_base",
+            f"SELECT 'profile_min', 'facts_base', '{c}', {f(f'min({x})')} FROM silver_facts_base",
+            f"SELECT 'profile_max', 'facts_base', '{c}', {f(f'max({x})')} FROM silver_facts_base",
+        ]
+    return with_(ALL_CTES, union(parts))
+
+
+SILVER_QUALITY_REPORT = _silver_report()
+
+
 ORACLES: dict[str, str] = {
     "dim_customer": DIM_CUSTOMER,
     "dim_location": DIM_LOCATION,
@@ -607,5 +635,6 @@ ORACLES: dict[str, str] = {
     "catalog_data_dictionary": CATALOG_DATA_DICTIONARY,
     "silver_write_keeps_schema": DIM_CUSTOMER,
     "silver_build_all": SILVER_BUILD_ALL,
+    "silver_quality_report": SILVER_QUALITY_REPORT,
     "load_audit": LOAD_AUDIT,
 }

@@ -315,7 +315,7 @@ def q_dq_type_consistency(spark, sf):
     return quality.type_consistency(text, {"id": "int", "zip_code": "int", "population": "int"})
 
 
-PROFILED = ("tenure_months", "monthly_charges", "total_revenue", "cltv")
+PROFILED = flows.PROFILED
 
 
 def q_profile_measures(spark, sf):
@@ -438,6 +438,14 @@ def q_silver_build_all(spark, sf):
     return audit.select("table_name", "row_count", "status")
 
 
+def q_silver_quality_report(spark, sf):
+    """The silver flow with its quality report appended, read back from the report table."""
+    cfg = _config(spark, sf, stage=False)
+    cfg.report_table = f"{cfg.silver_db}.quality_report"
+    flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=False)
+    return spark.table(cfg.report_table).drop("run_id")
+
+
 def q_load_audit(spark, sf):
     cfg = _config(spark, sf)
     flows.run_bronze(spark, cfg, enforce=False)
@@ -504,5 +512,6 @@ QUERIES: dict[str, Query] = {
     "catalog_data_dictionary": q_catalog_data_dictionary,
     "silver_write_keeps_schema": q_silver_write_keeps_schema,
     "silver_build_all": q_silver_build_all,
+    "silver_quality_report": q_silver_quality_report,
     "load_audit": q_load_audit,
 }
