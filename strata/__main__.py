@@ -30,6 +30,7 @@ def main(argv=None) -> int:
     ap.add_argument("--bronze-db", default="bronze_telco")
     ap.add_argument("--silver-db", default="silver_telco")
     ap.add_argument("--audit-table", default=None, help="e.g. silver_telco.load_audit")
+    ap.add_argument("--report-table", default=None, help="silver quality report, e.g. silver_telco.quality_report")
     ap.add_argument("--only", nargs="*", choices=list(SILVER), help="silver tables to rebuild (default: all)")
     ap.add_argument("--business-year", type=int, default=flows.dims.BUSINESS_YEAR)
     ap.add_argument("--grain-safe-facts", action="store_true", help="join facts on customer and quarter")
@@ -46,6 +47,7 @@ def main(argv=None) -> int:
         bronze_db=args.bronze_db,
         silver_db=args.silver_db,
         audit_table=args.audit_table,
+        report_table=args.report_table,
         business_year=args.business_year,
         facts_join_on=("customer_id", "quarter") if args.grain_safe_facts else ("customer_id",),
         prefer_internet_type=args.prefer_internet_type,

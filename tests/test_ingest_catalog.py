@@ -142,8 +142,10 @@ def test_command_line_runs_both_layers(spark, sf_smoke):
     assert main(["bronze", *args]) == 0
     assert main(["validate", *args]) == 0  # --no-enforce: reports, does not raise
     assert main(["silver", *args, "--only", "dim_quarter", "dim_promotion"]) == 0
+    assert main(["silver", *args, "--report-table", f"cli_s_{tag}.quality_report"]) == 0
+    assert spark.table(f"cli_s_{tag}.quality_report").count() == 28
     assert spark.table(f"cli_s_{tag}.dim_quarter").count() == 6
-    assert spark.table(f"cli_s_{tag}.dim_customer").count() == 0  # declared, not rebuilt
+    assert spark.table(f"cli_s_{tag}.dim_customer").count() > 0  # rebuilt by the full silver run
 
 
 def test_bronze_gate_raises_once_naming_every_short_table(spark, sf_smoke):
