@@ -29,6 +29,7 @@ HEADLINE = (
     "dim_promotion",
     "dim_quarter",
     "dq_grain_duplicates",
+    "silver_build_all",  # the daily run: all seven tables written, gated and audited
 )
 
 
