@@ -1,7 +1,7 @@
 """Bench: headline warehouse queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Each query is built and fully executed (``noop`` sink: every row is computed,
-nothing is collected or written); the best of ``$BENCH_REPEAT`` runs counts.
+nothing is collected or written); the best of ``$BENCH_REPEAT`` (default 3) runs counts.
 Prints one JSON line.
 """
 
@@ -42,7 +42,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     memory = os.environ.get("BENCH_DRIVER_MEMORY", "4g")  # fits the 4-core / 7 GB bench machine
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(8, 2 * cpus))))
