@@ -163,3 +163,27 @@ def test_keyed_facts_do_not_multiply_on_a_repeated_customer(spark):
     dim_customer = spark.createDataFrame([(1, "c1"), (2, "c1")], "customer_key long, customer_id string")
     out = facts.facts_keyed(status, services, dim_customer).collect()
     assert len(out) == 1 and out[0].customer_key == 1
+
+
+def test_quality_report_long_form(spark):
+    from strata.plans import flows
+    from strata.plans.schemas import SILVER
+
+    fact_cols = [f.name for f in SILVER["facts_base"].fields]
+    base = {c: None for c in fact_cols}
+    rows_ = []
+    for cid, q, t in [("c1", "Q1", 10), ("c1", "Q1", 20), ("c2", None, 30)]:
+        r = dict(base, customer_id=cid, quarter=q, tenure_months=t, cltv=t * 10)
+        rows_.append(tuple(r[c] for c in fact_cols))
+    f = spark.createDataFrame(rows_, SILVER["facts_base"])
+    loc = spark.createDataFrame([(1, None, "00001", 1.0, None)],
+                                "location_key long, city string, zip_code string, latitude double, longitude double")
+    got = {(r.check_name, r.table_name, r.column_name): r.value
+           for r in flows.quality_report({"facts_base": f, "dim_location": loc}).collect()}
+    assert len(got) == 28
+    assert got[("grain_duplicates", "facts_base", "customer_id,quarter")] == 1.0
+    assert got[("null_count", "facts_base", "quarter")] == 1.0
+    assert got[("null_count", "dim_location", "city")] == 1.0 and got[("null_count", "dim_location", "longitude")] == 1.0
+    assert got[("profile_mean", "facts_base", "tenure_months")] == 20.0
+    assert got[("profile_count", "facts_base", "monthly_charges")] == 0.0
+    assert got[("profile_max", "facts_base", "cltv")] == 300.0
