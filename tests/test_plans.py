@@ -90,3 +90,15 @@ def test_fact_join_splits_a_hot_customer_at_run_time(spark):
     assert "skew=true" in final
     left, right = Counter(key(i) for i in range(6000)), Counter(key(i) for i in range(600))
     assert got == sum(n * right[k] for k, n in left.items())
+
+
+def test_scd1_joins_are_equi_joins(spark):
+    """The null-safe natural-key match plans as an equi-join, never a nested loop."""
+    from strata.operators.scd import scd1_upsert
+
+    cur = spark.range(0, 1000).selectExpr("id AS sk", "CAST(id AS STRING) AS k", "'v' AS v")
+    inc = spark.range(500, 1500).selectExpr("CAST(id AS STRING) AS k", "'w' AS v")
+    out = scd1_upsert(cur, inc, ["k"], "sk")
+    p = plan(out)
+    assert "NestedLoop" not in p and "Cartesian" not in p
+    assert out.count() == 1500 and out.agg({"sk": "max"}).first()[0] == 1499
