@@ -4,12 +4,11 @@ driver repeats this at sf0.01), plus the entry smoke check."""
 import pytest
 
 import __spark_entry__ as entry
+from strata.plans.oracles import ORACLES
+from strata.plans.registry import QUERIES
 
 from .oracle_check import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con(sf_smoke):
@@ -23,6 +22,7 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_hash_only():
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
     missing = set(QUERIES) - set(ORACLES)
     assert missing <= {"hash_key_service_package", "hash_key_churn_status", "hash_key_promotion"}
     assert set(ORACLES) <= set(QUERIES)
