@@ -104,7 +104,7 @@ PLAIN = (
     ("Apache", "apache", ("apache(?: software)? licen[sc]e", "licen[sc]ed under(?: the)? apache(?! licen)")),
     ("MIT", "mit", ("(?:the )?mit licen[sc]e", "licen[sc]ed under(?: the)? mit", "licen[sc]e identifier mit", "mit expat licen[sc]e")),
     ("MIT", "permission", ("permission is hereby granted free of charge to any person obtaining a copy",)),
-    ("MIT-0", "no attribution", ("mit no attribution(?: licen[sc]e)?(?= licen[sc]e)", "mit licen[sc]e no attribution")),
+    ("MIT-0", "no attribution", ("mit no attribution licen[sc]e", "mit licen[sc]e no attribution")),
     ("X11", "x11", ("x11 licen[sc]e", "mit x11 licen[sc]e", "x consortium licen[sc]e x11")),
     ("ISC", "isc", ("isc licen[sc]e", "licen[sc]ed under(?: the)? isc", "licen[sc]e identifier isc")),
     ("ISC", "permission", ("permission to use copy modify and or distribute this software for any purpose",)),

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import freeze
 
-LINE = re.compile(r"^( *)(If|Else|Predict:)\s*\(?(?:feature (\d+) (<=|>) (\S+?)\)?)?(?:\S*)$")
+LINE = re.compile(r"( *)(?:If|Else) \(feature (\d+) (<=|>) (\S+)\)")
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -94,12 +94,12 @@ def tree_rules(description: str, names: list[str]) -> set[Rule]:
     found: set[Rule] = set()
     path: list[tuple[int, tuple[str, bool, float]]] = []
     for line in description.splitlines():
-        m = LINE.match(line)
-        if not m or m[2] == "Predict:" or m[3] is None:
+        m = LINE.fullmatch(line)
+        if not m:
             continue
         depth = len(m[1])
         path = [p for p in path if p[0] < depth]
-        path.append((depth, (names[int(m[3])], m[4] == ">", float(m[5]))))
+        path.append((depth, (names[int(m[2])], m[3] == ">", float(m[4]))))
         tight: dict[tuple[str, bool], float] = {}
         for _, (s, above, t) in path:
             tight[s, above] = (max if above else min)(t, tight.get((s, above), t))
