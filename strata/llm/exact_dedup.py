@@ -59,8 +59,14 @@ def run_state(spark: SparkSession, arrivals: str, schema, files_per_trigger: int
         "spark.sql.streaming.stateStore.providerClass",
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
+    for key, value in {
+        "boundedMemoryUsage": "true",
+        "maxMemoryUsageMB": "256",
+        # many small stores: no preallocated files, and batches upload their changes only
+        "allowFAllocate": "false",
+        "changelogCheckpointing.enabled": "true",
+    }.items():
+        own.conf.set(f"spark.sql.streaming.stateStore.rocksdb.{key}", value)
 
     state = (
         own.readStream.schema(schema)
