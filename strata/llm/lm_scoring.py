@@ -251,7 +251,7 @@ def build_filter(corpus: DataFrame, tokens: int, buckets: int, bits_per_token: i
     grams = corpus.mapInArrow(count, "bucket long, grams binary, n binary")
     out = np.zeros((buckets, slice_bytes), np.uint8)
     # at most filter_bytes in all
-    for row in grams.groupBy("bucket").applyInArrow(fill, "bucket long, slice binary").toLocalIterator():
+    for row in grams.groupBy("bucket").applyInArrow(fill, "bucket long, slice binary").collect():
         out[row["bucket"]] = np.frombuffer(row["slice"], np.uint8)
     return out
 
@@ -291,7 +291,7 @@ def score_documents(
     buckets = max(8, -(-(asked or 0) // bucket_bytes))
     totals = unigram_totals(corpus, buckets)
     n = v = 0
-    for row in totals.filter("chunk is null").toLocalIterator():  # one row a bucket
+    for row in totals.filter("chunk is null").collect():  # one row a bucket
         distinct, tokens = np.frombuffer(row["totals"], np.int64)
         n, v = n + int(tokens), v + int(distinct)
     grams = max(8, -(-2 * (numbers or 0) // bucket_bytes))
