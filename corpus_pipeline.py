@@ -45,13 +45,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pieces.PieceModel.read(PIECE_MODEL)
     coded = docs.withColumn("__cp_coded", pieces.encode_column(docs, model, F.col("text"), nbest=2))
-    nbest = F.col("__cp_coded.nbest")
     decoded = pieces.decode_column(docs, model, F.col("__cp_coded.ids"))
     return coded.withColumns(
         {
             "piece_ids": F.col("__cp_coded.ids"),
-            "piece_score": nbest[0]["score"],
-            "second_score": F.get(nbest, F.lit(1))["score"],
+            "piece_score": F.col("__cp_coded.score"),
+            "second_score": F.get("__cp_coded.others", F.lit(0))["score"],
             "round_trip": decoded == F.coalesce("text", F.lit("")),
         }
     ).drop("__cp_coded")

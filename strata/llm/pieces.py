@@ -40,7 +40,8 @@ WORDS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 UNKNOWN_COST = 10.0  # below the lowest score of a piece
 KEPT_WORDS = 50_000  # searched words whose segmentations a Python worker keeps
 BATCH_CHARS = 4 << 20  # characters whose words are handled together; a longer text is taken alone
-ENCODED = "struct<ids:array<int>,nbest:array<struct<score:double,ids:array<int>>>>"
+SEGMENT_CHARS = 200_000  # characters of distinct words whose lattices are held at once; a longer word is taken alone
+ENCODED = "struct<ids:array<int>,score:double,others:array<struct<score:double,ids:array<int>>>>"
 
 
 
@@ -234,6 +235,16 @@ class PieceTable:
     def segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of each word the best and the second-best score (-inf: none), and the ids of
         its best segmentation as one flat array with each word's begin."""
+        upto = np.cumsum([0, *map(len, words)])
+        cuts = np.unique(np.searchsorted(upto, np.arange(0, upto[-1] + SEGMENT_CHARS, SEGMENT_CHARS)))
+        parts = [self._segment(words[a:b]) for a, b in zip(cuts, [*cuts[1:], len(words)]) if a < b]
+        parts = parts or [self._segment([])]
+        done = np.cumsum([0, *(len(p[2]) for p in parts)])
+        begin = [p[3][:-1] + d for p, d in zip(parts, done)]
+        best, second, flat = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        return best, second, flat, np.concatenate([*begin, done[-1:]])
+
+    def _segment(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         n, chars = len(words), int(lengths.sum())
         if not n:
@@ -339,8 +350,8 @@ class Decoder:
 
 
 def encode_column(df: DataFrame, model: PieceModel, text: Column, nbest: int = 2) -> Column:
-    """A struct ``ids`` (the best segmentation) and ``nbest`` (score and ids of the N
-    best, the best included).  The model's size is that of its file."""
+    """A struct ``ids`` and ``score`` of the best segmentation and ``others``, score and ids
+    of the next ``nbest - 1``.  The model's size is that of its file."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def lists(values: list[np.ndarray]) -> pa.ListArray:
@@ -360,14 +371,15 @@ def encode_column(df: DataFrame, model: PieceModel, text: Column, nbest: int = 2
                     found += pieces.encode(part, nbest)
                     part, size = [], 0
             found += pieces.encode(part, nbest)
-            flat = [c for choices in found for c in choices]
+            others = [c for choices in found for c in choices[1:]]
             scored = pa.StructArray.from_arrays(
-                [pa.array([c[0] for c in flat], pa.float64()), lists([c[1] for c in flat])], ["score", "ids"]
+                [pa.array([c[0] for c in others], pa.float64()), lists([c[1] for c in others])], ["score", "ids"]
             )
-            starts = np.concatenate(([0], np.cumsum([len(c) for c in found])))
+            ends = np.cumsum([0, *(len(c) - 1 for c in found)])
+            best, scores = lists([c[0][1] for c in found]), pa.array([c[0][0] for c in found], pa.float64())
+            del found, others
             yield pa.StructArray.from_arrays(
-                [lists([c[0][1] for c in found]), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), scored)],
-                ["ids", "nbest"],
+                [best, scores, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), scored)], ["ids", "score", "others"]
             )
 
     return encode(text.cast("binary"))

@@ -116,8 +116,8 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
         "doc_id",
         F.size("coded.ids").cast("long").alias("n_pieces"),
         F.sha2(F.array_join("coded.ids", " ").cast("binary"), 256).alias("ids_sha256"),
-        F.col("coded.nbest")[0]["score"].alias("score"),
-        F.get("coded.nbest", F.lit(1))["score"].alias("second_score"),
+        "coded.score",
+        F.get("coded.others", F.lit(0))["score"].alias("second_score"),
         (decoded == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
 
