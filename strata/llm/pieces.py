@@ -39,7 +39,7 @@ OWN_SPACE = "\ud800"  # stands for a U+2581 of the text; decoded UTF-8 never hol
 WORDS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 UNKNOWN_COST = 10.0  # below the lowest score of a piece
 KEPT_WORDS = 50_000  # searched words whose segmentations a Python worker keeps
-BATCH_CHARS = 4 << 20  # characters whose words are handled together; a longer text is taken alone
+BATCH_CHARS = 2 << 20  # characters whose words are handled together; a longer text is taken alone
 SEGMENT_CHARS = 200_000  # characters of distinct words whose lattices are held at once; a longer word is taken alone
 ENCODED = "struct<ids:array<int>,score:double,others:array<struct<score:double,ids:array<int>>>>"
 
@@ -393,7 +393,7 @@ def decode_column(df: DataFrame, model: PieceModel, ids: Column) -> Column:
     def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         text = shared.value.decode
         for batch in batches:
-            at, flat = batch.offsets.to_pylist(), batch.values.to_pylist()
-            yield pa.array([text(flat[a:b]) for a, b in zip(at, at[1:])], pa.string())
+            at, flat = batch.offsets.to_pylist(), batch.values.to_numpy()
+            yield pa.array([text(flat[a:b].tolist()) for a, b in zip(at, at[1:])], pa.string())
 
     return decode(ids)
