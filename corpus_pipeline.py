@@ -44,7 +44,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = pieces.PieceModel.read(PIECE_MODEL)
-    coded = docs.withColumn("__cp_coded", pieces.encode_column(docs, model, F.col("text"), nbest=2))
+    coded = pieces.encode(docs, model, into="__cp_coded", nbest=2)
     decoded = pieces.decode_column(docs, model, F.col("__cp_coded.ids"))
     return coded.withColumns(
         {

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACE = "▁"
 OWN_SPACE = "\ud800"  # stands for a U+2581 of the text; decoded UTF-8 never holds a lone surrogate
@@ -41,7 +42,7 @@ UNKNOWN_COST = 10.0  # below the lowest score of a piece
 KEPT_WORDS = 50_000  # searched words whose segmentations a Python worker keeps
 BATCH_CHARS = 2 << 20  # characters whose words are handled together; a longer text is taken alone
 SEGMENT_CHARS = 200_000  # characters of distinct words whose lattices are held at once; a longer word is taken alone
-ENCODED = "struct<ids:array<int>,score:double,others:array<struct<score:double,ids:array<int>>>>"
+ENCODED = "ids array<int>, score double, others array<struct<score:double,ids:array<int>>>"
 
 
 
@@ -349,40 +350,42 @@ class Decoder:
         return b"".join(map(self.parts.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
-def encode_column(df: DataFrame, model: PieceModel, text: Column, nbest: int = 2) -> Column:
-    """A struct ``ids`` and ``score`` of the best segmentation and ``others``, score and ids
-    of the next ``nbest - 1``.  The model's size is that of its file."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def encode(docs: DataFrame, model: PieceModel, into: str, nbest: int = 2) -> DataFrame:
+    """``docs`` with a struct column ``into``: ``ids`` and ``score`` of the best segmentation
+    and ``others``, score and ids of the next ``nbest - 1``.  A column of that name is
+    replaced.  The model's size is that of its file."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def lists(values: list[np.ndarray]) -> pa.ListArray:
         ends = np.cumsum([0, *map(len, values)])
         flat = np.concatenate([np.zeros(0, np.int32), *values])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
-    @F.arrow_udf(ENCODED)
-    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces = shared.value
+    def coded(texts: list[str]) -> pa.StructArray:
+        found = shared.value.encode(texts, nbest)
+        others = [c for choices in found for c in choices[1:]]
+        scored = pa.StructArray.from_arrays(
+            [pa.array([c[0] for c in others], pa.float64()), lists([c[1] for c in others])], ["score", "ids"]
+        )
+        ends = np.cumsum([0, *(len(c) - 1 for c in found)])
+        best, scores = lists([c[0][1] for c in found]), pa.array([c[0][0] for c in found], pa.float64())
+        return pa.StructArray.from_arrays(
+            [best, scores, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), scored)], ["ids", "score", "others"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, part, size = [], [], 0
-            for t in batch:
+            at, part, size = 0, [], 0
+            for i, t in enumerate(batch.column("text").cast(pa.binary()), 1):
                 part.append((t.as_py() or b"").decode("utf-8", "replace"))
                 size += len(part[-1])
-                if size >= BATCH_CHARS:
-                    found += pieces.encode(part, nbest)
-                    part, size = [], 0
-            found += pieces.encode(part, nbest)
-            others = [c for choices in found for c in choices[1:]]
-            scored = pa.StructArray.from_arrays(
-                [pa.array([c[0] for c in others], pa.float64()), lists([c[1] for c in others])], ["score", "ids"]
-            )
-            ends = np.cumsum([0, *(len(c) - 1 for c in found)])
-            best, scores = lists([c[0][1] for c in found]), pa.array([c[0][0] for c in found], pa.float64())
-            del found, others
-            yield pa.StructArray.from_arrays(
-                [best, scores, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), scored)], ["ids", "score", "others"]
-            )
-
-    return encode(text.cast("binary"))
+                if size >= BATCH_CHARS or i == len(batch):
+                    rows = batch.slice(at, i - at)
+                    yield pa.RecordBatch.from_arrays([*rows.columns, coded(part)], [*rows.schema.names, into])
+                    at, part, size = i, [], 0
+
+    kept = docs.drop(into)
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(into, T.StructType.fromDDL(ENCODED))]))
 
 
 def decode_column(df: DataFrame, model: PieceModel, ids: Column) -> Column:

@@ -110,7 +110,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str = PIECE_
     gives the text back."""
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = pieces.PieceModel.read(model_path)
-    coded = docs.withColumn("coded", pieces.encode_column(docs, model, F.col("text"), nbest=2))
+    coded = pieces.encode(docs, model, into="coded", nbest=2)
     decoded = pieces.decode_column(docs, model, F.col("coded.ids"))
     return coded.select(
         "doc_id",
