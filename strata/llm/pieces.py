@@ -40,8 +40,8 @@ OWN_SPACE = "\ud800"  # stands for a U+2581 of the text; decoded UTF-8 never hol
 WORDS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 UNKNOWN_COST = 10.0  # below the lowest score of a piece
 KEPT_WORDS = 50_000  # searched words whose segmentations a Python worker keeps
-BATCH_CHARS = 2 << 20  # characters whose words are handled together; a longer text is taken alone
-SEGMENT_CHARS = 200_000  # characters of distinct words whose lattices are held at once; a longer word is taken alone
+BATCH_CHARS = 1 << 20  # characters whose words are handled together; a longer text is taken alone
+SEGMENT_CHARS = 100_000  # characters of distinct words whose lattices are held at once; a longer word is taken alone
 ENCODED = "ids array<int>, score double, others array<struct<score:double,ids:array<int>>>"
 
 
