@@ -45,7 +45,7 @@ INPUTS = {
     "dim_promotion": ("orders",),
     "dim_quarter": ("orders",),
     "dq_grain_duplicates": ("orders", "orders"),
-    "silver_build_all": ("customer", "customer", "part") + ("orders",) * 7,
+    "silver_build_all": ("customer", "customer", "part") + ("orders",) * 6,
 }
 
 

@@ -11,8 +11,8 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    # start with many shuffle partitions and let AQE merge them: a 100 TB fact
-    # join then runs ~400k tasks of ~256 MB instead of 200 huge ones
+    # AQE merges small partitions and splits skewed ones, but never raises this
+    # count: set it to about (bytes shuffled) / 256 MB.  20000 suits 5 TB shuffled
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.files.maxPartitionBytes": "256m",
     # no broadcast on planner estimates for unknown-size sides; runtime

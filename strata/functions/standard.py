@@ -167,7 +167,7 @@ def bundle_type(phone: str = "phone_service", internet: str = "internet_service"
 
 def family_size(marital: str = "marital_status", dependents: str = "number_of_dependents") -> Column:
     d = ident(dependents)
-    return F.expr(f"CASE WHEN {ident(marital)} = 'Married' THEN {d} + 2 ELSE {d} + 1 END")
+    return F.expr(f"CASE WHEN {ident(marital)} = 'Married' THEN try_add({d}, 2) ELSE try_add({d}, 1) END")
 
 
 def total_services(cols=ADD_ONS) -> Column:

@@ -33,7 +33,9 @@ def hash_key_columns(cols: Sequence[str | Column]) -> Column:
 
 
 def period_key(year: str | Column, quarter: str | Column) -> Column:
-    return (as_col(year) * 100 + as_col(quarter)).try_cast("int")
+    # widened first: a value out of range gives NULL, not an error
+    year, quarter = (as_col(c).try_cast("decimal(20,0)") for c in (year, quarter))
+    return (year * 100 + quarter).try_cast("int")
 
 
 _BUCKET = "_sk_bucket"

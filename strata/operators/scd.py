@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import sequential_key
+from .relational import dedup_by_key
 
 
 def _same_key(left: DataFrame, right: DataFrame, natural_key: Sequence[str]):
@@ -32,7 +33,8 @@ def scd1_upsert(
     * only in incoming: a new key after the current maximum, numbered in
       natural-key order with the distributed sequential key.
 
-    Keys of existing members never change, unlike a full rebuild.  Two joins on
+    Incoming rows that share a natural key are reduced to one by the deterministic
+    dedup; a current table that repeats one is refused.  Keys of existing members never change, unlike a full rebuild.  Two joins on
     the natural key (shuffle or size-checked broadcast, chosen by the planner),
     plus the sequential key over the new members only; the current maximum key
     is a single scalar.
@@ -43,7 +45,10 @@ def scd1_upsert(
     missing = [c for c in [*natural_key, *attrs] if c not in incoming.columns]
     if missing:
         raise ValueError(f"incoming rows lack dimension columns: {missing}")
-    incoming = incoming.select(*natural_key, *attrs)
+    # one row per natural key on either side, else members would multiply
+    incoming = dedup_by_key(incoming.select(*natural_key, *attrs), natural_key)
+    if not current.groupBy(*natural_key).count().filter("count > 1").isEmpty():
+        raise ValueError(f"current rows repeat the natural key {natural_key}")
     cur_keys = current.select(*[F.col(k).alias(f"_cur_{k}") for k in natural_key], F.col(surrogate_key).alias("_cur_sk"))
     matched_or_new = incoming.join(cur_keys, _same_key(incoming, cur_keys, natural_key), "left")
 

@@ -25,15 +25,14 @@ from .schemas import BRONZE, SILVER, bronze_file_schema
 # Minimum accepted rows per bronze table.
 MIN_ROWS = {"demographics": 7000, "location": 7000, "population": 1600, "services": 7000, "status": 7000}
 
-# Table descriptions of the silver layer.
 SILVER_COMMENTS = {
-    "dim_customer": "Customer dimension with stable demographic attributes. Grain: one row per customer.",
-    "dim_service_package": "Service package dimension. Grain: one row per unique combination of service and billing attributes.",
-    "dim_location": "Location dimension with geographic and demographic attributes.",
-    "dim_churn_status": "Churn status mini-dimension: one row per unique status combination.",
-    "dim_quarter": "Quarterly time dimension: one row per source quarter.",
-    "dim_promotion": "Promotion mini-dimension. Grain: one row per unique offer and referral combination.",
-    "facts_base": "Base fact table with cleaned measures. Grain: (customer_id, quarter).",
+    "dim_customer": "Who the customers are: one member per customer id, standardized demographics.",
+    "dim_service_package": "Distinct combinations of booked services, contract and payment, keyed by their hash.",
+    "dim_location": "Where customers live: one member per ZIP with city, coordinates and population.",
+    "dim_churn_status": "Distinct combinations of customer status and churn reasons, keyed by their hash.",
+    "dim_quarter": "Quarters found in the sources, with the business year and half-year.",
+    "dim_promotion": "Distinct combinations of offer and referral, keyed by their hash.",
+    "facts_base": "Typed measures of each customer and quarter.",
 }
 
 
@@ -177,12 +176,18 @@ def run_silver(
         t: (lambda t=t, build=build: sinks.overwrite_table(build(bronze), f"{cfg.silver_db}.{t}"))
         for t, build in builders.items()
     }
-    counts = _run_all(tasks, cfg.parallel_jobs)
+    try:
+        counts = _run_all(tasks, cfg.parallel_jobs)
+    except Exception:
+        # a build that raises leaves a record too; -1 rows: not known
+        record_audit(spark, _audit_rows(spark, run_id, "silver", dict.fromkeys(tasks, -1), "failed"), cfg)
+        raise
     empty = [t for t, n in counts.items() if n == 0]
     audit = _audit_rows(spark, run_id, "silver", counts, "failed" if empty else "success")
     record_audit(spark, audit, cfg)
-    if cfg.report_table and {"facts_base", "dim_location"} <= set(builders):
-        written = {t: spark.table(f"{cfg.silver_db}.{t}") for t in ("facts_base", "dim_location")}
+    checked = [t for t in ("facts_base", "dim_location") if t in builders]
+    if cfg.report_table and checked:
+        written = {t: spark.table(f"{cfg.silver_db}.{t}") for t in checked}
         report = quality_report(written).select(F.lit(run_id).alias("run_id"), "*")
         report.write.mode("append").format("parquet").saveAsTable(cfg.report_table)
     if enforce and empty:  # counts were measured in the write jobs: no re-count
@@ -205,23 +210,25 @@ def _long(df: DataFrame, check: str, table: str, columns) -> DataFrame:
 
 
 def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """V3-V6 over the silver tables in long form: grain duplicates and NULLs in
-    the grain of the facts, NULLs in the location dimension's key columns, and
-    the measure profile (``profile_<stat>`` per measure).  Every part is one
-    aggregate pass with partial aggregation; the report has a fixed 28 rows."""
-    f, loc = tables["facts_base"], tables["dim_location"]
-    dup = quality.grain_duplicates(f, facts.GRAIN).select(
-        F.lit("grain_duplicates").alias("check_name"), F.lit("facts_base").alias("table_name"),
-        F.lit(",".join(facts.GRAIN)).alias("column_name"), F.col("duplicate_groups").cast("double").alias("value"))
-    parts = [
-        dup,
-        _long(quality.null_counts(f, list(facts.GRAIN)), "null_count", "facts_base", facts.GRAIN),
-        _long(quality.null_counts(loc, list(LOCATION_KEY_COLUMNS)), "null_count", "dim_location", LOCATION_KEY_COLUMNS),
-    ]
-    prof = quality.profile(f, PROFILED)
-    for stat in ("count", "mean", "stddev", "min", "max"):
-        parts.append(prof.select(F.lit(f"profile_{stat}").alias("check_name"), F.lit("facts_base").alias("table_name"),
-                                 F.col("measure").alias("column_name"), F.col(stat).cast("double").alias("value")))
+    """V3-V6 over those of ``facts_base`` and ``dim_location`` that are given, in long
+    form: grain duplicates and NULLs in the grain of the facts, NULLs in the
+    location dimension's key columns, and the measure profile
+    (``profile_<stat>`` per measure).  Every part is one aggregate pass with
+    partial aggregation; the full report has a fixed 28 rows."""
+    parts = []
+    if "facts_base" in tables:
+        f = tables["facts_base"]
+        parts.append(quality.grain_duplicates(f, facts.GRAIN).select(
+            F.lit("grain_duplicates").alias("check_name"), F.lit("facts_base").alias("table_name"),
+            F.lit(",".join(facts.GRAIN)).alias("column_name"), F.col("duplicate_groups").cast("double").alias("value")))
+        parts.append(_long(quality.null_counts(f, list(facts.GRAIN)), "null_count", "facts_base", facts.GRAIN))
+        prof = quality.profile(f, PROFILED)
+        for stat in ("count", "mean", "stddev", "min", "max"):
+            parts.append(prof.select(F.lit(f"profile_{stat}").alias("check_name"), F.lit("facts_base").alias("table_name"),
+                                     F.col("measure").alias("column_name"), F.col(stat).cast("double").alias("value")))
+    if "dim_location" in tables:
+        nulls = quality.null_counts(tables["dim_location"], list(LOCATION_KEY_COLUMNS))
+        parts.append(_long(nulls, "null_count", "dim_location", LOCATION_KEY_COLUMNS))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

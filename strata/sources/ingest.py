@@ -11,7 +11,6 @@ the write, so the file is not scanned a second time to count it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -49,13 +48,14 @@ def read_delimited(
     """Read a delimited file with a header.
 
     With ``schema``: text read, then projected onto the schema by column name
-    with ``try_cast`` (absent columns are NULL, extra file columns dropped).
+    with ``try_cast`` (absent columns are NULL); columns of the file that the
+    schema does not name follow as text, so the raw layer loses none.
     Without: every column as text, or inferred types when ``infer_schema``.
     """
     reader = spark.read.option("header", str(header).lower()).option("sep", sep).option("mode", "PERMISSIVE")
     if schema is None:
         return reader.option("inferSchema", str(infer_schema).lower()).csv(path)
-    return align_to(reader.option("inferSchema", "false").csv(path), schema)
+    return align_to(reader.option("inferSchema", "false").csv(path), schema, keep_undeclared=True)
 
 
 def with_lineage(df: DataFrame, source_file: str) -> DataFrame:
@@ -111,18 +111,6 @@ def ingest_file(
     return IngestResult(source.table, source.file, target, rows)
 
 
-def ingest_all(
-    spark: SparkSession,
-    source_dir: str,
-    target_base: str,
-    sources: Sequence[SourceFile] = DEFAULT_SOURCES,
-    schemas: dict[str, T.StructType] | None = None,
-) -> list[IngestResult]:
-    """Every configured file, one independent write job each."""
-    schemas = schemas or {}
-    return [ingest_file(spark, source_dir, s, target_base, schemas.get(s.table)) for s in sources]
-
-
 def stage_delimited(df: DataFrame, path: str) -> None:
     """Write ``df`` as a header-first CSV folder exactly as given (no whitespace
     trimming, NULL as an empty field, '' as ``""``).  Used to produce source

@@ -29,7 +29,7 @@ SELECT CASE WHEN c_custkey % 3 = 0 THEN ' ' || c_name || ' ' ELSE c_name END AS
 RAW_LOCATION = """
 SELECT c_name AS customer_id, CASE WHEN z % 97 <> 0 THEN CAST(z AS INT) END AS zip_code,
  CASE z % 4 WHEN 0 THEN ' los angeles' WHEN 1 THEN 'SAN JOSE' WHEN 2 THEN 'la jolla  ' ELSE 'o''brien-ville' END AS city,
- CAST(z % 1900 AS DOUBLE) / 10 - 95 AS latitude, CAST(z % 3700 AS DOUBLE) / 10 - 185 AS longitude
+ CASE WHEN z % 89 <> 0 THEN CAST((z * 37) % 1900 AS DOUBLE) / 10 - 95 END AS latitude, CASE WHEN z % 83 <> 0 THEN CAST((z * 37) % 3700 AS DOUBLE) / 10 - 185 END AS longitude
  FROM (SELECT c_name, 1000 + (c_custkey * 7) % 600 AS z FROM {customer}) t
 """
 

@@ -13,16 +13,20 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
-def align_to(df: DataFrame, schema) -> DataFrame:
+def align_to(df: DataFrame, schema, keep_undeclared: bool = False) -> DataFrame:
     """Project ``df`` onto ``schema``: declared order, declared types (``try_cast``),
     matched by name case-insensitively; a declared column ``df`` lacks is a typed
-    NULL; field metadata (comments) is kept."""
+    NULL; field metadata (comments) is kept.  ``keep_undeclared`` appends the
+    columns that the schema does not name, as they are."""
     have = {c.lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
         src = have.get(f.name.lower())
         col = F.col(f"`{src}`").try_cast(f.dataType) if src is not None else F.lit(None).cast(f.dataType)
         cols.append(col.alias(f.name, metadata=f.metadata))
+    declared = {f.name.lower() for f in schema.fields}
+    if keep_undeclared:
+        cols += [F.col(f"`{c}`") for c in df.columns if c.lower() not in declared]
     return df.select(*cols)
 
 
