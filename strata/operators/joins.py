@@ -7,13 +7,16 @@ adaptive skew-join rule splits an oversized partition of one side into several
 tasks, replicating the matching partition of the other side.
 
 ``hot_key_fraction``: an explicit split for when the skew must be handled
-regardless of adaptive settings.  Keys holding more than that fraction of the
-left side's rows are "hot".  Their number is at most ``1 / fraction`` (the
-counts sum to the row total), which bounds the broadcast key table.  Hot rows of
-the left side are spread over ``ceil(rows_k / rows_per_task)`` salt values; the
-right side's rows of those keys are replicated once per salt value; cold rows
-join normally; the two results are unioned.  Every output row is produced
-exactly once, so inner and left joins keep their exact results.
+regardless of adaptive settings.  Keys holding more than that fraction of either
+side's rows are "hot": at most ``2 / fraction`` keys (the counts of a side sum to
+its row total), which bounds the list that is read to the driver and broadcast.
+A hot key with L left and R right rows becomes a grid of ``ceil(L / rows_per_task)``
+times ``ceil(R / rows_per_task)`` cells: a left row goes to one grid row and is
+replicated along it, a right row to one grid column and is replicated along that,
+so each pair meets in exactly one cell.  All other rows join normally and the two
+results are unioned, so inner and left joins keep their exact results.  A left join
+splits the left side only, since a left row without a partner in one cell of several
+would give a row too many.
 """
 
 from __future__ import annotations
@@ -23,9 +26,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_SALT = "_jk_salt"
-_NSALT = "_jk_nsalt"
+_ROWS = "_jk_rows"
+_COLS = "_jk_cols"
 
 
 def _condition(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]):
@@ -62,33 +66,43 @@ def equi_join(
     if how not in ("inner", "left"):
         raise ValueError("hot-key splitting supports inner and left joins")
     lkeys = [lk for lk, _ in pairs]
-    rkeys = [rk for _, rk in pairs]
+    keys = [f"_jk_{i}" for i in range(len(pairs))]
+
+    def rows_per_key(df: DataFrame, names: Sequence[str], as_: str) -> DataFrame:
+        # NULL keys never match, so they are not split even when frequent
+        named = df.select(*[F.col(c).alias(k) for c, k in zip(names, keys)]).dropna()
+        return named.groupBy(*keys).agg(F.count(F.lit(1)).alias(as_))
 
-    total = left.count()
-    threshold = max(1, math.floor(total * hot_key_fraction))
-    # at most 1 / hot_key_fraction rows: a proven bound for the broadcast below
-    hot = (
-        left.groupBy(*lkeys)
-        .agg(F.count(F.lit(1)).alias("_jk_rows"))
-        .filter(F.col("_jk_rows") > threshold)
-        .select(*lkeys, F.ceil(F.col("_jk_rows") / F.lit(rows_per_task)).cast("int").alias(_NSALT))
+    counts = rows_per_key(left, lkeys, "_jk_l").join(
+        rows_per_key(right, [rk for _, rk in pairs], "_jk_r"), keys, "full"
     )
-    hot_b = F.broadcast(hot)
-    hot_r = F.broadcast(hot.select(*[F.col(lk).alias(rk) for lk, rk in pairs], _NSALT))
+    totals = counts.agg(F.sum("_jk_l"), F.sum("_jk_r")).first()
+    most = [max(1, math.floor((n or 0) * hot_key_fraction)) for n in totals]
+    hot_rows = counts.filter((F.col("_jk_l") > most[0]) | (F.col("_jk_r") > most[1])).collect()
+    cells = [
+        (*(r[k] for k in keys), math.ceil((r["_jk_l"] or 1) / rows_per_task),
+         1 if how == "left" else math.ceil((r["_jk_r"] or 1) / rows_per_task))
+        for r in hot_rows
+    ]
+    kinds = T.StructType([*counts.select(*keys).schema, T.StructField(_ROWS, T.IntegerType()),
+                          T.StructField(_COLS, T.IntegerType())])
+    hot = F.broadcast(left.sparkSession.createDataFrame(cells, kinds))
+
+    def cold_rows(df: DataFrame, names: Sequence[str]) -> DataFrame:
+        return df.join(hot, [F.col(c) == F.col(k) for c, k in zip(names, keys)], "left_anti")
+
+    def in_grid(df: DataFrame, names: Sequence[str], own: str, other: str, at: Sequence[str]) -> DataFrame:
+        # the place comes from the row's content, so a recomputed task gives the same one
+        place = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(own)).cast("int")
+        along = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        found = df.join(hot, [F.col(c) == F.col(k) for c, k in zip(names, keys)], "inner")
+        return found.select(*df.columns, place.alias(at[0]), along.alias(at[1]))
 
-    left_cold = left.join(hot_b, lkeys, "left_anti")
-    right_cold = right.join(hot_r, rkeys, "left_anti")
+    rkeys = [rk for _, rk in pairs]
+    left_cold, right_cold = cold_rows(left, lkeys), cold_rows(right, rkeys)
     cold = left_cold.join(hinted(right_cold), _condition(left_cold, right_cold, pairs), how)
-
-    # NULL keys never match, so they stay on the cold side even when frequent.
-    # Salt from the row content: deterministic, so a recomputed task salts the same way.
-    left_hot = left.join(hot_b, lkeys, "inner").withColumn(
-        _SALT, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col(_NSALT)).cast("int")
-    )
-    right_hot = right.join(hot_r, rkeys, "inner").withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.col(_NSALT) - 1))
-    )
-    right_hot = right_hot.withColumnRenamed(_NSALT, "_jk_nsalt_r").withColumnRenamed(_SALT, "_jk_salt_r")
-    cond = _condition(left_hot, right_hot, pairs) & (left_hot[_SALT] == right_hot["_jk_salt_r"])
-    hot_out = left_hot.join(hinted(right_hot), cond, how).drop(_SALT, _NSALT, "_jk_salt_r", "_jk_nsalt_r")
+    left_hot = in_grid(left, lkeys, _ROWS, _COLS, ("_jk_la", "_jk_lb"))
+    right_hot = in_grid(right, rkeys, _COLS, _ROWS, ("_jk_rb", "_jk_ra"))
+    met = _condition(left_hot, right_hot, [*pairs, ("_jk_la", "_jk_ra"), ("_jk_lb", "_jk_rb")])
+    hot_out = left_hot.join(hinted(right_hot), met, how).select(*left.columns, *right.columns)
     return cold.unionByName(hot_out)

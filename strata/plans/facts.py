@@ -91,6 +91,7 @@ def facts_keyed(
     dim_customer: DataFrame,
     join_on: Sequence[str] = ("customer_id", "quarter"),
     business_year: int = BUSINESS_YEAR,
+    hot_key_fraction: float | None = None,
 ) -> DataFrame:
     """Base facts with the star-schema keys of their dimensions attached.
 
@@ -131,5 +132,6 @@ def facts_keyed(
         hash_key_joined(dims.SERVICE_ATTRIBUTES).alias("service_package_key"),
         hash_key_joined(["_offer", "_referred"]).alias("promotion_key"),
     )
-    keyed = equi_join(left, right, [(f"_l_{k}", f"_r_{k}") for k in join_on], how="inner", strategy="merge")
+    keyed = equi_join(left, right, [(f"_l_{k}", f"_r_{k}") for k in join_on], how="inner",
+                      hot_key_fraction=hot_key_fraction, strategy="merge")
     return keyed.select(*KEYS, *[f.name for f in SILVER["facts_base"].fields])

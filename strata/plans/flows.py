@@ -117,9 +117,10 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
     ``cfg.audit_table``)."""
     run_id = run_id or uuid.uuid4().hex
     create_bronze_tables(spark, cfg)
+    loaded_at = datetime.now(timezone.utc)  # one timestamp for the five tables
     tasks = {
         s.table: (lambda s=s: ingest.ingest_file(spark, cfg.source_dir, s, cfg.bronze_base, bronze_file_schema(s.table),
-                                                 rebalance=cfg.rebalance_sources))
+                                                 rebalance=cfg.rebalance_sources, loaded_at=loaded_at))
         for s in cfg.sources
     }
     results = _run_all(tasks, cfg.parallel_jobs)

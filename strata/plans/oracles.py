@@ -593,6 +593,7 @@ ORACLES: dict[str, str] = {
     "dim_promotion": DIM_PROMOTION,
     "dim_quarter": DIM_QUARTER,
     "facts_base": FACTS_BASE,
+    "facts_base_hot_split": FACTS_BASE,
     "facts_base_grain_safe": FACTS_BASE_GRAIN_SAFE,
     "facts_keyed": FACTS_KEYED,
     "standardize_flags": STANDARDIZE_FLAGS,

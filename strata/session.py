@@ -84,7 +84,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unique folder name under the checkpoint root (not created)."""
-    root = checkpoint_root(spark)
-    return f"{root}/strata/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder name under the checkpoint root (not created); what is
+    written there is removed when the application ends."""
+    path = f"{checkpoint_root(spark)}/strata/{label}-{uuid.uuid4().hex[:12]}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
 

@@ -12,6 +12,7 @@ the write, so the file is not scanned a second time to count it.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +59,11 @@ def read_delimited(
     return align_to(reader.option("inferSchema", "false").csv(path), schema, keep_undeclared=True)
 
 
-def with_lineage(df: DataFrame, source_file: str) -> DataFrame:
-    """One load timestamp for the whole run and the constant source file name."""
-    return df.withColumns({"ingestion_timestamp": F.current_timestamp(), "source_file": F.lit(source_file)})
+def with_lineage(df: DataFrame, source_file: str, loaded_at: datetime | None = None) -> DataFrame:
+    """Load timestamp and the constant source file name.  A run passes one
+    ``loaded_at`` to all its tables; without it the query's own start counts."""
+    stamp = F.current_timestamp() if loaded_at is None else F.lit(loaded_at)
+    return df.withColumns({"ingestion_timestamp": stamp, "source_file": F.lit(source_file)})
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "snappy") -> None:
@@ -95,6 +98,7 @@ def ingest_file(
     schema: T.StructType | None = None,
     infer_schema: bool = False,
     rebalance: bool = False,
+    loaded_at: datetime | None = None,
 ) -> IngestResult:
     """S1+S2+S3 for one file: read, add lineage, write Parquet, count in the same job.
 
@@ -107,7 +111,7 @@ def ingest_file(
     if rebalance:
         df = df.hint("rebalance")
     target = bronze_path(target_base, source.table)
-    rows = write_counted(with_lineage(df, source.file), target, source.table)
+    rows = write_counted(with_lineage(df, source.file, loaded_at), target, source.table)
     return IngestResult(source.table, source.file, target, rows)
 
 

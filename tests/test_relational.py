@@ -39,6 +39,24 @@ def test_hot_key_split_join_equals_plain_join(spark, how):
     assert rows(split, "lid", "rid") == rows(plain, "lid", "rid")
 
 
+def test_hot_key_split_with_the_hot_key_on_the_right(spark, tmp_path):
+    # key 0 is rare on the left and holds a third of the right rows; key 1 is hot on both; NULL keys are frequent
+    spark.range(0, 900).select(
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 3 == 1, F.lit(None)).when(F.col("id") < 20, F.lit(0))
+        .otherwise(F.col("id") % 90 + 2).cast("int").alias("lk"), F.col("id").alias("lid")).write.parquet(f"{tmp_path}/l")
+    spark.range(0, 6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 9 == 1, F.lit(1)).when(F.col("id") % 9 == 2, F.lit(None))
+        .otherwise(F.col("id") % 200 + 2).alias("rk"), F.col("id").alias("rid")).write.parquet(f"{tmp_path}/r")
+    left, right = spark.read.parquet(f"{tmp_path}/l"), spark.read.parquet(f"{tmp_path}/r")
+    for how in ("inner", "left"):
+        plain = equi_join(left, right, [("lk", "rk")], how)
+        split = equi_join(left, right, [("lk", "rk")], how, hot_key_fraction=0.05, rows_per_task=100)
+        assert split.columns == plain.columns
+        assert rows(split, "lid", "rid") == rows(plain, "lid", "rid")
+        plan = split._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parquet") <= 4  # the counts are not part of the plan
+
+
 def test_distinct_with_ratio(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "x string")
     r = distinct_with_ratio(df).first()
