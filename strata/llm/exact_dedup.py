@@ -24,7 +24,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, freeze, remove, scratch
+from .common import ascii_lower, freeze, join_spread, remove, scratch
 
 FILE, ROW = "__xd_file", "__xd_row"
 
@@ -115,9 +115,8 @@ def assign_groups(
     state = freeze(run_state(spark, path, arrivals.schema, per_batch), "exact-dedup-groups")
 
     # hits: the bytes decide.  Equal rows collapse in the map-side half of the aggregate
-    hits = docs.select(digest(normal_text()).alias("digest"), normal_text().alias("bytes"), "doc_id", FILE, ROW).join(
-        state.filter("n > 1").select("digest"), "digest", "left_semi"
-    )
+    texts = docs.select(digest(normal_text()).alias("digest"), normal_text().alias("bytes"), "doc_id", FILE, ROW)
+    hits = join_spread(texts, state.filter("n > 1").select("digest", "n"), "digest", [FILE, ROW]).drop("n")
     by_bytes = hits.groupBy("digest", "bytes").agg(
         F.max(F.struct("doc_id", FILE, ROW)).alias("stays"), F.count(F.lit(1)).alias("n")
     )
@@ -135,10 +134,11 @@ def assign_groups(
         )
 
     if variants.isEmpty():
-        return rows(arrivals.join(state, "digest"))
+        return rows(join_spread(arrivals, state, "digest", [FILE, ROW]))
     # digests that stand for several texts: the bytes are the key
     split = hits.join(variants, "digest", "left_semi").join(by_bytes, ["digest", "bytes"])
-    return rows(arrivals.join(variants, "digest", "left_anti").join(state, "digest")).unionByName(rows(split))
+    single = state.join(variants, "digest", "left_anti")
+    return rows(join_spread(arrivals, single, "digest", [FILE, ROW])).unionByName(rows(split))
 
 
 def keep_rows(docs: DataFrame, **options) -> DataFrame:
