@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze
+from .common import freeze, join_spread
 from .components import components
 
 CHUNK = 1 << 16  # shingles whose bits are counted at once
@@ -90,15 +90,19 @@ def near_duplicates(docs: DataFrame, words: int = 3, most_bits: int = 3, row_id:
     ``row_id`` if such a column is named."""
     extra = [row_id] if row_id else []
     fps = freeze(docs.select("doc_id", *extra, fingerprint_column(F.col("text"), words).alias("fp")), "simhash")
-    distinct = freeze(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
+    found = fps.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n"))
+    distinct = freeze(found, "simhash-distinct")
     roots = components(link_fingerprints(distinct.select("fp"), most_bits))
     # a linked fingerprint is mapped to its component's smallest id, any other to its own
     rooted = distinct.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
+        "fp", "least", "n", F.coalesce("root", "fp").alias("root")
     )
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(smallest, "root").select("fp", "component_id")
-    return fps.join(by_print, "fp").select("doc_id", *extra, "fp", "component_id")
+    smallest = freeze(
+        rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("n")), "simhash-roots"
+    )
+    named = join_spread(rooted.withColumnRenamed("n", "copies"), smallest, "root", ["fp"])
+    by_print = freeze(named.select("fp", F.col("copies").alias("n"), "component_id"), "simhash-groups")
+    return join_spread(fps, by_print, "fp", ["doc_id", *extra]).select("doc_id", *extra, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = 3, most_bits: int = 3) -> DataFrame:
