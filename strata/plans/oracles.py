@@ -2,14 +2,14 @@
 
 Written directly from the rule semantics in plain SQL - window ``row_number``
 for sequential keys, ``ROW_NUMBER() ... = 1`` for dedup, ``CASE`` chains for
-rules - over the same raw view texts the Spark side uses.  Hash keys have no
-DuckDB equivalent and are left out of the compared projections (their
-uniqueness is checked by ``dq_key_unique``; their values by unit tests).
+rules - over the same raw view texts the Spark side uses.  Hash keys are computed
+by ``xxh64_sql`` on the distinct members of their dimension.
 """
 
 from __future__ import annotations
 
 from ..sources.raw_views import duckdb_view_sql
+from .xxh64_sql import key_chained, key_joined, signed64
 
 
 def initcap(x: str) -> str:
@@ -134,7 +134,14 @@ DIM_SERVICE_PACKAGE_BODY = (
     + "\nFROM (SELECT *, " + TOTAL_SERVICES + " AS total_services FROM (SELECT DISTINCT "
     + ", ".join(PACKAGE_ATTRS) + " FROM std_services) d) t"
 )
-DIM_SERVICE_PACKAGE = with_(raw("services") + [STD_SERVICES], DIM_SERVICE_PACKAGE_BODY)
+
+
+def with_key(body: str, name: str, key: str) -> str:
+    return f"SELECT * EXCLUDE (h), {signed64('h')} AS {name} FROM (SELECT *, {key} AS h FROM ({body}) b) k"
+
+
+KEYED_SERVICE_PACKAGE = with_key(DIM_SERVICE_PACKAGE_BODY, "service_package_key", key_joined(PACKAGE_ATTRS))
+DIM_SERVICE_PACKAGE = with_(raw("services") + [STD_SERVICES], KEYED_SERVICE_PACKAGE)
 
 # ---------------------------------------------------------------- churn status
 STD_STATUS = f"""std_status AS (
@@ -148,11 +155,16 @@ STD_STATUS = f"""std_status AS (
       trim({initcap('churn_category')}) AS cat, trim(churn_reason) AS reason
     FROM raw_status) s)"""
 
-DIM_CHURN_STATUS = with_(raw("status") + [STD_STATUS], "SELECT DISTINCT customer_status, churn_category, churn_reason FROM std_status")
+CHURN_ATTRS = ["customer_status", "churn_category", "churn_reason"]
+DIM_CHURN_STATUS_BODY = "SELECT DISTINCT customer_status, churn_category, churn_reason FROM std_status"
+KEYED_CHURN_STATUS = with_key(DIM_CHURN_STATUS_BODY, "churn_status_key", key_chained(CHURN_ATTRS))
+DIM_CHURN_STATUS = with_(raw("status") + [STD_STATUS], KEYED_CHURN_STATUS)
 
 # ---------------------------------------------------------------- promotion
 STD_PROMOTION = f"std_promotion AS (SELECT {OFFER} AS offer, {flag('referred_a_friend', 'No')} AS referred_a_friend FROM raw_services)"
-DIM_PROMOTION = with_(raw("services") + [STD_PROMOTION], "SELECT DISTINCT offer, referred_a_friend FROM std_promotion")
+DIM_PROMOTION_BODY = "SELECT DISTINCT offer, referred_a_friend FROM std_promotion"
+KEYED_PROMOTION = with_key(DIM_PROMOTION_BODY, "promotion_key", key_joined(["offer", "referred_a_friend"]))
+DIM_PROMOTION = with_(raw("services") + [STD_PROMOTION], KEYED_PROMOTION)
 
 # ---------------------------------------------------------------- facts
 FACT_SELECT = """trim(s.customer_id) AS customer_id, trim(s.quarter) AS "quarter",
@@ -190,9 +202,9 @@ SILVER_BODIES = {
     "dim_customer": DIM_CUSTOMER_BODY,
     "dim_location": DIM_LOCATION_BODY,
     "dim_service_package": DIM_SERVICE_PACKAGE_BODY,
-    "dim_churn_status": "SELECT DISTINCT customer_status, churn_category, churn_reason FROM std_status",
+    "dim_churn_status": DIM_CHURN_STATUS_BODY,
     "dim_quarter": DIM_QUARTER_BODY,
-    "dim_promotion": "SELECT DISTINCT offer, referred_a_friend FROM std_promotion",
+    "dim_promotion": DIM_PROMOTION_BODY,
     "facts_base": "SELECT * FROM facts",
 }
 
@@ -493,17 +505,6 @@ CATALOG_DATA_DICTIONARY = _data_dictionary()
 # ---------------------------------------------------------------- keyed facts
 QUARTER_KEY = "CAST(2025 * 100 + TRY_CAST(regexp_extract(s.\"quarter\", 'Q(\\d)', 1) AS INTEGER) AS INTEGER)"
 
-FACTS_KEYED_CTE = (
-    f"facts_k AS (SELECT {FACT_SELECT}, {QUARTER_KEY} AS quarter_key\n  FROM raw_status s JOIN raw_services v "
-    "ON s.customer_id = v.customer_id AND s.quarter = v.quarter)"
-)
-FACTS_KEYED = with_(
-    raw("status", "services", "demographics") + [CLEAN_DEMOGRAPHICS, FACTS_KEYED_CTE,
-                                                 f"silver_dim_customer AS ({DIM_CUSTOMER_BODY})"],
-    "SELECT c.customer_key, f.* FROM facts_k f LEFT JOIN (SELECT customer_id, min(customer_key) AS customer_key "
-    "FROM silver_dim_customer GROUP BY customer_id) c ON f.customer_id = c.customer_id",
-)
-
 # every services / status row with its standardized attributes (prefixed), so a
 # fact row can be matched to its dimension row on attributes
 _PKG_FULL = ", ".join(
@@ -529,6 +530,32 @@ FK_ROWS = (
     + ", v.pr_offer, v.pr_referred_a_friend FROM status_full s JOIN services_full v "
     "ON s.customer_id = v.customer_id AND s.quarter = v.quarter)"
 )
+FACTS_KEYED_CTE = (
+    f"facts_k AS (SELECT {FACT_SELECT}, {QUARTER_KEY} AS quarter_key, s.st_customer_status, s.st_churn_category, "
+    "s.st_churn_reason, " + ", ".join(f"v.pk_{a}" for a in PACKAGE_ATTRS)
+    + ", v.pr_offer, v.pr_referred_a_friend FROM status_full s JOIN services_full v "
+    "ON s.customer_id = v.customer_id AND s.quarter = v.quarter)"
+)
+
+
+def _member(alias: str, prefix: str, columns: list[str]) -> str:
+    return " AND ".join(f"f.{prefix}_{c} = {alias}.{c}" for c in columns)
+
+
+FACTS_KEYED = with_(
+    raw("status", "services", "demographics")
+    + [CLEAN_DEMOGRAPHICS, STD_SERVICES, STD_STATUS, STD_PROMOTION, SERVICES_FULL, STATUS_FULL, FACTS_KEYED_CTE,
+       f"silver_dim_customer AS ({DIM_CUSTOMER_BODY})", f"packages AS MATERIALIZED ({KEYED_SERVICE_PACKAGE})",
+       f"statuses AS MATERIALIZED ({KEYED_CHURN_STATUS})", f"promotions AS MATERIALIZED ({KEYED_PROMOTION})"],
+    "SELECT c.customer_key, p.service_package_key, o.promotion_key, t.churn_status_key, "
+    "f.* EXCLUDE (st_customer_status, st_churn_category, st_churn_reason, pr_offer, pr_referred_a_friend, "
+    + ", ".join(f"pk_{a}" for a in PACKAGE_ATTRS)
+    + ") FROM facts_k f LEFT JOIN (SELECT customer_id, min(customer_key) AS customer_key "
+    "FROM silver_dim_customer GROUP BY customer_id) c ON f.customer_id = c.customer_id\n"
+    f"LEFT JOIN packages p ON {_member('p', 'pk', PACKAGE_ATTRS)}\n"
+    f"LEFT JOIN promotions o ON {_member('o', 'pr', ['offer', 'referred_a_friend'])}\n"
+    f"LEFT JOIN statuses t ON {_member('t', 'st', CHURN_ATTRS)}",
+)
 
 
 def _fk_check(name: str, join: str, present: str, key_not_null: str = "TRUE") -> str:
@@ -616,7 +643,9 @@ ORACLES: dict[str, str] = {
     "dedup_ratio": DEDUP_RATIO,
     "seq_key_customer": SEQ_KEY_CUSTOMER,
     "seq_key_location": SEQ_KEY_LOCATION,
-    # hash_key_* : no xxhash64 in DuckDB -> rows-only; uniqueness in dq_key_unique
+    "hash_key_service_package": DIM_SERVICE_PACKAGE,
+    "hash_key_churn_status": DIM_CHURN_STATUS,
+    "hash_key_promotion": DIM_PROMOTION,
     "dq_min_rows": DQ_MIN_ROWS,
     "dq_non_empty": DQ_NON_EMPTY,
     "dq_grain_duplicates": DQ_GRAIN_DUPLICATES,

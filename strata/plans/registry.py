@@ -68,17 +68,17 @@ def q_dim_location_scd1(spark, sf):
 
 def q_dim_service_package(spark, sf):
     (s,) = _raw(spark, sf, "services")
-    return dims.dim_service_package(s).drop("service_package_key")
+    return dims.dim_service_package(s)
 
 
 def q_dim_churn_status(spark, sf):
     (s,) = _raw(spark, sf, "status")
-    return dims.dim_churn_status(s).drop("churn_status_key")
+    return dims.dim_churn_status(s)
 
 
 def q_dim_promotion(spark, sf):
     (s,) = _raw(spark, sf, "services")
-    return dims.dim_promotion(s).drop("promotion_key")
+    return dims.dim_promotion(s)
 
 
 def q_dim_quarter(spark, sf):
@@ -109,8 +109,7 @@ def _facts_keyed(spark, sf):
 
 
 def q_facts_keyed(spark, sf):
-    # hash keys have no DuckDB twin: compared via dq_fact_dimension_keys instead
-    return _facts_keyed(spark, sf).drop("service_package_key", "promotion_key", "churn_status_key")
+    return _facts_keyed(spark, sf)
 
 
 def q_dq_fact_dimension_keys(spark, sf):

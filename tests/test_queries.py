@@ -2,10 +2,12 @@
 driver repeats this at sf0.01), plus the entry smoke check."""
 
 import pytest
+import xxhash
 
 import __spark_entry__ as entry
 from strata.plans.oracles import ORACLES
 from strata.plans.registry import QUERIES
+from strata.plans.xxh64_sql import xxh64
 
 from .oracle_check import compare, duck
 
@@ -21,11 +23,15 @@ def test_entry_smoke(spark):
     assert df.columns[0] == "customer_key"
 
 
-def test_every_query_has_an_oracle_or_is_hash_only():
+def test_every_query_has_an_oracle():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
-    missing = set(QUERIES) - set(ORACLES)
-    assert missing <= {"hash_key_service_package", "hash_key_churn_status", "hash_key_promotion"}
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_xxh64_sql_equals_the_package(con):
+    texts = ["", "a", "abcd", "é" * 3, "x" * 31, "x" * 32, "y" * 33, "word " * 9, "z" * 64, "q" * 127 + "ü"]
+    got = con.execute(f"SELECT t, {xxh64('t', '42::UHUGEINT')} FROM (SELECT unnest(?::VARCHAR[]) AS t)", [texts]).fetchall()
+    assert dict(got) == {t: xxhash.xxh64_intdigest(t.encode(), seed=42) for t in texts}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
