@@ -145,6 +145,10 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
+# whole texts with A-Z lower-cased, and the word pattern of the contract, in DuckDB
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLES = {
     "op2_exact_dedup": """
         WITH d AS (
@@ -157,4 +161,43 @@ ORACLES = {
                row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
                sha256(t) AS text_sha256
         FROM d""",
+    "op4_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, row_number() OVER (ORDER BY doc_id) AS r FROM documents),
+        starts AS (
+            SELECT r, i, b[i + 1:i + 100] AS k
+            FROM (SELECT r, b, unnest(range(0, octet_length(b) - 99)) AS i FROM d WHERE octet_length(b) >= 100)),
+        later AS (SELECT r, i FROM (SELECT r, i, row_number() OVER (PARTITION BY k ORDER BY r, i) AS n FROM starts) WHERE n > 1),
+        steps AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS back FROM later),
+        runs AS (
+            SELECT r, i, sum(CASE WHEN back <= 100 THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS g FROM steps),
+        spans AS (SELECT r, min(i) AS a, max(i) + 100 AS z FROM runs GROUP BY r, g),
+        cuts AS (SELECT r, a, z, lag(z, 1, 0) OVER (PARTITION BY r ORDER BY a) AS before FROM spans),
+        kept AS (
+            SELECT r, sum(z - a) AS gone, count(*) AS n, max(z) AS z,
+                   string_agg(CASE WHEN a > before THEN hex(b[before + 1:a]) ELSE '' END, '' ORDER BY a) AS s
+            FROM cuts JOIN d USING (r) GROUP BY r)
+        SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+               sha256(CASE WHEN n IS NULL THEN b
+                           ELSE unhex(s || CASE WHEN octet_length(b) > z THEN hex(b[z + 1:]) ELSE '' END) END) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r)""",
+    "op8_decontamination": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, '{WORDS}') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({LOWER}, '{WORDS}') AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item_id, least(len(w), 10) AS size, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS k
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT size FROM windows),
+        places AS (
+            SELECT r, i, size, array_to_string(w[i:i + size - 1], ' ') AS k
+            FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+        hits AS (SELECT p.r, p.i, p.size, item_id FROM places p JOIN windows USING (size, k)),
+        words AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + size)) AS j FROM hits) GROUP BY r),
+        items AS (
+            SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS s
+            FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(words.n, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(items.n, 0) AS BIGINT) AS n_items, sha256(coalesce(items.s, '')) AS items_sha256,
+               coalesce(words.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)""",
 }
