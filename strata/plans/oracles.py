@@ -84,6 +84,19 @@ DIM_LOCATION_BODY = """SELECT CAST(row_number() OVER (ORDER BY zip_code NULLS FI
 FROM location_joined"""
 DIM_LOCATION = with_(DIM_LOCATION_CTES, DIM_LOCATION_BODY)
 
+# yesterday's dimension has the ZIPs 50 higher and no population
+DIM_LOCATION_SCD1 = with_(
+    DIM_LOCATION_CTES
+    + [f"today AS ({DIM_LOCATION_BODY})",
+       """yesterday AS (SELECT * REPLACE (lpad(CAST(CAST(zip_code AS INTEGER) + 50 AS VARCHAR), 5, '0') AS zip_code,
+         CAST(NULL AS INTEGER) AS population, 'Rural' AS population_density) FROM today)"""],
+    """SELECT t.* REPLACE (CAST(coalesce(y.location_key, (SELECT max(location_key) FROM yesterday)
+           + row_number() OVER (PARTITION BY y.location_key IS NULL ORDER BY t.zip_code NULLS FIRST)) AS BIGINT) AS location_key)
+       FROM today t LEFT JOIN yesterday y ON t.zip_code IS NOT DISTINCT FROM y.zip_code
+       UNION ALL
+       SELECT * FROM yesterday y WHERE NOT EXISTS (SELECT 1 FROM today t WHERE t.zip_code IS NOT DISTINCT FROM y.zip_code)""",
+)
+
 # ---------------------------------------------------------------- services
 ADD_ONS = [
     ("online_security", "online_security"),
@@ -614,7 +627,7 @@ SILVER_QUALITY_REPORT = _silver_report()
 ORACLES: dict[str, str] = {
     "dim_customer": DIM_CUSTOMER,
     "dim_location": DIM_LOCATION,
-    "dim_location_scd1": DIM_LOCATION,
+    "dim_location_scd1": DIM_LOCATION_SCD1,
     "dim_service_package": DIM_SERVICE_PACKAGE,
     "dim_churn_status": DIM_CHURN_STATUS,
     "dim_promotion": DIM_PROMOTION,

@@ -57,11 +57,13 @@ def q_dim_location(spark, sf):
 
 
 def q_dim_location_scd1(spark, sf):
-    """Yesterday's dimension has every population unknown; today's build fills
-    them in place: same keys, updated attributes."""
+    """Yesterday's dimension covers ZIPs 50 higher and knows no population: today's build
+    fills members of both in place (same keys), keeps those only yesterday had, and
+    numbers new ones after the largest key."""
     loc, pop = _raw(spark, sf, "location", "population")
+    higher = F.lpad((F.col("zip_code").try_cast("int") + 50).cast("string"), 5, "0")
     stale = dims.dim_location(loc, pop).withColumns(
-        {"population": F.lit(None).cast("int"), "population_density": F.lit("Rural")}
+        {"zip_code": higher, "population": F.lit(None).cast("int"), "population_density": F.lit("Rural")}
     )
     return dims.dim_location_scd1(stale, loc, pop)
 
