@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import decontam, exact_dedup, lang_id, license_rules, license_scan, pieces, quality_rules, sharding, simhash, suffix_dedup
+from strata.llm.common import join_spread
 from strata.llm.components import components
 from strata.llm.queries import PIECE_MODEL, QUERIES
 
@@ -45,6 +46,16 @@ def test_components_of_a_path_and_a_star(spark):
     assert {roots[i] for i in range(1, 41)} == {0} and {roots[k] for k in range(101, 140)} == {100}
 
 
+def test_join_spread_equals_the_join_on_a_hot_key(spark):
+    rows = spark.range(6000).select(F.when(F.col("id") < 2000, 0).otherwise(F.shiftright("id", 1)).alias("k"), F.col("id").alias("v"))
+    groups = rows.groupBy("k").agg(F.max("v").alias("most"), F.count(F.lit(1)).alias("n"))
+    some = groups.filter("k % 3 = 0")
+    found = join_spread(rows, some, "k", ["v"]).select("k", "v", "most", "n")
+    assert Counter(found.collect()) == Counter(rows.join(some, "k").select("k", "v", "most", "n").collect())
+    none = groups.limit(0)
+    assert join_spread(rows, none, "k", ["v"]).count() == 0
+
+
 def test_op2(spark, messy):
     columns = ("doc_id", "keep_id", "group_size", "text_sha256")
     assert got(spark, "op2_exact_dedup", messy, *columns) == Counter(brute.op2(messy.docs))
