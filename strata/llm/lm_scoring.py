@@ -5,17 +5,17 @@ distinct words and the words' numbers in reading order.
 
 Unigram counts are exact.  Every chunk sends each of its distinct words once, with its
 count in learning documents, to the word's bucket; the bucket adds up and answers each
-chunk in the order it was asked.  Bigram and unigram counts for the model are added up in
-buckets of hashed n-grams and quantised as ``1 + floor(log_b c)``; a filter holds one item
-for every level up to the quantised count.  It has one slice for each bucket, so each
-bucket makes its slice, and the slices are broadcast to the workers.  A count is read back
-by probing level after level until one is missing, and
+chunk in the order it was asked.  Bigram and unigram counts for the model go the same way,
+in buckets of hashed n-grams: they are added up and quantised as ``1 + floor(log_b c)``; a
+filter holds one item for every level up to the quantised count.  It has one slice for each
+bucket, so each bucket makes its slice and probes it for every chunk that asked.  A count is
+read back by probing level after level until one is missing, and
 
     p(word | before) = mix * c(before word) / c(before) + (1 - mix) * (c(word) + 1) / (N + V + 1)
 
-The filter takes ``bits_per_token`` bits for each learning token up to ``filter_bytes`` in
-all, which bounds the broadcast; beyond that no n-gram is left out, but false
-positives become more frequent.
+A slice takes ``bits_per_item`` bits for each item it holds, so the filter grows with the
+n-grams and false positives stay equally rare (0.24 % a level at 16 bits); no worker holds
+more than the slice it probes.
 
 Defined results: a null or blank text is one end token; equal rows get equal scores; with
 no learning documents N = V = 0; an empty table gives an empty result; only ``doc_id`` and
@@ -36,12 +36,23 @@ from pyspark.sql import functions as F
 
 from .common import freeze
 
-MASK48 = np.uint64((1 << 48) - 1)
+KEY_BITS = np.uint64(40)  # of an n-gram within its bucket of about two million
 BEFORE, END = b"\nbefore", b"\nend"  # no word holds white space
 HASHES = 4
 BASE = 1.5  # of the logarithm that quantises counts
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Compressed numbers, the bytes of equal weight side by side."""
+    return pa.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T), "zstd", asbytes=True)
+
+
+def unpacked(made: bytes, kind: type, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(made, n * size, "zstd"), np.uint8).reshape(size, n)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 # ---- coding the corpus
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts, one after the other, and their number in each text."""
@@ -54,7 +65,7 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def code_corpus(docs: DataFrame, learn: Column, chunk_bytes: int = 4 << 20) -> DataFrame:
     """One row per chunk of ``docs``: ``chunk, doc_ids, learns, sizes`` (words in each
-    document), ``numbers`` (int32 of each word's place in ``words``)."""
+    document), ``numbers`` (packed int32 of each word's place in ``words``)."""
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId(), 0
@@ -73,20 +84,21 @@ def code_corpus(docs: DataFrame, learn: Column, chunk_bytes: int = 4 << 20) -> D
                         "doc_ids": pa.array([rows.column("doc_id")], pa.list_(pa.int64())),
                         "learns": pa.array([rows.column("learns")], pa.list_(pa.bool_())),
                         "sizes": [sizes.astype(np.int32).tobytes()],
-                        "numbers": [coded.indices.to_numpy().astype(np.int32).tobytes()],
+                        "numbers": [packed(coded.indices.to_numpy().astype(np.int32))],
                         "words": pa.array([coded.dictionary], pa.list_(pa.binary())),
+                        "tokens": [len(words)],
                         "word_bytes": [int(coded.dictionary.nbytes)],
                     },
                     pa.schema([
                         ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("learns", pa.list_(pa.bool_())),
                         ("sizes", pa.binary()), ("numbers", pa.binary()), ("words", pa.list_(pa.binary())),
-                        ("word_bytes", pa.int64()),
+                        ("tokens", pa.int64()), ("word_bytes", pa.int64()),
                     ]),
                 )
                 made += 1
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), learn.alias("learns"))
-    schema = "chunk long, doc_ids array<long>, learns array<boolean>, sizes binary, numbers binary, words array<binary>, word_bytes long"
+    schema = "chunk long, doc_ids array<long>, learns array<boolean>, sizes binary, numbers binary, words array<binary>, tokens long, word_bytes long"
     return freeze(rows.mapInArrow(code, schema), "lm-corpus")
 
 
@@ -96,7 +108,7 @@ class Chunk:
     def __init__(self, row: dict[str, pa.Array]):
         self.words = row["words"][0].values
         self.sizes = np.frombuffer(row["sizes"][0].as_py(), np.int32).astype(np.int64)
-        numbers = np.frombuffer(row["numbers"][0].as_py(), np.int32)
+        numbers = unpacked(row["numbers"][0].as_py(), np.int32, int(self.sizes.sum()))
         self.end, self.before = len(self.words), len(self.words) + 1
         self.lengths = self.sizes + 1  # tokens, the end included
         self.learns = np.array(row["learns"][0].values.to_numpy(zero_copy_only=False), bool)
@@ -115,6 +127,25 @@ class Chunk:
         all_words = [*self.words.to_pylist(), END, BEFORE]
         return np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in all_words), np.uint64, len(all_words))
 
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct pairs of a token and the one before it, and each token's pair."""
+        pairs, which = np.unique(self.prior * (self.before + 1) + self.tokens, return_inverse=True)
+        return pairs // (self.before + 1), pairs % (self.before + 1), which
+
+    def grams(self, h: np.ndarray, prior: np.ndarray, word: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct n-grams as bucket and key within it, in ascending order, and the place
+        in them of each pair and then of each single."""
+        hashes = np.concatenate((pair_hash(h[prior], h[word]), mixed(h)))
+        bucket = bucket_of(hashes, buckets).astype(np.uint64) << KEY_BITS
+        return np.unique(bucket | hashes & ((np.uint64(1) << KEY_BITS) - np.uint64(1)), return_inverse=True)
+
+    def learned(self, which: np.ndarray) -> np.ndarray:
+        """Counts in learning documents of each pair and then of each single."""
+        learn = self.learns[self.owner]
+        single = np.bincount(self.tokens[learn], minlength=self.before + 1)
+        single[self.before] = np.count_nonzero(self.prior[learn] == self.before)
+        return np.concatenate((np.bincount(which[learn], minlength=which.max(initial=-1) + 1), single))
+
 
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
@@ -146,7 +177,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Chunk]]:
 
 # ---- exact unigram counts
 def unigram_totals(corpus: DataFrame, buckets: int) -> DataFrame:
-    """``chunk, bucket, totals`` (int64 for the chunk's words of the bucket, in the
+    """``chunk, bucket, totals`` (packed int64 for the chunk's words of the bucket, in the
     chunk's order), and one row per bucket with a null chunk: its distinct and all
     learning tokens."""
 
@@ -161,7 +192,7 @@ def unigram_totals(corpus: DataFrame, buckets: int) -> DataFrame:
                     pa.array(names),
                     pa.array(np.full(len(names), name)),
                     pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words),
-                    pa.array([learned[a:b].astype(np.int64).tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                    pa.array([packed(learned[a:b].astype(np.int64)) for a, b in zip(bounds, bounds[1:])], pa.binary()),
                 ],
                 ["bucket", "chunk", "words", "learned"],
             )
@@ -171,7 +202,7 @@ def unigram_totals(corpus: DataFrame, buckets: int) -> DataFrame:
         sizes = pc.list_value_length(group.column("words")).to_numpy()
         coded = words.dictionary_encode()
         at = coded.indices.to_numpy()
-        learned = np.frombuffer(b"".join(group.column("learned").to_pylist()), np.int64)
+        learned = np.concatenate([unpacked(x, np.int64, k) for x, k in zip(group.column("learned").to_pylist(), sizes)])
         totals = np.zeros(len(coded.dictionary), np.int64)
         np.add.at(totals, at, learned)
         bounds = np.concatenate(([0], np.cumsum(sizes)))
@@ -182,7 +213,7 @@ def unigram_totals(corpus: DataFrame, buckets: int) -> DataFrame:
             {
                 "chunk": pa.array([*group.column("chunk").to_pylist(), None], pa.int64()),
                 "bucket": pa.array([bucket] * (len(group) + 1), pa.int64()),
-                "totals": pa.array([*(replies[a:b].tobytes() for a, b in zip(bounds, bounds[1:])), sums.tobytes()], pa.binary()),
+                "totals": pa.array([*(packed(replies[a:b]) for a, b in zip(bounds, bounds[1:])), sums.tobytes()], pa.binary()),
             }
         )
 
@@ -202,74 +233,78 @@ def quantise(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64)
 
 
-def build_filter(corpus: DataFrame, tokens: int, buckets: int, bits_per_token: int, filter_bytes: int) -> np.ndarray:
-    """Slices x bytes."""
-    bits = min(filter_bytes * 8, max(1 << 16, tokens * bits_per_token))
-    slice_bytes = max(64, bits // 8 // buckets)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, c in chunks(batches):
-            h = c.hashes()
-            learn = c.learns[c.owner]
-            word, prior = c.tokens[learn], c.prior[learn]
-            grams = np.concatenate((pair_hash(h[prior], h[word]), mixed(h[word]), mixed(h[prior[prior == c.before]])))
-            grams.sort()
-            new = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1]))) if len(grams) else grams.astype(np.int64)
-            n = np.diff(np.append(new, len(grams)))
-            grams = grams[new]
-            bucket = bucket_of(grams, buckets)  # grows with the hash
-            names, starts = np.unique(bucket, return_index=True)
+def gram_levels(corpus: DataFrame, buckets: int, bits_per_item: int) -> DataFrame:
+    """``chunk, bucket, size, levels`` (packed uint8 for the chunk's n-grams of the bucket,
+    in the order of their keys): quantised counts as the bucket's slice gives them back."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, c in chunks(batches):
+            prior, word, which = c.pairs()
+            grams, where = c.grams(c.hashes(), prior, word, buckets)
+            n = np.bincount(where, c.learned(which), len(grams)).astype(np.int32)
+            names, starts = np.unique(grams >> KEY_BITS, return_index=True)
             bounds = np.append(starts, len(grams))
-            short = (grams & MASK48).view(np.uint8).reshape(-1, 8)[:, :6]
+            steps = np.diff(grams, prepend=np.uint64(0))
+            steps[starts] = grams[starts] - (names << KEY_BITS)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(names, pa.int64()),
-                    pa.array([short[a:b].tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                    pa.array([n[a:b].astype(np.int32).tobytes() for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                    pa.array(names.astype(np.int64)),
+                    pa.array(np.full(len(names), name)),
+                    pa.array(np.diff(bounds)),
+                    pa.array([packed(steps[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                    pa.array([packed(n[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
                 ],
-                ["bucket", "grams", "n"],
+                ["bucket", "chunk", "size", "steps", "n"],
             )
 
-    def fill(group: pa.Table) -> pa.Table:
-        short = np.frombuffer(b"".join(group.column("grams").to_pylist()), np.uint8).reshape(-1, 6)
-        key = np.zeros((len(short), 8), np.uint8)
-        key[:, :6] = short
-        key, where = np.unique(key.view(np.uint64).ravel(), return_inverse=True)
-        n = np.bincount(where, np.frombuffer(b"".join(group.column("n").to_pylist()), np.int32))
-        levels = quantise(n)
-        held = np.zeros(slice_bytes * 8, bool)
-        level = 1
-        while len(key):
-            for i in range(HASHES):
-                held[probe(key, level, i, slice_bytes * 8)] = True
-            level += 1
-            on = levels >= level
-            key, levels = key[on], levels[on]
-        made = np.packbits(held, bitorder="little").tobytes()
-        return pa.table({"bucket": group.column("bucket")[:1], "slice": pa.array([made], pa.binary())})
-
-    grams = corpus.mapInArrow(count, "bucket long, grams binary, n binary")
-    out = np.zeros((buckets, slice_bytes), np.uint8)
-    # at most filter_bytes in all
-    for row in grams.groupBy("bucket").applyInArrow(fill, "bucket long, slice binary").collect():
-        out[row["bucket"]] = np.frombuffer(row["slice"], np.uint8)
-    return out
-
-
-def estimates(filter_: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Counts of hashed n-grams, read by probing level after level."""
-    buckets, slice_bytes = filter_.shape
-    flat, base = filter_.ravel(), bucket_of(h, buckets) * slice_bytes
-    key, level = h & MASK48, np.zeros(len(h), np.int64)
-    left, at = np.arange(len(h)), 1
-    while len(left):
+    def answer(group: pa.Table) -> pa.Table:
+        sizes = group.column("size").to_pylist()
+        column = lambda name: zip(group.column(name).to_pylist(), sizes)
+        keys = np.concatenate([np.cumsum(unpacked(x, np.uint64, k)) for x, k in column("steps")])
+        key, where = np.unique(keys, return_inverse=True)
+        n = np.bincount(where, np.concatenate([unpacked(x, np.int32, k) for x, k in column("n")]), len(key))
+        learned = n > 0  # others were only asked for
+        replies = read_levels(*make_slice(key[learned], quantise(n[learned]), bits_per_item), key).astype(np.uint8)[where]
+        bounds = np.concatenate(([0], np.cumsum(sizes)))
+        return pa.table(
+            {
+                "chunk": group.column("chunk"),
+                "bucket": group.column("bucket"),
+                "size": group.column("size"),
+                "levels": pa.array([packed(replies[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+            }
+        )
+
+    asked = corpus.mapInArrow(ask, "bucket long, chunk long, size long, steps binary, n binary")
+    return asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, size long, levels binary")
+
+
+def make_slice(key: np.ndarray, levels: np.ndarray, bits_per_item: int) -> tuple[np.ndarray, int]:
+    """The bits of one bucket's slice, and its highest level."""
+    held = np.zeros(max(512, bits_per_item * int(levels.sum())), bool)
+    highest = int(levels.max(initial=0))
+    for level in range(1, highest + 1):
+        on = levels >= level
+        key, levels = key[on], levels[on]
+        for i in range(HASHES):
+            held[probe(key, level, i, len(held))] = True
+    return held, highest
+
+
+def read_levels(held: np.ndarray, highest: int, key: np.ndarray) -> np.ndarray:
+    """Levels of n-grams, read by probing one after the other up to the highest written."""
+    level, left = np.zeros(len(key), np.int64), np.arange(len(key))
+    for at in range(1, highest + 1):
         for i in range(HASHES):
-            bit = probe(key[left], at, i, slice_bytes * 8)
-            held = flat[base[left] + (bit >> 3)] >> (bit & 7).astype(np.uint8)
-            left = left[held & 1 == 1]
+            left = left[held[probe(key[left], at, i, len(held))]]
         level[left] = at
-        at += 1
-    return np.where(level > 0, np.maximum(1.0, (BASE ** (level - 1) + BASE**level - 1) / 2), 0.0)
+    return level
+
+
+def estimates(level: np.ndarray) -> np.ndarray:
+    """Counts that quantised ones stand for."""
+    level = level.astype(np.int64)
+    return np.where(level > 0, np.maximum(1.0, (BASE ** (level - 1.0) + BASE**level - 1) / 2), 0.0)
 
 
 SCORES = "doc_id long, learns boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -279,23 +314,21 @@ def score_documents(
     docs: DataFrame,
     learn: Column,
     mix: float = 0.7,
-    bits_per_token: int = 10,
-    filter_bytes: int = 64 << 20,
+    bits_per_item: int = 16,
     bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``; the model learns from those where ``learn`` (a
     condition on doc_id) holds."""
-    spark = docs.sparkSession
     corpus = code_corpus(docs, learn)
-    asked, numbers = corpus.agg(F.sum("word_bytes"), F.sum(F.octet_length("numbers"))).first()
+    asked, tokens = corpus.agg(F.sum("word_bytes"), F.sum("tokens")).first()
     buckets = max(8, -(-(asked or 0) // bucket_bytes))
     totals = unigram_totals(corpus, buckets)
     n = v = 0
     for row in totals.filter("chunk is null").collect():  # one row a bucket
-        distinct, tokens = np.frombuffer(row["totals"], np.int64)
-        n, v = n + int(tokens), v + int(distinct)
-    grams = max(8, -(-2 * (numbers or 0) // bucket_bytes))
-    shared = spark.sparkContext.broadcast(build_filter(corpus, n, grams, bits_per_token, filter_bytes))
+        distinct, learned = np.frombuffer(row["totals"], np.int64)
+        n, v = n + int(learned), v + int(distinct)
+    gram_buckets = max(8, -(-8 * (tokens or 0) // bucket_bytes))
+    levels = gram_levels(corpus, gram_buckets, bits_per_item)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {name: left.column(name).combine_chunks() for name in left.schema.names}
@@ -303,15 +336,18 @@ def score_documents(
         h = c.hashes()
         # exact counts come back bucket by bucket, in the order they were asked
         order, names, bounds = in_buckets(bucket_of(mixed(h[:-1]), buckets))
-        replies = dict(zip(right.column("bucket").to_pylist(), right.column("totals").to_pylist()))
+        of_words = right.filter(pc.is_valid(right.column("totals")))
+        replies = dict(zip(of_words.column("bucket").to_pylist(), of_words.column("totals").to_pylist()))
         exact = np.zeros(c.end + 1, np.int64)
         for name, a, b in zip(names.tolist(), bounds, bounds[1:]):
-            exact[order[a:b]] = np.frombuffer(replies[name], np.int64)
+            exact[order[a:b]] = unpacked(replies[name], np.int64, b - a)
         base = np.log10((exact + 1.0) / (n + 1.0 * (v + 1)))
-        single = estimates(shared.value, mixed(h))
-        pairs, which = np.unique(c.prior * (c.before + 1) + c.tokens, return_inverse=True)
-        prior, word = pairs // (c.before + 1), pairs % (c.before + 1)
-        both = estimates(shared.value, pair_hash(h[prior], h[word]))
+        # levels too, in the order of the n-grams' keys
+        of_grams = right.filter(pc.is_valid(right.column("levels"))).sort_by("bucket")
+        prior, word, which = c.pairs()
+        read = zip(of_grams.column("levels").to_pylist(), of_grams.column("size").to_pylist())
+        counts = estimates(np.concatenate([unpacked(x, np.uint8, k) for x, k in read]))
+        both, single = np.split(counts[c.grams(h, prior, word, gram_buckets)[1]], [len(prior)])
         alone = (single + 1.0) / (n + v + 1.0)
         seen = np.maximum(single[prior], 1.0)
         p = np.where(single[prior] > 0, mix * np.minimum(both, seen) / seen + (1 - mix) * alone[word], alone[word])
@@ -329,5 +365,5 @@ def score_documents(
             }
         )
 
-    by_chunk = totals.filter("chunk is not null").groupBy("chunk")
-    return corpus.groupBy("chunk").cogroup(by_chunk).applyInArrow(score, SCORES)
+    replied = totals.filter("chunk is not null").unionByName(levels, allowMissingColumns=True)
+    return corpus.groupBy("chunk").cogroup(replied.groupBy("chunk")).applyInArrow(score, SCORES)

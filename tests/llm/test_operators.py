@@ -8,12 +8,13 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strata.llm import decontam, exact_dedup, lang_id, license_rules, license_scan, pieces, quality_rules, sharding, simhash, suffix_dedup
-from strata.llm.common import join_spread
+from strata.llm import decontam, exact_dedup, lang_id, license_rules, license_scan, lm_scoring, pieces, quality_rules, sharding, simhash, suffix_dedup
+from strata.llm.common import documents, join_spread, mod_crc
 from strata.llm.components import components
 from strata.llm.queries import PIECE_MODEL, QUERIES
 
 from . import brute
+from .conftest import write_tables
 
 
 def got(spark, name, tables, *columns):
@@ -117,6 +118,39 @@ def test_op5(spark, messy):
     assert sum(r["score"] > r["base_score"] for r in learned) > 0.9 * len(learned)
 
 
+def test_op5_filter_grows_with_the_ngrams(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    words = [f"w{k}" for k in rng.permutation(40000)]  # no word or pair occurs twice
+    docs = [(i, " ".join(words[i * 500 : i * 500 + 500]), "en") for i in range(80)]
+    tables = write_tables(tmp_path / "op5", docs, [], [])
+    rows = {r["doc_id"]: r for r in QUERIES["op5_lm_scoring"](spark, tables).collect()}
+    wanted = dict(brute.op5_score(docs))
+    off = [abs(rows[i]["score"] - wanted[i]) / rows[i]["n_tokens"] for i in wanted]
+    assert len(off) == 80 and max(off) < 0.02  # in log10 a token
+
+
+def test_op5_equals_the_quantised_counts(spark, messy):
+    docs = documents(spark, messy.dir).select("doc_id", "text")
+    rows = lm_scoring.score_documents(docs, mod_crc(7) != 2, bits_per_item=64).select("doc_id", "n_tokens", "score").collect()
+    wanted = sorted(((i is None, i or 0), s) for i, s in brute.op5_score(messy.docs))
+    found = sorted((((r[0] is None, r[0] or 0), r[2], r[1]) for r in rows))
+    assert [f[0] for f in found] == [w[0] for w in wanted]
+    assert all(abs(f[1] - w[1]) < 1e-9 * f[2] for f, w in zip(found, wanted))
+
+
+def test_op5_levels_end_at_the_highest_written():
+    keys = np.arange(1, 2001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A)
+    full = np.ones(512, bool)
+    level = lm_scoring.read_levels(full, 3, keys)
+    assert set(level) == {3} and np.isfinite(lm_scoring.estimates(level)).all()
+    counts = np.arange(1, 2001)
+    held, highest = lm_scoring.make_slice(keys, lm_scoring.quantise(counts), 16)
+    read = lm_scoring.read_levels(held, highest, keys)
+    assert (read >= lm_scoring.quantise(counts)).all() and np.mean(read == lm_scoring.quantise(counts)) > 0.98
+    others = lm_scoring.read_levels(held, highest, keys + np.uint64(1))
+    assert np.mean(others > 0) < 0.01
+
+
 def test_op6_accuracy_on_held_out_rows(spark, sf_smoke):
     sf = sf_smoke.replace("0.001", "0.01")
     labels = dict(spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect())
