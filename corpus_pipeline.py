@@ -3,8 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes each
 stage's rows as Parquet in the shared scratch space and reads them back for the next.
 
-1. language ID: learns from the stage's own texts and languages, drops texts without a letter or
-   without a confident language;
+1. language ID: learns from the stage's own texts and languages, drops null texts and texts
+   without a letter;
 2. exact deduplication: of equal texts the row with the largest doc_id stays;
 3. SimHash near-deduplication: of each group the row with the smallest doc_id stays;
 4. benchmark decontamination: documents that hold a benchmark window go;

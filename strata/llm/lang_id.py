@@ -193,24 +193,27 @@ def train(learn: DataFrame, sample_docs: int = 4000, **ftrl: float) -> Model:
 
 
 def predict_column(df: DataFrame, model: Model, text: Column) -> Column:
-    """A struct ``lang_pred, score``; the model's size is bounded by DIMS and the
-    number of languages."""
+    """A struct ``lang_pred, score, letter`` (whether the text has a letter); the model's
+    size is bounded by DIMS and the number of languages."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.arrow_udf("lang_pred string, score double")
+    @F.arrow_udf("lang_pred string, score double, letter boolean")
     def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            made = [shared.value.predict(t.as_py()) for t in batch]
+            texts = [t.as_py() for t in batch]
+            made = [shared.value.predict(t) for t in texts]
+            letter = [m[0] != UNKNOWN or LETTER.search(decode(t)) is not None for m, t in zip(made, texts)]
             yield pa.StructArray.from_arrays(
-                [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64())],
-                ["lang_pred", "score"],
+                [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64()), pa.array(letter, pa.bool_())],
+                ["lang_pred", "score", "letter"],
             )
 
     return language(text.cast("binary"))
 
 
-def keep_known(docs: DataFrame, model: Model, least_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is known with ``least_score`` or more."""
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` without those that are ``und`` as their text is null or has no
+    letter; the others stay, however low their score, and also without any learned language."""
     guess = docs.withColumn("__li_guess", predict_column(docs, model, F.col("text")))
-    known = (F.col("__li_guess.lang_pred") != UNKNOWN) & (F.col("__li_guess.score") >= least_score)
+    known = (F.col("__li_guess.lang_pred") != UNKNOWN) | F.col("__li_guess.letter")
     return guess.filter(known).drop("__li_guess")

@@ -269,6 +269,17 @@ def test_op10_messy(spark, messy):
             assert by_id[i]["lang_pred"] in known | {"und"} and 0 <= by_id[i]["score"] <= 1
 
 
+def test_language_stage_keeps_every_text_with_a_letter(spark, messy, tmp_path):
+    has_letter = lambda t: any(c.isalpha() for c in t or "")
+    short = [(2000 + i, t, "en") for i, t in enumerate(["a", "ok", "e", "la", "der the le", "no 1", "zz zz", "\u65e5"])]
+    docs = [d for d in messy.docs if d[0] != 1010] + short
+    docs += [(3000 + i, d[1], f"l{i}") for i, d in enumerate(docs[:20])]  # more languages share the probability
+    for name, rows in (("many", docs), ("none", [(i, t, None) for i, t, _ in docs])):
+        sf = write_tables(tmp_path / name, rows, [], [])
+        kept = corpus_pipeline.language_id(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+        assert Counter(tuple(r) for r in kept.select("doc_id", "text").collect()) == Counter((i, t) for i, t, _ in rows if has_letter(t)), name
+
+
 def test_op10_ngrams_of_a_long_text_do_not_depend_on_chunks(monkeypatch):
     text = "abcdé ü" * 30
     whole = lang_id.ngram_counts(text)
