@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -80,16 +80,35 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
     return out
 
 
+def least_orders(rows: DataFrame, each: int) -> DataFrame:
+    """Of ``rows(lang, at)`` the ``each`` least different ``at`` of each language, or fewer."""
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[str, np.ndarray] = {}
+        for batch in batches:
+            coded = batch.column("lang").dictionary_encode()
+            which, at = coded.indices.to_numpy(), batch.column("at").to_numpy()
+            order = np.lexsort((at, which))
+            bounds = np.searchsorted(which[order], np.arange(len(coded.dictionary) + 1))
+            for lang, a, b in zip(coded.dictionary.to_pylist(), bounds, bounds[1:]):
+                kept[lang] = np.unique(np.concatenate((kept.get(lang, at[:0]), at[order[a:b]])))[:each]
+        for lang, at in kept.items():
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at)], ["lang", "at"])
+
+    few = rows.mapInArrow(least, "lang string, at long").distinct()
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    return few.withColumn("rank", rank).filter(F.col("rank") <= each).drop("rank")
+
+
 def training_sample(train: DataFrame, sample_docs: int) -> list[tuple[str, int, np.ndarray, np.ndarray]]:
-    """About ``sample_docs`` rows (never more than twice that), the same share of the
-    bound for each language, as (lang, order, features, counts)."""
-    sizes = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
-    if not sizes:
+    """``sample_docs`` rows in all, or one of each language if these are more: of each language
+    an equal number, the rows of smallest hash (equal rows count once), as (lang, order,
+    features, counts)."""
+    langs = train.select("lang").distinct().count()
+    if not langs:
         return []
-    each = -(-sample_docs // len(sizes))
-    shares = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, each / n))])
-    order = F.xxhash64("doc_id", "text")
-    drawn = train.filter(F.pmod(order, F.lit(1_000_000)) < shares[F.col("lang")] * 1_000_000).limit(2 * sample_docs)
+    hashed = train.select("lang", F.xxhash64("doc_id", "text").alias("at"), F.col("text").cast("binary").alias("text"))
+    drawn = hashed.join(F.broadcast(least_orders(hashed.select("lang", "at"), -(-sample_docs // langs))), ["lang", "at"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,9 +123,7 @@ def training_sample(train: DataFrame, sample_docs: int) -> list[tuple[str, int,
                 ["lang", "at", "found", "counts"],
             )
 
-    made = drawn.select("lang", order.alias("at"), F.col("text").cast("binary")).mapInArrow(
-        features, "lang string, at long, found binary, counts binary"
-    )
+    made = drawn.dropDuplicates(["lang", "at"]).mapInArrow(features, "lang string, at long, found binary, counts binary")
     rows = [(r[0], r[1], np.frombuffer(r[2], np.uint32), np.frombuffer(r[3], np.uint32)) for r in made.collect()]
     return sorted(rows, key=lambda r: (r[1], r[0]))
 
@@ -186,8 +203,11 @@ def train(learn: DataFrame, sample_docs: int = 4000, **ftrl: float) -> Model:
     df = document_frequencies(learn)
     idf = np.log((1.0 + df[DIMS]) / (1.0 + df[:DIMS])) + 1.0
     rows = [(langs.index(lang), found, tfidf(found, counts, idf)) for lang, _, found, counts in sample]
-    held = [r for i, r in enumerate(rows) if i % 5 == 4]
-    w, b = fit_ftrl([r for i, r in enumerate(rows) if i % 5 != 4], len(langs), **ftrl)
+    fit, held, taught = [], [], set()
+    for i, r in enumerate(rows):
+        (held if i % 5 == 4 and r[0] in taught else fit).append(r)  # no language is held back whole
+        taught.add(r[0])
+    w, b = fit_ftrl(fit, len(langs), **ftrl)
     logits = np.array([x @ w[found] + b for _, found, x in held]).reshape(len(held), len(langs))
     return Model(langs, idf, w, b, fit_temperature(logits, np.array([r[0] for r in held], int)))
 

@@ -280,6 +280,15 @@ def test_language_stage_keeps_every_text_with_a_letter(spark, messy, tmp_path):
         assert Counter(tuple(r) for r in kept.select("doc_id", "text").collect()) == Counter((i, t) for i, t, _ in rows if has_letter(t)), name
 
 
+def test_op10_sample_has_every_language(spark):
+    rows = [(i, f"text {i}", f"l{i % 900}") for i in range(9000)] + [(7, "text 7", "l7")] * 300
+    train = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    drawn = lang_id.training_sample(train, 100)
+    assert Counter(r[0] for r in drawn) == {f"l{k}": 1 for k in range(900)}
+    drawn = lang_id.training_sample(train, 2700)
+    assert Counter(r[0] for r in drawn) == {f"l{k}": 3 for k in range(900)}
+
+
 def test_op10_ngrams_of_a_long_text_do_not_depend_on_chunks(monkeypatch):
     text = "abcdé ü" * 30
     whole = lang_id.ngram_counts(text)
