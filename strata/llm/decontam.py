@@ -208,9 +208,13 @@ def hits_column(spark: SparkSession, windows: Windows, text: Column, shard_bytes
     return hits(text.cast("binary"))
 
 
+def distinct_items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary")).distinct()
+
+
 def blocks_of(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[Windows]:
-    """The benchmark's windows, one bounded block of items after the other."""
-    items = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("binary"))
+    """The benchmark's windows, one bounded block of distinct items after the other."""
+    items = distinct_items(benchmark)
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // max(1, block_bytes // 2)))
     for i in range(n):
@@ -228,7 +232,7 @@ def find(
     """``docs`` with a column ``hits``: ``n_words``, the merged ``spans`` of hit
     words (first and last, from 0) and the ``items`` whose windows occur."""
     spark = docs.sparkSession
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = distinct_items(benchmark).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = blocks_of(benchmark, window, block_bytes)
     if total <= block_bytes // 2:
         return docs.withColumn("hits", hits_column(spark, next(blocks), F.col("text"), shard_bytes))

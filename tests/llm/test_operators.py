@@ -223,6 +223,15 @@ def test_op8_in_blocks(spark, messy):
     assert found == Counter(r[:4] for r in brute.op8(messy.docs, messy.benchmark))
 
 
+def test_op8_blocks_follow_distinct_items(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(decontam.Windows, "of", staticmethod(lambda items, size: taken.append(items)))
+    items = [(i, f"item {i} " + "w " * 20) for i in range(30)]
+    benchmark = spark.createDataFrame(items + [items[3]] * 500, "item_id long, text string")
+    list(decontam.blocks_of(benchmark, 10, 200))
+    assert sorted(t for b in taken for t in b) == sorted((str(i), t.encode()) for i, t in items)
+
+
 def test_op9_round_trip(spark, messy):
     rows = QUERIES["op9_sentencepiece"](spark, messy.dir).collect()
     assert Counter(r["doc_id"] for r in rows) == Counter(d[0] for d in messy.docs)
