@@ -50,17 +50,21 @@ def mod_crc(n: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % F.lit(n)
 
 
-def join_spread(rows: DataFrame, groups: DataFrame, key: str, spread_by: list[str], salts: int = 64) -> DataFrame:
+ROWS_PER_PART = 1_000_000
+
+
+def join_spread(rows: DataFrame, groups: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
     """``rows`` joined to the one row that their ``key`` has in ``groups``, whose column
-    ``n`` counts the rows of the key.  A key with more than one in 16 * ``salts`` of all
-    rows is dealt over ``salts`` parts by the columns ``spread_by``, and its group's row is
-    repeated in each part; there are at most 16 * ``salts`` such keys, which bounds the
-    broadcast list."""
+    ``n`` counts the rows of the key.  A key with more than a part's rows is dealt over as
+    many parts as its rows fill, by the columns ``spread_by``, and its group's row is repeated
+    in each.  A part takes ``ROWS_PER_PART`` rows, on small tables a 1024th of all rows;
+    it never takes less than a 65,536th, which bounds the broadcast list of dealt keys."""
     total = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
-    hot = F.col("n") * (16 * salts) > F.lit(total)
-    listed = groups.filter(hot).select(key, F.lit(True).alias("__hot"))
-    part = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
-    dealt = rows.join(F.broadcast(listed), key, "left").withColumn("__part", part).drop("__hot")
-    parts = F.when(hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = groups.withColumn("__part", F.explode(parts))
+    size = max(1, total >> 16, min(ROWS_PER_PART, total >> 10))
+    parts = F.ceil(F.col("n") / size).cast("int")
+    listed = groups.filter(F.col("n") > size).select(key, parts.alias("__parts"))
+    part = F.coalesce(F.pmod(F.xxhash64(*spread_by), F.col("__parts")).cast("int"), F.lit(0))
+    dealt = rows.join(F.broadcast(listed), key, "left").withColumn("__part", part).drop("__parts")
+    each = F.when(F.col("n") > size, F.sequence(F.lit(0), parts - 1)).otherwise(F.array(F.lit(0)))
+    repeated = groups.withColumn("__part", F.explode(each))
     return dealt.join(repeated, [key, "__part"]).drop("__part")

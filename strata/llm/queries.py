@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, exact_dedup, lang_id, license_scan, lm_scoring, pieces, quality_rules, sharding, simhash, suffix_dedup
+from . import (
+    decontam,
+    exact_dedup,
+    lang_id,
+    license_scan,
+    lm_scoring,
+    mixing,
+    pieces,
+    quality_rules,
+    sharding,
+    simhash,
+    suffix_dedup,
+    vector_codes,
+    whitening,
+)
 from .common import documents, mod_crc
 
 
@@ -132,6 +146,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return guess.select("doc_id", "held_out", "guess.lang_pred", "guess.score")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix_sources(documents(spark, sf_dir), weights=(1, 2, 3), most_epochs=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(embeddings(spark, sf_dir), parts=8, entries=16, rounds=6, scale=4096)
+    sha = F.lit(vector_codes.digest(books)).alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", sha)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(embeddings(spark, sf_dir), components=16, scale=64, shift=1_000_000)
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_exact_dedup": op2_exact_dedup,
@@ -143,13 +176,84 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_language_id": op10_language_id,
+    "op11_mixing": op11_mixing,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_whitening": op13_whitening,
 }
 
 # whole texts with A-Z lower-cased, and the word pattern of the contract, in DuckDB
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+
+
+def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd's rounds in SQL, one after the other, a component a row."""
+    steps = [f"""
+        k AS (
+            SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS r, embedding AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+        x AS MATERIALIZED (
+            SELECT r, j // (len(v) // {parts}) AS p, j, CAST(floor(4096 * v[j + 1]) AS BIGINT) AS x
+            FROM (SELECT r, v, unnest(range(len(v))) AS j FROM k)),
+        b0 AS MATERIALIZED (SELECT p, r AS e, j, x AS y FROM x WHERE r < {entries})"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+        a{i} AS MATERIALIZED (
+            SELECT r, p, e, d FROM (
+                SELECT r, p, e, sum((x - y) * (x - y)) AS d, row_number() OVER (PARTITION BY r, p ORDER BY sum((x - y) * (x - y)), e) AS n
+                FROM x JOIN b{i} USING (p, j) GROUP BY r, p, e) WHERE n = 1)""")
+        if i < rounds:
+            steps.append(f"""
+        b{i + 1} AS MATERIALIZED (
+            SELECT p, e, j, coalesce(m, y) AS y FROM b{i} LEFT JOIN (
+                SELECT p, e, j, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m FROM x JOIN a{i} USING (r, p) GROUP BY p, e, j)
+            USING (p, e, j))""")
+    return "WITH" + ",".join(steps) + f""",
+        coded AS (
+            SELECT r, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+            FROM a{rounds} GROUP BY r)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+               (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY p, e, j)) FROM b{rounds}) AS codebooks_sha256
+        FROM k JOIN coded USING (r)"""
+
+
 ORACLES = {
+    "op11_mixing": r"""
+        WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+        d AS (SELECT *, CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM t),
+        s AS (
+            SELECT source, sum(size) AS z, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS w FROM d GROUP BY source),
+        a AS (SELECT sum(z) AS z, sum(w) AS w FROM s),
+        ranked AS (
+            SELECT s.*, coalesce(sum(3 * s.z) OVER before, 0) AS zs, coalesce(sum(s.w) OVER before, 0) AS ws FROM s
+            WINDOW before AS (ORDER BY s.z / s.w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        capped AS (SELECT r.*, 3 * r.z * (a.w - ws) <= (a.z - zs) * r.w AS at_cap FROM ranked r, a),
+        free AS (
+            SELECT CAST(sum(z) - coalesce(sum(3 * z) FILTER (WHERE at_cap), 0) AS DOUBLE) AS z, CAST(sum(w) FILTER (WHERE NOT at_cap) AS DOUBLE) AS w
+            FROM capped),
+        aims AS (
+            SELECT source, CAST(c.z AS BIGINT) AS source_size,
+                   CASE WHEN at_cap THEN CAST(3 * c.z AS DOUBLE) ELSE c.w * free.z / free.w END AS target
+            FROM capped c, free),
+        quality AS (
+            SELECT *, CASE WHEN length(t) > 0 AND size > 0
+                THEN 0.1::DOUBLE + 0.9::DOUBLE * (CAST(length(translate(t, '0123456789#$%&*+/<=>@[\]^_`{|}~', '')) AS DOUBLE) / length(t))
+                     * CASE WHEN length(t) BETWEEN size * 3 AND size * 12 THEN 1.0::DOUBLE ELSE 0.5::DOUBLE END
+                ELSE 0.1::DOUBLE END AS q
+            FROM d),
+        keyed AS (
+            SELECT *, floor((ln(-ln((CAST('0x' || md5('11:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(t))[1:13] AS BIGINT) + 0.5::DOUBLE)
+                                    / 4503599627370496)) - ln(q)) * 35184372088832) AS place
+            FROM quality),
+        summed AS (
+            SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto
+            FROM keyed),
+        whole AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs FROM aims)
+        SELECT doc_id, size, source_size, target,
+               CAST(size * (epochs + CASE WHEN 2 * (target - epochs * source_size - upto) >= size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+        FROM summed JOIN whole ON summed.source IS NOT DISTINCT FROM whole.source""",
+    "op12_vector_codes": vector_codes_sql(),
     "op2_exact_dedup": """
         WITH d AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -152,3 +152,43 @@ def op8(docs, benchmark, size=10):
         sha = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
         out.append((i, len(w), len(hit), len(items), sha, bool(hit)))
     return out
+
+
+def op11_targets(sizes):
+    """Target of each source from its size; sources as a dict, null as None."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: 1 + i % 3 for i, s in enumerate(names)}
+    total, full = sum(sizes.values()), set()
+    while True:
+        free = total - sum(3 * sizes[s] for s in full)
+        of = sum(weight[s] for s in names if s not in full)
+        target = {s: 3.0 * sizes[s] if s in full else weight[s] * free / of for s in names}
+        over = {s for s in names if s not in full and target[s] >= 3 * sizes[s]}
+        if not over or len(full | over) == len(names):
+            return {s: min(t, 3.0 * sizes[s]) for s, t in target.items()}
+        full |= over
+
+
+def op12(vectors, parts=8, entries=16, rounds=6):
+    kept = [v for v in vectors if v[1] is not None and all(c is not None and math.isfinite(c) for c in v[1])]
+    whole = [[math.floor(4096 * c) for c in v[1]] for v in kept]
+    order = sorted(range(len(kept)), key=lambda i: (kept[i][0] is None, kept[i][0] or 0, whole[i]))
+    d = len(whole[0]) // parts
+    cut = [[w[p * d : p * d + d] for w in whole] for p in range(parts)]
+    books = [[cut[p][i] for i in order[:entries]] for p in range(parts)]
+
+    def near(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, y)), e) for e, y in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            groups = defaultdict(list)
+            for x in cut[p]:
+                groups[near(x, books[p])[1]].append(x)
+            books[p] = [[sum(c) // len(c) for c in zip(*groups[e])] if e in groups else y for e, y in enumerate(books[p])]
+    found = [[near(cut[p][i], books[p]) for p in range(parts)] for i in range(len(kept))]
+    errors, by_label = [sum(dist for dist, _ in f) for f in found], Counter()
+    for v, e in zip(kept, errors):
+        by_label[v[2]] += e
+    sha = hashlib.sha256(",".join(str(c) for b in books for y in b for c in y).encode()).hexdigest()
+    return [(v[0], "".join(f"{e:02x}" for _, e in f), e, by_label[v[2]], sha) for v, f, e in zip(kept, found, errors)]

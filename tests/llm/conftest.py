@@ -10,16 +10,17 @@ from ..conftest import SF_SMOKE
 CLASHING = ["hits", "shard", "slot", "fp", "score", "digest", "scan", "piece_ids", "kept", "guess", "label", "row", "chunk"]
 
 
-def write_tables(folder, docs, benchmark, labels):
-    """The tables that the queries read, as ``(doc_id, text, lang)``, ``(item_id, text)`` and
-    ``(doc_id, quality)`` rows; documents get extra columns with clashing names."""
+def write_tables(folder, docs, benchmark, labels, vectors=(), sources=None):
+    """The tables that the queries read, as ``(doc_id, text, lang)``, ``(item_id, text)``,
+    ``(doc_id, quality)`` and ``(vec_id, embedding, label)`` rows; documents and embeddings get
+    extra columns with clashing names."""
     os.makedirs(folder / "documents.parquet")
     n = len(docs)
     table = {
         "doc_id": pa.array([d[0] for d in docs], pa.int64()),
         "text": pa.array([d[1] for d in docs], pa.string()),
         "lang": pa.array([d[2] for d in docs], pa.string()),
-        "source": pa.array(["hot" if i % 3 else None for i in range(n)], pa.string()),
+        "source": pa.array(sources or ["hot" if i % 3 else None for i in range(n)], pa.string()),
         "n_chars": pa.array([len(d[1] or "") for d in docs], pa.int64()),
     } | {c: pa.array(["x"] * n, pa.string()) for c in CLASHING}
     for i in range(3):  # several files
@@ -33,13 +34,24 @@ def write_tables(folder, docs, benchmark, labels):
         pa.table({"doc_id": pa.array([x[0] for x in labels], pa.int64()), "quality": pa.array([x[1] for x in labels], pa.int32()), "toxic": pa.array([0] * len(labels), pa.int32())}),
         folder / "labels.parquet",
     )
+    pq.write_table(
+        pa.table(
+            {
+                "vec_id": pa.array([v[0] for v in vectors], pa.int64()),
+                "embedding": pa.array([v[1] for v in vectors], pa.list_(pa.float32())),
+                "label": pa.array([v[2] for v in vectors], pa.int32()),
+            }
+            | {c: pa.array(["x"] * len(vectors), pa.string()) for c in ("code", "error", "index", "row", "n", "component")}
+        ),
+        folder / "embeddings.parquet",
+    )
     return str(folder)
 
 
 class Tables:
-    def __init__(self, folder, docs, benchmark, labels):
-        self.docs, self.benchmark, self.labels = docs, benchmark, labels
-        self.dir = write_tables(folder, docs, benchmark, labels)
+    def __init__(self, folder, docs, benchmark, labels, vectors=()):
+        self.docs, self.benchmark, self.labels, self.vectors = docs, benchmark, labels, list(vectors)
+        self.dir = write_tables(folder, docs, benchmark, labels, self.vectors)
 
 
 @pytest.fixture(scope="session")
@@ -65,7 +77,14 @@ def messy(tmp_path_factory):
     ]
     bench += [(900, None), (901, ""), (902, "one two three"), (None, "some words here"), (903, "!!"), (902, "one two three")]
     labels += [(None, 1), (1001, None), (1016, 0)]
-    return Tables(tmp_path_factory.mktemp("messy"), docs, bench, labels)
+    vectors = [(r["vec_id"], r["embedding"], r["label"]) for r in pq.read_table(f"{SF_SMOKE}/embeddings.parquet").to_pylist()[:150]]
+    first = vectors[0][1]
+    vectors += [
+        (None, first, None), (500, None, 1), (501, [None, *first[1:]], 1), (502, [float("nan"), *first[1:]], 1),
+        (503, [float("-inf"), *first[1:]], 2), (3, vectors[9][1], None), (3, vectors[9][1], None), (-5, [0.0] * 64, None),
+    ]
+    vectors += [(600 + i, vectors[7][1], 3) for i in range(60)]
+    return Tables(tmp_path_factory.mktemp("messy"), docs, bench, labels, vectors)
 
 
 @pytest.fixture(scope="session")
