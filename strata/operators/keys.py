@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import as_col
-from ..session import scratch_path
 
 KEY_SEPARATOR = "||"
 
@@ -38,12 +37,16 @@ def period_key(year: str | Column, quarter: str | Column) -> Column:
     return (year * 100 + quarter).try_cast("int")
 
 
-_BUCKET = "_sk_bucket"
-_POS = "_sk_pos"
-_TIE = "_sk_tie"
-_OFFSET = "_sk_offset"
-# monotonically_increasing_id() = (partition index << 33) + row index in partition
-_ROW_BITS = 33
+_RANGE, _TIE, _COPIES, _OFFSET, _CHUNK = "_sk_range", "_sk_tie", "_sk_copies", "_sk_offset", "_sk_chunk"
+SAMPLE_PER_RANGE = 64
+COPIES_PER_CHUNK = 100_000
+
+
+def _tie_columns(df: DataFrame, order_by: Sequence[str], tiebreak: Sequence[str] | None) -> list[str]:
+    if tiebreak is not None:
+        return list(tiebreak)
+    # every other column that Spark can order (maps cannot be sorted)
+    return [f.name for f in df.schema.fields if f.name not in order_by and "map<" not in f.dataType.simpleString()]
 
 
 def range_tagged(
@@ -53,26 +56,35 @@ def range_tagged(
     tiebreak: Sequence[str] | None = None,
     num_ranges: int | None = None,
 ) -> DataFrame:
-    """Steps 1-2 of ``sequential_key``: rows range-partitioned and sorted on the
-    key, tagged with their range id and ``monotonically_increasing_id`` (range
-    id in the high bits, index inside the range in the low bits)."""
+    """``df`` with ``_sk_range`` (range of the row's place in the order, from 0) and ``_sk_tie``
+    (a hash of the row).  Rows are in the order of the key columns (NULLS FIRST), then of the hash, then of
+    ``tiebreak``, so one key value with many rows spreads over several ranges.
+
+    The split points come from a mergeable sketch of the order: of every hash bucket of rows the row of
+    least hash, i.e. one row drawn evenly from each of ``SAMPLE_PER_RANGE`` buckets a range, whatever the
+    number of rows.  They depend on the rows alone, not on how these are partitioned, and are a scalar
+    subquery of the plan: nothing runs when this function is called.
+    """
     order_by = list(order_by)
-    if tiebreak is None:
-        # every other column that Spark can order (maps cannot be sorted)
-        tiebreak = [f.name for f in df.schema.fields
-                    if f.name not in order_by and "map<" not in f.dataType.simpleString()]
-    tagged = df.withColumn(_TIE, F.monotonically_increasing_id())
-    sort_cols = [F.col(c).asc_nulls_first() for c in [*order_by, *tiebreak, _TIE]]
-    if num_ranges:
-        ranged = tagged.repartitionByRange(num_ranges, *sort_cols)
-    else:
-        ranged = tagged.repartitionByRange(*sort_cols)
-    return (
-        ranged.sortWithinPartitions(*sort_cols)
-        .withColumn(_BUCKET, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id())
-        .drop(_TIE)
+    ranges = num_ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    steps = max(1, (ranges - 1).bit_length())  # of the binary search among 2 ** steps - 1 split points
+    ranges = 1 << steps
+    tied = df.withColumn(_TIE, F.xxhash64(*order_by, *_tie_columns(df, order_by, tiebreak)))
+    place = F.struct(*order_by, _TIE)
+
+    bucket = F.pmod(F.xxhash64(F.lit(1), _TIE), F.lit(ranges * SAMPLE_PER_RANGE))
+    drawn = tied.groupBy(bucket.alias("b")).agg(F.min(F.struct(F.xxhash64(F.lit(2), _TIE).alias("h"), place.alias("p"))).alias("m"))
+    points = F.expr(
+        f"transform(sequence(1, {ranges - 1}), i -> element_at(s, cast(1 + (size(s) - 1) * i div {ranges} as int)))"
     )
+    splits = drawn.agg(F.sort_array(F.collect_list("m.p")).alias("s")).filter("size(s) > 0").select(points).scalar()
+
+    # binary search, a projection a step, so that the compiled expressions stay small
+    found = tied.withColumns({"_sk_splits": splits, "_sk_place": place, _RANGE: F.lit(0)})
+    for i in reversed(range(steps)):
+        beyond = F.col("_sk_place") > F.element_at("_sk_splits", F.col(_RANGE) + (1 << i))
+        found = found.withColumn(_RANGE, F.col(_RANGE) + F.when(beyond, 1 << i).otherwise(0))
+    return found.drop("_sk_splits", "_sk_place")
 
 
 def sequential_key(
@@ -82,63 +94,50 @@ def sequential_key(
     *,
     tiebreak: Sequence[str] | None = None,
     num_ranges: int | None = None,
-    freeze_input: bool = False,
+    repeated_rows: bool = False,
 ) -> DataFrame:
     """Append ``key_name`` BIGINT = position of the row in ``order_by`` order (ASC,
     NULLS FIRST), numbered ``1..n`` with no gaps.
 
-    Plan (all DataFrame operators, no single-partition exchange over the rows):
-
-    1. range-partition on the sort key (Spark samples split points) and sort
-       each range locally; ties are broken by ``tiebreak`` (default: every other
-       column, then the scan position) so a hot key value with many rows still
-       spreads over several ranges and the numbering is reproducible;
-    2. tag each row with its range id and its index inside the range, and write
-       that to the shared checkpoint folder - freezing the tags cuts lineage, so
-       a lost executor or a re-planned stage cannot renumber rows;
-    3. count rows per range (one row per range) and turn the counts into
-       starting offsets with a running sum - a table whose size is bounded by the
-       number of ranges, hence safe to broadcast;
-    4. key = offset of the range + index inside the range + 1.
-
-    The range id is ``spark_partition_id()`` read in the same task that assigns
-    the positions, and both are frozen together; counts come from the frozen
-    table.  So there is no second pass that could see partitions regrouped by
-    adaptive execution (the usual objection to numbering by partition id).
-    Ranges: ``num_ranges`` or ``spark.sql.shuffle.partitions`` (adaptive
-    execution merges small neighbours, never splits); split points come from
-    Spark's bounded per-partition sample.
-
-    Rows that are identical in every column are ordered by scan position, which
-    is reproducible when ``df`` is read from files.  If ``df`` comes out of a
-    shuffle and may hold many fully identical rows, ``freeze_input=True`` writes
-    it to the checkpoint folder first, so a recomputed task after an executor
-    loss cannot move one of them across a range boundary.
-    """
-    spark = df.sparkSession
-    if freeze_input:
-        source = scratch_path(spark, "seqkey-input")
-        df.write.mode("overwrite").parquet(source)
-        df = spark.read.parquet(source)
-    ranged = range_tagged(df, order_by, tiebreak=tiebreak, num_ranges=num_ranges)
-    path = scratch_path(spark, "seqkey")
-    ranged.write.mode("overwrite").parquet(path)
-    frozen = spark.read.parquet(path)
-
-    per_range = frozen.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select(_BUCKET, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET))
-
-    index_in_range = F.col(_POS) - F.shiftleft(F.col(_BUCKET).cast("long"), _ROW_BITS)
-    return (
-        frozen.join(F.broadcast(offsets), _BUCKET)
-        .withColumn(key_name, (F.col(_OFFSET) + index_in_range + 1).cast("long"))
-        .drop(_BUCKET, _POS, _OFFSET)
-    )
+    One lazy plan of DataFrame operators; no row passes through a single task:
+
+    1. rows are tagged with the range of their key values (``range_tagged``);
+    2. rows per range are counted from the order columns alone, and a running sum over
+       the counts (one row per range, so bounded and broadcast) gives each range's offset;
+    3. each range is sorted and numbered in its own task, after the one shuffle that
+       moves whole rows: key = offset + number within the range.
 
+    The range of a row follows from its values and the split points, never from a partition
+    id, so counting and numbering agree however adaptive execution regroups partitions and
+    whichever tasks are repeated.  The input is read three times (split points, counts, rows).
 
-def sequential_key_single_task(df: DataFrame, order_by: Sequence[str], key_name: str) -> DataFrame:
-    """The textbook form (one global window).  Kept only as the expected result
-    for tests; it moves every row through one task."""
-    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
-    return df.withColumn(key_name, F.row_number().over(w).cast("long"))
+    Ranges: ``num_ranges``, rounded up to a power of two, or four for each shuffle partition.
+    Rows that are equal in every order and tie column share a range.  Where one row may be repeated very
+    often, ``repeated_rows=True`` first counts equal rows, numbers the distinct ones by a running sum of
+    their counts and unfolds them last, in chunks that are dealt over tasks.
+    """
+    rows = df
+    if repeated_rows:
+        rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_COPIES))
+        tiebreak = [c for c in _tie_columns(df, list(order_by), tiebreak)]
+    ranged = range_tagged(rows, order_by, tiebreak=tiebreak, num_ranges=num_ranges)
+    size = F.sum(_COPIES) if repeated_rows else F.count(F.lit(1))
+    per_range = ranged.groupBy(_RANGE).agg(size.alias("_n"))
+    before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select(_RANGE, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(_OFFSET))
+
+    ties = [c for c in _tie_columns(df, list(order_by), tiebreak)]
+    within = Window.partitionBy(_RANGE).orderBy(*[F.col(c).asc_nulls_first() for c in [*order_by, _TIE, *ties]])
+    placed = ranged.join(F.broadcast(offsets), _RANGE)
+    if not repeated_rows:
+        key = F.col(_OFFSET) + F.row_number().over(within)
+        return placed.withColumn(key_name, key.cast("long")).drop(_RANGE, _TIE, _OFFSET)
+    upto = F.sum(_COPIES).over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    first = placed.withColumn(_OFFSET, F.col(_OFFSET) + upto - F.col(_COPIES)).drop(_RANGE, _TIE)
+    chunks = first.withColumn(_CHUNK, F.explode(F.expr(f"sequence(0L, ({_COPIES} - 1) div {COPIES_PER_CHUNK})")))
+    chunks = chunks.repartition(_OFFSET, _CHUNK)
+    number = F.expr(
+        f"sequence({_OFFSET} + {_CHUNK} * {COPIES_PER_CHUNK} + 1,"
+        f" {_OFFSET} + least({_COPIES}, ({_CHUNK} + 1) * {COPIES_PER_CHUNK}))"
+    )
+    return chunks.withColumn(key_name, F.explode(number)).drop(_OFFSET, _CHUNK, _COPIES)

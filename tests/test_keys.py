@@ -1,22 +1,30 @@
 """Surrogate keys: sequential (distributed) vs the single-task window, hash vectors."""
 
 import random
+import re
 
 import pytest
 import xxhash
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from strata.operators.keys import (
     hash_key_columns,
     hash_key_joined,
     period_key,
+    range_tagged,
     sequential_key,
-    sequential_key_single_task,
 )
 
 from .conftest import rows
 
 
+def one_task_key(df, order_by, key_name):
+    """The textbook form: one window over all rows."""
+    w = Window.orderBy(*[F.col(c).asc_nulls_first() for c in order_by])
+    return df.withColumn(key_name, F.row_number().over(w).cast("long"))
+
+
 def signed(u: int) -> int:
     return u - (1 << 64) if u >= 1 << 63 else u
 
@@ -28,7 +36,7 @@ def test_sequential_key_matches_global_window(spark, seed):
             for i in range(3000)]
     df = spark.createDataFrame(data, "k string, v int, id int").repartition(7)
     ours = sequential_key(df, ["k", "v", "id"], "sk", num_ranges=6)
-    ref = sequential_key_single_task(df, ["k", "v", "id"], "sk")
+    ref = one_task_key(df, ["k", "v", "id"], "sk")
     assert rows(ours, "k", "v", "id", "sk") == rows(ref, "k", "v", "id", "sk")
 
 
@@ -39,10 +47,12 @@ def test_sequential_key_dense_with_ties_and_hot_value(spark):
     out = sequential_key(df, ["k"], "sk", num_ranges=8)
     keys = sorted(r[0] for r in out.select("sk").collect())
     assert keys == list(range(1, 6001))
-    # order respected: every NULL key before every non-NULL, 'hot' block contiguous in key order
+    # order respected: NULL keys come first, and each key value is one run of numbers
     got = {r[0]: r[1] for r in out.select("payload", "sk").collect()}
-    ordered = sorted(data, key=lambda t: (t[0] is not None, t[0] or "", t[1]))
-    assert [got[p] for _, p in ordered] == list(range(1, 6001))
+    in_order = [k for _, k in sorted((got[p], k) for k, p in data)]
+    assert in_order == sorted((k for k, _ in data), key=lambda k: (k is not None, k or ""))
+    again = {r[0]: r[1] for r in sequential_key(df.repartition(13), ["k"], "sk", num_ranges=64).select("payload", "sk").collect()}
+    assert again == got  # ties too: whatever the partitions and ranges
     assert out.schema["sk"].dataType.simpleString() == "bigint"
 
 
@@ -50,8 +60,8 @@ def test_sequential_key_has_no_single_partition_exchange_over_rows(spark):
     df = spark.range(0, 5000).select(F.col("id").cast("string").alias("k"))
     out = sequential_key(df, ["k"], "sk")
     plan = out._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition exchange allowed is over the per-range counts
-    assert plan.count("SinglePartition") <= 1
+    # the only single-partition exchanges are over the drawn split points and the per-range counts
+    assert plan.count("SinglePartition") <= 3
 
 
 def test_hash_keys_match_xxhash64(spark):
@@ -81,19 +91,60 @@ def test_period_key(spark):
     assert [r[0] for r in df.select(period_key("y", "q")).collect()] == [202503, None]
 
 
-def test_sequential_key_with_identical_rows_and_frozen_input(spark):
-    df = spark.range(0, 4000).selectExpr("CASE WHEN id % 2 = 0 THEN 'same' ELSE CAST(id AS STRING) END AS k")
-    out = sequential_key(df.repartition(5), ["k"], "sk", num_ranges=6, freeze_input=True)
-    assert sorted(r[0] for r in out.select("sk").collect()) == list(range(1, 4001))
-    assert out.filter("k = 'same'").agg({"sk": "max"}).first()[0] == 4000  # 'same' sorts after the digits
+def test_sequential_key_with_identical_rows(spark, monkeypatch):
+    from strata.operators import keys as module
+
+    monkeypatch.setattr(module, "COPIES_PER_CHUNK", 150)
+    df = spark.range(0, 4000).selectExpr("CASE WHEN id % 2 = 0 THEN 'same' WHEN id % 5 <> 0 THEN CAST(id AS STRING) END AS k")
+    for repeated in (False, True):
+        out = sequential_key(df.repartition(5), ["k"], "sk", num_ranges=6, repeated_rows=repeated)
+        assert out.columns == ["k", "sk"]
+        assert rows(out, "k", "sk") == rows(one_task_key(df, ["k"], "sk"), "k", "sk")
+
+
+def test_sequential_key_of_empty_and_one_row_tables(spark):
+    none = spark.createDataFrame([], "k string, v int")
+    for repeated in (False, True):
+        assert sequential_key(none, ["k"], "sk", repeated_rows=repeated).collect() == []
+        one = spark.createDataFrame([(None, 1)], "k string, v int")
+        assert [tuple(r) for r in sequential_key(one, ["k"], "sk", repeated_rows=repeated).collect()] == [(None, 1, 1)]
+
+
+def test_builders_run_no_job_and_read_their_input_three_times(spark, sf_smoke):
+    from strata.plans import dimensions as dims
+    from strata.sources.raw_views import raw_view
+
+    demographics = raw_view(spark, sf_smoke, "demographics")
+    location, population = (raw_view(spark, sf_smoke, s) for s in ("location", "population"))
+    status = spark.sparkContext.statusTracker()
+    group = "no job when built"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        customers = dims.dim_customer(demographics)
+        dims.dim_location(location, population)
+        assert list(status.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    customers.collect()
+    physical = customers._jdf.queryExecution().executedPlan().toString()
+    # scans by the first column's id: rows, counts and split points, which are worked out once
+    assert len(set(re.findall(r"FileScan parquet \[c_custkey#(\d+)", physical))) <= 3
+    assert "ReusedSubquery" in physical
+    physical = physical[: physical.rindex("== Initial Plan ==")]
+    whole_rows = [line for line in physical.splitlines() if "Exchange hashpartitioning(_sk_range" in line]
+    assert len(whole_rows) == 2  # the counts and the one shuffle of whole rows
+
+
+def test_range_sizes_follow_the_sample(spark):
+    df = spark.range(0, 40000).selectExpr("concat('customer-', lpad(CAST(id * id AS STRING), 12, '0')) AS k")
+    sizes = [r["count"] for r in range_tagged(df, ["k"], num_ranges=16).groupBy("_sk_range").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 40000 / 16
 
 
 def test_hot_key_value_spreads_over_several_ranges(spark):
-    from strata.operators.keys import range_tagged
-
     data = [("hot" if i % 3 == 0 else f"c{i:05d}", i) for i in range(9000)]
     tagged = range_tagged(spark.createDataFrame(data, "k string, payload int"), ["k"], num_ranges=8)
-    ranges_of_hot = tagged.filter("k = 'hot'").select("_sk_bucket").distinct().count()
+    ranges_of_hot = tagged.filter("k = 'hot'").select("_sk_range").distinct().count()
     assert ranges_of_hot >= 2  # a third of the rows is not pinned to one task
 
 
