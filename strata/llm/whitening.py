@@ -32,6 +32,7 @@ from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from .common import freeze, join_spread
 from .vector_codes import finite, matrix, usual_length, whole_numbers
@@ -112,9 +113,10 @@ def covariance(m: BlockMatrix, n: int, splits: int) -> np.ndarray:
 
 def local_blocks(spark, values: np.ndarray) -> BlockMatrix:
     """A small matrix as blocks that fit the columns of ``block_matrix``."""
-    cut = range(0, len(values), COLUMNS_PER_BLOCK)
-    parts = [values[i : i + COLUMNS_PER_BLOCK] for i in cut]
-    blocks = [((i, 0), Matrices.dense(*p.shape, p.ravel(order="F").tolist())) for i, p in enumerate(parts)]
+    size = COLUMNS_PER_BLOCK
+    cuts = [(i, j) for i in range(-(-len(values) // size)) for j in range(-(-values.shape[1] // size))]
+    parts = [((i, j), values[i * size : i * size + size, j * size : j * size + size]) for i, j in cuts]
+    blocks = [(at, Matrices.dense(*p.shape, p.ravel(order="F").tolist())) for at, p in parts]
     return BlockMatrix(spark.sparkContext.parallelize(blocks, 1), COLUMNS_PER_BLOCK, COLUMNS_PER_BLOCK, *values.shape)
 
 
@@ -151,12 +153,13 @@ def whiten(rows: DataFrame, vector: str = "embedding", components: int = 16, sca
         return spark.createDataFrame([], EMPTY.format(rows.schema["vec_id"].dataType.simpleString()))
     lined = centred(fit, n, dimension_sums(fit, width))
     splits = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = block_matrix(lined, n, width)
+    blocks = block_matrix(lined, n, width).persist(StorageLevel.MEMORY_AND_DISK)
     values, vectors, trace = principal(covariance(blocks, n, splits), components)
     if not len(values):
         return spark.createDataFrame([], EMPTY.format(rows.schema["vec_id"].dataType.simpleString()))
     k = len(values)
     projected = freeze(rows_of(product(blocks, local_blocks(spark, vectors / np.sqrt(values)))), "whitening-projected")
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
 
     means = projected.agg(*[F.avg(F.col("row")[i]).alias(str(i)) for i in range(k)]).first()
     about = projected.select(INDEX, F.zip_with("row", F.array(*[F.lit(float(m)) for m in means]), lambda a, m: a - m).alias("row"))
