@@ -30,7 +30,14 @@ def main(argv=None) -> int:
     ap.add_argument("--bronze-db", default="bronze_telco")
     ap.add_argument("--silver-db", default="silver_telco")
     ap.add_argument("--audit-table", default=None, help="e.g. silver_telco.load_audit")
-    ap.add_argument("--report-table", default=None, help="silver quality report, e.g. silver_telco.quality_report")
+    ap.add_argument("--report-table", default=None, help="name of the silver quality report (default: quality_report in the silver database)")
+    ap.add_argument("--no-quality-reports", action="store_true", help="leave out the quality reports")
+    ap.add_argument("--customer-buckets", type=int, default=None, help="hash status, services and facts by customer")
+    ap.add_argument("--facts-by-quarter", action="store_true", help="one folder of facts per quarter")
+    ap.add_argument("--location-scd1", action="store_true", help="location members keep their keys (SCD type 1)")
+    ap.add_argument("--customer-registry", default=None, help="stable customer keys from this table")
+    ap.add_argument("--keyed-facts", action="store_true", help="also write facts with the keys of their dimensions")
+    ap.add_argument("--paperless-billing", action="store_true", help="paperless billing as a package attribute")
     ap.add_argument("--only", nargs="*", choices=list(SILVER), help="silver tables to rebuild (default: all)")
     ap.add_argument("--business-year", type=int, default=flows.dims.BUSINESS_YEAR)
     ap.add_argument("--grain-safe-facts", action="store_true", help="join facts on customer and quarter")
@@ -48,6 +55,13 @@ def main(argv=None) -> int:
         silver_db=args.silver_db,
         audit_table=args.audit_table,
         report_table=args.report_table,
+        quality_reports=not args.no_quality_reports,
+        customer_buckets=args.customer_buckets,
+        facts_by_quarter=args.facts_by_quarter,
+        location_scd1=args.location_scd1,
+        customer_registry=args.customer_registry,
+        keyed_facts=args.keyed_facts,
+        paperless_billing=args.paperless_billing,
         business_year=args.business_year,
         facts_join_on=("customer_id", "quarter") if args.grain_safe_facts else ("customer_id",),
         prefer_internet_type=args.prefer_internet_type,

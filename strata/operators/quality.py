@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rules import ident, sql_lit
@@ -76,6 +76,18 @@ def key_uniqueness(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     )
 
 
+def profile_stats(column: str, digits: int = 6) -> dict[str, Column]:
+    """The statistics of one column as aggregates, by name."""
+    x, d = ident(column), int(digits)
+    return {
+        "count": F.expr(f"CAST(count({x}) AS BIGINT)"),
+        "mean": F.expr(f"round(CAST(avg({x}) AS DOUBLE), {d})"),
+        "stddev": F.expr(f"round(stddev_samp(CAST({x} AS DOUBLE)), {d})"),
+        "min": F.expr(f"CAST(min({x}) AS DOUBLE)"),
+        "max": F.expr(f"CAST(max({x}) AS DOUBLE)"),
+    }
+
+
 def profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """V6: typed ``describe()`` in long form: ``(measure, count, mean, stddev, min, max)``.
 
@@ -83,17 +95,8 @@ def profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
     aggregation), then are unpivoted.  ``stddev`` is the sample deviation;
     mean and stddev are rounded to ``digits``.
     """
-    aggs = []
-    for i, c in enumerate(columns):
-        x, d = ident(c), int(digits)
-        aggs += [
-            f"CAST(count({x}) AS BIGINT) AS c{i}_count",
-            f"round(CAST(avg({x}) AS DOUBLE), {d}) AS c{i}_mean",
-            f"round(stddev_samp(CAST({x} AS DOUBLE)), {d}) AS c{i}_stddev",
-            f"CAST(min({x}) AS DOUBLE) AS c{i}_min",
-            f"CAST(max({x}) AS DOUBLE) AS c{i}_max",
-        ]
-    wide = df.agg(*[F.expr(a) for a in aggs])
+    aggs = [column.alias(f"c{i}_{stat}") for i, c in enumerate(columns) for stat, column in profile_stats(c, digits).items()]
+    wide = df.agg(*aggs)
     stats = ("count", "mean", "stddev", "min", "max")
     rows = ", ".join(
         f"named_struct('measure', {sql_lit(c)}, " + ", ".join(f"'{s}', c{i}_{s}" for s in stats) + ")"
@@ -102,6 +105,17 @@ def profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
     return wide.selectExpr(f"inline(array({rows}))")
 
 
+def content_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """An aggregate over the rows of ``df`` that depends on their values but not on their order: the sum
+    of the first 40 bits of each row's MD5.  NULL is written ``~``, a double as a whole number of
+    ten-thousandths, everything else as text; columns in the order of their names."""
+    parts = []
+    for c in sorted(columns or df.columns):
+        whole = "CAST(round({0} * 10000) AS BIGINT)" if df.schema[c].dataType.simpleString() == "double" else "{0}"
+        parts.append(f"coalesce(CAST({whole.format(ident(c))} AS STRING), '~')")
+    return F.expr(f"sum(CAST(conv(substr(md5(concat_ws('|', {', '.join(parts)})), 1, 10), 16, 10) AS BIGINT))")
+
+
 def enforce(report: DataFrame, what: str = "data quality") -> None:
     """Raise once if any row of a check report has ``passed = false``.
 

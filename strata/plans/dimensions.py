@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import standard as std
 from ..functions.rules import ident, norm_title
 from ..operators.keys import hash_key_columns, hash_key_joined, period_key, sequential_key
+from ..operators.registry import with_registered_key
 from ..operators.relational import dedup_by_key
 from ..operators.scd import scd1_upsert
 from .schemas import SILVER
@@ -20,11 +21,10 @@ from .schemas import SILVER
 BUSINESS_YEAR = 2025  # fixed value: year assigned to every source quarter
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select the declared columns in declared order, cast to declared types."""
-    return df.selectExpr(
-        *[f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}" for f in SILVER[table].fields]
-    )
+def conform(df: DataFrame, table: str, *more: str) -> DataFrame:
+    """Select the declared columns in declared order, cast to declared types, and then ``more``."""
+    declared = [f"CAST({ident(f.name)} AS {f.dataType.simpleString()}) AS {ident(f.name)}" for f in SILVER[table].fields]
+    return df.selectExpr(*declared, *map(ident, more))
 
 
 # ---------------------------------------------------------------- customer
@@ -51,6 +51,11 @@ def dim_customer(demographics: DataFrame) -> DataFrame:
     return conform(keyed, "dim_customer")
 
 
+def dim_customer_registered(demographics: DataFrame, registry: DataFrame) -> DataFrame:
+    """One row per source customer row with the stable key that the registry holds for its id."""
+    return conform(with_registered_key(clean_demographics(demographics), registry, ["customer_id"], "customer_key"), "dim_customer")
+
+
 # ---------------------------------------------------------------- location
 def clean_location(location: DataFrame, keep=()) -> DataFrame:
     """Row-level location cleanup (C9): title-case city, 5-char ZIP, 4-decimal coordinates."""
@@ -107,21 +112,22 @@ def location_with_population(location: DataFrame, population: DataFrame) -> Data
     return location_by_zip(location).join(clean_population(population), on="zip_code", how="left")
 
 
-def dim_location(location: DataFrame, population: DataFrame) -> DataFrame:
-    joined = location_with_population(location, population).withColumn(
+def location_members(location: DataFrame, population: DataFrame) -> DataFrame:
+    """The location dimension's rows without a key."""
+    return location_with_population(location, population).withColumn(
         "population_density", std.population_density("population")
     )
-    keyed = sequential_key(joined, ["zip_code"], "location_key")
+
+
+def dim_location(location: DataFrame, population: DataFrame) -> DataFrame:
+    keyed = sequential_key(location_members(location, population), ["zip_code"], "location_key")
     return conform(keyed, "dim_location")
 
 
 def dim_location_scd1(current: DataFrame, location: DataFrame, population: DataFrame) -> DataFrame:
     """The location dimension maintained as SCD type 1: today's build updates
     the attributes of known ZIPs in place (their keys stay), new ZIPs get new keys."""
-    incoming = location_with_population(location, population).withColumn(
-        "population_density", std.population_density("population")
-    )
-    merged = scd1_upsert(current, incoming, ["zip_code"], "location_key")
+    merged = scd1_upsert(current, location_members(location, population), ["zip_code"], "location_key")
     return conform(merged, "dim_location")
 
 
@@ -136,9 +142,15 @@ SERVICE_ATTRIBUTES = (
 )
 
 
-def standardize_services(services: DataFrame, prefer_internet_type: bool = False, keep=()) -> DataFrame:
-    """The 13 package attributes of every services row (C1, C1a, C1b, C3, C3a, C3c);
-    ``keep`` carries source columns through (e.g. the natural key)."""
+PAPERLESS = "paperless_billing"
+
+
+def standardize_services(
+    services: DataFrame, prefer_internet_type: bool = False, keep=(), paperless: bool = False
+) -> DataFrame:
+    """The 13 package attributes of every services row (C1, C1a, C1b, C3, C3a, C3c), with
+    ``paperless`` also that of paperless billing; ``keep`` carries source columns through
+    (e.g. the natural key)."""
     cols = {
         "phone_service": std.PHONE_SERVICE.apply("phone_service"),
         "multiple_lines": std.MULTIPLE_LINES.apply("multiple_lines"),
@@ -147,6 +159,8 @@ def standardize_services(services: DataFrame, prefer_internet_type: bool = False
     cols.update({out: std.ADD_ON.apply(src) for out, src in std.ADD_ON_COLUMNS})
     cols["contract"] = std.CONTRACT.apply("contract")
     cols["payment_method"] = std.PAYMENT_METHOD.apply("payment_method")
+    if paperless:
+        cols[PAPERLESS] = std.ADD_ON.apply(PAPERLESS)
     return services.select(*keep, *[c.alias(n) for n, c in cols.items()])
 
 
@@ -157,11 +171,13 @@ def derive_package(df: DataFrame) -> DataFrame:
     )
 
 
-def dim_service_package(services: DataFrame, prefer_internet_type: bool = False) -> DataFrame:
-    """Distinct attribute combinations, derived after the distinct (one hash aggregate)."""
-    packages = standardize_services(services, prefer_internet_type).distinct()
-    keyed = derive_package(packages).withColumn("service_package_key", hash_key_joined(SERVICE_ATTRIBUTES))
-    return conform(keyed, "dim_service_package")
+def dim_service_package(services: DataFrame, prefer_internet_type: bool = False, paperless: bool = False) -> DataFrame:
+    """Distinct attribute combinations, derived after the distinct (one hash aggregate).  With
+    ``paperless`` the attribute belongs to the combination and its key, and follows as the last column."""
+    packages = standardize_services(services, prefer_internet_type, paperless=paperless).distinct()
+    attributes = (*SERVICE_ATTRIBUTES, PAPERLESS) if paperless else SERVICE_ATTRIBUTES
+    keyed = derive_package(packages).withColumn("service_package_key", hash_key_joined(attributes))
+    return conform(keyed, "dim_service_package", *([PAPERLESS] if paperless else []))
 
 
 # ---------------------------------------------------------------- churn status

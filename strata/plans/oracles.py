@@ -455,11 +455,43 @@ CATALOG_TABLES = with_(
            for t in SUBJECTS]),
 )
 
+
+
+def digest(columns: dict[str, str]) -> str:
+    """Sum of the first 40 bits of the rows' MD5; ``columns`` names each column's kind."""
+    whole = {c: f'CAST(round("{c}" * 10000) AS BIGINT)' if kind == "double" else f'"{c}"' for c, kind in columns.items()}
+    text = ", ".join(f"coalesce(CAST({whole[c]} AS VARCHAR), '~')" for c in sorted(columns))
+    return f"CAST(sum(CAST('0x' || md5(concat_ws('|', {text}))[1:10] AS BIGINT)) AS BIGINT)"
+
+
+# columns of the silver tables as declared, without hash keys: name and kind
+SILVER_COLUMNS = {
+    "dim_customer": "customer_key customer_id age age_group gender marital_status number_of_dependents family_size",
+    "dim_location": "location_key city zip_code latitude:double longitude:double population population_density",
+    "dim_service_package": " ".join([*PACKAGE_ATTRS, "total_services", "service_tier", "bundle_type"]),
+    "dim_churn_status": " ".join(CHURN_ATTRS),
+    "dim_quarter": "quarter_key quarter_name year quarter_of_year half_of_year",
+    "dim_promotion": "offer referred_a_friend",
+    "facts_base": "customer_id quarter tenure_months satisfaction_score churn_value churn_score cltv monthly_charges "
+    "avg_monthly_long_distance_charges total_charges total_revenue total_refunds total_extra_data_charges "
+    "total_long_distance_charges avg_monthly_gb_download number_of_referrals",
+}
+
+
+def kinds(columns: str) -> dict[str, str]:
+    return {c.split(":")[0]: c.partition(":")[2] for c in columns.split()}
+
+
 SILVER_BUILD_ALL = with_(
     ALL_CTES,
     union([f"SELECT '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status FROM silver_{t}"
            for t in SILVER_BODIES]),
 )
+SILVER_BUILD_CONTENT = with_(
+    ALL_CTES,
+    union([f"SELECT '{t}' AS table_name, {digest(kinds(SILVER_COLUMNS[t]))} AS content_digest FROM silver_{t}"
+           for t in SILVER_BODIES]),
+)
 
 # Text columns of each raw subject: after a round trip through a delimited file
 # an empty text loads as NULL (reader defaults), so the flow oracle applies
@@ -484,15 +516,105 @@ def loaded(*subjects: str) -> list[str]:
     return out
 
 
-ALL_CTES_LOADED = loaded(*SUBJECTS) + ALL_CTES[len(SUBJECTS):]
+# values that the staged files hold in place of a number: table -> column, the rows, the text
+DIRT = {
+    "demographics": ("age", "number_of_dependents = 3", "unknown"),
+    "services": ("total_charges", "tenure_in_months = 7", "12,50"),
+    "status": ("cltv", "satisfaction_score = 5", "99999999999"),
+}
+
+
+def dirty(*subjects: str) -> list[str]:
+    """The raw subjects as loaded from files with dirt: such a value is NULL."""
+    out = []
+    for cte, s in zip(loaded(*subjects), subjects):
+        if s in DIRT:
+            column, where, _ = DIRT[s]
+            cte = f"raw_{s} AS (SELECT * REPLACE (CASE WHEN {where} THEN NULL ELSE {column} END AS {column}) FROM ({cte[cte.index('(') + 1 : -1]}) w)"
+        out.append(cte)
+    return out
+
+
+def rejected(s: str) -> str:
+    """Values of a subject that are rejected."""
+    return f"(SELECT CAST(count(*) AS BIGINT) FROM raw_{s} WHERE {DIRT[s][1]})" if s in DIRT else "CAST(0 AS BIGINT)"
+
+
+ALL_CTES_LOADED = dirty(*SUBJECTS) + ALL_CTES[len(SUBJECTS):]
 
 _BRONZE_OK = " AND ".join(f"(SELECT count(*) FROM raw_{t}) >= {m}" for t, m in MIN_ROWS.items())
 LOAD_AUDIT = with_(
     ALL_CTES_LOADED,
     union([f"SELECT 'bronze' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, "
+           f"{rejected(t)} AS rejected_values, CAST(0 AS BIGINT) AS unparsable_quarters, "
            f"CASE WHEN {_BRONZE_OK} THEN 'success' ELSE 'failed' END AS status FROM raw_{t}" for t in SUBJECTS]
-          + [f"SELECT 'silver' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, 'success' AS status "
-             f"FROM silver_{t}" for t in SILVER_BODIES]),
+          + [f"SELECT 'silver' AS layer, '{t}' AS table_name, CAST(count(*) AS BIGINT) AS row_count, CAST(0 AS BIGINT), "
+             + ("CAST(count(*) FILTER (WHERE quarter_key IS NULL) AS BIGINT)" if t == "dim_quarter" else "CAST(0 AS BIGINT)")
+             + f", 'success' AS status FROM silver_{t}" for t in SILVER_BODIES]),
+)
+
+# columns of the raw subjects: name and kind
+RAW_COLUMNS = {
+    "demographics": "customer_id count gender age married number_of_dependents",
+    "location": "customer_id zip_code city latitude:double longitude:double",
+    "population": "id zip_code population",
+    "status": "customer_id quarter satisfaction_score churn_value churn_score cltv customer_status churn_category churn_reason",
+    "services": "customer_id quarter phone_service multiple_lines online_security online_backup device_protection_plan "
+    "premium_tech_support streaming_tv streaming_movies streaming_music unlimited_data referred_a_friend internet_service "
+    "internet_type offer contract payment_method tenure_in_months number_of_referrals avg_monthly_gb_download "
+    "monthly_charge:double avg_monthly_long_distance_charges:double total_charges:double total_refunds:double "
+    "total_extra_data_charges total_long_distance_charges:double total_revenue:double",
+}
+
+
+def _ingested(s: str) -> str:
+    rescued = f"CASE WHEN {DIRT[s][1]} THEN '{DIRT[s][2]}' ELSE '' END" if s in DIRT else "''"
+    columns = kinds(RAW_COLUMNS[s] + " source_file rescued")
+    return (
+        f"SELECT '{s}' AS table_name, CAST({MIN_ROWS[s]} AS BIGINT) AS min_rows, CAST(count(*) AS BIGINT) AS actual_rows, "
+        f"count(*) >= {MIN_ROWS[s]} AS passed, {digest(columns)} AS content_digest, {rejected(s)} AS rejected_values "
+        f"FROM (SELECT *, 'Telco_customer_churn_{s}.csv' AS source_file, {rescued} AS rescued FROM raw_{s}) x"
+    )
+
+
+BRONZE_INGEST_ALL = with_(dirty(*SUBJECTS), union([_ingested(s) for s in SUBJECTS]))
+
+
+def _bronze_report() -> str:
+    parts = [f"SELECT 'rejected_values' AS check_name, '{s}' AS table_name, '{c}' AS column_name, CAST({rejected(s)} AS DOUBLE) AS value "
+             f"WHERE {rejected(s)} > 0" for s, (c, _, _) in DIRT.items()]
+    for s, columns in (("demographics", ["customer_id"]), ("location", ["customer_id", "zip_code"]), ("population", ["zip_code"]),
+                       ("services", ["customer_id", "quarter"]), ("status", ["customer_id", "quarter"])):
+        parts += [f"SELECT 'null_count', '{s}', '{c}', CAST(count(*) FILTER (WHERE \"{c}\" IS NULL) AS DOUBLE) FROM raw_{s}"
+                  for c in columns]
+    zips = "lpad(trim(CAST(zip_code AS VARCHAR)), 5, '0')"
+    for s, child, column, parent in (
+        ("status", "trim(customer_id)", "customer_id", "SELECT trim(customer_id) AS k FROM raw_demographics"),
+        ("services", "trim(customer_id)", "customer_id", "SELECT trim(customer_id) AS k FROM raw_demographics"),
+        ("location", zips, "zip_code", f"SELECT {zips} AS k FROM raw_population"),
+    ):
+        parts.append(f"SELECT 'orphan_rows', '{s}', '{column}', CAST(count(*) AS DOUBLE) FROM (SELECT {child} AS k FROM raw_{s}) c "
+                     f"WHERE k IS NOT NULL AND k NOT IN (SELECT k FROM ({parent}) p WHERE k IS NOT NULL)")
+    return with_(dirty(*SUBJECTS), union(parts))
+
+
+BRONZE_QUALITY_REPORT = _bronze_report()
+
+# yesterday's customers have numbers 50 higher
+DIM_CUSTOMER_REGISTRY = with_(
+    raw("demographics") + [CLEAN_DEMOGRAPHICS, f"today AS ({DIM_CUSTOMER_BODY})",
+    """yesterday AS (SELECT customer_key, 'Customer#' || lpad(CAST(CAST(regexp_extract(customer_id, '(\\d+)', 1) AS BIGINT) + 50 AS VARCHAR), 9, '0')
+       AS customer_id FROM today)"""],
+    """SELECT t.* REPLACE (CAST(coalesce(y.customer_key, (SELECT max(customer_key) FROM yesterday)
+         + row_number() OVER (PARTITION BY y.customer_key IS NULL ORDER BY t.customer_id)) AS BIGINT) AS customer_key)
+       FROM today t LEFT JOIN yesterday y ON t.customer_id = y.customer_id""",
+)
+
+# unlimited data stands in for paperless billing
+SILVER_SCHEMA_EVOLUTION = with_(
+    raw("services") + [STD_SERVICES.replace("\nFROM raw_services", f", {flag('unlimited_data', 'Not applicable')} AS paperless_billing\nFROM raw_services")],
+    "SELECT " + ", ".join(PACKAGE_ATTRS) + ", paperless_billing, total_services, " + DERIVED + "\nFROM (SELECT *, " + TOTAL_SERVICES
+    + " AS total_services FROM (SELECT DISTINCT " + ", ".join(PACKAGE_ATTRS) + ", paperless_billing FROM std_services) d) t",
 )
 
 
@@ -673,11 +795,19 @@ ORACLES: dict[str, str] = {
     "bronze_lineage_columns": BRONZE_LINEAGE_COLUMNS,
     "bronze_roundtrip": BRONZE_ROUNDTRIP,
     "bronze_ingest_population": BRONZE_INGEST_POPULATION,
-    "bronze_ingest_all": DQ_MIN_ROWS,
+    "bronze_ingest_all": BRONZE_INGEST_ALL,
     "catalog_tables": CATALOG_TABLES,
     "catalog_data_dictionary": CATALOG_DATA_DICTIONARY,
     "silver_write_keeps_schema": DIM_CUSTOMER,
     "silver_build_all": SILVER_BUILD_ALL,
+    "silver_build_content": SILVER_BUILD_CONTENT,
     "silver_quality_report": SILVER_QUALITY_REPORT,
+    "silver_location_scd1": DIM_LOCATION_SCD1,
+    "silver_keyed_facts": FACTS_KEYED,
+    "silver_schema_evolution": SILVER_SCHEMA_EVOLUTION,
+    "bronze_quality_report": BRONZE_QUALITY_REPORT,
+    "facts_by_quarter": FACTS_BASE,
+    "facts_bucketed": FACTS_BASE,
+    "dim_customer_registry": DIM_CUSTOMER_REGISTRY,
     "load_audit": LOAD_AUDIT,
 }

@@ -345,19 +345,31 @@ def q_layer_row_counts(spark, sf):
 
 
 # ================================================================ bronze, catalog, flows
-def _stage_sources(spark, sf) -> str:
+# Values that their declared type rejects, put into the source files: table -> column, the rows that get one, the text
+DIRT = {
+    "demographics": ("age", "number_of_dependents = 3", "unknown"),
+    "services": ("total_charges", "tenure_in_months = 7", "12,50"),
+    "status": ("cltv", "satisfaction_score = 5", "99999999999"),
+}
+
+
+def _stage_sources(spark, sf, dirty: bool = False) -> str:
     """Write each raw subject as its delimited source file into a fresh folder."""
     folder = scratch_path(spark, "sources")
     for s in ingest.DEFAULT_SOURCES:
-        ingest.stage_delimited(raw_view(spark, sf, s.table), f"{folder}/{s.file}")
+        rows = raw_view(spark, sf, s.table)
+        if dirty and s.table in DIRT:
+            column, where, text = DIRT[s.table]
+            rows = rows.withColumn(column, F.when(F.expr(where), text).otherwise(F.col(column).cast("string")))
+        ingest.stage_delimited(rows, f"{folder}/{s.file}")
     return folder
 
 
-def _config(spark, sf, stage: bool = True) -> flows.WarehouseConfig:
+def _config(spark, sf, stage: bool = True, dirty: bool = False, **options) -> flows.WarehouseConfig:
     root = scratch_path(spark, "warehouse")
     tag = root.rsplit("-", 1)[-1]
     return flows.WarehouseConfig(
-        source_dir=_stage_sources(spark, sf) if stage else "",
+        source_dir=_stage_sources(spark, sf, dirty) if stage else "",
         bronze_base=f"{root}/bronze",
         silver_base=f"{root}/silver",
         bronze_db=f"bronze_{tag}",
@@ -365,9 +377,22 @@ def _config(spark, sf, stage: bool = True) -> flows.WarehouseConfig:
         bronze_db_location=f"{root}/bronze_db",
         silver_db_location=f"{root}/silver_db",
         audit_table=f"silver_{tag}.load_audit",
+        **options,
     )
 
 
+def _digests(tables: dict[str, DataFrame], left_out: tuple[str, ...] = ()) -> DataFrame:
+    parts = [
+        df.agg(quality.content_digest(df, [c for c in df.columns if c not in left_out]).alias("content_digest"))
+        .select(F.lit(t).alias("table_name"), "content_digest")
+        for t, df in tables.items()
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_bronze_lineage_columns(spark, sf):
     (p,) = _raw(spark, sf, "population")
     return ingest.with_lineage(p, POPULATION_FILE).drop("ingestion_timestamp")
@@ -392,13 +417,29 @@ def q_bronze_ingest_population(spark, sf):
 
 
 def q_bronze_ingest_all(spark, sf):
-    cfg = _config(spark, sf)
+    """All five files loaded, some with values that their type rejects: the minimum-row report, a digest of
+    the loaded rows and the number of rejected values of each table."""
+    cfg = _config(spark, sf, dirty=True)
+    audit = flows.run_bronze(spark, cfg, enforce=False)
+    loaded = {}
+    for t, df in flows.bronze_tables(spark, cfg).items():
+        kept = [c for c in raw_view(spark, sf, t).columns]
+        rescued = F.coalesce(F.array_join(F.map_values("rescued_values"), ","), F.lit("")).alias("rescued")
+        loaded[t] = df.select(*kept, "source_file", rescued)
+    rejected = audit.select("table_name", "rejected_values")
+    report = quality.min_rows(loaded, cfg.min_rows)
+    return report.join(_digests(loaded), "table_name").join(rejected, "table_name")
+
+
+def q_bronze_quality_report(spark, sf):
+    """The report that a bronze run writes: rejected values, NULL keys, references that lead nowhere."""
+    cfg = _config(spark, sf, dirty=True)
     flows.run_bronze(spark, cfg, enforce=False)
-    return quality.min_rows(flows.bronze_tables(spark, cfg), cfg.min_rows)
+    return spark.table(f"{cfg.bronze_db}.quality_report").drop("run_id", "layer")
 
 
 def q_catalog_tables(spark, sf):
-    cfg = _config(spark, sf)
+    cfg = _config(spark, sf, quality_reports=False)
     flows.run_bronze(spark, cfg, enforce=False)
     info = catalog.table_info(spark, cfg.bronze_db)
     with catalog.current_database(spark, cfg.bronze_db):  # unqualified names resolve in the bronze database
@@ -447,27 +488,98 @@ def q_silver_write_keeps_schema(spark, sf):
     return written
 
 
+HASH_KEYS = ("service_package_key", "promotion_key", "churn_status_key")
+
+
 def q_silver_build_all(spark, sf):
     cfg = _config(spark, sf, stage=False)
     audit = flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=True)
     return audit.select("table_name", "row_count", "status")
 
 
+def q_silver_build_content(spark, sf):
+    """Digests of the rows of the seven tables as the silver flow wrote them."""
+    cfg = _config(spark, sf, stage=False)
+    flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=True)
+    return _digests({t: spark.table(f"{cfg.silver_db}.{t}") for t in SILVER}, HASH_KEYS)
+
+
 def q_silver_quality_report(spark, sf):
-    """The silver flow with its quality report appended, read back from the report table."""
+    """The silver flow's quality report, read back from the report table."""
     cfg = _config(spark, sf, stage=False)
-    cfg.report_table = f"{cfg.silver_db}.quality_report"
     flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=False)
-    return spark.table(cfg.report_table).drop("run_id")
+    return spark.table(f"{cfg.silver_db}.quality_report").drop("run_id", "layer")
 
 
 def q_load_audit(spark, sf):
-    cfg = _config(spark, sf)
-    flows.run_bronze(spark, cfg, enforce=False)
-    flows.run_silver(spark, cfg, enforce=False)
+    """Both layers run, the second time under the same run ids: the audit holds one set of rows."""
+    cfg = _config(spark, sf, dirty=True)
+    for _ in range(2):
+        flows.run_bronze(spark, cfg, enforce=False, run_id="b")
+        flows.run_silver(spark, cfg, enforce=False, run_id="s")
     return flows.audit_view(spark.table(cfg.audit_table))
 
 
+def q_silver_location_scd1(spark, sf):
+    """Two silver runs with location as SCD type 1.  In the first one all ZIPs are 50 higher and no population is
+    known; the second one fills members of both in place, keeps the others and numbers new ones."""
+    cfg = _config(spark, sf, stage=False, location_scd1=True)
+    loc, pop = _raw(spark, sf, "location", "population")
+    before = {"location": loc.withColumn("zip_code", F.col("zip_code") + 50), "population": pop.withColumn("zip_code", F.lit(None).cast("int"))}
+    for bronze in (before, {"location": loc, "population": pop}):
+        flows.run_silver(spark, cfg, bronze=bronze, only=("dim_location",))
+    return spark.table(f"{cfg.silver_db}.dim_location")
+
+
+def q_dim_customer_registry(spark, sf):
+    """Customers with stable keys over two silver runs.  In the first one all customer numbers are 50 higher: of
+    today's customers those known keep their keys, the others get keys after the largest."""
+    cfg = _config(spark, sf, stage=False)
+    cfg.customer_registry = f"{cfg.silver_db}.customer_registry"
+    (d,) = _raw(spark, sf, "demographics")
+    number = F.regexp_extract("customer_id", r"(\d+)", 1).cast("long") + 50
+    before = d.withColumn("customer_id", F.concat(F.lit("Customer#"), F.lpad(number.cast("string"), 9, "0")))
+    for demographics in (before, d):
+        flows.run_silver(spark, cfg, bronze={"demographics": demographics}, only=("dim_customer",))
+    return spark.table(f"{cfg.silver_db}.dim_customer")
+
+
+def q_facts_by_quarter(spark, sf):
+    """Facts in one folder per quarter, of which one quarter is rebuilt on its own."""
+    cfg = _config(spark, sf, stage=False, facts_by_quarter=True)
+    bronze = {s: raw_view(spark, sf, s) for s in ("status", "services")}
+    flows.run_silver(spark, cfg, bronze=bronze, only=("facts_base",))
+    flows.rebuild_quarters(spark, cfg, ("Q3",), bronze)
+    return spark.table(f"{cfg.silver_db}.facts_base")
+
+
+def q_facts_bucketed(spark, sf):
+    """Facts from status and services tables that are hashed by customer: joined without a shuffle."""
+    cfg = _config(spark, sf, customer_buckets=8)
+    flows.run_bronze(spark, cfg, enforce=False)
+    flows.run_silver(spark, cfg, only=("facts_base",))
+    return spark.table(f"{cfg.silver_db}.facts_base")
+
+
+def q_silver_keyed_facts(spark, sf):
+    """The keyed facts as the silver flow writes them."""
+    cfg = _config(spark, sf, stage=False, keyed_facts=True)
+    flows.run_silver(spark, cfg, bronze={s: raw_view(spark, sf, s) for s in SUBJECTS}, enforce=False)
+    return spark.table(f"{cfg.silver_db}.facts_keyed")
+
+
+def q_silver_schema_evolution(spark, sf):
+    """A package dimension declared and written without paperless billing gains the column with the run that builds
+    it.  The raw services have no such column; that of unlimited data stands in for it."""
+    cfg = _config(spark, sf, stage=False)
+    (sv,) = _raw(spark, sf, "services")
+    bronze = {"services": sv.withColumn("paperless_billing", F.col("unlimited_data"))}
+    flows.run_silver(spark, cfg, bronze=bronze, only=("dim_service_package",))
+    cfg.paperless_billing = True
+    flows.run_silver(spark, cfg, bronze=bronze, only=("dim_service_package",))
+    return spark.table(f"{cfg.silver_db}.dim_service_package").drop("service_package_key")
+
+
 QUERIES: dict[str, Query] = {
     # tables
     "dim_customer": q_dim_customer,
@@ -481,6 +593,9 @@ QUERIES: dict[str, Query] = {
     "facts_base_hot_split": q_facts_base_hot_split,
     "facts_base_grain_safe": q_facts_base_grain_safe,
     "facts_keyed": q_facts_keyed,
+    "facts_by_quarter": q_facts_by_quarter,
+    "facts_bucketed": q_facts_bucketed,
+    "dim_customer_registry": q_dim_customer_registry,
     # rules
     "standardize_flags": q_standardize_flags,
     "standardize_membership": q_standardize_membership,
@@ -528,6 +643,11 @@ QUERIES: dict[str, Query] = {
     "catalog_data_dictionary": q_catalog_data_dictionary,
     "silver_write_keeps_schema": q_silver_write_keeps_schema,
     "silver_build_all": q_silver_build_all,
+    "silver_build_content": q_silver_build_content,
     "silver_quality_report": q_silver_quality_report,
+    "silver_location_scd1": q_silver_location_scd1,
+    "silver_keyed_facts": q_silver_keyed_facts,
+    "silver_schema_evolution": q_silver_schema_evolution,
+    "bronze_quality_report": q_bronze_quality_report,
     "load_audit": q_load_audit,
 }

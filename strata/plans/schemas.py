@@ -204,3 +204,16 @@ SILVER: dict[str, T.StructType] = {
         ]
     ),
 }
+
+# facts with the keys of their dimensions, as an option of the silver flow
+FACTS_KEYED = T.StructType(
+    [
+        _f("customer_key", L, "Key of the customer"),
+        _f("quarter_key", I, "Key of the quarter"),
+        _f("service_package_key", L, "Key of the service package"),
+        _f("promotion_key", L, "Key of the promotion"),
+        _f("churn_status_key", L, "Key of the churn status"),
+        *SILVER["facts_base"].fields,
+    ]
+)
+RESCUED = _f("rescued_values", T.MapType(S, S), "Text of values that their declared type rejects, by column")

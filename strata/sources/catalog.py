@@ -6,11 +6,14 @@ idempotent: creating what exists is a no-op, like ``IF NOT EXISTS``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..functions.rules import ident, sql_lit
+
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS``."""
@@ -36,37 +39,82 @@ def current_database(spark: SparkSession, name: str):
         use_database(spark, previous)
 
 
+def _column(f: T.StructField) -> str:
+    comment = f.metadata.get("comment")
+    return f"{ident(f.name)} {f.dataType.simpleString()}" + (f" COMMENT {sql_lit(comment)}" if comment else "")
+
+
 def create_table(
     spark: SparkSession,
     name: str,
     schema: T.StructType,
-    location: str,
+    location: str | None,
     comment: str | None = None,
     source: str = "parquet",
+    partition_by: Sequence[str] = (),
+    bucket_by: tuple[str, int] | None = None,
 ) -> bool:
     """A table with a declared schema (column comments from field
-    metadata) over files at ``location``; returns False if it already existed."""
+    metadata) over files at ``location``; returns False if it already existed.
+    ``partition_by`` columns are folders; ``bucket_by`` is a column, by which rows are
+    hashed and sorted, and a number of buckets."""
     if spark.catalog.tableExists(name):
         return False
-    spark.catalog.createTable(name, path=location, source=source, schema=schema, description=comment or "")
+    if not partition_by and not bucket_by:
+        spark.catalog.createTable(name, path=location, source=source, schema=schema, description=comment or "")
+        return True
+    parts = [f"CREATE TABLE {name} ({', '.join(_column(f) for f in schema.fields)}) USING {source}"]
+    if partition_by:
+        parts.append(f"PARTITIONED BY ({', '.join(ident(c) for c in partition_by)})")
+    if bucket_by:
+        key = ident(bucket_by[0])
+        parts.append(f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {int(bucket_by[1])} BUCKETS")
+    if location:  # else the table is managed
+        parts.append(f"LOCATION {sql_lit(location)}")
+    if comment:
+        parts.append(f"COMMENT {sql_lit(comment)}")
+    spark.sql(" ".join(parts))
     return True
 
 
+def add_columns(spark: SparkSession, name: str, schema: T.StructType) -> list[str]:
+    """Add to a table the columns of ``schema`` that it lacks (rows written before read NULL
+    there); returns their names.  Types of columns that exist are not changed."""
+    have = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in schema.fields if f.name.lower() not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(_column(f) for f in new)})")
+        spark.catalog.refreshTable(name)
+    return [f.name for f in new]
+
+
+def _described(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def location(spark: SparkSession, name: str) -> str:
+    return _described(spark, name)["Location"]
+
+
+def set_location(spark: SparkSession, name: str, path: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_lit(path)}")
+    spark.catalog.refreshTable(name)
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def refresh(spark: SparkSession, name: str) -> None:
     """Make files rewritten outside the catalog visible."""
     spark.catalog.refreshTable(name)
 
 
 def table_info(spark: SparkSession, database: str) -> list[tuple[str, str, str | None]]:
-    """``(table_name, table_type, location)`` for every table of ``database``."""
+    """``(table_name, table_type, location)`` for every table of ``database``; views have no location."""
     out = []
     for t in spark.catalog.listTables(database):
-        loc = None
-        try:
-            detail = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{t.name}`").collect()
-            loc = next((r.data_type for r in detail if r.col_name == "Location"), None)
-        except Exception:  # views and temp tables have no location
-            pass
+        loc = None if t.isTemporary or t.tableType == "VIEW" else _described(spark, f"`{database}`.`{t.name}`").get("Location")
         out.append((t.name, t.tableType, loc))
     return out
 

@@ -4,21 +4,22 @@ One pass per file: the file is read with every column as text, columns are
 matched to the declared schema by name (case-insensitive, a declared column
 missing from the file is NULL) and converted with ``try_cast``, so there is no
 separate schema-inference scan and a bad value becomes NULL instead of failing
-the load.  Schema inference stays available (``infer_schema=True``) for files
-without a declared schema.  Row counts are collected with ``observe`` during
+the load; its text is kept in a map column and counted per column.  Schema inference stays available (``infer_schema=True``) for files
+without a declared schema.  Row and reject counts are collected with ``observe`` during
 the write, so the file is not scanned a second time to count it.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .sinks import align_to
+from .sinks import RESCUED, align_to, observed, overwrite_table, rejected_counts
 
 
 @dataclass(frozen=True)
@@ -45,18 +46,20 @@ def read_delimited(
     infer_schema: bool = False,
     header: bool = True,
     sep: str = ",",
+    rescued: str | None = None,
 ) -> DataFrame:
     """Read a delimited file with a header.
 
     With ``schema``: text read, then projected onto the schema by column name
     with ``try_cast`` (absent columns are NULL); columns of the file that the
-    schema does not name follow as text, so the raw layer loses none.
+    schema does not name follow as text, so the raw layer loses none; ``rescued`` names a map
+    column for the text of values that their declared type rejects.
     Without: every column as text, or inferred types when ``infer_schema``.
     """
     reader = spark.read.option("header", str(header).lower()).option("sep", sep).option("mode", "PERMISSIVE")
     if schema is None:
         return reader.option("inferSchema", str(infer_schema).lower()).csv(path)
-    return align_to(reader.option("inferSchema", "false").csv(path), schema, keep_undeclared=True)
+    return align_to(reader.option("inferSchema", "false").csv(path), schema, keep_undeclared=True, rescued=rescued)
 
 
 def with_lineage(df: DataFrame, source_file: str, loaded_at: datetime | None = None) -> DataFrame:
@@ -71,11 +74,11 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression
     df.write.mode(mode).option("compression", compression).parquet(path)
 
 
-def write_counted(df: DataFrame, path: str, name: str = "write", **kw) -> int:
-    """Write and return the number of rows written, measured in the same job."""
-    obs = Observation(f"rows_{name}")
-    write_parquet(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
-    return int(obs.get["rows"])
+def write_observed(df: DataFrame, path: str, metrics: Mapping[str, Column] | None = None, **kw) -> dict:
+    """Write and return the number of rows written (``rows``) and the metrics, measured in the same job."""
+    out, values = observed(df, metrics)
+    write_parquet(out, path, **kw)
+    return values()
 
 
 def bronze_path(base: str, table: str) -> str:
@@ -88,6 +91,7 @@ class IngestResult:
     source_file: str
     path: str
     rows: int
+    rejected: Mapping[str, int] = field(default_factory=dict)  # values that failed their declared type, by column
 
 
 def ingest_file(
@@ -99,20 +103,35 @@ def ingest_file(
     infer_schema: bool = False,
     rebalance: bool = False,
     loaded_at: datetime | None = None,
+    rescue: bool = True,
+    table: str | None = None,
+    bucket_by: tuple[str, int] | None = None,
 ) -> IngestResult:
     """S1+S2+S3 for one file: read, add lineage, write Parquet, count in the same job.
 
+    With a declared schema and ``rescue``, the text of values that fail their declared type is
+    kept in the column ``rescued_values`` and counted per column.  The files go to the table's
+    folder; with ``bucket_by`` (column, number) they go through the declared ``table``, one file a bucket.
+
     ``rebalance=True`` adds a rebalancing shuffle before the write (adaptive
     execution splits oversized partitions and merges tiny ones): for sources
     that cannot be split on read (e.g. one large gzip file) so that encoding and
     writing do not run in a single task.  Splittable sources need no shuffle.
     """
-    df = read_delimited(spark, f"{source_dir.rstrip('/')}/{source.file}", schema, infer_schema=infer_schema)
+    rescued = RESCUED if rescue and schema is not None else None
+    path = f"{source_dir.rstrip('/')}/{source.file}"
+    df = read_delimited(spark, path, schema, infer_schema=infer_schema, rescued=rescued)
     if rebalance:
         df = df.hint("rebalance")
+    df = with_lineage(df, source.file, loaded_at)
+    metrics = rejected_counts(schema) if rescued else {}
     target = bronze_path(target_base, source.table)
-    rows = write_counted(with_lineage(df, source.file, loaded_at), target, source.table)
-    return IngestResult(source.table, source.file, target, rows)
+    if bucket_by:
+        found = overwrite_table(df.repartition(bucket_by[1], bucket_by[0]), table, metrics, evolve=True)
+    else:
+        found = write_observed(df, target, metrics)
+    rejected = {name.split(".", 1)[1]: n for name, n in found.items() if name != "rows" and n}
+    return IngestResult(source.table, source.file, target, found["rows"], rejected)
 
 
 def stage_delimited(df: DataFrame, path: str) -> None:

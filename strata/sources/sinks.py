@@ -2,44 +2,156 @@
 
 ``saveAsTable(mode='overwrite')`` on a declared external table replaces the
 declaration with the DataFrame's schema (types, comments, location, external
-flag).  ``overwrite_table`` instead casts the frame to the declared schema,
-orders it by the declaration and ``insertInto``s it with overwrite, so the
-table keeps its types (BIGINT keys), comments, location and external flag.
+flag).  The writes here cast the frame to the declared schema and match columns
+by name, so the table keeps its types (BIGINT keys), comments and external flag:
+
+* ``overwrite_table`` replaces all rows in place;
+* ``overwrite_partitions`` replaces the partitions that the frame holds and leaves
+  the files of all others untouched;
+* ``publish_table`` writes a new version beside the current one, checks it, and only
+  then moves the table's location, so readers see the old rows or the new ones.
+
+Each is one write job; row counts and other metrics are observed in that job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import itertools
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from . import catalog
 
+RESCUED = "rescued_values"
 
-def align_to(df: DataFrame, schema, keep_undeclared: bool = False) -> DataFrame:
+
+def align_to(df: DataFrame, schema, keep_undeclared: bool = False, rescued: str | None = None) -> DataFrame:
     """Project ``df`` onto ``schema``: declared order, declared types (``try_cast``),
     matched by name case-insensitively; a declared column ``df`` lacks is a typed
     NULL; field metadata (comments) is kept.  ``keep_undeclared`` appends the
-    columns that the schema does not name, as they are."""
+    columns that the schema does not name, as they are.
+
+    ``rescued`` names a map column that is added last: the text of every value that its
+    declared type rejects, by column name (NULL where all values fit)."""
     have = {c.lower(): c for c in df.columns}
-    cols = []
+    cols, entries = [], []
     for f in schema.fields:
         src = have.get(f.name.lower())
-        col = F.col(f"`{src}`").try_cast(f.dataType) if src is not None else F.lit(None).cast(f.dataType)
-        cols.append(col.alias(f.name, metadata=f.metadata))
+        if src is None:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata))
+            continue
+        raw = F.col(f"`{src}`")
+        typed = raw.try_cast(f.dataType)
+        cols.append(typed.alias(f.name, metadata=f.metadata))
+        if rescued and not isinstance(f.dataType, T.StringType):
+            bad = F.when(raw.isNotNull() & typed.isNull(), raw.cast("string"))
+            entries.append(F.struct(F.lit(f.name).alias("key"), bad.alias("value")))
     declared = {f.name.lower() for f in schema.fields}
     if keep_undeclared:
         cols += [F.col(f"`{c}`") for c in df.columns if c.lower() not in declared]
+    if rescued:
+        kind = "map<string,string>"
+        found = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())) if entries else None
+        cols.append((F.lit(None).cast(kind) if found is None else F.when(F.size(found) > 0, found)).alias(rescued))
     return df.select(*cols)
 
 
-def overwrite_table(df: DataFrame, table: str, count: bool = True) -> int | None:
-    """Full rebuild of a declared table in one write job; returns the row
-    count measured during that job (no re-scan)."""
+def rejected_counts(schema, rescued: str = RESCUED) -> dict[str, Column]:
+    """Per typed column of ``schema`` the aggregate that counts its rejected values, for ``observed``."""
+    typed = [f.name for f in schema.fields if not isinstance(f.dataType, T.StringType)]
+    return {f"rejected.{c}": F.count_if(F.element_at(rescued, c).isNotNull()) for c in typed}
+
+
+_numbers = itertools.count()
+
+
+def observed(df: DataFrame, metrics: Mapping[str, Column] | None = None) -> tuple[DataFrame, Callable[[], dict]]:
+    """``df`` with its row count (``rows``) and ``metrics`` observed in whatever job runs it, and a
+    function that gives their values after that job."""
+    obs = Observation(f"write_{next(_numbers)}")
+    named = {"rows": F.count(F.lit(1)), **(metrics or {})}
+    # metric names may hold any character, names of an observation's fields may not
+    fields = {f"m{i}": name for i, name in enumerate(named)}
+    out = df.observe(obs, *[named[name].alias(f) for f, name in fields.items()])
+    return out, lambda: {name: obs.get[f] for f, name in fields.items()}
+
+
+def overwrite_table(df: DataFrame, table: str, metrics: Mapping[str, Column] | None = None, evolve: bool = False) -> dict:
+    """Full rebuild of a declared table in one write job; returns the metrics observed in
+    that job, the row count as ``rows``.  ``evolve`` first adds the columns that the table lacks."""
     spark = df.sparkSession
-    declared = spark.table(table).schema
-    aligned = align_to(df, declared)
-    obs = None
-    if count:
-        obs = Observation(f"rows_{table.replace('.', '_')}")
-        aligned = aligned.observe(obs, F.count(F.lit(1)).alias("rows"))
+    if evolve:
+        catalog.add_columns(spark, table, df.schema)
+    aligned, values = observed(align_to(df, spark.table(table).schema), metrics)
     aligned.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
-    return int(obs.get["rows"]) if obs is not None else None
+    return values()
+
+
+def overwrite_partitions(df: DataFrame, table: str, metrics: Mapping[str, Column] | None = None) -> dict:
+    """Replace those partitions of a declared table that ``df`` has rows of."""
+    spark = df.sparkSession
+    by = catalog.partition_columns(spark, table)
+    if not by:
+        raise ValueError(f"{table} is not partitioned")
+    aligned, values = observed(align_to(df, spark.table(table).schema), metrics)
+    writer = aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+    writer.parquet(catalog.location(spark, table))
+    spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return values()
+
+
+VERSIONS = ".versions"
+
+
+def publish_table(
+    df: DataFrame,
+    table: str,
+    check: Callable[[DataFrame, dict], Sequence[str]] | None = None,
+    metrics: Mapping[str, Column] | None = None,
+) -> dict:
+    """Write, audit, publish: ``df`` becomes a new version of a declared table.  ``check`` gets
+    the written rows and the observed metrics and returns what is wrong with them; if that is
+    anything, ``PublishError`` is raised and the table stays as it was.  The version before the current
+    one is kept for readers that still hold it, older ones are removed."""
+    spark = df.sparkSession
+    declared = spark.table(table).schema
+    current = catalog.location(spark, table)
+    root = current.split(f"{VERSIONS}/")[0].removesuffix("/").removesuffix(VERSIONS)
+    made = f"{root}{VERSIONS}/{uuid.uuid4().hex}"
+    aligned, values = observed(align_to(df, declared), metrics)
+    aligned.write.parquet(made)
+    found = values()
+    wrong = list(check(spark.read.schema(declared).parquet(made), found)) if check else []
+    if wrong:
+        _remove(spark, made)
+        raise PublishError(f"{table} not published: {'; '.join(wrong)}")
+    catalog.set_location(spark, table, made)
+    for old in _folders(spark, f"{root}{VERSIONS}"):
+        if old.rsplit("/", 1)[-1] not in (made.rsplit("/", 1)[-1], current.rsplit("/", 1)[-1]):
+            _remove(spark, old)
+    return found
+
+
+class PublishError(RuntimeError):
+    pass
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _folders(spark: SparkSession, name: str) -> list[str]:
+    path, fs = _path(spark, name)
+    return [str(s.getPath()) for s in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def _remove(spark: SparkSession, name: str) -> None:
+    path, fs = _path(spark, name)
+    fs.delete(path, True)
