@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rules import as_col
+from ..functions.rules import as_col, ident
 
 KEY_SEPARATOR = "||"
 
@@ -39,6 +39,7 @@ def period_key(year: str | Column, quarter: str | Column) -> Column:
 
 _RANGE, _TIE, _COPIES, _OFFSET, _CHUNK = "_sk_range", "_sk_tie", "_sk_copies", "_sk_offset", "_sk_chunk"
 SAMPLE_PER_RANGE = 64
+MOST_RANGES = 1 << 14  # bounds the sample (a million places) and the split points
 COPIES_PER_CHUNK = 100_000
 
 
@@ -66,7 +67,7 @@ def range_tagged(
     subquery of the plan: nothing runs when this function is called.
     """
     order_by = list(order_by)
-    ranges = num_ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(MOST_RANGES, num_ranges or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     steps = max(1, (ranges - 1).bit_length())  # of the binary search among 2 ** steps - 1 split points
     ranges = 1 << steps
     tied = df.withColumn(_TIE, F.xxhash64(*order_by, *_tie_columns(df, order_by, tiebreak)))
@@ -79,12 +80,13 @@ def range_tagged(
     )
     splits = drawn.agg(F.sort_array(F.collect_list("m.p")).alias("s")).filter("size(s) > 0").select(points).scalar()
 
-    # binary search, a projection a step, so that the compiled expressions stay small
-    found = tied.withColumns({"_sk_splits": splits, "_sk_place": place, _RANGE: F.lit(0)})
-    for i in reversed(range(steps)):
-        beyond = F.col("_sk_place") > F.element_at("_sk_splits", F.col(_RANGE) + (1 << i))
-        found = found.withColumn(_RANGE, F.col(_RANGE) + F.when(beyond, 1 << i).otherwise(0))
-    return found.drop("_sk_splits", "_sk_place")
+    # binary search, a step an alias, so that the compiled expressions stay small
+    steps_down = list(reversed(range(steps)))
+    search = [f"0 AS _sk_at{steps}"] + [
+        f"_sk_at{i + 1} + IF(_sk_place > element_at(_sk_splits, _sk_at{i + 1} + {1 << i}), {1 << i}, 0) AS _sk_at{i}" for i in steps_down
+    ]
+    found = tied.select("*", splits.alias("_sk_splits"), place.alias("_sk_place")).selectExpr("*", *search)
+    return found.select(*[F.col(ident(c)) for c in tied.columns], F.col("_sk_at0").alias(_RANGE))
 
 
 def sequential_key(

@@ -127,7 +127,7 @@ def write_run(rows: DataFrame, table: str, cfg: WarehouseConfig) -> None:
         locations = {cfg.bronze_db: cfg.bronze_db_location, cfg.silver_db: cfg.silver_db_location}
         catalog.create_database(spark, db, locations.get(db))
     catalog.create_table(spark, table, rows.schema, None, partition_by=BY_RUN)
-    sinks.overwrite_partitions(rows, table)
+    sinks.overwrite_partitions(rows.coalesce(1), table)
 
 
 def record_audit(spark: SparkSession, audit: DataFrame, cfg: WarehouseConfig) -> None:
