@@ -7,9 +7,10 @@ are fitted on a bounded sample of them (``sample_docs`` in all, shared out
 evenly between the languages); a fifth of the sample is held back for the
 temperature.  Prediction reads every whole text.
 
-Defined results: a null text or one without a letter is ``und`` with score 0;
+Defined results: a null text or one without a letter (Unicode categories L) is ``und`` with score 0;
 without any learning row every text is ``und``; rows with a null ``lang`` teach
-nothing; languages that tie go to the first in string order.  Only ``doc_id``,
+nothing; languages that tie go to the first in string order; equal rows count once in the
+sample, each in the document frequencies, and get equal predictions; an empty table gives an empty result.  Only ``doc_id``,
 ``text`` and (for learning) ``lang`` are read, other columns may have any name.
 """
 
@@ -24,14 +25,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import freeze
 
 BITS = 16
 DIMS = 1 << BITS
 CHUNK = 1 << 20  # characters hashed at once
-LETTER = re.compile(r"[^\W\d_]")
+LIKE_A_LETTER = re.compile(r"[^\W\d_]")  # also numbers that are no digits, such as fractions
 UNKNOWN = "und"
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter (Unicode categories L)."""
+    return any(m[0].isalpha() for m in LIKE_A_LETTER.finditer(text))
+
+
 def decode(text: bytes | None) -> str:
     return (text or b"").decode("utf-8", "replace")
 
@@ -81,21 +88,21 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
 
 def least_orders(rows: DataFrame, each: int) -> DataFrame:
-    """Of ``rows(lang, at)`` the ``each`` least different ``at`` of each language, or fewer."""
-
-    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, np.ndarray] = {}
-        for batch in batches:
-            coded = batch.column("lang").dictionary_encode()
-            which, at = coded.indices.to_numpy(), batch.column("at").to_numpy()
-            order = np.lexsort((at, which))
-            bounds = np.searchsorted(which[order], np.arange(len(coded.dictionary) + 1))
-            for lang, a, b in zip(coded.dictionary.to_pylist(), bounds, bounds[1:]):
-                kept[lang] = np.unique(np.concatenate((kept.get(lang, at[:0]), at[order[a:b]])))[:each]
-        for lang, at in kept.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at)], ["lang", "at"])
-
-    few = rows.mapInArrow(least, "lang string, at long").distinct()
+    """Of ``rows(lang, at)`` the ``each`` least different ``at`` of each language, or fewer.  Only
+    rows below a language's bound are ranked, about ``each`` of it however many it has; a bound
+    that leaves too few (many rows are equal) is raised until it does not."""
+    counts = freeze(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "lang-counts")
+    place = (F.col("at").cast("double") + 2.0**63) / 2.0**64
+    wanted = 1.25 * each + 64
+    while True:
+        share = F.lit(wanted) / F.col("n")
+        few = rows.join(F.broadcast(counts), "lang").filter(place <= share).select("lang", "at").distinct()
+        few = freeze(few, "lang-least")
+        found = few.groupBy("lang").agg(F.count(F.lit(1)).alias("found"))
+        short = counts.join(found, "lang", "left").filter((share < 1) & (F.coalesce("found", F.lit(0)) < each))
+        if short.isEmpty():
+            break
+        wanted *= 8
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
     return few.withColumn("rank", rank).filter(F.col("rank") <= each).drop("rank")
 
@@ -138,7 +145,7 @@ class Model:
 
     def predict(self, text: bytes | None) -> tuple[str, float]:
         line = decode(text)
-        if not self.langs or not LETTER.search(line):
+        if not self.langs or not has_letter(line):
             return UNKNOWN, 0.0
         found, counts = ngram_counts(line)
         p = softmax((tfidf(found, counts, self.idf) @ self.weights[found] + self.bias) / self.temperature)
@@ -222,7 +229,7 @@ def predict_column(df: DataFrame, model: Model, text: Column) -> Column:
         for batch in batches:
             texts = [t.as_py() for t in batch]
             made = [shared.value.predict(t) for t in texts]
-            letter = [m[0] != UNKNOWN or LETTER.search(decode(t)) is not None for m, t in zip(made, texts)]
+            letter = [m[0] != UNKNOWN or has_letter(decode(t)) for m, t in zip(made, texts)]
             yield pa.StructArray.from_arrays(
                 [pa.array([m[0] for m in made], pa.string()), pa.array([m[1] for m in made], pa.float64()), pa.array(letter, pa.bool_())],
                 ["lang_pred", "score", "letter"],

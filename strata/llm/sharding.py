@@ -8,8 +8,8 @@ and deals them out by its matrix row; after the exchange each shard is permuted
 again and its rows get slots from 0.
 
 Every random draw comes from ``seed``, so a repeated task draws the same.  The matrix
-has one row for each block and is drawn on the driver in that order; the rows of the table
-never pass through it.  A shard is permuted in parts of about ``part_rows`` rows: its
+has one row for each block and is drawn on the driver, in work that follows the blocks, not
+their rows; the rows of the table never pass through it.  A shard is permuted in parts of about ``part_rows`` rows: its
 rows are dealt to parts by a random key, so one shard may exceed a task.
 
 Law of sizes: ``rows`` (shard sizes differ by one at most).  Defined results: texts
@@ -36,32 +36,56 @@ def shard_sizes(rows: int, shards: int) -> np.ndarray:
 
 def communication_matrix(blocks: np.ndarray, sizes: np.ndarray, seed: int) -> np.ndarray:
     """Rows that go from each block to each shard: a uniform random table with the
-    given row and column sums."""
+    given row and column sums.  The blocks are halved again and again; what each first half gets of each
+    shard is multivariate hypergeometric, and all halves of a level are drawn together."""
     random = np.random.default_rng(seed)
-    room = np.asarray(sizes, np.int64).copy()
-    out = np.zeros((len(blocks), len(room)), np.int64)
-    for i, n in enumerate(blocks):
-        # colour by colour: each draw is hypergeometric given what is left
-        left, others = int(n), int(room.sum())
-        for j in range(len(room)):
-            others -= int(room[j])
-            take = left if not others else int(_hypergeometric(random, int(room[j]), others, left))
-            out[i, j] = take
-            left -= take
-        room -= out[i]
+    upto = np.concatenate(([0], np.cumsum(np.asarray(blocks, np.int64))))
+    out = np.zeros((len(blocks), len(sizes)), np.int64)
+    low, high = np.array([0]), np.array([len(blocks)])
+    room = np.asarray(sizes, np.int64)[None, :]
+    while len(low):
+        one = high - low == 1
+        out[low[one]] = room[one]
+        low, high, room = low[high - low > 1], high[high - low > 1], room[high - low > 1]
+        half = (low + high) // 2
+        left = upto[half] - upto[low]
+        others = room.sum(1)
+        first = np.zeros_like(room)
+        for j in range(room.shape[1]):
+            # colour by colour: each draw is hypergeometric given what is left
+            others = others - room[:, j]
+            first[:, j] = hypergeometric(random, room[:, j], others, left)
+            left = left - first[:, j]
+        low, high, room = np.concatenate((low, half)), np.concatenate((half, high)), np.concatenate((first, room - first))
     return out
 
 
-def _hypergeometric(random: np.random.Generator, good: int, bad: int, draws: int) -> int:
-    """One draw; numpy takes fewer than 10^9 of either colour, so larger urns are drawn in
-    halves."""
-    if good + bad < 10**9 or not good or not draws:
-        return random.hypergeometric(good, bad, draws) if draws and good else 0
-    # beyond numpy's range: split the draws; each half is drawn from what the other leaves
-    if draws == 1:
-        return int(random.random() < good / (good + bad))
-    first = _hypergeometric(random, good, bad, draws // 2)
-    return first + _hypergeometric(random, good - first, bad - (draws // 2 - first), draws - draws // 2)
+def hypergeometric(random: np.random.Generator, good: np.ndarray, bad: np.ndarray, draws: np.ndarray) -> np.ndarray:
+    """One draw for each row; numpy takes fewer than 10^9 of either colour, larger urns are drawn one by one."""
+    out = np.zeros(len(good), np.int64)
+    small = (good < 10**9) & (bad < 10**9)
+    out[small] = random.hypergeometric(good[small], bad[small], draws[small])
+    for i in np.flatnonzero(~small):
+        out[i] = large_hypergeometric(random, int(good[i]), int(bad[i]), int(draws[i]))
+    return out
+
+
+def large_hypergeometric(random: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """One draw by inversion over twelve standard deviations around the mode (beyond them lies less
+    than a double can tell from nothing); the work is a few standard deviations, not the draws."""
+    least, most = max(0, draws - bad), min(good, draws)
+    if least == most:
+        return least
+    total = good + bad
+    mode = min(most, max(least, (draws + 1) * (good + 1) // (total + 2)))
+    deviation = (draws * (good / total) * (bad / total) * ((total - draws) / max(1, total - 1))) ** 0.5
+    reach = int(12 * deviation) + 40
+    x = np.arange(max(least, mode - reach), min(most, mode + reach) + 1, dtype=np.int64)
+    step = x[:-1].astype(np.float64)  # from x to x + 1
+    ratio = np.log(good - step) + np.log(draws - step) - np.log(step + 1) - np.log(bad - draws + step + 1)
+    height = np.concatenate(([0.0], np.cumsum(ratio)))
+    weight = np.cumsum(np.exp(height - height.max()))
+    return int(x[np.searchsorted(weight, random.random() * weight[-1], side="right")])
 
 
 def shuffle_into_shards(docs: DataFrame, shards: int = 16, seed: int = 7, part_rows: int = 1 << 18) -> DataFrame:

@@ -1,5 +1,6 @@
 """Every operator against its plain version on messy tables, and on empty ones."""
 
+import math
 import zlib
 from collections import Counter
 
@@ -72,6 +73,14 @@ def test_op2_bytes_decide_when_digests_collide(spark, messy):
     assert weak.filter("kept").count() == len({brute.lower(t) for _, t, _ in messy.docs})
 
 
+def test_op2_filter_only_drops_what_is_not_there(spark):
+    rows = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), "id")
+    keys = rows.filter("id % 50 = 0").select("digest")
+    left = {r["id"] for r in exact_dedup.maybe_in(rows, keys).collect()}
+    assert {i for i in range(5000) if i % 50 == 0} <= left and len(left) < 150
+    assert exact_dedup.maybe_in(rows, keys.limit(0)).collect() == []
+
+
 def test_op3(spark, messy):
     rows = QUERIES["op3_sharding"](spark, messy.dir).collect()
     wanted = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, _ in messy.docs)
@@ -93,6 +102,48 @@ def test_op3_matrix_and_parts(spark):
         assert sorted(r["slot"] for r in placed if r["shard"] == s) == list(range(334 if s == 0 else 333))
 
 
+def test_op3_draws_beyond_numpys_range():
+    rng = np.random.default_rng(8)
+    # chi-square against the exact law
+    ways = lambda a, k: math.lgamma(a + 1) - math.lgamma(k + 1) - math.lgamma(a - k + 1)
+    for good, bad, draws in ((700, 300, 100), (40, 5000, 300), (90_000, 60_000, 40_000), (5, 3, 6)):
+        x = np.arange(max(0, draws - bad), min(good, draws) + 1)
+        p = np.exp([ways(good, int(k)) + ways(bad, draws - int(k)) - ways(good + bad, draws) for k in x])
+        cell = np.searchsorted(np.linspace(0.05, 0.95, 19), np.cumsum(p))
+        wanted = 10000 * np.bincount(cell, p, 20)
+        drawn = np.array([sharding.large_hypergeometric(rng, good, bad, draws) for _ in range(10000)])
+        found = np.bincount(cell[drawn - x[0]], minlength=20)
+        some = wanted > 0
+        assert ((found - wanted)[some] ** 2 / wanted[some]).sum() < some.sum() + 5 * np.sqrt(2 * some.sum())
+    # mean and deviation of a large urn
+    big = np.array([sharding.large_hypergeometric(rng, 3 * 10**9, 17 * 10**9, 10**6) for _ in range(400)])
+    assert abs(big.mean() - 150_000) < 6 * 357 / 20 and 0.8 < big.std() / 357 < 1.2
+    assert sharding.large_hypergeometric(rng, 2 * 10**9, 0, 5) == 5 and sharding.large_hypergeometric(rng, 0, 2 * 10**9, 5) == 0
+
+
+def test_op3_matrix_of_many_large_blocks():
+    import time
+
+    blocks = np.random.default_rng(1).integers(50_000, 150_000, 200_000)
+    sizes = sharding.shard_sizes(int(blocks.sum()), 16)
+    start = time.time()
+    m = sharding.communication_matrix(blocks, sizes, 3)
+    assert time.time() - start < 60 and int(blocks.sum()) > 19 * 10**9
+    assert (m.sum(1) == blocks).all() and (m.sum(0) == sizes).all() and (m >= 0).all()
+    assert sharding.communication_matrix(np.array([], np.int64), sharding.shard_sizes(0, 4), 1).shape == (0, 4)
+
+
+def test_op3_every_arrangement_is_equally_likely(spark):
+    # 6 rows in 3 blocks of 2, 3 shards of 2: each of the 90 ways to fill the shards, by matrix and permutations
+    made = Counter()
+    for seed in range(3000):
+        m = sharding.communication_matrix(np.array([2, 2, 2]), np.array([2, 2, 2]), seed)
+        made[tuple(m.ravel())] += 1
+    ways = {t: 8 / np.prod([np.prod([[1, 1, 2][x] for x in t[3 * i : 3 * i + 3]]) for i in range(3)]) for t in made}
+    assert len(made) == 21 and sum(ways.values()) == 90
+    assert sum((made[t] - 3000 * w / 90) ** 2 / (3000 * w / 90) for t, w in ways.items()) < 21 + 5 * np.sqrt(42)
+
+
 def test_op4(spark, messy):
     columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
     assert got(spark, "op4_suffix_dedup", messy, *columns) == Counter(brute.op4(messy.docs))
@@ -289,6 +340,49 @@ def test_language_stage_keeps_every_text_with_a_letter(spark, messy, tmp_path):
         assert Counter(tuple(r) for r in kept.select("doc_id", "text").collect()) == Counter((i, t) for i, t, _ in rows if has_letter(t)), name
 
 
+def test_op10_numbers_are_no_letters(spark):
+    texts = ["\u00b2\u00bd 12", "\u2460 \u2167 \u00be", "\u00bd" * 5000, "\u00bd a", "\u02b0", "_ 1", "\u4e00"]
+    rows = [(i, t, None) for i, t in enumerate(texts)] + [(100 + i, f"text {i}", "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = lang_id.train(docs)
+    found = dict(docs.select("doc_id", lang_id.predict_column(docs, model, F.col("text"))["lang_pred"]).collect())
+    assert [found[i] for i in range(7)] == ["und", "und", "und", "en", "en", "und", "en"]
+    assert {r["doc_id"] for r in lang_id.keep_known(docs, model).collect()} == {3, 4, 6} | set(range(100, 120))
+
+
+def test_op10_sample_of_many_copies_is_the_least_hashes(spark):
+    rows = [(1, "copy", "en")] * 3000 + [(i, f"t{i}", "en") for i in range(2, 400)] + [(i, "x", "de") for i in range(1000, 1005)]
+    hashed = spark.createDataFrame(rows, "doc_id long, text string, lang string").select("lang", F.xxhash64("doc_id", "text").alias("at"))
+    wanted = {}
+    for lang, at in set(map(tuple, hashed.collect())):
+        wanted.setdefault(lang, []).append(at)
+    for each in (3, 150, 5000):
+        found = Counter(map(tuple, lang_id.least_orders(hashed, each).collect()))
+        assert found == Counter((lang, a) for lang, at in wanted.items() for a in sorted(at)[:each])
+
+
+def test_op10_prediction_equals_a_plain_one(spark, messy):
+    docs = documents(spark, messy.dir).select("doc_id", "text", "lang")
+    model = lang_id.train(docs.filter(mod_crc(4) != 2))
+    made = {(r[0], r[1]) for r in docs.select("text", lang_id.predict_column(docs, model, F.col("text"))["lang_pred"]).collect()}
+    for text, lang in made:
+        if not any(c.isalpha() for c in text or ""):
+            assert lang == "und"
+            continue
+        grams = Counter()
+        low = text.lower()
+        for n in (1, 2, 3):
+            for i in range(len(low) - n + 1):
+                code = 0
+                for c in low[i : i + n]:
+                    code = (code * 0x110000 + ord(c)) % 2**64
+                grams[((code + n) * 0x9E3779B97F4A7C15 % 2**64) >> 48] += 1
+        x = {f: (1 + np.log(c)) * model.idf[f] for f, c in grams.items()}
+        norm = np.sqrt(sum(v * v for v in x.values()))
+        z = sum(v / norm * model.weights[f] for f, v in x.items()) + model.bias
+        assert np.sort(z)[-1] - z[model.langs.index(lang)] < 1e-9
+
+
 def test_op10_sample_has_every_language(spark):
     rows = [(i, f"text {i}", f"l{i % 900}") for i in range(9000)] + [(7, "text 7", "l7")] * 300
     train = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
