@@ -49,7 +49,7 @@ def local_session(
 
 def _is_local(spark: SparkSession) -> bool:
     master = spark.conf.get("spark.master", "") or ""
-    return master.startswith("local")
+    return master == "local" or master.startswith("local[")  # the executors of local-cluster are other processes
 
 
 def checkpoint_root(spark: SparkSession) -> str:
