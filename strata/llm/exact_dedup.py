@@ -4,8 +4,8 @@ Arrivals (digest, stable identifier, content locator) flow through a Structured
 Streaming aggregation whose state lives in RocksDB, keyed by digest and never
 expired.  The state keeps, per digest, the identifier and the locator of the row
 that stays and the number of arrivals.  A digest that arrived more than once is a
-*hit*: the full bytes of all its rows are compared, and rows whose bytes differ
-although their digests agree are grouped by their bytes instead.
+*hit*: the full bytes of all its rows are compared (only their texts are shuffled), and rows
+whose bytes differ although their digests agree are grouped by their bytes instead.
 
 Only DataFrame functions run on the executors.
 
@@ -94,6 +94,19 @@ def run_state(spark: SparkSession, arrivals: str, schema, files_per_trigger: int
     return last.select("digest", "last.stays", "last.n")
 
 
+FILTER_BITS = 1 << 24
+
+
+def maybe_in(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose digest may be among ``keys``: a bit for each hash of a digest, 64 to a word, in a
+    broadcast table of at most 2^18 words.  It only drops rows that are certainly not among them."""
+    bit = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
+    word, place = F.shiftright(bit, 6).alias("__xd_word"), bit.bitwiseAND(F.lit(63)).cast("int")
+    bits = keys.select(word, place.alias("p")).groupBy("__xd_word").agg(F.bit_or(F.expr("shiftleft(1L, p)")).alias("__xd_bits"))
+    met = rows.select("*", word, place.alias("__xd_place")).join(F.broadcast(bits), "__xd_word")
+    return met.filter(F.getbit("__xd_bits", F.col("__xd_place")) == 1).drop("__xd_word", "__xd_place", "__xd_bits")
+
+
 def assign_groups(
     docs: DataFrame,
     digest: Callable[[Column], Column] = sha256_hex,
@@ -114,9 +127,11 @@ def assign_groups(
     per_batch = -(-len(arrivals.inputFiles()) // batches)
     state = freeze(run_state(spark, path, arrivals.schema, per_batch), "exact-dedup-groups")
 
-    # hits: the bytes decide.  Equal rows collapse in the map-side half of the aggregate
+    # hits: the bytes decide.  Only texts that may be hits leave their scan, and equal rows
+    # collapse in the map-side half of the aggregate
+    shared = state.filter("n > 1").select("digest", "n")
     texts = docs.select(digest(normal_text()).alias("digest"), normal_text().alias("bytes"), "doc_id", FILE, ROW)
-    hits = join_spread(texts, state.filter("n > 1").select("digest", "n"), "digest", [FILE, ROW]).drop("n")
+    hits = join_spread(maybe_in(texts, shared), shared, "digest", [FILE, ROW]).drop("n")
     by_bytes = hits.groupBy("digest", "bytes").agg(
         F.max(F.struct("doc_id", FILE, ROW)).alias("stays"), F.count(F.lit(1)).alias("n")
     )
