@@ -186,7 +186,7 @@ FACT_SELECT = """trim(s.customer_id) AS customer_id, trim(s.quarter) AS "quarter
   CAST(v.monthly_charge AS DECIMAL(10,2)) AS monthly_charges,
   CAST(v.avg_monthly_long_distance_charges AS DECIMAL(10,2)) AS avg_monthly_long_distance_charges,
   CAST(v.total_charges AS DECIMAL(10,2)) AS total_charges, CAST(v.total_revenue AS DECIMAL(10,2)) AS total_revenue,
-  CAST(v.total_refunds AS DECIMAL(10,2)) AS total_refunds, CAST(v.total_extra_data_charges AS DECIMAL(10,2)) AS total_extra_data_charges,
+  TRY_CAST(v.total_refunds AS DECIMAL(10,2)) AS total_refunds, CAST(v.total_extra_data_charges AS DECIMAL(10,2)) AS total_extra_data_charges,
   CAST(v.total_long_distance_charges AS DECIMAL(10,2)) AS total_long_distance_charges,
   CAST(v.avg_monthly_gb_download AS INTEGER) AS avg_monthly_gb_download, CAST(v.number_of_referrals AS INTEGER) AS number_of_referrals"""
 
@@ -308,7 +308,7 @@ CAST_MEASURES = with_(
   CAST(monthly_charge AS DECIMAL(10,2)) AS monthly_charges,
   CAST(avg_monthly_long_distance_charges AS DECIMAL(10,2)) AS avg_monthly_long_distance_charges,
   CAST(total_charges AS DECIMAL(10,2)) AS total_charges, CAST(total_revenue AS DECIMAL(10,2)) AS total_revenue,
-  CAST(total_refunds AS DECIMAL(10,2)) AS total_refunds, CAST(total_extra_data_charges AS DECIMAL(10,2)) AS total_extra_data_charges,
+  TRY_CAST(total_refunds AS DECIMAL(10,2)) AS total_refunds, CAST(total_extra_data_charges AS DECIMAL(10,2)) AS total_extra_data_charges,
   CAST(total_long_distance_charges AS DECIMAL(10,2)) AS total_long_distance_charges,
   CAST(avg_monthly_gb_download AS INTEGER) AS avg_monthly_gb_download, CAST(number_of_referrals AS INTEGER) AS number_of_referrals
 FROM raw_services""",
@@ -618,19 +618,81 @@ SILVER_SCHEMA_EVOLUTION = with_(
 )
 
 
-def _data_dictionary() -> str:
-    from .schemas import SILVER
+# The data dictionary that the silver tables must have, written out: table, column, type, comment
+DICTIONARY = """
+dim_customer customer_key bigint Surrogate key, sequential by customer_id
+dim_customer customer_id string Natural key from the source
+dim_customer age int Age in years
+dim_customer age_group string 18-24, 25-34, 35-44, 45-54, 55-64, 65+
+dim_customer gender string Male / Female / n/a
+dim_customer marital_status string Married / Single / n/a
+dim_customer number_of_dependents int Number of dependents
+dim_customer family_size int Customer + spouse when married + dependents
+dim_service_package service_package_key bigint Hash key of the 13 attributes
+dim_service_package phone_service string Yes / No / n/a
+dim_service_package multiple_lines string Yes / No / No phone service
+dim_service_package internet_service string DSL / Fiber optic / None (Yes when only the flag is known)
+dim_service_package online_security string Yes / No / Not applicable
+dim_service_package online_backup string Yes / No / Not applicable
+dim_service_package device_protection string Yes / No / Not applicable
+dim_service_package tech_support string Yes / No / Not applicable
+dim_service_package streaming_tv string Yes / No / Not applicable
+dim_service_package streaming_movies string Yes / No / Not applicable
+dim_service_package streaming_music string Yes / No / Not applicable
+dim_service_package unlimited_data string Yes / No / Not applicable
+dim_service_package contract string Month-to-month / One year / Two year
+dim_service_package payment_method string Bank transfer / Credit card / Electronic check / Mailed check / Unknown
+dim_service_package total_services int Number of add-on services (0-8)
+dim_service_package service_tier string Basic (0) / Standard (1-2) / Premium (3+)
+dim_service_package bundle_type string Double play / Single service / No service
+dim_location location_key bigint Surrogate key, sequential by zip_code
+dim_location city string City, title case
+dim_location zip_code string 5-character ZIP
+dim_location latitude double Latitude, 4 decimals
+dim_location longitude double Longitude, 4 decimals
+dim_location population int Population of the ZIP; NULL when unknown
+dim_location population_density string Urban / Suburban / Rural
+dim_churn_status churn_status_key bigint Hash key of the 3 attributes
+dim_churn_status customer_status string Churned / Active / New / n/a
+dim_churn_status churn_category string Category when churned, else n/a
+dim_churn_status churn_reason string Reason when churned, else n/a
+dim_quarter quarter_key int Smart key YYYYQ as year * 100 + quarter
+dim_quarter quarter_name string Source quarter and year, e.g. Q3-2025
+dim_quarter year int Business year
+dim_quarter quarter_of_year int 1-4
+dim_quarter half_of_year string H1 / H2
+dim_promotion promotion_key bigint Hash key of the 2 attributes
+dim_promotion offer string Offer A-E / None
+dim_promotion referred_a_friend string Yes / No
+facts_base customer_id string Customer natural key
+facts_base quarter string Source quarter, e.g. Q3
+facts_base tenure_months int Tenure in months
+facts_base satisfaction_score int 1-5
+facts_base churn_value int 1 when churned
+facts_base churn_score int 0-100
+facts_base cltv int Customer lifetime value
+facts_base monthly_charges decimal(10,2) Monthly charge
+facts_base avg_monthly_long_distance_charges decimal(10,2) Average monthly long distance charge
+facts_base total_charges decimal(10,2) Total charges
+facts_base total_revenue decimal(10,2) Total revenue
+facts_base total_refunds decimal(10,2) Total refunds
+facts_base total_extra_data_charges decimal(10,2) Total extra data charges
+facts_base total_long_distance_charges decimal(10,2) Total long distance charges
+facts_base avg_monthly_gb_download int Average monthly download in GB
+facts_base number_of_referrals int Number of referrals
+"""
 
+
+def _data_dictionary() -> str:
     hash_keys = {"service_package_key", "churn_status_key", "promotion_key"}
     parts = []
-    for t, schema in SILVER.items():
-        for f in schema.fields:
-            comment = f.metadata.get("comment", "").replace("'", "''")
-            counted = "*" if f.name in hash_keys else f'"{f.name}"'
-            parts.append(
-                f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, "
-                f"'{comment}' AS comment, CAST(count({counted}) AS BIGINT) AS non_null_count FROM silver_{t}"
-            )
+    for line in DICTIONARY.strip().splitlines():
+        t, column, kind, comment = line.split(" ", 3)
+        counted = "*" if column in hash_keys else f'"{column}"'
+        parts.append(
+            f"SELECT '{t}' AS table_name, '{column}' AS column_name, '{kind}' AS data_type, "
+            f"'{comment.replace("'", "''")}' AS comment, CAST(count({counted}) AS BIGINT) AS non_null_count FROM silver_{t}"
+        )
     return with_(ALL_CTES, union(parts))
 
 

@@ -39,7 +39,7 @@ SELECT CAST(p_partkey AS INT) AS id, CAST(1000 + p_partkey AS INT) AS zip_code,
 """
 
 RAW_STATUS = """
-SELECT 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS customer_id,
+SELECT CASE WHEN o_orderkey % 43 = 0 THEN ' ' ELSE '' END || 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS customer_id,
  CASE WHEN o_orderkey % 53 = 0 THEN 'Qx' WHEN o_orderkey % 59 = 0 THEN NULL ELSE 'Q' || CAST(quarter(o_orderdate) AS STRING) END AS quarter,
  CAST(1 + o_orderkey % 5 AS INT) AS satisfaction_score, CAST(o_orderkey % 2 AS INT) AS churn_value, CAST(o_orderkey % 101 AS INT) AS churn_score, CAST(2000 + o_orderkey % 4500 AS INT) AS cltv,
  CASE o_orderkey % 9 WHEN 0 THEN 'Stayed' WHEN 1 THEN 'churned' WHEN 2 THEN ' JOINED' WHEN 3 THEN 'Churn' WHEN 4 THEN 'retained' WHEN 5 THEN 'active' WHEN 6 THEN 'new ' WHEN 7 THEN 'zzz' END AS customer_status,
@@ -71,7 +71,7 @@ _SERVICE_FLAGS = [
 ]
 
 RAW_SERVICES = (
-    "\nSELECT 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS customer_id, "
+    "\nSELECT CASE WHEN o_orderkey % 37 = 0 THEN ' ' ELSE '' END || 'Customer#' || lpad(CAST(o_custkey AS STRING), 9, '0') AS customer_id, "
     "'Q' || CAST(quarter(o_orderdate) AS STRING) AS quarter, "
     + ", ".join(_flag_case(m, n) for m, n in _SERVICE_FLAGS)
     + """,
@@ -82,7 +82,7 @@ RAW_SERVICES = (
  CASE o_orderkey % 5 WHEN 0 THEN 'Bank Withdrawal' WHEN 1 THEN 'credit card' WHEN 2 THEN 'Electronic Check' WHEN 3 THEN 'mailed check' ELSE 'cash' END AS payment_method,
  CAST(o_orderkey % 72 AS INT) AS tenure_in_months, CAST(o_orderkey % 12 AS INT) AS number_of_referrals, CAST(o_orderkey % 85 AS INT) AS avg_monthly_gb_download,
  CAST(o_orderkey % 12000 AS DOUBLE) / 100 AS monthly_charge, CAST(o_orderkey % 5000 AS DOUBLE) / 100 AS avg_monthly_long_distance_charges, o_totalprice AS total_charges,
- CAST(o_orderkey % 4900 AS DOUBLE) / 100 AS total_refunds, CAST(o_orderkey % 150 AS INT) AS total_extra_data_charges, CAST(o_orderkey % 350000 AS DOUBLE) / 100 AS total_long_distance_charges, o_totalprice * 2 AS total_revenue FROM {orders}
+ CASE WHEN o_orderkey % 61 = 0 THEN 123456789012.0 ELSE CAST(o_orderkey % 4900 AS DOUBLE) / 100 END AS total_refunds, CAST(o_orderkey % 150 AS INT) AS total_extra_data_charges, CAST(o_orderkey % 350000 AS DOUBLE) / 100 AS total_long_distance_charges, o_totalprice * 2 AS total_revenue FROM {orders}
 """
 )
 
