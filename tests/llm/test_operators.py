@@ -250,6 +250,29 @@ def test_op7_containment_and_priority(spark):
     assert "CC-BY-NC-SA-4.0" in rows[2]["scan"]["labels"] and "CC-BY-NC-SA" not in rows[2]["scan"]["labels"]
 
 
+def test_op7_many_matches_in_one_text(spark):
+    import time
+
+    many = "mit license and " * 64_000
+    docs = spark.createDataFrame([(1, many), (2, "mit license " * 300 + "tail")], "doc_id long, text string")
+    license_scan.scan(docs.filter("doc_id = 2")).collect()
+    start = time.time()
+    rows = {r["doc_id"]: r["scan"] for r in license_scan.scan(docs).collect()}
+    assert time.time() - start < 30
+    assert rows[1]["n_words"] == 192_000 and rows[1]["labels"] == rows[2]["labels"] == ["MIT"]
+
+
+def test_op7_places_over_chunks_equal_plain_ones(spark, monkeypatch):
+    monkeypatch.setattr(license_scan, "CHUNK", 3)
+    pieces_ = ["mit license", "apache license version 2 0", "cc by nc 4 0", "gpl v3", "lorem ipsum", "public domain", "bsd 3 clause license"]
+    rng = np.random.default_rng(6)
+    docs = [(i, " ".join(rng.choice(pieces_, rng.integers(0, 40))), "en") for i in range(60)]
+    rows = license_scan.scan(spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")).collect()
+    found = Counter((r["doc_id"], ",".join(r["scan"]["labels"]), r["scan"]["score"]) for r in rows)
+    wanted = brute.op7(docs, license_scan.BASE_PHRASES, license_rules.RULES)
+    assert found == Counter((w[0], w[6], w[7]) for w in wanted)
+
+
 def test_op7_every_rule_needs_an_anchor():
     # a text that matches a rule holds an anchor: try a text made from the rule's own words
     import re
