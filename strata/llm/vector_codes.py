@@ -178,7 +178,7 @@ def compress(rows: DataFrame, vector: str = "embedding", parts: int = 8, entries
     usual = kept.filter(F.size(WHOLE) == width)
     dims = part_dims(width, parts)
     first = np.array([r[WHOLE] for r in usual.orderBy(F.asc_nulls_last("vec_id"), WHOLE).limit(entries).collect()], np.int64)
-    books = [first.reshape(-1, width)[:, d.start : d.stop] for d in dims]
+    books = [first.reshape(len(first), width)[:, d.start : d.stop] for d in dims]
     blocks = code_blocks(usual, width)
     if len(first):
         for _ in range(rounds):
