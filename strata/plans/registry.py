@@ -413,7 +413,7 @@ def q_bronze_ingest_population(spark, sf):
     res = ingest.ingest_file(
         spark, src, ingest.SourceFile(POPULATION_FILE, "population"), target, bronze_file_schema("population")
     )
-    return spark.read.parquet(res.path).drop("ingestion_timestamp")
+    return spark.read.parquet(res.path).drop("ingestion_timestamp", "rescued_values")
 
 
 def q_bronze_ingest_all(spark, sf):
