@@ -5,13 +5,23 @@ distinct words and the words' numbers in reading order.
 
 Unigram counts are exact.  Every chunk sends each of its distinct words once, with its
 count in learning documents, to the word's bucket; the bucket adds up and answers each
-chunk in the order it was asked.  Bigram and unigram counts for the model go the same way,
-in buckets of hashed n-grams: they are added up and quantised as ``1 + floor(log_b c)``; a
-filter holds one item for every level up to the quantised count.  It has one slice for each
-bucket, so each bucket makes its slice and probes it for every chunk that asked.  A count is
-read back by probing level after level until one is missing, and
+chunk in the order it was asked.
 
-    p(word | before) = mix * c(before word) / c(before) + (1 - mix) * (c(word) + 1) / (N + V + 1)
+The model works in steps of its own, with the filter as a table between them:
+
+1. ``learn_slices``: tasks add up the n-grams (orders 1 to ``order``) of their learning
+   documents and send them to buckets by hash.  A bucket's counts are quantised as
+   ``1 + floor(log_b c)`` and its slice of the filter holds one item for every level up to
+   that; only the slice's bits and its highest level are written.
+2. ``probe_slices``: chunks send the hashes of their n-grams, without counts, to the slices,
+   which are probed level after level until one is missing.  The chunks that probe a slice are
+   dealt over parts with a copy of it each, so an n-gram of every chunk makes no large group.
+3. The levels go back to the chunks, where
+
+    p(word | before) = mix * c(before word) / c(before) + (1 - mix) * p(word | shorter before)
+
+   and, with nothing before, (c(word) + 1) / (N + V + 1).  Where ``before`` was never
+   learned, the model backs off to the shorter one.
 
 A slice takes ``bits_per_item`` bits for each item it holds, so the filter grows with the
 n-grams and false positives stay equally rare (0.24 % a level at 16 bits); no worker holds
@@ -19,7 +29,7 @@ more than the slice it probes.
 
 Defined results: a null or blank text is one end token; equal rows get equal scores; with
 no learning documents N = V = 0; an empty table gives an empty result; only ``doc_id`` and
-``text`` are read, other columns may have any name.
+``text`` are read, other columns may have any name.  ``doc_id`` is an integer.
 """
 
 from __future__ import annotations
@@ -40,6 +50,8 @@ KEY_BITS = np.uint64(40)  # of an n-gram within its bucket of about two million
 BEFORE, END = b"\nbefore", b"\nend"  # no word holds white space
 HASHES = 4
 BASE = 1.5  # of the logarithm that quantises counts
+GATHERED = 1 << 22  # n-grams that a learning task adds up before it sends them
+PROBERS = 1 << 14  # chunks that probe one copy of a slice
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -119,32 +131,40 @@ class Chunk:
         word[self.last] = False
         self.tokens[word] = numbers
         self.owner = np.repeat(np.arange(len(self.sizes)), self.lengths)
-        self.prior = np.concatenate(([self.before], self.tokens[:-1])) if len(self.tokens) else self.tokens
-        self.prior[np.concatenate(([0], self.last[:-1] + 1)).astype(np.int64)[: len(self.sizes)]] = self.before
+        self.first = self.last - self.sizes
 
     def hashes(self) -> np.ndarray:
         """64-bit hashes of the words, the end and what is before."""
         all_words = [*self.words.to_pylist(), END, BEFORE]
         return np.fromiter((xxhash.xxh64_intdigest(w, 1) for w in all_words), np.uint64, len(all_words))
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct pairs of a token and the one before it, and each token's pair."""
-        pairs, which = np.unique(self.prior * (self.before + 1) + self.tokens, return_inverse=True)
-        return pairs // (self.before + 1), pairs % (self.before + 1), which
-
-    def grams(self, h: np.ndarray, prior: np.ndarray, word: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    def grams(self, order: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct n-grams as bucket and key within it, in ascending order, and the place
-        in them of each pair and then of each single."""
-        hashes = np.concatenate((pair_hash(h[prior], h[word]), mixed(h)))
+        in them of the n-grams of order 1 at each token, of order 2 and so on, and then of
+        the starts of a text (nothing but what is before it) of order 1, 2 and so on."""
+        h = self.hashes()
+        tokens, before = h[self.tokens], h[self.before :]
+        gram, start = tokens, before
+        grams, starts = [mixed(gram)], [mixed(start)]
+        for _ in range(1, order):
+            gram, start = chained(self.shifted(gram, start), tokens), chained(start, before)
+            grams.append(gram)
+            starts.append(start)
+        hashes = np.concatenate((*grams, *starts[: order - 1]))
         bucket = bucket_of(hashes, buckets).astype(np.uint64) << KEY_BITS
         return np.unique(bucket | hashes & ((np.uint64(1) << KEY_BITS) - np.uint64(1)), return_inverse=True)
 
-    def learned(self, which: np.ndarray) -> np.ndarray:
-        """Counts in learning documents of each pair and then of each single."""
-        learn = self.learns[self.owner]
-        single = np.bincount(self.tokens[learn], minlength=self.before + 1)
-        single[self.before] = np.count_nonzero(self.prior[learn] == self.before)
-        return np.concatenate((np.bincount(which[learn], minlength=which.max(initial=-1) + 1), single))
+    def shifted(self, values: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """What each token has before it: the value of the token before, at the first one ``start``."""
+        before = np.roll(values, 1)
+        before[self.first] = start
+        return before
+
+    def learned(self, order: int, where: np.ndarray, n: int) -> np.ndarray:
+        """Counts in learning documents of the chunk's ``n`` distinct n-grams."""
+        here = np.tile(self.learns[self.owner], order)
+        weights = np.concatenate((here, np.full(order - 1, np.count_nonzero(self.learns))))
+        return np.bincount(where, weights, n).astype(np.int64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -153,7 +173,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def pair_hash(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+def chained(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mixed(before * np.uint64(0x94D049BB133111EB) + word)
 
 
@@ -233,50 +253,105 @@ def quantise(counts: np.ndarray) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / np.log(BASE) + 1e-9).astype(np.int64)
 
 
-def gram_levels(corpus: DataFrame, buckets: int, bits_per_item: int) -> DataFrame:
+def by_bucket(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """The buckets of ascending n-grams, their bounds, and each bucket's packed keys."""
+    names, starts = np.unique(grams >> KEY_BITS, return_index=True)
+    bounds = np.append(starts, len(grams))
+    steps = np.diff(grams, prepend=np.uint64(0))
+    steps[starts] = grams[starts] - (names << KEY_BITS)
+    return names.astype(np.int64), bounds, [packed(steps[a:b]) for a, b in zip(bounds, bounds[1:])]
+
+
+def keys_of(group: pa.Table) -> np.ndarray:
+    """The keys of all rows of a bucket, one after the other."""
+    column = zip(group.column("steps").to_pylist(), group.column("size").to_pylist())
+    return np.concatenate([np.cumsum(unpacked(x, np.uint64, k)) for x, k in column])
+
+
+def learn_slices(corpus: DataFrame, order: int, buckets: int, bits_per_item: int) -> DataFrame:
+    """The filter: ``bucket, highest`` (level), ``n_bits, bits``, one row a bucket that learned
+    anything."""
+
+    def send(gathered: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        grams, where = np.unique(np.concatenate([g for g, _ in gathered]), return_inverse=True)
+        n = np.bincount(where, np.concatenate([n for _, n in gathered]), len(grams)).astype(np.int64)
+        names, bounds, steps = by_bucket(grams)
+        counts = [packed(n[a:b]) for a, b in zip(bounds, bounds[1:])]
+        columns = [pa.array(names), pa.array(np.diff(bounds)), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "size", "steps", "n"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered, held = [], 0
+        for _, c in chunks(batches):
+            grams, where = c.grams(order, buckets)
+            n = c.learned(order, where, len(grams))
+            gathered.append((grams[n > 0], n[n > 0]))
+            held += len(gathered[-1][0])
+            if held >= GATHERED:
+                yield send(gathered)
+                gathered, held = [], 0
+        if held:
+            yield send(gathered)
+
+    def build(group: pa.Table) -> pa.Table:
+        key, where = np.unique(keys_of(group), return_inverse=True)
+        read = zip(group.column("n").to_pylist(), group.column("size").to_pylist())
+        n = np.bincount(where, np.concatenate([unpacked(x, np.int64, k) for x, k in read]), len(key))
+        held, highest = make_slice(key, quantise(n), bits_per_item)
+        return pa.table(
+            {
+                "bucket": group.column("bucket").slice(0, 1),
+                "highest": pa.array([highest], pa.int32()),
+                "n_bits": pa.array([len(held)], pa.int64()),
+                "bits": pa.array([np.packbits(held).tobytes()], pa.binary()),
+            }
+        )
+
+    sent = corpus.mapInArrow(count, "bucket long, size long, steps binary, n binary")
+    made = sent.repartition(partitions(buckets), "bucket").groupBy("bucket")
+    return freeze(made.applyInArrow(build, "bucket long, highest int, n_bits long, bits binary"), "lm-filter")
+
+
+def probe_slices(corpus: DataFrame, slices: DataFrame, order: int, buckets: int, n_chunks: int) -> DataFrame:
     """``chunk, bucket, size, levels`` (packed uint8 for the chunk's n-grams of the bucket,
-    in the order of their keys): quantised counts as the bucket's slice gives them back."""
+    in the order of their keys) as the bucket's slice gives them back, zero without a slice."""
+    parts = -(-n_chunks // PROBERS) or 1
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, c in chunks(batches):
-            prior, word, which = c.pairs()
-            grams, where = c.grams(c.hashes(), prior, word, buckets)
-            n = np.bincount(where, c.learned(which), len(grams)).astype(np.int32)
-            names, starts = np.unique(grams >> KEY_BITS, return_index=True)
-            bounds = np.append(starts, len(grams))
-            steps = np.diff(grams, prepend=np.uint64(0))
-            steps[starts] = grams[starts] - (names << KEY_BITS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names.astype(np.int64)),
-                    pa.array(np.full(len(names), name)),
-                    pa.array(np.diff(bounds)),
-                    pa.array([packed(steps[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                    pa.array([packed(n[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
-                ],
-                ["bucket", "chunk", "size", "steps", "n"],
-            )
-
-    def answer(group: pa.Table) -> pa.Table:
-        sizes = group.column("size").to_pylist()
-        column = lambda name: zip(group.column(name).to_pylist(), sizes)
-        keys = np.concatenate([np.cumsum(unpacked(x, np.uint64, k)) for x, k in column("steps")])
-        key, where = np.unique(keys, return_inverse=True)
-        n = np.bincount(where, np.concatenate([unpacked(x, np.int32, k) for x, k in column("n")]), len(key))
-        learned = n > 0  # others were only asked for
-        replies = read_levels(*make_slice(key[learned], quantise(n[learned]), bits_per_item), key).astype(np.uint8)[where]
-        bounds = np.concatenate(([0], np.cumsum(sizes)))
+            names, bounds, steps = by_bucket(c.grams(order, buckets)[0])
+            columns = [pa.array(names), pa.array(np.full(len(names), name)), pa.array(np.diff(bounds)), pa.array(steps, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "size", "steps"])
+
+    def answer(probes: pa.Table, held: pa.Table) -> pa.Table:
+        sizes = probes.column("size").to_numpy()
+        key = keys_of(probes) if len(probes) else np.zeros(0, np.uint64)
+        levels = np.zeros(len(key), np.uint8)
+        for row in held.to_pylist():  # at most one
+            distinct, where = np.unique(key, return_inverse=True)
+            bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), count=row["n_bits"]).astype(bool)
+            levels = read_levels(bits, row["highest"], distinct).astype(np.uint8)[where]
+        bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
         return pa.table(
             {
-                "chunk": group.column("chunk"),
-                "bucket": group.column("bucket"),
-                "size": group.column("size"),
-                "levels": pa.array([packed(replies[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
+                "chunk": probes.column("chunk"),
+                "bucket": probes.column("bucket"),
+                "size": probes.column("size"),
+                "levels": pa.array([packed(levels[a:b]) for a, b in zip(bounds, bounds[1:])], pa.binary()),
             }
         )
 
-    asked = corpus.mapInArrow(ask, "bucket long, chunk long, size long, steps binary, n binary")
-    return asked.groupBy("bucket").applyInArrow(answer, "chunk long, bucket long, size long, levels binary")
+    asked = corpus.mapInArrow(ask, "bucket long, chunk long, size long, steps binary")
+    asked = asked.withColumn("part", F.pmod(F.xxhash64("chunk"), F.lit(parts)).cast("int"))
+    copies = slices.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    n = partitions(buckets * parts)
+    left, right = (x.repartition(n, "bucket", "part").groupBy("bucket", "part") for x in (asked, copies))
+    return left.cogroup(right).applyInArrow(answer, "chunk long, bucket long, size long, levels binary")
+
+
+def partitions(groups: int) -> int:
+    """Shuffle partitions for groups of a bounded size, so that a task's size does not grow."""
+    return max(8, min(groups, 1 << 15))
 
 
 def make_slice(key: np.ndarray, levels: np.ndarray, bits_per_item: int) -> tuple[np.ndarray, int]:
@@ -315,43 +390,44 @@ def score_documents(
     learn: Column,
     mix: float = 0.7,
     bits_per_item: int = 16,
+    order: int = 2,
     bucket_bytes: int = 16 << 20,
 ) -> DataFrame:
     """One row per row of ``docs``; the model learns from those where ``learn`` (a
-    condition on doc_id) holds."""
+    condition on doc_id) holds, with n-grams of up to ``order`` words."""
     corpus = code_corpus(docs, learn)
-    asked, tokens = corpus.agg(F.sum("word_bytes"), F.sum("tokens")).first()
+    asked, tokens, n_chunks = corpus.agg(F.sum("word_bytes"), F.sum("tokens"), F.count(F.lit(1))).first()
     buckets = max(8, -(-(asked or 0) // bucket_bytes))
     totals = unigram_totals(corpus, buckets)
     n = v = 0
     for row in totals.filter("chunk is null").collect():  # one row a bucket
         distinct, learned = np.frombuffer(row["totals"], np.int64)
         n, v = n + int(learned), v + int(distinct)
-    gram_buckets = max(8, -(-8 * (tokens or 0) // bucket_bytes))
-    levels = gram_levels(corpus, gram_buckets, bits_per_item)
+    gram_buckets = max(8, -(-4 * order * (tokens or 0) // bucket_bytes))
+    slices = learn_slices(corpus, order, gram_buckets, bits_per_item)
+    levels = probe_slices(corpus, slices, order, gram_buckets, n_chunks)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {name: left.column(name).combine_chunks() for name in left.schema.names}
         c = Chunk(row)
-        h = c.hashes()
         # exact counts come back bucket by bucket, in the order they were asked
-        order, names, bounds = in_buckets(bucket_of(mixed(h[:-1]), buckets))
+        placed, names, bounds = in_buckets(bucket_of(mixed(c.hashes()[:-1]), buckets))
         of_words = right.filter(pc.is_valid(right.column("totals")))
         replies = dict(zip(of_words.column("bucket").to_pylist(), of_words.column("totals").to_pylist()))
         exact = np.zeros(c.end + 1, np.int64)
         for name, a, b in zip(names.tolist(), bounds, bounds[1:]):
-            exact[order[a:b]] = unpacked(replies[name], np.int64, b - a)
+            exact[placed[a:b]] = unpacked(replies[name], np.int64, b - a)
         base = np.log10((exact + 1.0) / (n + 1.0 * (v + 1)))
         # levels too, in the order of the n-grams' keys
         of_grams = right.filter(pc.is_valid(right.column("levels"))).sort_by("bucket")
-        prior, word, which = c.pairs()
         read = zip(of_grams.column("levels").to_pylist(), of_grams.column("size").to_pylist())
-        counts = estimates(np.concatenate([unpacked(x, np.uint8, k) for x, k in read]))
-        both, single = np.split(counts[c.grams(h, prior, word, gram_buckets)[1]], [len(prior)])
-        alone = (single + 1.0) / (n + v + 1.0)
-        seen = np.maximum(single[prior], 1.0)
-        p = np.where(single[prior] > 0, mix * np.minimum(both, seen) / seen + (1 - mix) * alone[word], alone[word])
-        logs = np.log10(np.minimum(p, 1.0))[which]
+        counts = estimates(np.concatenate([unpacked(x, np.uint8, k) for x, k in read]))[c.grams(order, gram_buckets)[1]]
+        *of_order, starts = np.split(counts, np.arange(1, order + 1) * len(c.tokens))
+        p = (of_order[0] + 1.0) / (n + v + 1.0)
+        for both, shorter, start in zip(of_order[1:], of_order, starts):
+            seen = c.shifted(shorter, start)
+            p = np.where(seen > 0, mix * np.minimum(both, seen) / np.maximum(seen, 1.0) + (1 - mix) * p, p)
+        logs = np.log10(np.minimum(p, 1.0))
         docs_ = len(c.sizes)
         return pa.table(
             {

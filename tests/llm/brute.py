@@ -90,26 +90,31 @@ def op5(docs):
     ]
 
 
-def op5_score(docs, mix=0.7, base=1.5):
+def op5_score(docs, mix=0.7, base=1.5, order=2):
     """``score`` with exactly read quantised counts."""
 
     def tokens(t):
-        return ["\nbefore", *re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\nend"]
+        return [*["\nbefore"] * (order - 1), *re.findall(r"[^\x20\x09-\x0D]+", lower(t)), "\nend"]
 
     def count(c):
         level = 1 + math.floor(math.log(c) / math.log(base) + 1e-9) if c else 0
         return max(1.0, (base ** (level - 1) + base**level - 1) / 2) if c else 0.0
 
     learned = [tokens(t) for i, t, _ in docs if fold(i, 7) != 2]
-    single, pair = Counter(x for w in learned for x in w), Counter(x for w in learned for x in zip(w, w[1:]))
-    n, v = sum(len(w) - 1 for w in learned), len(single) - (1 if learned else 0)
-
-    def p(a, b):
-        alone = (count(single[b]) + 1) / (n + v + 1)
-        seen = count(single[a])
-        return min(1.0, mix * min(count(pair[a, b]), seen) / seen + (1 - mix) * alone if seen else alone)
-
-    return [(i, sum(math.log10(p(*x)) for x in zip(tokens(t), tokens(t)[1:]))) for i, t, _ in docs]
+    grams, words = Counter(), Counter(x for w in learned for x in w[order - 1 :])
+    for w in learned:
+        for k in range(1, order + 1):
+            grams.update(tuple(w[at - k + 1 : at + 1]) for at in range(order - 1, len(w)))
+        grams.update(("\nbefore",) * k for k in range(1, order))
+    n, v = sum(words.values()), len(words)
+
+    def p(gram):
+        if len(gram) == 1:
+            return (count(grams[gram]) + 1) / (n + v + 1)
+        seen, shorter = count(grams[gram[:-1]]), p(gram[1:])
+        return mix * min(count(grams[gram]), seen) / seen + (1 - mix) * shorter if seen else shorter
+
+    return [(i, sum(math.log10(min(1.0, p(tuple(w[at - order + 1 : at + 1])))) for at in range(order - 1, len(w)))) for i, t, _ in docs for w in [tokens(t)]]
 
 
 def op7(docs, phrases, rules):

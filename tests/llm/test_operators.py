@@ -189,6 +189,47 @@ def test_op5_equals_the_quantised_counts(spark, messy):
     assert all(abs(f[1] - w[1]) < 1e-9 * f[2] for f, w in zip(found, wanted))
 
 
+@pytest.mark.parametrize("order, probers, bits", [(1, 1 << 14, 64), (2, 1, 64), (3, 1 << 14, 1024)])
+def test_op5_orders_and_copies_of_slices(spark, messy, monkeypatch, order, probers, bits):
+    # three orders ask for more n-grams: at 64 bits one of them is a false positive now and then
+    monkeypatch.setattr(lm_scoring, "PROBERS", probers)
+    docs = documents(spark, messy.dir).select("doc_id", "text").repartition(3)
+    scored = lm_scoring.score_documents(docs, mod_crc(7) != 2, bits_per_item=bits, order=order)
+    rows = scored.select("doc_id", "n_tokens", "score").collect()
+    wanted = sorted(((i is None, i or 0), s) for i, s in brute.op5_score(messy.docs, order=order))
+    found = sorted((((r[0] is None, r[0] or 0), r[2], r[1]) for r in rows))
+    assert [f[0] for f in found] == [w[0] for w in wanted]
+    assert all(abs(f[1] - w[1]) < 1e-9 * f[2] for f, w in zip(found, wanted))
+
+
+def test_op5_probes_see_only_the_written_bits(spark, messy):
+    corpus = lm_scoring.code_corpus(documents(spark, messy.dir), mod_crc(7) != 2)
+    slices = lm_scoring.learn_slices(corpus, 2, 8, 16)
+    assert slices.columns == ["bucket", "highest", "n_bits", "bits"]
+
+    def levels(held):
+        rows = lm_scoring.probe_slices(corpus, held, 2, 8, corpus.count()).collect()
+        return np.concatenate([lm_scoring.unpacked(r["levels"], np.uint8, r["size"]) for r in rows])
+
+    full = slices.withColumn("highest", F.lit(3)).withColumn("bits", F.expr("unhex(repeat('FF', length(bits)))"))
+    assert set(levels(full)) == {3} and set(levels(slices.limit(0))) == {0}
+    assert len(set(levels(slices))) > 2
+
+
+def test_op5_a_second_copy_raises_the_score_of_its_text_most(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 200) % 500) for _ in range(60)]
+
+    def scores(name, n):  # texts from the start again after the last one
+        tables = write_tables(tmp_path / name, [(i, texts[i % 60], "en") for i in range(n)], [], [])
+        rows = lm_scoring.score_documents(documents(spark, tables), F.lit(True), order=3).collect()
+        return {r["doc_id"]: r["score"] for r in rows}
+
+    once, twice = scores("once", 60), scores("twice", 70)
+    gain = [twice[i] - once[i] for i in range(60)]
+    assert min(gain[:10]) > max(gain[10:]) and all(twice[i] == twice[60 + i] for i in range(10))
+
+
 def test_op5_levels_end_at_the_highest_written():
     keys = np.arange(1, 2001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A)
     full = np.ones(512, bool)
