@@ -1,5 +1,6 @@
 """Every operator against its plain version on messy tables, and on empty ones."""
 
+import hashlib
 import math
 import zlib
 from collections import Counter
@@ -355,6 +356,47 @@ def test_op9_round_trip(spark, messy):
     assert all((r["n_pieces"] == 0) == (r["score"] == 0.0) for r in rows)
 
 
+def test_op9_columns_equal_a_plain_two_best_search(spark, messy):
+    model = pieces.PieceModel.read(PIECE_MODEL)
+
+    def plain(text):
+        """The two best segmentations, as score and linked ids."""
+        line = pieces.SPACE + pieces.escape(text)
+        best = [[(0.0, None)]]
+        for into in model.edges(line)[1:]:
+            ways = [(s + model.scores.get(p, model.unknown_score), (p, back)) for i, p in into for s, back in best[i]]
+            best.append(sorted(ways, key=lambda w: -w[0])[:2])
+        made = []
+        for score, back in best[-1]:
+            ids = []
+            while back:
+                ids.append(model.piece_ids(back[0]))
+                back = back[1]
+            made.append((score, [i for piece in reversed(ids) for i in piece]))
+        return made
+
+    texts = {}
+    for i, text, _ in messy.docs:
+        texts.setdefault(i, set()).add(text or "")
+    compared = 0
+    for r in QUERIES["op9_sentencepiece"](spark, messy.dir).collect():
+        if len(texts[r["doc_id"]]) > 1:
+            continue  # rows that share an id
+        (text,) = texts[r["doc_id"]]
+        if not text:
+            assert (r["n_pieces"], r["score"], r["second_score"]) == (0, 0.0, None)
+            continue
+        (score, ids), *second = plain(text)
+        assert r["score"] == pytest.approx(score, rel=1e-9)
+        assert (r["second_score"] is None) == (not second)
+        assert not second or r["second_score"] == pytest.approx(second[0][0], rel=1e-9)
+        if not second or score - second[0][0] > 1e-6:  # else two segmentations are equally good
+            assert r["n_pieces"] == len(ids)
+            assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+            compared += 1
+    assert compared > 50
+
+
 def test_op9_nbest_equals_all_segmentations():
     model = pieces.PieceModel.read(PIECE_MODEL)
     decode = model.decoder().decode
