@@ -18,7 +18,8 @@ again, blanks become U+2581, and a U+2581 of the text itself goes through bytes.
 
 Defined results: a null or empty text has no pieces, one segmentation of score 0,
 and decodes to the empty text; equal scores are ordered by the search, the same
-way on every run.  Time and memory are linear in the longest word.
+way on every run; repeated rows get equal results; an empty table gives an empty result.
+Time and memory are linear in the longest word.
 """
 
 from __future__ import annotations

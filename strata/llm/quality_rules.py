@@ -8,7 +8,9 @@ Spark column.  Trees and weights are fitted by Spark on all labelled rows.
 Defined results: null and blank texts count as empty and have statistics 0, so they are
 scored like any other text; a row whose label is null teaches nothing; without labelled rows
 the score is 0.5 everywhere, with one class only it is that class's share (smoothed
-by one row of each class); equal texts get equal scores.  ``doc_id`` is only a key.
+by one row of each class); equal texts get equal scores, repeated rows of ``docs`` one each; an
+empty table gives an empty result.  ``doc_id`` is only a key; only it, ``text`` and the
+labels' ``doc_id, label`` are read, other columns may have any name.
 """
 
 from __future__ import annotations

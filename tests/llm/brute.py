@@ -117,6 +117,26 @@ def op5_score(docs, mix=0.7, base=1.5, order=2):
     return [(i, sum(math.log10(min(1.0, p(tuple(w[at - order + 1 : at + 1])))) for at in range(order - 1, len(w)))) for i, t, _ in docs for w in [tokens(t)]]
 
 
+def statistics(t):
+    """The statistics that the quality rules use, of one text."""
+    words, lines = [w for w in re.split(r"[ \t-\r]", t) if w], t.split("\n")
+    n, n_words = max(len(t), 1), max(len(words), 1)
+    share = {
+        "digits": "[0-9]", "capitals": "[A-Z]", "symbols": r"[#$%&*@<>{}\[\]\\^~=+_/|]", "bars": r"\|",
+        "stops": "[.,;:]", "shouts": "[!?]", "blanks": r"[ \t-\r]",
+    }
+    return {
+        "chars": math.log1p(len(t)),
+        "words": math.log1p(len(words)),
+        "word_length": len(t) / n_words,
+        "distinct_words": len(set(words)) / n_words,
+        "distinct_lines": len(set(lines)) / len(lines),
+        "repeats": sum(a == b for a, b in zip(words, words[1:])) / n_words,
+        "line_length": math.log1p(n / len(lines)),
+        **{name: len(re.findall(pattern, t)) / n for name, pattern in share.items()},
+    }
+
+
 def op7(docs, phrases, rules):
     out = []
     for i, t, _ in docs:

@@ -258,6 +258,24 @@ def test_op6_messy(spark, messy):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
+def test_op6_scores_equal_plain_statistics_and_rules(spark, messy, monkeypatch):
+    fitted, fit = [], quality_rules.fit
+    monkeypatch.setattr(quality_rules, "fit", lambda *args: fitted.append(fit(*args)) or fitted[-1])
+    found = {}
+    for r in QUERIES["op6_quality"](spark, messy.dir).collect():
+        found.setdefault(r["doc_id"], []).append(r["score"])
+    (model,) = fitted
+    assert model.rules  # both labels are there to learn from
+    wanted = {}
+    for i, text, _ in messy.docs:
+        held = brute.statistics(text or "")
+        rules = [all(held[s] > t if above else held[s] <= t for s, above, t in r.conditions) for r in model.rules]
+        total = model.bias + sum(w for w, on in zip(model.weights, rules) if on)
+        wanted.setdefault(i, []).append(1 / (1 + math.exp(-total)))
+    assert found.keys() == wanted.keys()
+    assert all(sorted(found[i]) == pytest.approx(sorted(wanted[i]), rel=1e-9) for i in wanted)
+
+
 def test_op6_tree_paths():
     text = """DecisionTreeClassificationModel
   If (feature 0 <= 0.5)
