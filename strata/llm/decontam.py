@@ -15,7 +15,8 @@ block of its own); one block at a time is broadcast.
 Defined results: null and wordless texts have no words and no hits; an item
 without words has no windows; a null item_id counts as the id ``''``; repeated
 items with one id count once; empty tables give no rows or no hits; only
-``doc_id``, ``text`` and ``item_id`` are read, other columns may have any name.
+``doc_id``, ``text`` and ``item_id`` are read, other columns may have any name but one
+that begins with ``__dc_``.
 """
 
 from __future__ import annotations

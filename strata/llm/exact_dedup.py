@@ -13,7 +13,8 @@ Defined results: a null text counts as empty; texts that agree after lower-casin
 A-Z are equal; of equal texts the row with the largest ``doc_id`` stays (null is
 smallest), of rows that also share the ``doc_id`` the one with the largest
 locator; an empty table gives an empty result; columns other than ``doc_id`` and
-``text`` are carried by ``keep_rows`` and ignored by ``assign_groups``.
+``text`` are carried by ``keep_rows`` and ignored by ``assign_groups``.  Column names
+that begin with ``__xd_`` are reserved.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Defined results: a null text or one without a letter (Unicode categories L) is `
 without any learning row every text is ``und``; rows with a null ``lang`` teach
 nothing; languages that tie go to the first in string order; equal rows count once in the
 sample, each in the document frequencies, and get equal predictions; an empty table gives an empty result.  Only ``doc_id``,
-``text`` and (for learning) ``lang`` are read, other columns may have any name.
+``text`` and (for learning) ``lang`` are read, other columns may have any name but one
+that begins with ``__li_``.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ the keys that set one of its clear bits, beside the segment itself.
 
 Defined results: null and blank texts have fingerprint zero and link like any
 other; repeated rows share a fingerprint; an empty table gives an empty result;
-only ``doc_id`` and ``text`` are read, other columns may have any name.
+only ``doc_id`` and ``text`` are read, other columns may have any name but, in
+``keep_one``, ``__sh_row``.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ of their own, so a passage's neighbourhoods don't gather in one task.
 Order of documents: by doc_id (null first), equal ids in the order they were read.
 Defined results: a null or empty text has no bytes; texts shorter than ``size`` lose nothing;
 an empty table gives an empty result; only ``doc_id`` and ``text`` are read, other columns
-may have any name.
+may have any name.  ``doc_id`` is an integer above -2**63, which stands for a null id.
 """
 
 from __future__ import annotations
