@@ -53,13 +53,17 @@ def mod_crc(n: int) -> Column:
 ROWS_PER_PART = 1_000_000
 
 
-def join_spread(rows: DataFrame, groups: DataFrame, key: str, spread_by: list[str]) -> DataFrame:
+def join_spread(
+    rows: DataFrame, groups: DataFrame, key: str, spread_by: list[str], total: int | None = None
+) -> DataFrame:
     """``rows`` joined to the one row that their ``key`` has in ``groups``, whose column
     ``n`` counts the rows of the key.  A key with more than a part's rows is dealt over as
     many parts as its rows fill, by the columns ``spread_by``, and its group's row is repeated
     in each.  A part takes ``ROWS_PER_PART`` rows, on small tables a 1024th of all rows;
-    it never takes less than a 65,536th, which bounds the broadcast list of dealt keys."""
-    total = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
+    it never takes less than a 65,536th, which bounds the broadcast list of dealt keys.
+    ``total`` is the number of rows or more, where it is known."""
+    if total is None:
+        total = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
     size = max(1, total >> 16, min(ROWS_PER_PART, total >> 10))
     parts = F.ceil(F.col("n") / size).cast("int")
     listed = groups.filter(F.col("n") > size).select(key, parts.alias("__parts"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import freeze
+from .common import freeze, join_spread
 
 
 def _least(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+    return edges.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
 
 
 def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
@@ -19,28 +19,29 @@ def components(links: DataFrame, most_rounds: int = 100) -> DataFrame:
     Alternates the large-star and small-star steps: each node's larger
     neighbours, then its smaller ones, are linked to its smallest neighbour,
     until nothing changes.  The number of links never grows, and each round's
-    table is written to the shared scratch space.  Self-links and repeated links are
-    harmless; no links give no rows.
+    table is written to the shared scratch space.  A hub's links are dealt over as many
+    parts as they fill.  Self-links and repeated links are harmless; no links give no rows.
     """
     edges = freeze(
         links.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(),
         "links",
     )
-    before = None
+    n_links, before = edges.count(), None
     for _ in range(most_rounds):
         # large star
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = _least(both).withColumn("m", F.least("m", "u"))
-        large = both.filter("v > u").join(m, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u <> v").distinct()
+        large = join_spread(both.filter("v > u"), m, "u", ["v"], 2 * n_links)
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         # small star: every link now points from the larger to the smaller node
         m = _least(large)
-        small = large.join(m, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = freeze(small.unionByName(m.withColumnRenamed("m", "v")).distinct(), "links")
+        small = join_spread(large, m, "u", ["v"], 2 * n_links)
+        small = small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        edges = freeze(small.unionByName(m.select("u", F.col("m").alias("v"))).distinct(), "links")
         after = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")
+            F.count(F.lit(1)).alias("links"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")
         ).first()
         if after == before:
             return edges.select("u", F.col("v").alias("root"))
-        before = after
+        n_links, before = after["links"], after
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -63,26 +63,56 @@ def as_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def link_fingerprints(prints: DataFrame, most_bits: int = 3) -> DataFrame:
+def ball(key: Column, bits: int) -> Column:
+    """The keys of ``bits`` bits at one differing bit or none from ``key``."""
+    return F.array(key, *[key.bitwiseXOR(F.lit(1 << b)) for b in range(bits)])
+
+
+def link_fingerprints(prints: DataFrame, most_bits: int = 3, most_in_key: int = 1024) -> DataFrame:
     """Pairs ``(u, v)``, u < v, of distinct fingerprints ``prints(fp)`` at
-    ``most_bits`` (3 or fewer) differing bits; a pair may come twice."""
+    ``most_bits`` (3 or fewer) differing bits; a pair may come twice.
+
+    A segment's key that more than ``most_in_key`` fingerprints share (a family of
+    one template) is not met pair by pair.  Fingerprints that agree in a segment up to
+    one bit differ in at most three bits of the other, so they agree in one of its two
+    16-bit halves up to a single bit: such a key's matches are looked up by a half's
+    ball too.  Then at most 65,536 fingerprints are left under one key.  The limit
+    grows with the input past 2^27 fingerprints, so that at most 2^18 keys are listed."""
     if not 0 <= most_bits <= 3:
         raise ValueError("two segments with balls of one bit cover distances up to 3")
     low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
     high = F.shiftrightunsigned("fp", 32)
-    keys = prints.select("fp", F.posexplode(F.array(low, high)).alias("segment", "key"))
-    table = keys.select("segment", "key", F.col("fp").alias("found"))
-    ball = F.expr(
+    halves = F.array(F.struct(low.alias("key"), high.alias("rest")), F.struct(high.alias("key"), low.alias("rest")))
+    keys = prints.select("fp", F.posexplode(halves).alias("segment", "k")).select("fp", "segment", "k.key", "k.rest")
+    table = keys.select("segment", F.col("key").alias("probe"), "rest", F.col("fp").alias("found"))
+    clear = F.expr(
         "concat(array(key), transform(filter(sequence(0, 31), b -> shiftright(key, b) & 1L = 0L),"
         " b -> key | shiftleft(1L, b)))"
     )
-    probes = keys.select("segment", "fp", "key", F.explode(ball).alias("probe"))
+    probes = keys.select("segment", "fp", "key", "rest", F.explode(clear).alias("probe"))
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("found"))) <= most_bits
     # an exact key meets from both sides, a ball's key from one
-    once = (F.col("p.probe") != F.col("p.key")) | (F.col("fp") < F.col("found"))
-    same = (F.col("p.segment") == F.col("t.segment")) & (F.col("p.probe") == F.col("t.key"))
-    hits = probes.alias("p").join(table.alias("t"), same & near & once)
-    return hits.select(F.least("fp", "found").alias("u"), F.greatest("fp", "found").alias("v"))
+    once = (F.col("probe") != F.col("key")) | (F.col("fp") < F.col("found"))
+
+    spot = ["segment", "probe"]
+    sizes = table.groupBy(*spot).agg(F.count(F.lit(1)).alias("n"))
+    limit = max(most_in_key, 2 * prints.count() >> 18)
+    full = F.broadcast(sizes.filter(F.col("n") > limit).select(*spot))
+    plain = probes.join(full, spot, "left_anti").join(table.join(full, spot, "left_anti").drop("rest"), spot)
+
+    half = [F.col("rest").bitwiseAND(F.lit(0xFFFF)), F.shiftright("rest", 16)]
+    parts = table.join(full, spot, "left_semi").select(
+        *spot, "found", F.posexplode(F.array(*half)).alias("half", "part")
+    )
+    asked = probes.join(full, spot, "left_semi").select(
+        *spot, "fp", "key", F.posexplode(F.array(*[ball(h, 16) for h in half])).alias("half", "parts")
+    )
+    finer = asked.withColumn("part", F.explode("parts")).join(parts, [*spot, "half", "part"])
+
+    def pairs(hits: DataFrame) -> DataFrame:
+        return hits.filter(near & once).select(F.least("fp", "found").alias("u"), F.greatest("fp", "found").alias("v"))
+
+    return pairs(plain).unionByName(pairs(finer))
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, most_bits: int = 3, row_id: str | None = None) -> DataFrame:

@@ -43,6 +43,31 @@ def test_op1_links_equal_all_pairs(spark):
     assert {tuple(r) for r in links.collect()} == wanted
 
 
+def test_op1_links_of_a_family_that_shares_a_segment(spark):
+    """Thousands of fingerprints of one 32-bit half, around it up to one bit off, and of 48 equal bits."""
+    rng = np.random.default_rng(4)
+    half = 0x5A5A1234
+    rest = [int(r) for r in rng.integers(0, 2**32, 1500)]
+    rest += [r ^ sum(1 << int(k) for k in rng.choice(32, rng.integers(1, 5), replace=False)) for r in rest[:600]]
+    prints = {r << 32 | half ^ (1 << int(b) if b < 32 else 0) for r, b in zip(rest, rng.integers(0, 64, len(rest)))}
+    prints |= {half << 32 | 0x7777 << 16 | int(r) for r in rng.integers(0, 2**16, 300)}
+    prints = sorted(((p + 2**63) % 2**64) - 2**63 for p in prints)
+    a = np.array(prints).view(np.uint64)
+    near = np.argwhere(np.triu(np.bitwise_count(a[:, None] ^ a[None, :]) <= 3, 1))
+    wanted = {(prints[i], prints[j]) for i, j in near}
+    table = spark.createDataFrame([(p,) for p in prints], "fp long")
+    for most in (1024, 20, 0):  # one family is split; also the smaller ones; every key is
+        assert {tuple(r) for r in simhash.link_fingerprints(table, most_in_key=most).collect()} == wanted
+    assert len(wanted) > 600
+
+
+def test_components_of_a_hub(spark):
+    """A node that half of all links touch, dealt over many parts, with tails behind its neighbours."""
+    edges = [(5000, k) for k in range(2000)] + [(k, 10_000 + k) for k in range(2000)] + [(20_000, 20_001)]
+    roots = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
+    assert len(roots) == 4001 and roots.pop(20_001) == 20_000 and set(roots.values()) == {0}
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 200), (7, 3)]
     roots = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
