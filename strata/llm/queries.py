@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.xxh64_sql import xxh64
 from . import (
     decontam,
     exact_dedup,
@@ -186,7 +187,6 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-
 def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
     """Lloyd's rounds in SQL, one after the other, a component a row."""
     steps = [f"""
@@ -218,7 +218,31 @@ def vector_codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
         FROM k JOIN coded USING (r)"""
 
 
+def simhash_sql(words: int = 3, most_bits: int = 3) -> str:
+    """Every distinct shingle's XXH64 in SQL arithmetic, bits counted a text, all pairs of distinct
+    fingerprints compared, and what each one reaches by links."""
+    ones = ", ".join(f"sum(n * ((h >> {b}) & 1)) AS b{b}" for b in range(64))
+    bits = " + ".join(f"(CASE WHEN 2 * b{b} > m THEN {2**b}::UBIGINT ELSE 0::UBIGINT END)" for b in range(64))
+    return f"""
+        WITH RECURSIVE d AS MATERIALIZED (
+            SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS MATERIALIZED (
+            SELECT r, k, count(*) AS n FROM (
+                SELECT r, array_to_string(w[i:i + {words - 1}], ' ') AS k
+                FROM (SELECT r, w, unnest(range(1, greatest(len(w) - {words - 1}, 1) + 1)) AS i FROM d WHERE len(w) > 0))
+            GROUP BY r, k),
+        hashed AS MATERIALIZED (SELECT k, CAST({xxh64("k", "42::UHUGEINT")} AS UBIGINT) AS h FROM (SELECT DISTINCT k FROM s)),
+        counted AS (SELECT r, sum(n) AS m, {ones} FROM s JOIN hashed USING (k) GROUP BY r),
+        prints AS MATERIALIZED (SELECT doc_id, coalesce(f, 0::UBIGINT) AS f FROM d LEFT JOIN (SELECT r, {bits} AS f FROM counted) USING (r)),
+        p AS MATERIALIZED (SELECT f, min(doc_id) AS least FROM prints GROUP BY f),
+        links AS MATERIALIZED (SELECT a.f AS u, b.f AS v FROM p a JOIN p b ON a.f <> b.f AND bit_count(xor(a.f, b.f)) <= {most_bits}),
+        reach AS (SELECT f, f AS g FROM p UNION SELECT reach.f, v FROM reach JOIN links ON u = g),
+        named AS (SELECT reach.f, min(least) AS component_id FROM reach JOIN p ON p.f = g GROUP BY reach.f)
+        SELECT doc_id, lpad(lower(to_hex(f)), 16, '0') AS fingerprint, component_id FROM prints JOIN named USING (f)"""
+
+
 ORACLES = {
+    "op1_simhash": simhash_sql(),
     "op11_mixing": r"""
         WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
         d AS (SELECT *, CAST(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM t),

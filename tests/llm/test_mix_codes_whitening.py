@@ -16,7 +16,7 @@ from . import brute
 from .conftest import write_tables
 
 
-@pytest.mark.parametrize("name", ["op11_mixing", "op12_vector_codes"])
+@pytest.mark.parametrize("name", ["op1_simhash", "op11_mixing", "op12_vector_codes"])
 def test_sql(spark, sf_smoke, name):
     assert compare(spark, name, sf_smoke, QUERIES[name], ORACLES[name], duck(sf_smoke))["status"] == "ok"
 
