@@ -2,7 +2,8 @@
 
 A rule is a regular expression over normalised words (lower case, one blank between
 words; ``2.0`` reads ``2 0``).  Families are written by hand; those with versions are
-spelled out for each version.  ``{v}`` stands for the version.  Every match of a rule
+spelled out for each version.  ``{v}`` stands for the version.  ``TEXTS`` are sentences of
+licence texts and file headers.  Every match of a rule
 contains the rule's keyword, and every keyword contains or accompanies an anchor:
 a text without any anchor cannot match any rule.
 """
@@ -13,7 +14,8 @@ from dataclasses import dataclass
 
 # every rule's matches contain one of these
 ANCHORS = ("licen", "gpl", "cc by", "cc0", "creative commons", "public domain", "copyright", "reserved", "permission",
-           "redistribution", "warranty", "wtfpl", "proprietary", "copyleft")
+           "redistribution", "warrant", "wtfpl", "proprietary", "copyleft", "advertising materials", "creativecommons", "written consent", "anyone is free to copy",
+           "same terms as perl", "altered source versions")
 
 
 @dataclass(frozen=True)
@@ -161,6 +163,136 @@ PLAIN = (
 )
 
 
+# sentences of licence texts and file headers: label, keyword, expressions
+TEXTS = (
+    ("Apache", "applicable law", ("unless required by applicable law or agreed to in writing software distributed under the licen[sc]e is distributed on an as is basis",)),
+    ("Apache", "except in compliance", ("(?:you )?may not use this file except in compliance with the licen[sc]e",)),
+    ("Apache", "apache org", ("apache org licen[sc]es(?: licen[sc]e 2 0)?(?: txt| html)?",)),
+    ("Apache", "contributor licen", ("licen[sc]ed to the apache software foundation asf under one or more contributor licen[sc]e agreements",)),
+    ("Apache", "perpetual", ("perpetual worldwide non exclusive no charge royalty free irrevocable (?:copyright|patent) licen[sc]e",)),
+    ("MIT", "permission notice", ("the above copyright notice and this permission notice(?: including the next paragraph)? shall be included in all copies or substantial portions of the software",)),
+    ("MIT", "noninfringement", ("warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",)),
+    ("MIT", "opensource org", ("opensource org licen[sc]es? mit",)),
+    ("BSD", "source code must retain", ("redistributions of source code must retain the above copyright notice(?: this list of conditions and the following disclaimer)?",)),
+    ("BSD", "in binary form must", ("redistributions in binary form must reproduce the above copyright notice(?: this list of conditions and the following disclaimer)?",)),
+    ("BSD-3-Clause", "endorse or promote", ("endorse or promote products derived from this software without specific prior written permission",)),
+    ("BSD-4-Clause", "advertising materials", ("all advertising materials mentioning features or use of this software must display the following acknowledge?ment",)),
+    ("BSD", "bsd style", ("(?:governed|covered) by a bsd style licen[sc]e(?: that can be found in the licen[sc]e file)?",)),
+    ("ISC", "appear in all copies", ("provided that the above copyright notice and this permission notice appear in all copies",)),
+    ("HPND", "without fee", ("permission to use copy modify and distribute this software and its documentation for any purpose(?: and)? without fee is hereby granted",)),
+    ("GPL", "free software you can", ("this program is free software you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e",)),
+    ("GPL", "you should have received", ("you should have received a copy of the gnu general public licen[sc]e(?: along with this (?:program|software))?",)),
+    ("GPL", "hope that it will", ("distributed in the hope that it will be useful but without any warranty(?: without even the implied warranty of merchantability or fitness for a particular purpose)?",)),
+    ("GPL", "gnu org", ("gnu org licen[sc]es(?: gpl)?(?: html| txt)?", "gnu org copyleft gpl(?: html)?")),
+    ("GPL", "corresponding source", ("corresponding source under the terms of this licen[sc]e",)),
+    ("GPL", "classpath exception", ("gpl (?:v?2 )?(?:with|w) (?:the )?classpath exception",)),
+    ("LGPL", "this library is free", ("this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e",)),
+    ("LGPL", "you should have received", ("you should have received a copy of the gnu (?:lesser|library) general public licen[sc]e(?: along with this (?:library|program))?",)),
+    ("AGPL", "you should have received", ("you should have received a copy of the gnu affero general public licen[sc]e(?: along with this program)?",)),
+    ("AGPL", "affero", ("under the terms of the gnu affero general public licen[sc]e",)),
+    ("MPL", "source code form", ("this source code form is subject to the terms of the mozilla public licen[sc]e",)),
+    ("MPL", "contents of this file", ("the contents of this file are subject to the mozilla public licen[sc]e",)),
+    ("NPL", "netscape", ("netscape public licen[sc]e(?: version)?(?: 1 [01])?", "the contents of this file are subject to the netscape public licen[sc]e")),
+    ("EPL", "accompanying materials", ("this program and the accompanying materials are made available under the terms of the eclipse public licen[sc]e",)),
+    ("CDDL", "contents of this file", ("the contents of this file are subject to the terms of the common development and distribution licen[sc]e",)),
+    ("Unlicense", "compiled binary", ("anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary(?: for any purpose commercial or non commercial and by any means)?",)),
+    ("Unlicense", "unlicense org", ("(?:please refer to )?(?:http )?unlicense org",)),
+    ("Public-domain", "public domain", ("(?:place[sd]?|put) (?:this|it|the) (?:work |code |software |file )?(?:in|into) the public domain",
+                                        "(?:is|are) (?:in|within) the public domain", "public domain dedication", "public domain mark(?: 1 0)?", "not subject to copyright protection and (?:is|are) in the public domain")),
+    ("Public-domain", "copyright to this source", ("the authors? disclaims? copyright to this source code(?: and places? it in the public domain)?",)),
+    ("Zlib", "altered source", ("altered source versions must be plainly marked as such and must not be misrepresented as being the original software",)),
+    ("Zlib", "commercial applications", ("permission is granted to anyone to use this software for any purpose including commercial applications(?: and to alter it and redistribute it freely)?",)),
+    ("BSL", "boost org", ("boost org licen[sc]e 1 0(?: txt)?",)),
+    ("BSL", "accompanying file", ("see accompanying file licen[sc]e 1 0 txt",)),
+    ("BSL", "any person or", ("permission is hereby granted free of charge to any person or organi[sz]ation obtaining a copy of the software",)),
+    ("OFL", "reserved font", ("with reserved font names?",)),
+    ("OFL", "font software", ("this font software is licen[sc]ed under the sil open font licen[sc]e",)),
+    ("GFDL", "this document under", ("permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e",)),
+    ("Artistic", "same terms as perl", ("under the same terms as perl(?: itself)?",)),
+    ("WTFPL", "what the", ("do what the [a-z]{1,8} you want to public licen[sc]e",)),
+    ("CC", "creativecommons org", ("creativecommons org licen[sc]es [a-z]{2}(?: (?:nc|nd|sa)){0,2}(?: [1-4] [05])?",)),
+    ("CC0-1.0", "creativecommons org", ("creativecommons org publicdomain zero(?: 1 0)?",)),
+    ("CC0-1.0", "neighboring rights", ("waived all copyright and related (?:or|and) neighboring rights",)),
+    ("CC", "this work is licen", ("this work is licen[sc]ed under (?:a|the) creative commons",)),
+    ("CC-BY-SA", "text is available", ("text is available under the creative commons attribution share ?alike licen[sc]e",)),
+    ("BUSL-1.1", "change date", ("change date [a-z0-9 ]{1,30} change licen[sc]e",)),
+    ("Commons-Clause", "commons clause", ("commons clause licen[sc]e condition(?: v?1 0)?",)),
+    ("Proprietary", "confidential", ("this (?:document|software|file) contains (?:confidential and proprietary|proprietary and confidential) information",)),
+    ("Proprietary", "trade secret", ("proprietary (?:and|or) trade secret information", "trade secrets? and proprietary information")),
+    ("Proprietary", "reverse engineer", ("may not reverse engineer decompile or disassemble the licen[sc]ed software",)),
+    ("Licensed", "see the licen", ("see the licen[sc]e for the specific language governing permissions(?: and limitations under the licen[sc]e)?", "see the licen[sc]e file(?: for (?:details|more information|licen[sc]e rights))?")),
+    ("Licensed", "by using", ("by using this (?:software|site|website|file) you agree to (?:the|these|this) (?:terms of )?licen[sc]e",)),
+    ("Licensed", "non exclusive", ("(?:limited )?non exclusive (?:non transferable )?(?:revocable )?licen[sc]e",)),
+    ("Licensed", "royalty free", ("royalty free licen[sc]e", "worldwide royalty free(?: non exclusive)? licen[sc]e")),
+    ("Licensed", "dual licen", ("dual licen[sc]ed(?: under)?",)),
+    ("Licensed", "spdx", ("spdx licen[sc]e identifier",)),
+    ("Licensed", "open source licen", ("(?:an )?open source licen[sc]e",)),
+    ("Licensed", "sublicen", ("right to sublicen[sc]e", "use copy modify merge publish distribute sublicen[sc]e and or sell copies")),
+    ("No-permission", "written consent", ("without the (?:express |prior )?written consent of the (?:copyright (?:holder|owner)|publisher|author)",)),
+    ("No-permission", "written permission", ("without the (?:express |prior )?written permission of the (?:copyright (?:holder|owner)|publisher|author)",)),
+    ("No-permission", "may not be reproduced", ("may not be reproduced(?: in any form)? without (?:prior )?(?:written )?permission",)),
+    ("No-permission", "may be reproduced", ("no part of this (?:publication|book|document|work) may be reproduced [a-z ]{0,120}permission",)),
+    ("No-permission", "unauthori", ("unauthori[sz]ed (?:copying|reproduction|use|distribution)(?: or (?:copying|reproduction|use|distribution))? of (?:this|the) copyright(?:ed)? (?:work|material)",)),
+    ("Copyright-notice", "copyright", ("protected by copyright(?: law)?", "copyright infringement", "copyrighted (?:work|material)", "international copyright (?:law|treaties)", "u s copyright law",
+                                       "retain (?:this|the above) copyright notice", "copyright and (?:related|other) rights")),
+    ("Crown-copyright", "crown copyright", ("crown copyright(?: and database rights?)?(?: (?:19|20)[0-9]{2})?",)),
+    ("OGL", "open government", ("open government licen[sc]e(?: for public sector information)?(?: v?[123](?: 0)?)?",)),
+    ("Warranty-disclaimer", "warranty", ("as is without warranty(?: of any kind)?(?: either)?(?: express(?:ed)? or implied)?", "makes no warranty(?: express or implied)?", "disclaims? (?:all|any) (?:express or implied )?warranty",
+                                         "implied warranty of merchantability", "this software comes with no warranty", "provided with no warranty")),
+    ("Warranty-disclaimer", "warranties", ("disclaims? (?:all|any) (?:express or implied )?warranties", "(?:any )?express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed")),
+)
+
+# further licences by name: label, keyword, name
+NAMED = (
+    ("QPL-1.0", "q public", "q public licen[sc]e(?: version)?(?: 1 0)?"),
+    ("APSL", "apple public", "apple public source licen[sc]e(?: version)?(?: [12] [012])?"),
+    ("RPL", "reciprocal public", "reciprocal public licen[sc]e(?: version)?(?: 1 [15])?"),
+    ("SPL", "sun public", "sun public licen[sc]e(?: version)?(?: 1 0)?"),
+    ("SISSL", "sun industry", "sun industry standards source licen[sc]e"),
+    ("NASA-1.3", "nasa open", "nasa open source agreement licen[sc]e"),
+    ("NCSA", "illinois", "university of illinois(?: ncsa)? open source licen[sc]e"),
+    ("PostgreSQL", "postgresql", "postgresql licen[sc]e"),
+    ("Vim", "vim", "vim licen[sc]e"),
+    ("FTL", "freetype", "freetype(?: project)? licen[sc]e"),
+    ("IJG", "jpeg group", "independent jpeg group licen[sc]e"),
+    ("Libpng", "png", "(?:png reference library|libpng) licen[sc]e"),
+    ("curl", "curl", "curl licen[sc]e"),
+    ("ICU", "icu", "icu licen[sc]e"),
+    ("Unicode-DFS", "unicode", "unicode licen[sc]e(?: agreement)?(?: data files and software)?"),
+    ("W3C", "w3c", "w3c (?:software(?: notice and| and document)?|document) licen[sc]e"),
+    ("EFL", "eiffel", "eiffel forum licen[sc]e(?: version)?(?: [12])?"),
+    ("MulanPSL", "mulan", "mulan (?:permissive software|psl) licen[sc]e(?: version)?(?: [12])?"),
+    ("UPL-1.0", "universal permissive", "universal permissive licen[sc]e(?: v?1 0)?"),
+    ("BlueOak", "blue oak", "blue oak model licen[sc]e(?: 1 0 0)?"),
+    ("Parity", "parity", "parity public licen[sc]e(?: 7 0 0)?"),
+    ("PolyForm", "polyform", "polyform (?:noncommercial|small business|shield|strict) licen[sc]e(?: 1 0 0)?"),
+    ("RPSL", "realnetworks", "realnetworks public source licen[sc]e"),
+    ("Watcom", "watcom", "(?:sybase )?open watcom public licen[sc]e"),
+    ("OCLC", "oclc", "oclc research public licen[sc]e"),
+    ("LiLiQ", "quebec", "quebec (?:free and open source|permissive|reciprocity) licen[sc]e"),
+    ("Sleepycat", "sleepycat", "sleepycat licen[sc]e"),
+    ("OLDAP", "openldap", "openldap public licen[sc]e(?: version)?(?: 2 [0-9])?"),
+    ("Intel", "intel", "intel (?:open source|simplified software) licen[sc]e"),
+    ("Nokia", "nokia", "nokia open source licen[sc]e"),
+    ("CPAL-1.0", "attribution licen", "common public attribution licen[sc]e(?: version)?(?: 1 0)?"),
+    ("FreeImage", "freeimage", "freeimage public licen[sc]e"),
+    ("GL2PS", "gl2ps", "gl2ps licen[sc]e"),
+    ("SGI-B", "sgi free", "sgi free software licen[sc]e b"),
+    ("TCL", "tcl", "tcl tk licen[sc]e"),
+    ("Xnet", "x net", "x net licen[sc]e"),
+    ("NPOSL", "non profit", "non profit open software licen[sc]e"),
+    ("Hippocratic", "hippocratic", "hippocratic licen[sc]e(?: version)?(?: [23] [01])?"),
+    ("OpenRAIL", "openrail", "(?:creativeml |bigscience )?openrail(?: m)? licen[sc]e"),
+    ("CDLA", "community data", "community data licen[sc]e agreement(?: permissive| sharing)?"),
+    ("FAL", "free art", "free art licen[sc]e(?: 1 [23])?"),
+    ("CERN-OHL", "cern open", "cern open hardware licen[sc]e(?: version)?(?: [12])?(?: [012])?"),
+    ("TAPR-OHL", "tapr", "tapr open hardware licen[sc]e"),
+    ("Solderpad", "solderpad", "solderpad hardware licen[sc]e"),
+    ("Etalab", "etalab", "(?:etalab )?open licen[sc]e etalab"),
+    ("DL-DE", "datenlizenz", "datenlizenz deutschland licen[sc]e"),
+)
+
+
 def build_rules() -> list[Rule]:
     made: list[tuple[str, str, str, int, float]] = []
     for name, title in GNU.items():
@@ -183,6 +315,8 @@ def build_rules() -> list[Rule]:
         for v in versions:
             made += [(f"{name}-{v}", keyword, text.format(v=version(v)), 1, 1.0) for text in texts]
     made += [(name, keyword, text, 4, 0.7) for name, keyword, texts in PLAIN for text in texts]
+    made += [(name, keyword, text, 2, 0.9) for name, keyword, texts in TEXTS for text in texts]
+    made += [(name, keyword, text, 4, 0.8) for name, keyword, text in NAMED]
     return [Rule(*m) for m in made]
 
 
