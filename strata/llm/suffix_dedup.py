@@ -15,7 +15,9 @@ equal anchors at equal distances.
 4. The removed windows of each shard come back to its texts.
 
 An anchor that more than ``hot_shards`` shards hold sends its windows one by one to buckets
-of their own, so a passage's neighbourhoods don't gather in one task.
+of their own, so a passage's neighbourhoods don't gather in one task.  Such windows are first
+merged among slices of ``hot_shards`` shards, and only each slice's earliest copy of a window goes on,
+so a passage that every shard holds doesn't send a row from each of them to one task.
 
 Order of documents: by doc_id (null first), equal ids in the order they were read.
 Defined results: a null or empty text has no bytes; texts shorter than ``size`` lose nothing;
@@ -188,7 +190,8 @@ def repeated_anchors(shards: DataFrame, size: int, buckets: int) -> DataFrame:
 
 
 # rows between the steps: in kind 0, ``a`` and ``b`` are first and last removed windows in the
-# shard's text; in kind 1, ``a`` holds six int64 columns of stretches and ``b`` their packed bytes
+# shard's text; in kind 1, ``a`` holds six int64 columns of stretches and ``b`` their packed bytes;
+# kind 2 is like kind 1, of single windows around hot anchors
 STEP = "bucket long, shard long, kind int, a binary, b binary"
 
 
@@ -246,92 +249,128 @@ def search_shard(size: int, buckets: int, hot_shards: int):
         following = np.flatnonzero(fresh)
         first, last = following[np.searchsorted(following, first)], following[np.searchsorted(following, last, "right") - 1]
         hot = holders > hot_shards
+
+        def send(kind: int, bucket: np.ndarray, h: np.ndarray, place: np.ndarray, first: np.ndarray, last: np.ndarray) -> None:
+            # by the texts' ends, as an empty text shares its begin with the next one
+            doc = np.searchsorted(shard.begins + shard.sizes, first, "right")
+            for name, part in pieces_of(bucket):
+                f, t = first[part], last[part] + size
+                columns = np.stack((h[part].view(np.int64), shard.doc_ids[doc[part]], doc[part], f, place[part] - f, t - f))
+                rows.append((name, r["shard"], kind, columns.tobytes(), packed(shard.text[spread(f, t - 1)].tobytes())))
+
         if hot.any():
             one = spread(first[hot], last[hot])
             n = last[hot] - first[hot] + 1
-            h = np.concatenate((h[~hot], np.repeat(h[hot], n)))
-            place = np.concatenate((place[~hot], np.repeat(place[hot], n)))
-            first, last = np.concatenate((first[~hot], one)), np.concatenate((last[~hot], one))
             # a hot window's bucket follows from all its bytes
-            alone = np.arange(len(h)) >= np.count_nonzero(~hot)
             key = np.zeros(len(one), np.uint64)
             for i in range(size):
                 key = key * np.uint64(0x9E3779B97F4A7C15) + shard.text[one + i] + np.uint64(1)
             key ^= key >> np.uint64(32)
-            bucket = np.concatenate((bucket_of(h[~alone], buckets), bucket_of(key, buckets)))
-        else:
-            bucket = bucket_of(h, buckets)
-        # by the texts' ends, as an empty text shares its begin with the next one
-        doc = np.searchsorted(shard.begins + shard.sizes, first, "right")
-        for name, part in pieces_of(bucket):
-            f, t = first[part], last[part] + size
-            columns = np.stack((h[part].view(np.int64), shard.doc_ids[doc[part]], doc[part], f, place[part] - f, t - f))
-            rows.append((name, r["shard"], 1, columns.tobytes(), packed(shard.text[spread(f, t - 1)].tobytes())))
+            send(2, bucket_of(key, buckets), np.repeat(h[hot], n), np.repeat(place[hot], n), one, one)
+        h, place, first, last = h[~hot], place[~hot], first[~hot], last[~hot]
+        if len(h):
+            send(1, bucket_of(h, buckets), h, place, first, last)
         return step_table(rows)
 
     return search
 
 
+class Stretches:
+    """The stretches of some rows between the steps, and which of them lead: of equal
+    stretches the earliest in document order."""
+
+    def __init__(self, rows: list[dict], size: int):
+        parts = [np.frombuffer(r["a"], np.int64).reshape(6, -1) for r in rows]
+        texts = [unpacked(r["b"], int(p[5].sum())) for r, p in zip(rows, parts)]
+        self.h, self.doc_id, self.doc, self.first, self.lead, self.n = self.columns = np.concatenate(parts, axis=1)
+        self.shard = np.concatenate([np.full(p.shape[1], r["shard"], np.int64) for r, p in zip(rows, parts)])
+        self.text = np.concatenate(texts)
+        self.begin = np.cumsum(self.n) - self.n
+        self.last = self.first + self.n - size
+        order = np.lexsort((self.first, self.doc, self.shard, self.doc_id))
+        self.rank = np.empty(len(order), np.int64)
+        self.rank[order] = np.arange(len(order))
+        ends = np.append(self.begin, len(self.text)).astype(np.int64)
+        whole = pa.Array.from_buffers(pa.large_binary(), len(self.n), [None, pa.py_buffer(ends), pa.py_buffer(self.text)])
+        same = whole.dictionary_encode().indices.to_numpy().astype(np.int64) * size + self.lead
+        _, same = np.unique(same, return_inverse=True)
+        least = np.full(same.max() + 1, len(self.rank), np.int64)
+        np.minimum.at(least, same, self.rank)
+        self.leads = self.rank == least[same]
+
+    def bytes_of(self, pick: np.ndarray) -> np.ndarray:
+        return self.text[spread(self.begin[pick], self.begin[pick] + self.n[pick] - 1)]
+
+
+def removed_rows(bucket: int, shard: np.ndarray, first: np.ndarray, last: np.ndarray) -> Iterator[tuple]:
+    """Rows of kind 0, one a shard, of removed windows; neighbouring ones are joined."""
+    for s, part in pieces_of(shard) if len(shard) else ():
+        order = np.argsort(first[part])
+        f, t = first[part][order], last[part][order]
+        new = np.concatenate(([True], f[1:] != t[:-1] + 1))
+        f, t = f[new], t[np.append(np.flatnonzero(new)[1:], len(t)) - 1]
+        yield bucket, s, 0, f.tobytes(), t.tobytes()
+
+
+def merge_slice(size: int):
+    """Of single windows of one bucket and one slice of the shards: the later copies are removed, the
+    earliest go on as rows of kind 1."""
+
+    def merge(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        bucket, x = rows[0]["bucket"], Stretches(rows, size)
+        out = list(removed_rows(bucket, x.shard[~x.leads], x.first[~x.leads], x.last[~x.leads]))
+        pick = np.flatnonzero(x.leads)
+        for s, part in pieces_of(x.shard[pick]):
+            mine = pick[part]
+            out.append((bucket, s, 1, np.ascontiguousarray(x.columns[:, mine]).tobytes(), packed(x.bytes_of(mine).tobytes())))
+        return step_table(out)
+
+    return merge
+
+
 def merge_bucket(size: int):
     """Removed windows of the stretches of one bucket; kind 0 passes through."""
 
     def merge(group: pa.Table) -> pa.Table:
-        out, parts, texts, shards = [], [], [], []
-        for r in group.to_pylist():
-            if r["kind"] == 0:
-                out.append((r["bucket"], r["shard"], 0, r["a"], r["b"]))
-                continue
-            columns = np.frombuffer(r["a"], np.int64).reshape(6, -1)
-            parts.append(columns)
-            texts.append(unpacked(r["b"], int(columns[5].sum())))
-            shards.append(np.full(columns.shape[1], r["shard"], np.int64))
-        if not parts:
+        rows = group.to_pylist()
+        out = [(r["bucket"], r["shard"], 0, r["a"], r["b"]) for r in rows if r["kind"] == 0]
+        rows = [r for r in rows if r["kind"] != 0]
+        if not rows:
             return step_table(out)
-        h, doc_id, doc, first, lead, n = np.concatenate(parts, axis=1)
-        shard, text = np.concatenate(shards), np.concatenate(texts)
-        begin = np.cumsum(n) - n
-        # equal stretches: the earliest in document order stands for all
-        order = np.lexsort((first, doc, shard, doc_id))
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
-        stretches = pa.Array.from_buffers(
-            pa.large_binary(), len(n), [None, pa.py_buffer(np.append(begin, len(text)).astype(np.int64)), pa.py_buffer(text)]
-        )
-        same = stretches.dictionary_encode().indices.to_numpy().astype(np.int64) * size + lead
-        _, same = np.unique(same, return_inverse=True)
-        least = np.full(same.max() + 1, len(rank), np.int64)
-        np.minimum.at(least, same, rank)
-        leads = rank == least[same]
-        gone_shard, gone_first, gone_last = [shard[~leads]], [first[~leads]], [(first + n - size)[~leads]]
+        x = Stretches(rows, size)
+        gone_shard, gone_first, gone_last = [x.shard[~x.leads]], [x.first[~x.leads]], [x.last[~x.leads]]
         # windows that different stretches with one anchor share
-        pick = np.flatnonzero(leads)
-        _, which, many = np.unique(h[pick], return_inverse=True, return_counts=True)
+        pick = np.flatnonzero(x.leads)
+        _, which, many = np.unique(x.h[pick], return_inverse=True, return_counts=True)
         pick = pick[many[which] > 1]
-        pick = pick[np.argsort(rank[pick])]
+        pick = pick[np.argsort(x.rank[pick])]
         if len(pick):
-            joined = text[spread(begin[pick], begin[pick] + n[pick] - 1)]
-            start = np.cumsum(n[pick]) - n[pick]
-            windows = spread(start, start + n[pick] - size)
-            owner = np.repeat(np.arange(len(pick)), n[pick] - size + 1)
+            joined, n = x.bytes_of(pick), x.n[pick]
+            start = np.cumsum(n) - n
+            windows = spread(start, start + n - size)
+            owner = np.repeat(np.arange(len(pick)), n - size + 1)
             again = repeated_windows(joined, windows, size)
             windows, owner = windows[again], owner[again]
-            at = first[pick][owner] + windows - start[owner]
-            gone_shard.append(shard[pick][owner])
+            at = x.first[pick][owner] + windows - start[owner]
+            gone_shard.append(x.shard[pick][owner])
             gone_first.append(at)
             gone_last.append(at)
-        shard, first, last = (np.concatenate(x) for x in (gone_shard, gone_first, gone_last))
-        name = group.column("bucket")[0].as_py()
-        for s, part in pieces_of(shard) if len(shard) else ():
-            order = np.argsort(first[part])
-            f, t = first[part][order], last[part][order]
-            new = np.concatenate(([True], f[1:] != t[:-1] + 1))
-            f, t = f[new], t[np.append(np.flatnonzero(new)[1:], len(t)) - 1]
-            out.append((name, s, 0, f.tobytes(), t.tobytes()))
+        out += removed_rows(rows[0]["bucket"], *(np.concatenate(g) for g in (gone_shard, gone_first, gone_last)))
         return step_table(out)
 
     return merge
 
 
+def merge_hot(found: DataFrame, n_shards: int, size: int, hot_shards: int) -> DataFrame:
+    """``found`` with the rows of kind 2 merged within slices of ``hot_shards`` shards."""
+    found = freeze(found, "suffix-found")
+    slices = -(-n_shards // hot_shards)
+    dealt = F.pmod(F.xxhash64("shard"), F.lit(slices))
+    firsts = found.filter("kind = 2").groupBy("bucket", dealt).applyInArrow(merge_slice(size), STEP)
+    return found.filter("kind <> 2").unionByName(firsts)
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
 
 
@@ -387,9 +426,12 @@ def remove_repeats(
     if size < GRAM:
         raise ValueError(f"windows of {GRAM} bytes or more")
     shards = make_shards(docs, shard_bytes)
+    n_shards = shards.count()
     if buckets is None:
-        buckets = max(16, -(-shards.count() * shard_bytes // (8 << 20)))
+        buckets = max(16, -(-n_shards * shard_bytes // (8 << 20)))
     answers = repeated_anchors(shards, size, buckets)
     found = shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(search_shard(size, buckets, hot_shards), STEP)
+    if n_shards > hot_shards:  # with fewer shards no anchor is hot
+        found = merge_hot(found, n_shards, size, hot_shards)
     removed = found.groupBy("bucket").applyInArrow(merge_bucket(size), STEP)
     return shards.groupBy("shard").cogroup(removed.groupBy("shard")).applyInArrow(cut_shard(size), RESULT)

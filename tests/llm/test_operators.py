@@ -186,6 +186,40 @@ def test_op4_small_shards_and_hot_anchors(spark, messy):
         assert found == wanted
 
 
+def test_op4_passage_in_every_shard(spark):
+    """Of a window that all shards hold one copy a slice of shards goes to the last merge."""
+    import hashlib
+
+    rng = np.random.default_rng(9)
+    passage = bytes(rng.integers(97, 123, 300, dtype=np.uint8)).decode()
+    docs = [(i, "".join(map(chr, rng.integers(97, 123, 1500))) + passage + str(i), "en") for i in range(60)]
+    docs += [(100 + i, "".join(map(chr, rng.integers(97, 123, 1500))) + passage[40:], "en") for i in range(20)]
+    table = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    size, buckets, hot_shards = 100, 7, 10
+    rows = suffix_dedup.remove_repeats(table, size=size, shard_bytes=1600, buckets=buckets, hot_shards=hot_shards).collect()
+    found = Counter((r[0], r[1], r[2], len(r[3]), hashlib.sha256(r[4]).hexdigest()) for r in rows)
+    assert found == Counter(brute.op4(docs, size))
+
+    shards = suffix_dedup.make_shards(table, 1600)
+    n = shards.count()
+    answers = suffix_dedup.repeated_anchors(shards, size, buckets)
+    search = suffix_dedup.search_shard(size, buckets, hot_shards)
+    sent = shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(search, suffix_dedup.STEP)
+
+    def copies(steps, kind):
+        out = Counter()
+        for r in steps.filter(f"kind = {kind}").collect():
+            columns = np.frombuffer(r["a"], np.int64).reshape(6, -1)
+            text = bytes(suffix_dedup.unpacked(r["b"], int(columns[5].sum())))
+            at = np.cumsum(columns[5]) - columns[5]
+            out.update(text[a : a + m] for a, m in zip(at.tolist(), columns[5].tolist()))
+        return out
+
+    before, after = copies(sent, 2), copies(suffix_dedup.merge_hot(sent, n, size, hot_shards), 1)
+    assert n == 80 and max(before.values()) == 80 and len(before) > 150
+    assert all(after[w] <= -(-n // hot_shards) for w in before)
+
+
 def test_op5(spark, messy):
     rows = QUERIES["op5_lm_scoring"](spark, messy.dir).collect()
     exact = Counter((r[0], r[1], r[2], r[3], r[4], round(r[5], 6)) for r in rows)
