@@ -362,13 +362,18 @@ def merge_bucket(size: int):
     return merge
 
 
-def merge_hot(found: DataFrame, n_shards: int, size: int, hot_shards: int) -> DataFrame:
-    """``found`` with the rows of kind 2 merged within slices of ``hot_shards`` shards."""
-    found = freeze(found, "suffix-found")
+def merge_parts(found: DataFrame, n_shards: int, size: int, hot_shards: int) -> DataFrame:
+    """``found`` merged by bucket, its rows of kind 2 by bucket and slice of ``hot_shards`` shards.  An anchor
+    is hot in all shards or in none, so the two sorts of windows need not meet.  Rows of kind 1 that
+    come out are the slices' earliest copies, which remain to be merged by bucket."""
     slices = -(-n_shards // hot_shards)
-    dealt = F.pmod(F.xxhash64("shard"), F.lit(slices))
-    firsts = found.filter("kind = 2").groupBy("bucket", dealt).applyInArrow(merge_slice(size), STEP)
-    return found.filter("kind <> 2").unionByName(firsts)
+    dealt = F.when(F.col("kind") == 2, F.pmod(F.xxhash64("shard"), F.lit(slices))).otherwise(F.lit(-1))
+    cold, hot = merge_bucket(size), merge_slice(size)
+
+    def merge(group: pa.Table) -> pa.Table:
+        return hot(group) if group.column("kind")[0].as_py() == 2 else cold(group)
+
+    return found.groupBy("bucket", dealt).applyInArrow(merge, STEP)
 
 
 RESULT = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,stop:long>>, kept binary"
@@ -431,7 +436,7 @@ def remove_repeats(
         buckets = max(16, -(-n_shards * shard_bytes // (8 << 20)))
     answers = repeated_anchors(shards, size, buckets)
     found = shards.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(search_shard(size, buckets, hot_shards), STEP)
+    removed = merge_parts(found, n_shards, size, hot_shards)
     if n_shards > hot_shards:  # with fewer shards no anchor is hot
-        found = merge_hot(found, n_shards, size, hot_shards)
-    removed = found.groupBy("bucket").applyInArrow(merge_bucket(size), STEP)
+        removed = removed.groupBy("bucket").applyInArrow(merge_bucket(size), STEP)
     return shards.groupBy("shard").cogroup(removed.groupBy("shard")).applyInArrow(cut_shard(size), RESULT)

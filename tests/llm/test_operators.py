@@ -215,7 +215,7 @@ def test_op4_passage_in_every_shard(spark):
             out.update(text[a : a + m] for a, m in zip(at.tolist(), columns[5].tolist()))
         return out
 
-    before, after = copies(sent, 2), copies(suffix_dedup.merge_hot(sent, n, size, hot_shards), 1)
+    before, after = copies(sent, 2), copies(suffix_dedup.merge_parts(sent, n, size, hot_shards), 1)
     assert n == 80 and max(before.values()) == 80 and len(before) > 150
     assert all(after[w] <= -(-n // hot_shards) for w in before)
 
