@@ -107,13 +107,15 @@ def profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame
 
 def content_digest(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
     """An aggregate over the rows of ``df`` that depends on their values but not on their order: the sum
-    of the first 40 bits of each row's MD5.  NULL is written ``~``, a double as a whole number of
-    ten-thousandths, everything else as text; columns in the order of their names."""
+    of the first 40 bits of each row's MD5, modulo 2^63 (a BIGINT sum is full after some 16 million
+    rows).  NULL is written ``~``, a double as a whole number of ten-thousandths, everything else as text;
+    columns in the order of their names."""
     parts = []
     for c in sorted(columns or df.columns):
         whole = "CAST(round({0} * 10000) AS BIGINT)" if df.schema[c].dataType.simpleString() == "double" else "{0}"
         parts.append(f"coalesce(CAST({whole.format(ident(c))} AS STRING), '~')")
-    return F.expr(f"sum(CAST(conv(substr(md5(concat_ws('|', {', '.join(parts)})), 1, 10), 16, 10) AS BIGINT))")
+    bits = f"CAST(conv(substr(md5(concat_ws('|', {', '.join(parts)})), 1, 10), 16, 10) AS DECIMAL(28,0))"
+    return F.expr(f"CAST(pmod(sum({bits}), {1 << 63}) AS BIGINT)")
 
 
 def enforce(report: DataFrame, what: str = "data quality") -> None:

@@ -176,6 +176,16 @@ def test_reports_need_no_second_read_of_the_facts_but_for_duplicates(spark, sf_s
     assert rows(reported) == rows(again) and len(rows(again)) == 28
 
 
+def test_digest_of_more_rows_than_a_bigint_sum_holds(spark):
+    # MD5("20"): 98f13708210194c475687be6106a3b84
+    n, bits = 16_000_000, int("98f1370821", 16)
+    many = spark.range(0, n, numPartitions=8).select(F.lit(20).alias("a"))
+    assert n * bits > 1 << 63
+    assert many.agg(quality.content_digest(many)).first()[0] == n * bits % (1 << 63)
+    assert many.limit(3).agg(quality.content_digest(many)).first()[0] == 3 * bits
+    assert many.limit(0).agg(quality.content_digest(many)).first()[0] is None
+
+
 # ---- schema evolution
 def test_a_declared_table_gains_columns_and_old_files_read_null(spark):
     old = SILVER["dim_service_package"]
