@@ -1,8 +1,9 @@
 """Layer flows: bronze ingest -> gate, silver builds -> gate, load audit.
 
 One Spark application, one session: each table is one lazy plan written by
-one job.  What a run must know about its rows (counts, rejected values, NULLs, the measure profile)
-is observed in that job; only checks that need a shuffle read the written table again.  Audit and
+one job.  What a run must know about its rows (counts, rejected values, NULLs)
+is observed in that job; the measure profile and the checks that need a shuffle read columns of the written
+table again.  Audit and
 quality report are tables partitioned by run and layer: a run that is repeated under its id
 replaces its rows.
 """
@@ -68,8 +69,8 @@ class WarehouseConfig:
     report_table: str | None = None  # another name for the silver report
     # keep the text of bronze values that fail their declared type (column rescued_values)
     rescue_values: bool = True
-    # status, services and facts hashed and sorted by customer into this many buckets: the fact join and
-    # the duplicate check then need no shuffle
+    # status, services and facts hashed and sorted by customer into this many buckets, or more where the source
+    # files are large (BUCKET_BYTES): the fact join and the duplicate check then need no shuffle
     customer_buckets: int | None = None
     # facts in one folder per quarter; ``rebuild_quarters`` replaces single ones
     facts_by_quarter: bool = False
@@ -86,7 +87,7 @@ class WarehouseConfig:
     parallel_jobs: int = 4
 
 
-def _run_all(tasks: Mapping[str, Callable[[], object]], parallel: int) -> dict[str, object]:
+def run_all(tasks: Mapping[str, Callable[[], object]], parallel: int) -> dict[str, object]:
     """Run independent Spark jobs, ``parallel`` at a time; results by name, in order."""
     if parallel <= 1 or len(tasks) <= 1:
         return {k: fn() for k, fn in tasks.items()}
@@ -149,9 +150,28 @@ BRONZE_KEYS = {
 }
 
 
-def _buckets(cfg: WarehouseConfig, table: str) -> tuple[str, int] | None:
+# Bytes of source text a bucket at most, of status and services each.  A bucket is sorted by one task when it is
+# written, and the fact join multiplies its rows: some 100,000 rows a bucket and side.
+BUCKET_BYTES = 16 << 20
+
+
+def _bucket_number(spark: SparkSession, cfg: WarehouseConfig) -> int:
+    """Buckets of the tables hashed by customer: that of a table that exists, so that all of them agree, or
+    ``customer_buckets`` doubled until the larger source file has at most ``BUCKET_BYTES`` a bucket."""
+    for t in JOINED_BY_CUSTOMER:
+        if n := catalog.bucket_count(spark, f"{cfg.bronze_db}.{t}"):
+            return n
+    files = [f"{cfg.source_dir.rstrip('/')}/{s.file}" for s in cfg.sources if cfg.source_dir and s.table in JOINED_BY_CUSTOMER]
+    largest = max((sinks.folder_bytes(spark, f) for f in files), default=0)
+    n = cfg.customer_buckets
+    while n * BUCKET_BYTES < largest:
+        n *= 2
+    return n
+
+
+def _buckets(spark: SparkSession, cfg: WarehouseConfig, table: str) -> tuple[str, int] | None:
     by_customer = table in JOINED_BY_CUSTOMER or table == "facts_base" and not cfg.facts_by_quarter
-    return ("customer_id", cfg.customer_buckets) if cfg.customer_buckets and by_customer else None
+    return ("customer_id", _bucket_number(spark, cfg)) if cfg.customer_buckets and by_customer else None
 
 
 def create_bronze_tables(spark: SparkSession, cfg: WarehouseConfig) -> None:
@@ -161,7 +181,7 @@ def create_bronze_tables(spark: SparkSession, cfg: WarehouseConfig) -> None:
         name = f"{cfg.bronze_db}.{s.table}"
         schema = T.StructType([*BRONZE[s.table].fields, *([RESCUED] if cfg.rescue_values else [])])
         path = ingest.bronze_path(cfg.bronze_base, s.table)
-        if not catalog.create_table(spark, name, schema, path, bucket_by=_buckets(cfg, s.table)):
+        if not catalog.create_table(spark, name, schema, path, bucket_by=_buckets(spark, cfg, s.table)):
             catalog.add_columns(spark, name, schema)
         catalog.refresh(spark, name)
 
@@ -202,11 +222,11 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
         s.table: (lambda s=s: ingest.ingest_file(
             spark, cfg.source_dir, s, cfg.bronze_base, bronze_file_schema(s.table), rebalance=cfg.rebalance_sources,
             loaded_at=loaded_at, rescue=cfg.rescue_values, table=f"{cfg.bronze_db}.{s.table}",
-            bucket_by=_buckets(cfg, s.table)))
+            bucket_by=_buckets(spark, cfg, s.table)))
         for s in cfg.sources
     }
     try:
-        results = _run_all(tasks, cfg.parallel_jobs)
+        results = run_all(tasks, cfg.parallel_jobs)
         for s in cfg.sources:
             catalog.refresh(spark, f"{cfg.bronze_db}.{s.table}")
         rejected = {t: r.rejected for t, r in results.items()}
@@ -251,7 +271,7 @@ def create_silver_tables(spark: SparkSession, cfg: WarehouseConfig) -> None:
     for t, schema in SILVER.items():
         by = ("quarter",) if t == "facts_base" and cfg.facts_by_quarter else ()
         name, path = f"{cfg.silver_db}.{t}", f"{cfg.silver_base.rstrip('/')}/{t}"
-        if not catalog.create_table(spark, name, schema, path, SILVER_COMMENTS[t], partition_by=by, bucket_by=_buckets(cfg, t)):
+        if not catalog.create_table(spark, name, schema, path, SILVER_COMMENTS[t], partition_by=by, bucket_by=_buckets(spark, cfg, t)):
             catalog.add_columns(spark, name, schema)
 
 
@@ -260,15 +280,22 @@ def _null(column: str) -> Column:
 
 
 def observed_checks(table: str) -> dict[str, Column]:
-    """V4-V6 and the unparsable quarters (T3) as aggregates that the write job of ``table`` observes."""
+    """V4, V5 and the unparsable quarters (T3) as aggregates that the write job of ``table`` observes."""
     if table == "facts_base":
-        stats = {f"{stat}.{c}": column for c in PROFILED for stat, column in quality.profile_stats(c).items()}
-        return {f"null.{c}": _null(c) for c in facts.GRAIN} | stats
+        return {f"null.{c}": _null(c) for c in facts.GRAIN}
     if table == "dim_location":
         return {f"null.{c}": _null(c) for c in LOCATION_KEY_COLUMNS}
     return {"unparsable": _null("quarter_key")} if table == "dim_quarter" else {}
 
 
+def profile_checks(table: str) -> dict[str, Column]:
+    """V6 as aggregates of one pass over the written ``table``.  Observed aggregates are interpreted row by
+    row, which costs the write job of the facts more than this pass over their measures."""
+    if table != "facts_base":
+        return {}
+    return {f"{stat}.{c}": column for c in PROFILED for stat, column in quality.profile_stats(c).items()}
+
+
 def _publish_location(spark: SparkSession, cfg: WarehouseConfig, bronze: Mapping[str, DataFrame]) -> dict:
     """SCD type 1: one join classifies stored and incoming members and is staged, the staged rows
     are numbered, and the result is checked before it replaces the table's current version."""
@@ -322,7 +349,7 @@ def run_silver(
 
     tasks = {t: (lambda t=t, build=build: write(t, build)) for t, build in builders.items()}
     try:
-        found = _run_all(tasks, cfg.parallel_jobs)
+        found = run_all(tasks, cfg.parallel_jobs)
         if cfg.keyed_facts and not only:
             found["facts_keyed"] = _write_keyed_facts(spark, cfg, bronze)
         if cfg.quality_reports:
@@ -382,9 +409,15 @@ def report_rows(table: str, metrics: Mapping[str, object]) -> list[tuple]:
 
 
 def silver_report(spark: SparkSession, cfg: WarehouseConfig, found: Mapping[str, Mapping[str, object]]) -> list[tuple]:
-    """V3-V6 in long form, 28 rows for a full run: what the write jobs observed, and the duplicate
-    check, which reads the grain columns of the written facts."""
-    rows = [r for t, metrics in found.items() for r in report_rows(t, metrics)]
+    """V3-V6 in long form, 28 rows for a full run: what the write jobs observed, and the profile and the
+    duplicate check, which read the measures and the grain columns of the written facts."""
+    rows = []
+    for t, metrics in found.items():
+        if stats := profile_checks(t):
+            written = spark.table(f"{cfg.silver_db}.{t}")
+            values = written.agg(*[column.alias(f"m{i}") for i, column in enumerate(stats.values())]).first()
+            metrics = {**metrics, **dict(zip(stats, values))}
+        rows += report_rows(t, metrics)
     if "facts_base" in found:
         repeated = quality.grain_duplicates(spark.table(f"{cfg.silver_db}.facts_base"), facts.GRAIN).first()[0]
         rows.append(("grain_duplicates", "facts_base", ",".join(facts.GRAIN), float(repeated)))
@@ -396,7 +429,7 @@ def quality_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     aggregate pass each, ``(check_name, table_name, column_name, value)``."""
     parts = []
     for t, df in tables.items():
-        metrics = observed_checks(t)
+        metrics = observed_checks(t) | profile_checks(t)
         wide = df.agg(*[column.cast("double").alias(f"m{i}") for i, column in enumerate(metrics.values())])
         labels = report_rows(t, dict.fromkeys(metrics))
         order = [f"null.{c}" if check == "null_count" else f"{check.removeprefix('profile_')}.{c}" for check, _, c, _ in labels]

@@ -354,14 +354,17 @@ DIRT = {
 
 
 def _stage_sources(spark, sf, dirty: bool = False) -> str:
-    """Write each raw subject as its delimited source file into a fresh folder."""
+    """Write each raw subject as its delimited source file into a fresh folder, side by side."""
     folder = scratch_path(spark, "sources")
-    for s in ingest.DEFAULT_SOURCES:
+
+    def stage(s: ingest.SourceFile) -> None:
         rows = raw_view(spark, sf, s.table)
         if dirty and s.table in DIRT:
             column, where, text = DIRT[s.table]
             rows = rows.withColumn(column, F.when(F.expr(where), text).otherwise(F.col(column).cast("string")))
         ingest.stage_delimited(rows, f"{folder}/{s.file}")
+
+    flows.run_all({s.table: (lambda s=s: stage(s)) for s in ingest.DEFAULT_SOURCES}, len(ingest.DEFAULT_SOURCES))
     return folder
 
 

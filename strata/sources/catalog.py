@@ -96,6 +96,12 @@ def location(spark: SparkSession, name: str) -> str:
     return _described(spark, name)["Location"]
 
 
+def bucket_count(spark: SparkSession, name: str) -> int | None:
+    """The number of buckets of a declared table; None without such a table or buckets."""
+    found = _described(spark, name).get("Num Buckets") if spark.catalog.tableExists(name) else None
+    return int(found) if found else None
+
+
 def set_location(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {name} SET LOCATION {sql_lit(path)}")
     spark.catalog.refreshTable(name)

@@ -19,6 +19,9 @@ from __future__ import annotations
 import itertools
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager, nullcontext
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +41,7 @@ def align_to(df: DataFrame, schema, keep_undeclared: bool = False, rescued: str
     ``rescued`` names a map column that is added last: the text of every value that its
     declared type rejects, by column name (NULL where all values fit)."""
     have = {c.lower(): c for c in df.columns}
-    cols, entries = [], []
+    cols, entries, rejects = [], [], []
     for f in schema.fields:
         src = have.get(f.name.lower())
         if src is None:
@@ -48,15 +51,16 @@ def align_to(df: DataFrame, schema, keep_undeclared: bool = False, rescued: str
         typed = raw.try_cast(f.dataType)
         cols.append(typed.alias(f.name, metadata=f.metadata))
         if rescued and not isinstance(f.dataType, T.StringType):
-            bad = F.when(raw.isNotNull() & typed.isNull(), raw.cast("string"))
-            entries.append(F.struct(F.lit(f.name).alias("key"), bad.alias("value")))
+            rejects.append(raw.isNotNull() & typed.isNull())
+            entries.append(F.struct(F.lit(f.name).alias("key"), F.when(rejects[-1], raw.cast("string")).alias("value")))
     declared = {f.name.lower() for f in schema.fields}
     if keep_undeclared:
         cols += [F.col(f"`{c}`") for c in df.columns if c.lower() not in declared]
     if rescued:
-        kind = "map<string,string>"
-        found = F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())) if entries else None
-        cols.append((F.lit(None).cast(kind) if found is None else F.when(F.size(found) > 0, found)).alias(rescued))
+        found = F.lit(None).cast("map<string,string>")
+        if entries:  # the map is made for the rows that need one
+            found = F.when(reduce(or_, rejects), F.map_from_entries(F.filter(F.array(*entries), lambda e: e["value"].isNotNull())))
+        cols.append(found.alias(rescued))
     return df.select(*cols)
 
 
@@ -80,6 +84,23 @@ def observed(df: DataFrame, metrics: Mapping[str, Column] | None = None) -> tupl
     return out, lambda: {name: obs.get[f] for f, name in fields.items()}
 
 
+# partitions that a task writes side by side before it sorts the rest of its rows
+OPEN_PARTITIONS = 16
+
+
+@contextmanager
+def open_partitions(spark: SparkSession):
+    """Within the block a task keeps one file open for each of a few partitions, in place of sorting all
+    its rows by partition: its memory then does not grow with the rows that it writes."""
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(option)
+    spark.conf.set(option, max(OPEN_PARTITIONS, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(option, before)
+
+
 def overwrite_table(df: DataFrame, table: str, metrics: Mapping[str, Column] | None = None, evolve: bool = False) -> dict:
     """Full rebuild of a declared table in one write job; returns the metrics observed in
     that job, the row count as ``rows``.  ``evolve`` first adds the columns that the table lacks."""
@@ -87,7 +108,8 @@ def overwrite_table(df: DataFrame, table: str, metrics: Mapping[str, Column] | N
     if evolve:
         catalog.add_columns(spark, table, df.schema)
     aligned, values = observed(align_to(df, spark.table(table).schema), metrics)
-    aligned.write.insertInto(table, overwrite=True)
+    with open_partitions(spark) if catalog.partition_columns(spark, table) else nullcontext():
+        aligned.write.insertInto(table, overwrite=True)
     spark.catalog.refreshTable(table)
     return values()
 
@@ -100,7 +122,8 @@ def overwrite_partitions(df: DataFrame, table: str, metrics: Mapping[str, Column
         raise ValueError(f"{table} is not partitioned")
     aligned, values = observed(align_to(df, spark.table(table).schema), metrics)
     writer = aligned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
-    writer.parquet(catalog.location(spark, table))
+    with open_partitions(spark):
+        writer.parquet(catalog.location(spark, table))
     spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
     return values()
@@ -138,6 +161,12 @@ def publish_table(
     return found
 
 
+def folder_bytes(spark: SparkSession, name: str) -> int:
+    """Bytes of a file or of all files in a folder; 0 where there is none."""
+    path, fs = _path(spark, name)
+    return fs.getContentSummary(path).getLength() if fs.exists(path) else 0
+
+
 class PublishError(RuntimeError):
     pass
 

@@ -139,6 +139,39 @@ def test_bucketed_tables_join_and_group_without_a_shuffle(spark, sf_smoke):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_large_sources_get_more_buckets_and_existing_tables_keep_theirs(spark, sf_smoke, monkeypatch):
+    cfg = _config(spark, sf_smoke, customer_buckets=2)
+    size = max(sinks.folder_bytes(spark, f"{cfg.source_dir}/{s.file}") for s in cfg.sources if s.table in flows.JOINED_BY_CUSTOMER)
+    monkeypatch.setattr(flows, "BUCKET_BYTES", -(-size // 5))
+    flows.run_bronze(spark, cfg, enforce=False)
+    monkeypatch.setattr(flows, "BUCKET_BYTES", size)  # a later run finds the tables
+    flows.run_bronze(spark, cfg, enforce=False)
+    flows.run_silver(spark, cfg, only=("facts_base",))
+    tables = [f"{cfg.bronze_db}.status", f"{cfg.bronze_db}.services", f"{cfg.silver_db}.facts_base"]
+    assert [catalog.bucket_count(spark, t) for t in tables] == [8, 8, 8]
+    raw = raw_tables(spark, sf_smoke)
+    expected = facts.facts_base(raw["status"], raw["services"])
+    assert rows(spark.table(tables[2])) == rows(expected.select(*spark.table(tables[2]).columns))
+    assert catalog.bucket_count(spark, f"{cfg.bronze_db}.population") is None
+
+
+def test_few_partitions_are_written_without_a_sort_and_many_still_fit(spark):
+    name, _ = new_table(spark, "a long, p string", partition_by=("p",))
+    option = "spark.sql.maxConcurrentOutputFileWriters"
+    before, started = spark.conf.get(option), []
+    for n in (3, 2 * sinks.OPEN_PARTITIONS):
+        df = spark.range(0, 400, numPartitions=2).select(F.col("id").alias("a"), (F.col("id") % n).cast("string").alias("p"))
+        assert sinks.overwrite_table(df, name)["rows"] == 400
+        assert sinks.overwrite_partitions(df, name)["rows"] == 400
+        assert rows(spark.table(name)) == rows(df) and spark.conf.get(option) == before
+    with sinks.open_partitions(spark):
+        assert spark.conf.get(option) == str(sinks.OPEN_PARTITIONS)
+        with sinks.open_partitions(spark):
+            pass
+        started.append(spark.conf.get(option))
+    assert started == [str(sinks.OPEN_PARTITIONS)] and spark.conf.get(option) == before
+
+
 # ---- audit and reports
 def test_a_failing_bronze_run_leaves_rows_and_a_retry_replaces_them(spark, sf_smoke):
     cfg = _config(spark, sf_smoke)
