@@ -226,7 +226,8 @@ def run_bronze(spark: SparkSession, cfg: WarehouseConfig, enforce: bool = True,
         for s in cfg.sources
     }
     try:
-        results = run_all(tasks, cfg.parallel_jobs)
+        with sinks.compiled_methods(spark):
+            results = run_all(tasks, cfg.parallel_jobs)
         for s in cfg.sources:
             catalog.refresh(spark, f"{cfg.bronze_db}.{s.table}")
         rejected = {t: r.rejected for t, r in results.items()}
@@ -349,9 +350,10 @@ def run_silver(
 
     tasks = {t: (lambda t=t, build=build: write(t, build)) for t, build in builders.items()}
     try:
-        found = run_all(tasks, cfg.parallel_jobs)
-        if cfg.keyed_facts and not only:
-            found["facts_keyed"] = _write_keyed_facts(spark, cfg, bronze)
+        with sinks.compiled_methods(spark):
+            found = run_all(tasks, cfg.parallel_jobs)
+            if cfg.keyed_facts and not only:
+                found["facts_keyed"] = _write_keyed_facts(spark, cfg, bronze)
         if cfg.quality_reports:
             report = silver_report(spark, cfg, {t: m for t, m in found.items() if t in ("facts_base", "dim_location")})
             table = cfg.report_table or f"{cfg.silver_db}.quality_report"

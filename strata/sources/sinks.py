@@ -89,18 +89,31 @@ OPEN_PARTITIONS = 16
 
 
 @contextmanager
-def open_partitions(spark: SparkSession):
-    """Within the block a task keeps one file open for each of a few partitions, in place of sorting all
-    its rows by partition: its memory then does not grow with the rows that it writes."""
-    option = "spark.sql.maxConcurrentOutputFileWriters"
+def _session_option(spark: SparkSession, option: str, value: Callable[[int], int]):
     before = spark.conf.get(option)
-    spark.conf.set(option, max(OPEN_PARTITIONS, int(before)))
+    spark.conf.set(option, value(int(before)))
     try:
         yield
     finally:
         spark.conf.set(option, before)
 
 
+def open_partitions(spark: SparkSession):
+    """Within the block a task keeps one file open for each of a few partitions, in place of sorting all
+    its rows by partition: its memory then does not grow with the rows that it writes."""
+    return _session_option(spark, "spark.sql.maxConcurrentOutputFileWriters", lambda n: max(OPEN_PARTITIONS, n))
+
+
+# bytes of a method that the JVM still compiles
+LARGEST_COMPILED = 8000
+
+
+def compiled_methods(spark: SparkSession):
+    """Within the block a step whose rules make a longer method runs as several short ones; the JVM
+    interprets the long one, row by row, at half the speed or less."""
+    return _session_option(spark, "spark.sql.codegen.hugeMethodLimit", lambda n: min(LARGEST_COMPILED, n))
+
+
 def overwrite_table(df: DataFrame, table: str, metrics: Mapping[str, Column] | None = None, evolve: bool = False) -> dict:
     """Full rebuild of a declared table in one write job; returns the metrics observed in
     that job, the row count as ``rows``.  ``evolve`` first adds the columns that the table lacks."""

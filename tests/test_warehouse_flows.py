@@ -172,6 +172,19 @@ def test_few_partitions_are_written_without_a_sort_and_many_still_fit(spark):
     assert started == [str(sinks.OPEN_PARTITIONS)] and spark.conf.get(option) == before
 
 
+def test_flows_split_methods_that_the_jvm_would_interpret(spark, sf_smoke, monkeypatch):
+    option, seen = "spark.sql.codegen.hugeMethodLimit", []
+    before = spark.conf.get(option)
+    real = flows.facts.facts_keyed
+    monkeypatch.setattr(flows.facts, "facts_keyed", lambda *a, **k: (seen.append(spark.conf.get(option)), real(*a, **k))[1])
+    cfg = _config(spark, sf_smoke, stage=False, keyed_facts=True, quality_reports=False)
+    bronze = raw_tables(spark, sf_smoke)
+    flows.run_silver(spark, cfg, bronze=bronze, enforce=False)
+    assert seen == [str(sinks.LARGEST_COMPILED)] and spark.conf.get(option) == before
+    expected = real(bronze["status"], bronze["services"], spark.table(f"{cfg.silver_db}.dim_customer"))
+    assert rows(spark.table(f"{cfg.silver_db}.facts_keyed")) == rows(expected)
+
+
 # ---- audit and reports
 def test_a_failing_bronze_run_leaves_rows_and_a_retry_replaces_them(spark, sf_smoke):
     cfg = _config(spark, sf_smoke)
