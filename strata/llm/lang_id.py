@@ -83,8 +83,8 @@ def document_frequencies(texts: DataFrame) -> np.ndarray:
 
     rows = texts.select(F.col("text").cast("binary")).mapInArrow(count, "feature long, n long")
     out = np.zeros(DIMS + 1, np.int64)
-    for feature, n in rows.groupBy("feature").agg(F.sum("n")).collect():  # at most DIMS + 1 rows
-        out[feature] = n
+    found = rows.groupBy("feature").agg(F.sum("n").alias("n")).toArrow()  # at most DIMS + 1 rows, as columns
+    out[found["feature"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
